@@ -147,3 +147,58 @@ FROM valid GROUP BY 1""")
 def q_peak_hour(spark, sf):
     from tripmart.operators.mart import peak_hour
     return peak_hour(valid(spark, sf))
+
+
+# --- Star: ST1-ST6, SET2, SET3, FN2-FN5, JN1, JN2, CHK1-CHK4, PRJ5-PRJ7
+
+from tripmart.operators import star as S  # noqa: E402
+from tripmart.operators.checks import star_checks  # noqa: E402
+from tripmart.sources.tables import zones  # noqa: E402
+
+
+@register("dim_datetime", O.with_steps(*O.CLEAN, "dim_datetime") + "SELECT * FROM dim_datetime")
+def q_dim_datetime(spark, sf):
+    return S.dim_datetime(cleaned(spark, sf))
+
+
+@register("dim_datetime_hash")
+def q_dim_datetime_hash(spark, sf):
+    return S.dim_datetime(cleaned(spark, sf), key_mode="hash")
+
+
+@register("dim_location", O.with_steps(*O.CLEAN, "dim_location") + "SELECT * FROM dim_location")
+def q_dim_location(spark, sf):
+    return S.dim_location(cleaned(spark, sf))
+
+
+@register("dim_location_zones", O.with_steps(*O.CLEAN, "dim_location", "zones", "dim_location_zones")
+          + "SELECT * FROM dim_location_zones")
+def q_dim_location_zones(spark, sf):
+    return S.dim_location(cleaned(spark, sf), zones(spark, sf))
+
+
+@register("dim_vendor", O.with_steps(*O.CLEAN, "dim_vendor") + "SELECT * FROM dim_vendor")
+def q_dim_vendor(spark, sf):
+    return S.dim_vendor(cleaned(spark, sf))
+
+
+@register("dim_payment", O.with_steps(*O.CLEAN, "dim_payment") + "SELECT * FROM dim_payment")
+def q_dim_payment(spark, sf):
+    return S.dim_payment(cleaned(spark, sf))
+
+
+@register("dim_rate", O.with_steps(*O.CLEAN, "dim_rate") + "SELECT * FROM dim_rate")
+def q_dim_rate(spark, sf):
+    return S.dim_rate(cleaned(spark, sf))
+
+
+@register("fact_trip", O.with_steps(*O.STAR) + "SELECT * EXCLUDE (trip_id) FROM fact_trip")
+def q_fact_trip(spark, sf):
+    c = P.clean_job(trips(spark, sf), cap_mode="disc", trip_id=True)
+    return S.fact_trip(c, S.dim_datetime(c)).drop("trip_id")
+
+
+@register("star_checks", O.star_checks_sql())
+def q_star_checks(spark, sf):
+    c = P.clean_job(trips(spark, sf), cap_mode="disc", trip_id=True)
+    return star_checks(S.build_star(c), c)

@@ -113,3 +113,89 @@ def map_case(col: str, labels: dict[int, str]) -> str:
 
 PAYMENT_CASE = map_case("payment_type", PAYMENT_LABELS)
 RATE_CASE = map_case("RatecodeID", RATE_LABELS)
+
+_NULL_S = "CAST(NULL AS VARCHAR)"
+STEPS.update({
+    "clean_id": "clean_id AS (SELECT *, row_number() OVER () AS trip_id FROM clean)",
+    "dim_datetime": """dim_datetime AS (
+  SELECT row_number() OVER (ORDER BY p, d) AS datetime_id, p AS pickup_datetime, d AS dropoff_datetime,
+         CAST(hour(p) AS INTEGER) AS hour, CAST(day(p) AS INTEGER) AS day,
+         CAST(month(p) AS INTEGER) AS month, CAST(year(p) AS INTEGER) AS year,
+         dayname(p) AS weekday, CAST(trunc(dur) AS INTEGER) AS trip_duration_min
+  FROM (SELECT tpep_pickup_datetime AS p, tpep_dropoff_datetime AS d, min(trip_duration_min) AS dur
+        FROM clean GROUP BY 1, 2))""",
+    "dim_location": f"""dim_location AS (
+  SELECT location_id, {_NULL_S} AS borough, {_NULL_S} AS zone, {_NULL_S} AS service_zone
+  FROM (SELECT PULocationID AS location_id FROM clean UNION SELECT DOLocationID FROM clean)
+  WHERE location_id IS NOT NULL)""",
+    "zones": f"""zones AS (
+  SELECT CAST(n_nationkey + 1 AS INTEGER) AS location_id, r_name AS borough, n_name AS zone,
+         {_NULL_S} AS service_zone
+  FROM nation JOIN region ON n_regionkey = r_regionkey)""",
+    "dim_location_zones": """dim_location_zones AS (
+  SELECT d.location_id, z.borough, z.zone, z.service_zone
+  FROM (SELECT DISTINCT location_id FROM dim_location) d LEFT JOIN zones z USING (location_id))""",
+    "dim_vendor": f"""dim_vendor AS (
+  SELECT VendorID AS vendor_id, VendorID, {_NULL_S} AS vendor_name, store_and_fwd_flag AS store_fwd_flag
+  FROM (SELECT *, row_number() OVER (PARTITION BY VendorID
+          ORDER BY tpep_pickup_datetime, store_and_fwd_flag NULLS FIRST) AS rn
+        FROM clean WHERE VendorID IS NOT NULL) WHERE rn = 1)""",
+    "dim_payment": f"""dim_payment AS (
+  SELECT payment_type AS payment_id, payment_type, {PAYMENT_CASE} AS payment_desc,
+         CAST(congestion_surcharge AS DECIMAL(10,2)) AS congestion_surcharge,
+         CAST(cbd_congestion_fee AS DECIMAL(10,2)) AS cbd_congestion_fee
+  FROM (SELECT *, row_number() OVER (PARTITION BY payment_type ORDER BY tpep_pickup_datetime,
+          congestion_surcharge NULLS FIRST, cbd_congestion_fee NULLS FIRST) AS rn
+        FROM clean WHERE payment_type IS NOT NULL) WHERE rn = 1)""",
+    "dim_rate": f"""dim_rate AS (
+  SELECT RatecodeID AS rate_id, RatecodeID, {RATE_CASE} AS rate_desc,
+         CAST(Airport_fee AS DECIMAL(10,2)) AS airport_fee
+  FROM (SELECT *, row_number() OVER (PARTITION BY RatecodeID
+          ORDER BY tpep_pickup_datetime, Airport_fee NULLS FIRST) AS rn
+        FROM clean WHERE RatecodeID IS NOT NULL) WHERE rn = 1)""",
+    "fact_trip": """fact_trip AS (
+  SELECT c.trip_id, dt.datetime_id, c.PULocationID AS location_id, c.VendorID AS vendor_id,
+         c.payment_type AS payment_id, c.RatecodeID AS rate_id,
+         CAST(c.passenger_count AS INTEGER) AS passenger_count,
+         CAST(c.trip_distance AS FLOAT) AS trip_distance,
+         CAST(c.fare_amount AS DECIMAL(10,2)) AS fare_amount, CAST(c.extra AS DECIMAL(10,2)) AS extra,
+         CAST(c.mta_tax AS DECIMAL(10,2)) AS mta_tax, CAST(c.tip_amount AS DECIMAL(10,2)) AS tip_amount,
+         CAST(c.tolls_amount AS DECIMAL(10,2)) AS tolls_amount,
+         CAST(c.improvement_surcharge AS DECIMAL(10,2)) AS improvement_surcharge,
+         CAST(c.total_amount AS DECIMAL(10,2)) AS total_amount
+  FROM clean_id c LEFT JOIN dim_datetime dt
+    ON c.tpep_pickup_datetime = dt.pickup_datetime AND c.tpep_dropoff_datetime = dt.dropoff_datetime)""",
+})
+STAR = CLEAN + ("clean_id", "dim_datetime", "dim_location", "dim_vendor", "dim_payment",
+                "dim_rate", "fact_trip")
+
+
+def star_checks_sql() -> str:
+    """The same violation counts as ``checks.star_checks``, over the star CTEs."""
+    from tripmart.schema import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS, STRING_WIDTHS
+    cte = {"DIM_DATETIME": "dim_datetime", "DIM_LOCATION": "dim_location",
+           "DIM_VENDOR": "dim_vendor", "DIM_PAYMENT": "dim_payment", "DIM_RATE": "dim_rate",
+           "FACT_TRIP": "fact_trip"}
+
+    def row(t, chk, col, expr, src):
+        return (f"SELECT '{t}' AS table_name, '{chk}' AS check_name, '{col}' AS column_name, "
+                f"CAST({expr} AS BIGINT) AS violations FROM {src}")
+
+    parts = []
+    for t, src in cte.items():
+        for c in NOT_NULL[t]:
+            parts.append(row(t, "not_null", c, f"coalesce(count_if({c} IS NULL), 0)", src))
+        pk = PRIMARY_KEYS[t]
+        parts.append(row(t, "primary_key", pk, "count(*)",
+                         f"(SELECT {pk} FROM {src} WHERE {pk} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"))
+        for c, n in STRING_WIDTHS.get(t, {}).items():
+            parts.append(row(t, "string_width", c, f"coalesce(count_if(length({c}) > {n}), 0)", src))
+    for col, dim in FOREIGN_KEYS:
+        pk = PRIMARY_KEYS[dim]
+        parts.append(row("FACT_TRIP", "foreign_key", col, "count(*)",
+                         f"(SELECT {col} FROM fact_trip f WHERE {col} IS NOT NULL AND NOT EXISTS "
+                         f"(SELECT 1 FROM {cte[dim]} d WHERE d.{pk} = f.{col}))"))
+    parts.append(row("FACT_TRIP", "row_count", "*",
+                     "abs((SELECT count(*) FROM fact_trip) - (SELECT count(*) FROM clean))",
+                     "(SELECT 1)"))
+    return with_steps(*STAR) + "\nUNION ALL\n".join(parts)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tripmart.operators import clean as C
+from tripmart.operators.keys import row_id
 from tripmart.schema import CAP_COLUMNS, EARLY_CAP_COLUMNS
 from tripmart.session import work_dir
 
@@ -25,14 +26,18 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def clean_job(raw: DataFrame, cap_mode: str = "approx", rel_error: float = 1e-4,
               passenger_policy: str = "drop", fills: dict | None = None,
-              cast: bool = True) -> DataFrame:
+              cast: bool = True, trip_id: bool = False) -> DataFrame:
     """PL1: dedupe -> duration -> filter -> fill -> cap (3 columns) -> casts.
 
     Two passes over the data instead of the six of a naive job: one writes the
     deduped, valid, filled trips; the quantile passes and the result read that
-    stage table.
+    stage table. ``trip_id=True`` adds a unique id right after the dedupe,
+    fixed by the stage write (fills, caps and casts may later make rows equal).
     """
-    pre = stage(C.clean_prefix(raw, passenger_policy, fills), "clean-pre")
+    pre = C.clean_prefix(raw, passenger_policy, fills)
+    if trip_id:
+        pre = pre.withColumn("trip_id", row_id())
+    pre = stage(pre, "clean-pre")
     out = C.cap_columns(pre, CAP_COLUMNS, mode=cap_mode, rel_error=rel_error)
     return C.cast_int_columns(out) if cast else out
 
