@@ -31,3 +31,288 @@ def duplicate_stats(df: DataFrame) -> DataFrame:
     return c.select(dup.alias("duplicate_count"),
                     (F.lit(100.0) * dup.cast("double") / F.col("raw_rows").cast("double"))
                     .alias("duplicate_pct"))
+
+
+from functools import reduce  # noqa: E402
+
+from pyspark.sql import types as T  # noqa: E402
+
+from tripmart.operators import quantiles  # noqa: E402
+
+SUMMARY_PS = [0.25, 0.5, 0.75]
+
+
+def numeric_columns(df: DataFrame) -> list[str]:
+    """PRJ10: numeric columns (pandas ``select_dtypes(include=number)``)."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+
+
+def string_columns(df: DataFrame) -> list[str]:
+    """PRJ10: text columns (pandas ``object``)."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def missing(df: DataFrame, c: str):
+    """A missing cell: NULL, or NaN in a floating column (as pandas counts it)."""
+    dt = df.schema[c].dataType
+    if isinstance(dt, (T.DoubleType, T.FloatType)):
+        return F.col(c).isNull() | F.isnan(F.col(c))
+    return F.col(c).isNull()
+
+
+def _stack(cols_per_row: list[list], names: list[str]) -> "F.Column":
+    flat = [x for row in cols_per_row for x in row]
+    return F.stack(F.lit(len(cols_per_row)), *flat).alias(*names)
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """AGG2: per column type, non-null and null counts and percentages (one pass)."""
+    cols = df.columns
+    agg = df.agg(F.count(F.lit(1)).alias("_rows"),
+                 *[F.count_if(missing(df, c)).alias(f"_m{i}") for i, c in enumerate(cols)])
+    rows = [[F.lit(i + 1), F.lit(c), F.lit(df.schema[c].dataType.simpleString()), F.col(f"_m{i}")]
+            for i, c in enumerate(cols)]
+    long = agg.select("_rows", _stack(rows, ["ordinal", "column_name", "dtype", "null_count"]))
+    n = F.col("_rows").cast("double")
+    non_null = F.col("_rows") - F.col("null_count")
+    return long.select(
+        "ordinal", "column_name", "dtype",
+        non_null.alias("non_null"),
+        (non_null.cast("double") / n * F.lit(100.0)).alias("non_null_pct"),
+        F.col("null_count"),
+        (F.col("null_count").cast("double") / n * F.lit(100.0)).alias("null_pct"))
+
+
+def missing_table(df: DataFrame) -> DataFrame:
+    """AGG3 + SRT1: columns with gaps, percent rounded to 2, most missing first."""
+    p = column_profile(df).where(F.col("null_count") > 0)
+    return (p.select("column_name", F.col("null_count").alias("missing_count"),
+                     F.round("null_pct", 2).alias("missing_pct"))
+             .orderBy(F.desc("missing_count"), "column_name"))
+
+
+def summary_stats(df: DataFrame, mode: str = "exact", rel_error: float = 1e-4) -> DataFrame:
+    """AGG4 + FN7: count, mean, sample std, min, quartiles, max per numeric
+    column, rounded to 2 (pandas ``describe().round(2)``). Quartiles are exact
+    and interpolated by default, ``mode="approx"`` uses the sketch."""
+    cols = numeric_columns(df)
+    qs = quantiles.quantile_values(df, cols, SUMMARY_PS, mode, rel_error)
+    agg = df.agg(*[e for i, c in enumerate(cols) for e in (
+        F.count_if(~missing(df, c)).alias(f"_n{i}"),
+        F.avg(F.when(~missing(df, c), F.col(c))).alias(f"_a{i}"),
+        F.stddev_samp(F.when(~missing(df, c), F.col(c))).alias(f"_s{i}"),
+        F.min(F.when(~missing(df, c), F.col(c))).cast("double").alias(f"_lo{i}"),
+        F.max(F.when(~missing(df, c), F.col(c))).cast("double").alias(f"_hi{i}"))])
+    r2 = lambda x: F.round(x, 2)
+    rows = [[F.lit(c), F.col(f"_n{i}"), r2(F.col(f"_a{i}")), r2(F.col(f"_s{i}")),
+             r2(F.col(f"_lo{i}")), *[r2(F.lit(v).cast("double")) for v in qs[c]],
+             r2(F.col(f"_hi{i}"))] for i, c in enumerate(cols)]
+    return agg.select(_stack(rows, ["column_name", "count", "mean", "std", "min",
+                                    "q25", "q50", "q75", "max"]))
+
+
+def head_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """SRT2: first ``n`` rows in an explicit total order (all columns)."""
+    return df.orderBy(*df.columns).limit(n)
+
+
+def value_counts(df: DataFrame, k: int = 5, cols: list[str] | None = None) -> DataFrame:
+    """SRT3: top ``k`` values by frequency per text column (NULL excluded),
+    ties by value. Each column is a distributed top-k (TakeOrderedAndProject),
+    never a whole column's distinct values in one task."""
+    cols = string_columns(df) if cols is None else cols
+    parts = []
+    for c in cols:
+        top = (df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("value"))
+                 .agg(F.count(F.lit(1)).alias("count"))
+                 .orderBy(F.desc("count"), "value").limit(k))
+        parts.append(top.select(F.lit(c).alias("column_name"), "value", "count"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def distinct_counts(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
+    """AGG7: distinct non-NULL values per text column, one aggregate."""
+    cols = string_columns(df) if cols is None else cols
+    fn = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(c))
+    agg = df.agg(*[fn(c).alias(f"_d{i}") for i, c in enumerate(cols)])
+    return agg.select(_stack([[F.lit(c), F.col(f"_d{i}")] for i, c in enumerate(cols)],
+                             ["column_name", "distinct_count"]))
+
+
+def distinct_values(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """AGG8: the distinct values of each text column, NULL included."""
+    cols = string_columns(df) if cols is None else cols
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                                   F.col(c).alias("value")) for c in cols]))
+                      .alias("p")).select("p.*")
+    return pairs.distinct()
+
+
+_MOMENTS = ("n", "mx", "my", "m2x", "m2y", "cxy")
+
+
+def _pair_moments(k: int):
+    """Per-partition co-moments of every column pair over rows where both are
+    present: three k x k matrix products per Arrow batch, batches merged with
+    the parallel (Chan) formulas, one output row per pair per partition."""
+    import numpy as np
+    import pandas as pd
+
+    def merge(a, b):
+        if a is None:
+            return b
+        n = a[0] + b[0]
+        safe = np.where(n > 0, n, 1.0)
+        dx, dy = b[1] - a[1], b[2] - a[2]
+        w = a[0] * b[0] / safe
+        return (n, a[1] + dx * b[0] / safe, a[2] + dy * b[0] / safe,
+                a[3] + b[3] + dx * dx * w, a[4] + b[4] + dy * dy * w, a[5] + b[5] + dx * dy * w)
+
+    def batch_moments(x):
+        m = ~np.isnan(x)
+        mf = m.astype(np.float64)
+        shift = np.nan_to_num(np.nanmean(np.where(m, x, np.nan), axis=0)) if m.any() else 0.0
+        z = np.where(m, x - shift, 0.0)
+        n = mf.T @ mf                       # rows where both i and j are present
+        sx = z.T @ mf                       # sum of shifted x_i over those rows
+        sxx = (z * z).T @ mf
+        sxy = z.T @ z
+        safe = np.where(n > 0, n, 1.0)
+        mx = sx / safe                      # shifted mean of i over pair rows
+        return (n, mx + shift[:, None] * (n > 0), mx.T + shift[None, :] * (n > 0),
+                sxx - sx * mx, (sxx - sx * mx).T, sxy - sx * mx.T)
+
+    iu = np.triu_indices(k)
+
+    def fn(batches):
+        acc = None
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=np.float64, na_value=np.nan)
+            if len(x):
+                acc = merge(acc, batch_moments(x))
+        if acc is None:
+            return
+        out = {"i": iu[0].astype(np.int32), "j": iu[1].astype(np.int32)}
+        for name, mat in zip(_MOMENTS, acc):
+            out[name] = mat[iu]
+        yield pd.DataFrame(out)
+    return fn
+
+
+def correlation_matrix(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -> DataFrame:
+    """AGG9: Pearson correlation of every numeric pair over rows where both are
+    present (pandas ``corr``), NULL for a constant column; long form.
+
+    Hundreds of per-pair aggregate columns fall out of whole-stage codegen, so
+    the co-moments are computed per partition with numpy (``mapInPandas``) and
+    merged by pair in Spark: a two-stage aggregate over at most
+    pairs x partitions rows.
+    """
+    cols = numeric_columns(df) if cols is None else cols
+    k = len(cols)
+    schema = "i int, j int, " + ", ".join(f"{m} double" for m in _MOMENTS)
+    parts = df.select(*[F.col(c).cast("double") for c in cols]).mapInPandas(_pair_moments(k), schema)
+    # global pair means first, then the spread of the partition means around them
+    g = parts.groupBy("i", "j").agg(
+        F.try_divide(F.sum(F.col("n") * F.col("mx")), F.sum("n")).alias("g_mx"),
+        F.try_divide(F.sum(F.col("n") * F.col("my")), F.sum("n")).alias("g_my"))
+    j = parts.join(g, ["i", "j"])
+    dx = F.coalesce(F.col("mx") - F.col("g_mx"), F.lit(0.0))
+    dy = F.coalesce(F.col("my") - F.col("g_my"), F.lit(0.0))
+    tot = j.groupBy("i", "j").agg(
+        F.sum(F.col("m2x") + F.col("n") * dx * dx).alias("t_m2x"),
+        F.sum(F.col("m2y") + F.col("n") * dy * dy).alias("t_m2y"),
+        F.sum(F.col("cxy") + F.col("n") * dx * dy).alias("t_cxy"))
+    corr = F.round(F.try_divide(F.col("t_cxy"), F.sqrt(F.col("t_m2x") * F.col("t_m2y"))), digits)
+    names = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(i), F.lit(c))])
+    upper = tot.select(names[F.col("i")].alias("column_a"), names[F.col("j")].alias("column_b"),
+                       F.when(F.col("t_m2x") * F.col("t_m2y") > 0, corr).alias("corr"))
+    lower = (upper.where(F.col("column_a") != F.col("column_b"))
+                  .select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"),
+                          "corr"))
+    return upper.unionByName(lower)
+
+
+def outlier_stats(df: DataFrame, cols: list[str] | None = None, mode: str = "exact") -> DataFrame:
+    """AGG10: box-plot numbers for the first six numeric columns: quartiles,
+    1.5 x IQR fences, whisker ends and outlier counts."""
+    cols = numeric_columns(df)[:6] if cols is None else cols
+    qs = quantiles.quantile_values(df, cols, SUMMARY_PS, mode)
+    fences = {}
+    for c in cols:
+        q1, _, q3 = qs[c]
+        iqr = None if q1 is None else q3 - q1
+        fences[c] = (None, None) if q1 is None else (q1 - 1.5 * iqr, q3 + 1.5 * iqr)
+    aggs = []
+    for i, c in enumerate(cols):
+        lo, hi = fences[c]
+        x = F.when(~missing(df, c), F.col(c).cast("double"))
+        aggs += [F.min(F.when(x >= F.lit(lo), x)).alias(f"_wl{i}"),
+                 F.max(F.when(x <= F.lit(hi), x)).alias(f"_wh{i}"),
+                 F.count_if((x < F.lit(lo)) | (x > F.lit(hi))).alias(f"_o{i}")]
+    agg = df.agg(*aggs)
+    d = lambda v: F.lit(v).cast("double")
+    rows = [[F.lit(c), d(qs[c][0]), d(qs[c][1]), d(qs[c][2]),
+             d(None if qs[c][0] is None else qs[c][2] - qs[c][0]),
+             d(fences[c][0]), d(fences[c][1]), F.col(f"_wl{i}"), F.col(f"_wh{i}"),
+             F.col(f"_o{i}")] for i, c in enumerate(cols)]
+    return agg.select(_stack(rows, ["column_name", "q1", "median", "q3", "iqr", "lower_fence",
+                                    "upper_fence", "whisker_low", "whisker_high", "outliers"]))
+
+
+def quality(df: DataFrame) -> DataFrame:
+    """AGG11 + AGG12 (+ SET4): share of filled cells and the quality label.
+
+    One shuffle: distinct rows carry their multiplicity, and a row's missing
+    cells are a function of its values.
+    """
+    cols = df.columns
+    nulls_in_row = reduce(lambda a, b: a + b, [missing(df, c).cast("int") for c in cols])
+    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    t = groups.agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("_distinct"),
+                   F.sum(F.col("_n") * nulls_in_row).alias("missing_cells"))
+    cells = F.col("rows") * F.lit(len(cols))
+    dup = F.col("rows") - F.col("_distinct")
+    return t.select(
+        F.col("rows").cast("bigint").alias("rows"), F.lit(len(cols)).alias("columns"),
+        cells.cast("bigint").alias("cells"),
+        F.coalesce(F.col("missing_cells"), F.lit(0)).cast("bigint").alias("missing_cells"),
+        dup.cast("bigint").alias("duplicate_rows"),
+        ((cells - F.col("missing_cells")).cast("double") / cells.cast("double") * F.lit(100.0))
+        .alias("quality_pct"),
+        F.when((dup == 0) & (F.col("missing_cells") == 0), F.lit("High"))
+         .otherwise(F.lit("Needs Cleaning")).alias("quality_label"))
+
+
+def full_report(df: DataFrame, mode: str = "exact") -> dict[str, DataFrame]:
+    """AGG13: every part of the report as a named frame."""
+    return {"shape": row_counts(df), "columns": column_profile(df),
+            "head": head_rows(df), "summary": summary_stats(df, mode),
+            "missing": missing_table(df), "duplicates": duplicate_stats(df),
+            "quality": quality(df)}
+
+
+def full_report_long(df: DataFrame, mode: str = "exact") -> DataFrame:
+    """AGG13 flattened to ``(section, item, metric, value)`` with numeric values."""
+    def melt(frame: DataFrame, section: str, item_col: str | None, metrics: list[str]) -> DataFrame:
+        item = F.col(item_col) if item_col else F.lit("*")
+        rows = [[F.lit(m), F.col(m).cast("double")] for m in metrics]
+        return frame.select(F.lit(section).alias("section"), item.alias("item"),
+                            _stack(rows, ["metric", "value"]))
+    q = quality(df)
+    num, txt = numeric_columns(df), string_columns(df)
+    parts = [
+        melt(column_profile(df), "columns", "column_name",
+             ["non_null", "non_null_pct", "null_count", "null_pct"]),
+        melt(summary_stats(df, mode), "summary", "column_name",
+             ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]),
+        melt(q.withColumn("quality_high", (F.col("quality_label") == "High").cast("int"))
+              .withColumn("numeric_columns", F.lit(len(num)))
+              .withColumn("categorical_columns", F.lit(len(txt)))
+              .withColumn("duplicate_pct", F.col("duplicate_rows").cast("double")
+                          / F.col("rows").cast("double") * F.lit(100.0)),
+             "dataset", None, ["rows", "columns", "cells", "missing_cells", "duplicate_rows",
+                               "duplicate_pct", "quality_pct", "quality_high",
+                               "numeric_columns", "categorical_columns"]),
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -41,50 +41,57 @@ def thresholds(df: DataFrame, cols: list[str], q: float, mode: str = "approx",
         return {c: (None if row[c] is None else float(row[c])) for c in cols}
     if mode not in ("disc", "exact"):
         raise ValueError(f"unknown quantile mode {mode!r}")
-    counts = df.agg(*[F.count_if(_valid(c)).alias(c) for c in cols]).first()
-    out: dict[str, float | None] = {}
-    for c in cols:
-        n = int(counts[c])
-        if n == 0:
-            out[c] = None
-            continue
-        if mode == "disc":
-            k = max(0, math.ceil(q * n) - 1)
-            out[c] = kth_values(df, c, [k], n)[k]
+    vals = quantile_values(df, cols, [q], mode, rel_error)
+    return {c: v[0] for c, v in vals.items()}
+
+
+def kth_values(df: DataFrame, c: str, ks: list[int], n: int,
+               accuracy: int = 10_000, ndv: int | None = None) -> dict[int, float]:
+    """Exact values at 0-based ranks ``ks`` of column ``c`` (``n`` valid values).
+
+    First try the whole distinct-value histogram (size-checked); if the column
+    has too many distinct values, bracket each rank (or each run of adjacent
+    ranks) separately and narrow.
+    """
+    vals = df.select(F.col(c).cast("double").alias("v")).where(_valid("v"))
+    out = None
+    if ndv is None or ndv <= HIST_LIMIT:   # approx distinct count says it may fit
+        out = _resolve(vals, None, None, 0, sorted(set(ks)))
+    if out is not None:
+        return out
+    out = {}
+    groups: list[list[int]] = []
+    for k in sorted(set(ks)):
+        if groups and k - groups[-1][-1] <= 1:
+            groups[-1].append(k)
         else:
-            pos = q * (n - 1)
-            lo_k, hi_k = math.floor(pos), math.ceil(pos)
-            vals = kth_values(df, c, sorted({lo_k, hi_k}), n)
-            lo, hi = vals[lo_k], vals[hi_k]
-            out[c] = lo if lo_k == hi_k or lo == hi else lo + (hi - lo) * (pos - lo_k)
+            groups.append([k])
+    for g in groups:
+        out.update(_narrow(vals, g, n, accuracy))
     return out
 
 
-def kth_values(df: DataFrame, c: str, ks: list[int], n: int,
-               accuracy: int = 10_000) -> dict[int, float]:
-    """Exact values at 0-based ranks ``ks`` of column ``c`` (``n`` valid values)."""
-    x = F.col(c).cast("double")
-    vals = df.select(x.alias("v")).where(_valid("v"))
+def _resolve(vals: DataFrame, lo, hi, below: int, ks: list[int]) -> dict[int, float] | None:
+    """Answer ``ks`` from the histogram of values in [lo, hi], if it is small."""
+    cand = vals if lo is None else vals.where((F.col("v") >= lo) & (F.col("v") <= hi))
+    hist = cand.groupBy("v").count().orderBy("v").limit(HIST_LIMIT + 1).collect()
+    if len(hist) > HIST_LIMIT:
+        return None
+    out, run, i = {}, below, 0
+    for k in ks:
+        while run + hist[i]["count"] <= k:
+            run += hist[i]["count"]
+            i += 1
+        out[k] = float(hist[i]["v"])
+    return out
+
+
+def _narrow(vals: DataFrame, ks: list[int], n: int, accuracy: int) -> dict[int, float]:
     lo = hi = None          # inclusive value bracket; None = unbounded
-    below = 0               # values strictly below ``lo``
-    size = n                # values inside the bracket
-    k_min, k_max = min(ks), max(ks)
+    below, size = 0, n      # values below the bracket / inside it
+    k_min, k_max = ks[0], ks[-1]
     for _ in range(12):
-        cand = vals
-        if lo is not None:
-            cand = cand.where((F.col("v") >= lo) & (F.col("v") <= hi))
-        hist = (cand.groupBy("v").count().orderBy("v")
-                    .limit(HIST_LIMIT + 1).collect())
-        if len(hist) <= HIST_LIMIT:
-            out, run, i = {}, below, 0
-            for k in sorted(ks):
-                while run + hist[i]["count"] <= k:
-                    run += hist[i]["count"]
-                    i += 1
-                out[k] = float(hist[i]["v"])
-            return out
-        # Too many distinct candidates: bracket the ranks with a sketch over the
-        # current candidates, then count what falls below the new bracket.
+        cand = vals if lo is None else vals.where((F.col("v") >= lo) & (F.col("v") <= hi))
         margin = 3.0 / accuracy + 2.0 / size
         p_lo = max(0.0, (k_min - below) / size - margin)
         p_hi = min(1.0, (k_max + 1 - below) / size + margin)
@@ -95,12 +102,50 @@ def kth_values(df: DataFrame, c: str, ks: list[int], n: int,
                      F.count_if((F.col("v") >= new_lo) & (F.col("v") <= new_hi)).alias("inside")
                      ).first()
         nb, inside = below + int(r["below"]), int(r["inside"])
-        if not (nb <= k_min and k_max < nb + inside) or inside >= size:
-            # the sketch missed (or cannot shrink further): tighten more slowly
-            accuracy *= 10
+        if not (nb <= k_min and k_max < nb + inside):
+            accuracy *= 10          # the sketch missed: retry finer
             continue
         lo, hi, below, size = new_lo, new_hi, nb, inside
-    raise RuntimeError(f"quantile of {c} did not converge")
+        out = _resolve(vals, lo, hi, below, ks)
+        if out is not None:
+            return out
+        accuracy *= 10
+    raise RuntimeError("quantile did not converge")
+
+
+def quantile_values(df: DataFrame, cols: list[str], ps: list[float],
+                    mode: str = "exact", rel_error: float = 1e-4) -> dict[str, list[float | None]]:
+    """Several quantiles of several columns: ``{col: [value per p]}``."""
+    if mode == "approx":
+        acc = max(1, int(round(1.0 / rel_error)))
+        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), F.array(*map(F.lit, ps)), acc)
+                       .alias(c) for c in cols]).first()
+        return {c: ([None] * len(ps) if row[c] is None else [float(v) for v in row[c]])
+                for c in cols}
+    counts = df.agg(*[F.count_if(_valid(c)).alias(c) for c in cols],
+                    *[F.approx_count_distinct(c, 0.05).alias(f"_ndv_{c}") for c in cols]).first()
+    out = {}
+    for c in cols:
+        n, ndv = int(counts[c]), int(counts[f"_ndv_{c}"] * 0.8)
+        if n == 0:
+            out[c] = [None] * len(ps)
+            continue
+        if mode == "disc":
+            ranks = [max(0, math.ceil(p * n) - 1) for p in ps]
+            vals = kth_values(df, c, ranks, n, ndv=ndv)
+            out[c] = [vals[k] for k in ranks]
+        else:
+            pos = [p * (n - 1) for p in ps]
+            ranks = sorted({r for x in pos for r in (math.floor(x), math.ceil(x))})
+            vals = kth_values(df, c, ranks, n, ndv=ndv)
+            out[c] = [_interp(vals, x) for x in pos]
+    return out
+
+
+def _interp(vals: dict[int, float], pos: float) -> float:
+    lo_k, hi_k = math.floor(pos), math.ceil(pos)
+    lo, hi = vals[lo_k], vals[hi_k]
+    return lo if lo_k == hi_k or lo == hi else lo + (hi - lo) * (pos - lo_k)
 
 
 def cap(df: DataFrame, limits: dict[str, float | None]) -> DataFrame:

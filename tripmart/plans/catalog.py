@@ -202,3 +202,69 @@ def q_fact_trip(spark, sf):
 def q_star_checks(spark, sf):
     c = P.clean_job(trips(spark, sf), cap_mode="disc", trip_id=True)
     return star_checks(S.build_star(c), c)
+
+
+# --- Profile: AGG2-AGG13, SRT1-SRT3, PRJ10, FN7 (over the raw trips)
+
+from tripmart.operators import profile as PR  # noqa: E402
+
+_T = O.with_steps("trips")
+
+
+@register("column_profile", _T + f"SELECT * FROM {O.column_profile_sql()}")
+def q_column_profile(spark, sf):
+    return PR.column_profile(trips(spark, sf))
+
+
+@register("missing_table", _T + f"""SELECT column_name, null_count AS missing_count,
+  {O.sround('null_pct', 2)} AS missing_pct FROM {O.column_profile_sql()} WHERE null_count > 0""")
+def q_missing_table(spark, sf):
+    return PR.missing_table(trips(spark, sf))
+
+
+@register("summary_stats", _T + f"SELECT * FROM {O.summary_sql()}")
+def q_summary_stats(spark, sf):
+    return PR.summary_stats(P.stage(trips(spark, sf), "profile-in"))
+
+
+@register("head_rows", _T + O.head_rows_sql())
+def q_head_rows(spark, sf):
+    return PR.head_rows(trips(spark, sf))
+
+
+@register("value_counts", _T + O.value_counts_sql())
+def q_value_counts(spark, sf):
+    return PR.value_counts(trips(spark, sf))
+
+
+@register("distinct_counts", _T + O.distinct_counts_sql())
+def q_distinct_counts(spark, sf):
+    return PR.distinct_counts(trips(spark, sf))
+
+
+@register("distinct_values", _T + O.distinct_values_sql())
+def q_distinct_values(spark, sf):
+    return PR.distinct_values(trips(spark, sf))
+
+
+_corr_cte, _corr_sel = O.correlation_sql()
+
+
+@register("correlation_matrix", O.with_steps("trips", extra=_corr_cte) + _corr_sel)
+def q_correlation_matrix(spark, sf):
+    return PR.correlation_matrix(P.stage(trips(spark, sf), "profile-in"))
+
+
+@register("outlier_stats", _T + O.outlier_sql())
+def q_outlier_stats(spark, sf):
+    return PR.outlier_stats(P.stage(trips(spark, sf), "profile-in"))
+
+
+@register("quality_score", _T + O.quality_sql())
+def q_quality_score(spark, sf):
+    return PR.quality(trips(spark, sf))
+
+
+@register("full_report", _T + O.full_report_sql())
+def q_full_report(spark, sf):
+    return PR.full_report_long(P.stage(trips(spark, sf), "profile-in"))

@@ -199,3 +199,151 @@ def star_checks_sql() -> str:
                      "abs((SELECT count(*) FROM fact_trip) - (SELECT count(*) FROM clean))",
                      "(SELECT 1)"))
     return with_steps(*STAR) + "\nUNION ALL\n".join(parts)
+
+
+# --- Profile oracles over the raw trips -------------------------------------
+
+def sround(x: str, n: int) -> str:
+    """Spark's ``round`` on doubles (HALF_UP on the decimal digits) in DuckDB."""
+    return f"CAST(round(CAST({x} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
+
+
+def _raw_meta():
+    from pyspark.sql import types as T
+
+    from tripmart.schema import RAW
+    cols = [(f.name, f.dataType.simpleString()) for f in RAW.fields]
+    num = [f.name for f in RAW.fields if isinstance(f.dataType, T.NumericType)]
+    txt = [f.name for f in RAW.fields if isinstance(f.dataType, T.StringType)]
+    flt = {f.name for f in RAW.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return cols, num, txt, flt
+
+
+def _miss(c: str, flt: set) -> str:
+    return f"({c} IS NULL OR isnan({c}))" if c in flt else f"({c} IS NULL)"
+
+
+def column_profile_sql(src: str = "trips") -> str:
+    cols, _, _, flt = _raw_meta()
+    parts = []
+    for i, (c, t) in enumerate(cols):
+        m = f"count_if({_miss(c, flt)})"
+        parts.append(
+            f"SELECT {i + 1} AS ordinal, '{c}' AS column_name, '{t}' AS dtype, "
+            f"CAST(count(*) - {m} AS BIGINT) AS non_null, "
+            f"CAST(count(*) - {m} AS DOUBLE) / CAST(count(*) AS DOUBLE) * CAST(100 AS DOUBLE) AS non_null_pct, "
+            f"CAST({m} AS BIGINT) AS null_count, "
+            f"CAST({m} AS DOUBLE) / CAST(count(*) AS DOUBLE) * CAST(100 AS DOUBLE) AS null_pct FROM {src}")
+    return "(" + " UNION ALL ".join(parts) + ")"
+
+
+def summary_sql(src: str = "trips") -> str:
+    _, num, _, flt = _raw_meta()
+    parts = []
+    for c in num:
+        x = f"CASE WHEN NOT {_miss(c, flt)} THEN CAST({c} AS DOUBLE) END"
+        parts.append(
+            f"SELECT '{c}' AS column_name, CAST(count_if(NOT {_miss(c, flt)}) AS BIGINT) AS count, "
+            f"{sround(f'avg({x})', 2)} AS mean, {sround(f'stddev_samp({x})', 2)} AS std, "
+            f"{sround(f'min({x})', 2)} AS min, "
+            + ", ".join(f"{sround(f'quantile_cont({x}, {p})', 2)} AS q{int(p * 100)}"
+                        for p in (0.25, 0.5, 0.75))
+            + f", {sround(f'max({x})', 2)} AS max FROM {src}")
+    return "(" + " UNION ALL ".join(parts) + ")"
+
+
+def head_rows_sql(src: str = "trips", n: int = 5) -> str:
+    cols, _, _, _ = _raw_meta()
+    order = ", ".join(f"{c} NULLS FIRST" for c, _ in cols)
+    return f"SELECT * FROM {src} ORDER BY {order} LIMIT {n}"
+
+
+def value_counts_sql(src: str = "trips", k: int = 5) -> str:
+    _, _, txt, _ = _raw_meta()
+    return " UNION ALL ".join(
+        f"(SELECT '{c}' AS column_name, value, count FROM (SELECT {c} AS value, "
+        f"CAST(count(*) AS BIGINT) AS count FROM {src} WHERE {c} IS NOT NULL GROUP BY 1 "
+        f"ORDER BY count DESC, value LIMIT {k}))" for c in txt)
+
+
+def distinct_counts_sql(src: str = "trips") -> str:
+    _, _, txt, _ = _raw_meta()
+    return " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) AS BIGINT) "
+                              f"AS distinct_count FROM {src}" for c in txt)
+
+
+def distinct_values_sql(src: str = "trips") -> str:
+    _, _, txt, _ = _raw_meta()
+    return " UNION ".join(f"SELECT DISTINCT '{c}' AS column_name, {c} AS value FROM {src}"
+                          for c in txt)
+
+
+def correlation_sql(src: str = "trips") -> str:
+    _, num, _, _ = _raw_meta()
+    pairs = [(a, b) for i, a in enumerate(num) for b in num[i:]]
+    aggs = []
+    for j, (a, b) in enumerate(pairs):
+        both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+        xa, xb = (f"CASE WHEN {both} THEN CAST({a} AS DOUBLE) END",
+                  f"CASE WHEN {both} THEN CAST({b} AS DOUBLE) END")
+        aggs.append(f"covar_pop({xa}, {xb}) AS cv{j}, stddev_pop({xa}) AS sa{j}, stddev_pop({xb}) AS sb{j}")
+    cte = f"corr_agg AS (SELECT {', '.join(aggs)} FROM {src})"
+    sel = []
+    for j, (a, b) in enumerate(pairs):
+        v = sround(f"CASE WHEN sa{j} * sb{j} = 0 THEN NULL ELSE cv{j} / (sa{j} * sb{j}) END", 6)
+        sel.append(f"SELECT '{a}' AS column_a, '{b}' AS column_b, {v} AS corr FROM corr_agg")
+        if a != b:
+            sel.append(f"SELECT '{b}' AS column_a, '{a}' AS column_b, {v} AS corr FROM corr_agg")
+    return cte, " UNION ALL ".join(sel)
+
+
+def outlier_sql(src: str = "trips") -> str:
+    _, num, _, flt = _raw_meta()
+    parts = []
+    for c in num[:6]:
+        x = f"(CASE WHEN NOT {_miss(c, flt)} THEN CAST({c} AS DOUBLE) END)"
+        q = (f"(SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS med, "
+             f"quantile_cont({x}, 0.75) AS q3 FROM {src})")
+        f = (f"(SELECT q1, med, q3, q3 - q1 AS iqr, q1 - CAST(1.5 AS DOUBLE) * (q3 - q1) AS lo, "
+             f"q3 + CAST(1.5 AS DOUBLE) * (q3 - q1) AS hi FROM {q})")
+        parts.append(
+            f"SELECT '{c}' AS column_name, q1, med AS median, q3, iqr, lo AS lower_fence, "
+            f"hi AS upper_fence, (SELECT min({x}) FROM {src} WHERE {x} >= lo) AS whisker_low, "
+            f"(SELECT max({x}) FROM {src} WHERE {x} <= hi) AS whisker_high, "
+            f"(SELECT CAST(count(*) AS BIGINT) FROM {src} WHERE {x} < lo OR {x} > hi) AS outliers FROM {f}")
+    return " UNION ALL ".join(parts)
+
+
+def quality_sql(src: str = "trips") -> str:
+    cols, _, _, flt = _raw_meta()
+    nulls = " + ".join(f"CAST({_miss(c, flt)} AS INTEGER)" for c, _ in cols)
+    n = len(cols)
+    return (f"SELECT rows, {n} AS columns, cells, missing_cells, duplicate_rows, "
+            f"CAST(cells - missing_cells AS DOUBLE) / CAST(cells AS DOUBLE) * CAST(100 AS DOUBLE) AS quality_pct, "
+            f"CASE WHEN duplicate_rows = 0 AND missing_cells = 0 THEN 'High' ELSE 'Needs Cleaning' END AS quality_label "
+            f"FROM (SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) * {n} AS BIGINT) AS cells, "
+            f"CAST(coalesce(sum({nulls}), 0) AS BIGINT) AS missing_cells, "
+            f"CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {src})) AS BIGINT) AS duplicate_rows "
+            f"FROM {src})")
+
+
+def full_report_sql(src: str = "trips") -> str:
+    _, num, txt, _ = _raw_meta()
+
+    def melt(q: str, section: str, item: str | None, metrics: list[str]) -> str:
+        it = item or "'*'"
+        return " UNION ALL ".join(
+            f"SELECT '{section}' AS section, {it} AS item, '{m}' AS metric, CAST({m} AS DOUBLE) AS value "
+            f"FROM ({q})" for m in metrics)
+    ds = (f"SELECT *, CAST(quality_label = 'High' AS INTEGER) AS quality_high, {len(num)} AS numeric_columns, "
+          f"{len(txt)} AS categorical_columns, CAST(duplicate_rows AS DOUBLE) / CAST(rows AS DOUBLE) "
+          f"* CAST(100 AS DOUBLE) AS duplicate_pct FROM ({quality_sql(src)})")
+    return " UNION ALL ".join([
+        melt(f"SELECT * FROM {column_profile_sql(src)}", "columns", "column_name",
+             ["non_null", "non_null_pct", "null_count", "null_pct"]),
+        melt(f"SELECT * FROM {summary_sql(src)}", "summary", "column_name",
+             ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]),
+        melt(ds, "dataset", None, ["rows", "columns", "cells", "missing_cells", "duplicate_rows",
+                                   "duplicate_pct", "quality_pct", "quality_high",
+                                   "numeric_columns", "categorical_columns"]),
+    ])
