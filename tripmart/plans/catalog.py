@@ -268,3 +268,108 @@ def q_quality_score(spark, sf):
 @register("full_report", _T + O.full_report_sql())
 def q_full_report(spark, sf):
     return PR.full_report_long(P.stage(trips(spark, sf), "profile-in"))
+
+
+# --- Mart: MA2-MA14 over the cleaned trips and the star
+
+from tripmart.operators import mart as M  # noqa: E402
+
+_C = O.with_steps(*O.CLEAN)
+_P = "tpep_pickup_datetime"
+_H = f"CAST(hour({_P}) AS INTEGER)"
+
+
+@register("traffic_pattern", _C + f"""SELECT dayname({_P}) AS weekday, {_H} AS pickup_hour,
+  CAST(count(*) AS BIGINT) AS trips FROM clean GROUP BY 1, 2""")
+def q_traffic_pattern(spark, sf):
+    return M.traffic_pattern(cleaned(spark, sf))
+
+
+@register("avg_duration", _C + f"""SELECT {_H} AS pickup_hour, CAST(count(*) AS BIGINT) AS trips,
+  {O.sround('avg(trip_duration_min)', 6)} AS avg_duration_min FROM clean GROUP BY 1""")
+def q_avg_duration(spark, sf):
+    return M.avg_duration(cleaned(spark, sf))
+
+
+@register("revenue_rollup", _C + f"""SELECT CAST(year({_P}) AS INTEGER) AS pickup_year,
+  CAST(month({_P}) AS INTEGER) AS pickup_month, payment_type, VendorID AS vendor_id,
+  CAST(GROUPING(pickup_year, pickup_month, payment_type, vendor_id) AS INTEGER) AS grouping_level,
+  CAST(count(*) AS BIGINT) AS trips, sum(CAST(total_amount AS DECIMAL(10,2))) AS revenue
+FROM clean GROUP BY ROLLUP (pickup_year, pickup_month, payment_type, vendor_id)""")
+def q_revenue_rollup(spark, sf):
+    return M.revenue_rollup(cleaned(spark, sf))
+
+
+@register("fare_trend", _C + f"""SELECT *, {O.sround('avg_fare - lag(avg_fare) OVER (ORDER BY pickup_year, pickup_month)', 6)}
+  AS fare_change FROM (SELECT CAST(year({_P}) AS INTEGER) AS pickup_year, CAST(month({_P}) AS INTEGER) AS pickup_month,
+  CAST(count(*) AS BIGINT) AS trips, {O.sround('avg(fare_amount)', 6)} AS avg_fare FROM clean GROUP BY 1, 2)""")
+def q_fare_trend(spark, sf):
+    return M.fare_trend(cleaned(spark, sf))
+
+
+@register("tip_behaviour", _C + f"""SELECT payment_type, {_H} AS pickup_hour, CAST(count(*) AS BIGINT) AS trips,
+  {O.sround('avg(CASE WHEN fare_amount = 0 THEN NULL ELSE tip_amount / fare_amount END)', 6)} AS avg_tip_ratio,
+  CAST(count_if(tip_amount > 0) AS BIGINT) AS tipped_trips FROM clean GROUP BY 1, 2""")
+def q_tip_behaviour(spark, sf):
+    return M.tip_behaviour(cleaned(spark, sf))
+
+
+@register("airport_revenue", _C + """SELECT PULocationID, CAST(count(*) AS BIGINT) AS trips,
+  sum(CAST(total_amount AS DECIMAL(10,2))) AS revenue, sum(CAST(Airport_fee AS DECIMAL(10,2))) AS airport_fees
+FROM clean WHERE Airport_fee > 0 GROUP BY 1""")
+def q_airport_revenue(spark, sf):
+    return M.airport_revenue(cleaned(spark, sf))
+
+
+@register("hotspots", _C + f"""SELECT PULocationID, pickup_hour, trips, {O.sround('zone_mean', 6)} AS zone_mean,
+  {O.sround('zone_sd', 6)} AS zone_sd FROM (
+  SELECT *, avg(trips) OVER (PARTITION BY PULocationID) AS zone_mean,
+         stddev_samp(trips) OVER (PARTITION BY PULocationID) AS zone_sd
+  FROM (SELECT PULocationID, {_H} AS pickup_hour, CAST(count(*) AS BIGINT) AS trips FROM clean GROUP BY 1, 2))
+WHERE trips > zone_mean + CAST(2 AS DOUBLE) * zone_sd""")
+def q_hotspots(spark, sf):
+    return M.hotspots(cleaned(spark, sf))
+
+
+@register("active_areas", _C + """SELECT location_id, pickups, dropoffs, pickups + dropoffs AS total FROM (
+  SELECT location_id, CAST(sum(pu) AS BIGINT) AS pickups, CAST(sum(1 - pu) AS BIGINT) AS dropoffs FROM (
+    SELECT PULocationID AS location_id, 1 AS pu FROM clean UNION ALL SELECT DOLocationID, 0 FROM clean)
+  GROUP BY 1) ORDER BY total DESC, location_id LIMIT 10""")
+def q_active_areas(spark, sf):
+    return M.active_areas(cleaned(spark, sf))
+
+
+@register("trip_flow", _C + """SELECT PULocationID, DOLocationID, trips,
+  CAST(trips AS DOUBLE) / CAST(sum(trips) OVER (PARTITION BY PULocationID) AS DOUBLE) AS share_of_origin
+FROM (SELECT PULocationID, DOLocationID, CAST(count(*) AS BIGINT) AS trips FROM clean GROUP BY 1, 2)""")
+def q_trip_flow(spark, sf):
+    return M.trip_flow(cleaned(spark, sf))
+
+
+@register("demand_heatmap", _C + "SELECT PULocationID, " + ", ".join(
+    f"CAST(count_if(hour({_P}) = {h}) AS BIGINT) AS h{h:02d}" for h in range(24))
+    + " FROM clean GROUP BY 1")
+def q_demand_heatmap(spark, sf):
+    return M.demand_heatmap(cleaned(spark, sf))
+
+
+@register("trip_features", _C + f"""SELECT PULocationID, DOLocationID, {_P}, tpep_dropoff_datetime, trip_distance,
+  trip_duration_min, {_H} AS pickup_hour, CAST(day({_P}) AS INTEGER) AS pickup_day,
+  CAST(month({_P}) AS INTEGER) AS pickup_month,
+  CASE WHEN trip_duration_min / CAST(60 AS DOUBLE) = 0 THEN NULL
+       ELSE trip_distance / (trip_duration_min / CAST(60 AS DOUBLE)) END AS avg_speed FROM clean""")
+def q_trip_features(spark, sf):
+    return M.trip_features(cleaned(spark, sf))
+
+
+@register("star_slice", O.with_steps(*O.STAR, "zones", "dim_location_zones") + """
+SELECT dt.year, z.borough, p.payment_desc, r.rate_desc,
+  CAST(GROUPING(dt.year, z.borough, p.payment_desc, r.rate_desc) AS INTEGER) AS grouping_level,
+  CAST(count(*) AS BIGINT) AS trips, sum(f.total_amount) AS revenue
+FROM fact_trip f LEFT JOIN dim_datetime dt USING (datetime_id)
+  LEFT JOIN dim_location_zones z USING (location_id)
+  LEFT JOIN dim_payment p USING (payment_id) LEFT JOIN dim_rate r USING (rate_id)
+GROUP BY CUBE (dt.year, z.borough, p.payment_desc, r.rate_desc)""")
+def q_star_slice(spark, sf):
+    c = P.clean_job(trips(spark, sf), cap_mode="disc", trip_id=True)
+    return M.star_slice(S.build_star(c, zones(spark, sf)))
