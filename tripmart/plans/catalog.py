@@ -373,3 +373,77 @@ GROUP BY CUBE (dt.year, z.borough, p.payment_desc, r.rate_desc)""")
 def q_star_slice(spark, sf):
     c = P.clean_job(trips(spark, sf), cap_mode="disc", trip_id=True)
     return M.star_slice(S.build_star(c, zones(spark, sf)))
+
+
+# --- Imputation: IMP3-IMP7, PL4, PL5
+
+from tripmart.operators import impute as I  # noqa: E402
+from tripmart.sources.tables import table  # noqa: E402
+
+
+def adaptive_valid(spark, sf):
+    return P.stage(I.adaptive_valid(trips(spark, sf)), "adaptive")
+
+
+@register("null_ratio", O.with_steps(*O.AD_STEPS, "ad_valid") + O.null_ratio_sql())
+def q_null_ratio(spark, sf):
+    return I.null_ratio_table(adaptive_valid(spark, sf))
+
+
+@register("impute_mode", O.with_steps(*O.AD_STEPS, "ad_valid") + O.mode_sql())
+def q_impute_mode(spark, sf):
+    v = adaptive_valid(spark, sf)
+    return I.mode_table(v, PR.string_columns(v))
+
+
+@register("impute_median", O.with_steps(*O.AD_STEPS, "ad_valid") + O.median_sql())
+def q_impute_median(spark, sf):
+    v = adaptive_valid(spark, sf)
+    return I.median_table(v, PR.numeric_columns(v))
+
+
+# The zero rule needs a column at or above the null-share threshold; the trip
+# view's nullable columns are ~8 % NULL, so this query sets the threshold to 5 %.
+@register("impute_zero", O.with_steps(*O.AD_STEPS, "ad_valid",
+                                      extra=O.adaptive_fill_sql("ad_zero", "ad_valid", 0.05))
+          + "SELECT * FROM ad_zero")
+def q_impute_zero(spark, sf):
+    return I.adaptive_fill(adaptive_valid(spark, sf), median_below=0.05)
+
+
+@register("adaptive_clean", O.adaptive_clean_sql())
+def q_adaptive_clean(spark, sf):
+    return I.adaptive_clean(trips(spark, sf))
+
+
+def _events_with_gaps(spark, sf):
+    ev = table(spark, sf, "events")
+    gap = (F.col("event_id") % 4 == 0) | (F.col("event_type") == "error")
+    return ev.select("event_id", "user_id", "ts", "event_type",
+                     F.when(gap, F.lit(None).cast("double")).otherwise(F.col("value")).alias("value"))
+
+
+@register("forward_fill", """SELECT event_id, user_id, ts, event_type, value,
+  last_value(value IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value_filled
+FROM (SELECT event_id, user_id, ts, event_type,
+        CASE WHEN event_id % 4 = 0 OR event_type = 'error' THEN NULL ELSE value END AS value FROM events)""")
+def q_forward_fill(spark, sf):
+    ev = _events_with_gaps(spark, sf).withColumn("value_filled", F.col("value"))
+    return I.forward_fill(ev, ["value_filled"], ["ts", "event_id"], ["user_id"])
+
+
+@register("forward_fill_global", """SELECT event_id, ts, value,
+  last_value(value IGNORE NULLS) OVER (ORDER BY ts, event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value_filled
+FROM (SELECT event_id, ts, CASE WHEN event_id % 4 = 0 OR event_type = 'error' THEN NULL ELSE value END AS value
+      FROM events)""")
+def q_forward_fill_global(spark, sf):
+    ev = _events_with_gaps(spark, sf).select("event_id", "ts", "value",
+                                              F.col("value").alias("value_filled"))
+    return I.forward_fill(ev, ["value_filled"], ["ts", "event_id"])
+
+
+@register("profile_pipeline")
+def q_profile_pipeline(spark, sf):
+    return PR.full_report_long(P.stage(I.adaptive_clean(trips(spark, sf)), "profile-in"))

@@ -347,3 +347,75 @@ def full_report_sql(src: str = "trips") -> str:
                                    "duplicate_pct", "quality_pct", "quality_high",
                                    "numeric_columns", "categorical_columns"]),
     ])
+
+
+# --- Imputation oracles -------------------------------------------------------
+
+AD_STEPS = ("trips", "dedup")
+STEPS.update({
+    "ad_valid": """ad_valid AS (
+  SELECT * FROM (SELECT *, CAST(date_diff('microsecond', tpep_pickup_datetime, tpep_dropoff_datetime) AS DOUBLE)
+                 / CAST(1000000 AS DOUBLE) / CAST(60 AS DOUBLE) AS trip_duration FROM dedup)
+  WHERE trip_duration > 0 AND NOT isnan(trip_duration) AND fare_amount > 0 AND NOT isnan(fare_amount)
+    AND trip_distance > 0 AND NOT isnan(trip_distance))""",
+})
+
+
+def _ad_meta():
+    cols, num, txt, flt = _raw_meta()
+    return [c for c, _ in cols] + ["trip_duration"], num + ["trip_duration"], txt, flt | {"trip_duration"}
+
+
+def adaptive_fill_sql(name: str, src: str, median_below: float) -> str:
+    """CTE ``name``: the adaptive fills of ``src`` with the rules decided in SQL."""
+    cols, num, txt, flt = _ad_meta()
+    rep = []
+    for c in cols:
+        ratio = f"(SELECT avg(CAST({_miss(c, flt)} AS DOUBLE)) FROM {src})"
+        if c in txt:
+            mode = (f"(SELECT {c} FROM {src} WHERE {c} IS NOT NULL GROUP BY {c} "
+                    f"ORDER BY count(*) DESC, {c} LIMIT 1)")
+            val = f"coalesce({mode}, 'Unknown')"
+        elif c in num:
+            med = f"(SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM {src})"
+            val = f"CASE WHEN {ratio} < {median_below} THEN {med} ELSE CAST(0 AS DOUBLE) END"
+        else:
+            continue
+        rep.append(f"CASE WHEN {_miss(c, flt)} THEN {val} ELSE {c} END AS {c}")
+    return f"{name} AS (SELECT * REPLACE ({', '.join(rep)}) FROM {src})"
+
+
+def null_ratio_sql(src: str = "ad_valid", median_below: float = 0.2) -> str:
+    cols, num, txt, flt = _ad_meta()
+    parts = []
+    for c in cols:
+        r = f"CAST(count_if({_miss(c, flt)}) AS DOUBLE) / CAST(count(*) AS DOUBLE)"
+        kind = ("'mode'" if c in txt else
+                f"CASE WHEN {r} < {median_below} THEN 'median' ELSE 'zero' END" if c in num else "'ffill'")
+        parts.append(f"SELECT '{c}' AS column_name, {r} AS null_ratio, "
+                     f"CASE WHEN count_if({_miss(c, flt)}) = 0 THEN 'none' ELSE {kind} END AS fill_rule FROM {src}")
+    return " UNION ALL ".join(parts)
+
+
+def mode_sql(src: str = "ad_valid") -> str:
+    _, _, txt, _ = _ad_meta()
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, coalesce((SELECT {c} FROM {src} WHERE {c} IS NOT NULL GROUP BY {c} "
+        f"ORDER BY count(*) DESC, {c} LIMIT 1), 'Unknown') AS mode_value" for c in txt)
+
+
+def median_sql(src: str = "ad_valid") -> str:
+    _, num, _, flt = _ad_meta()
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, quantile_cont(CASE WHEN NOT {_miss(c, flt)} THEN CAST({c} AS DOUBLE) END, 0.5)"
+        f" AS median FROM {src}" for c in num)
+
+
+def adaptive_clean_sql() -> str:
+    fill = adaptive_fill_sql("ad_filled", "ad_valid", 0.2)
+    caps = ("ad_caps AS (SELECT quantile_cont(trip_duration, 0.99) AS q_trip_duration, "
+            "quantile_cont(fare_amount, 0.99) AS q_fare_amount, quantile_cont(trip_distance, 0.99) AS q_trip_distance "
+            "FROM ad_filled)")
+    capped = ("ad_capped AS (SELECT * REPLACE ("
+              + _cap_replace(["trip_duration", "fare_amount", "trip_distance"], "ad_caps") + ") FROM ad_filled)")
+    return with_steps(*AD_STEPS, "ad_valid", extra=",\n".join([fill, caps, capped])) + "SELECT * FROM ad_capped"
