@@ -447,3 +447,60 @@ def q_forward_fill_global(spark, sf):
 @register("profile_pipeline")
 def q_profile_pipeline(spark, sf):
     return PR.full_report_long(P.stage(I.adaptive_clean(trips(spark, sf)), "profile-in"))
+
+
+# --- Sources, sinks, streaming: SRC1-SRC9, SNK1-SNK5, FN6, PL6
+
+from tripmart.session import work_dir  # noqa: E402
+from tripmart.sources import files as FS  # noqa: E402
+from tripmart.sources import sinks as SK  # noqa: E402
+from tripmart.streaming import ingest as ST  # noqa: E402
+
+
+@register("landing_manifest")
+def q_landing_manifest(spark, sf):
+    landing = work_dir(spark, "landing")
+    FS.write_trip_files(trips(spark, sf), landing)
+    FS.validate_landing(spark, landing, min_files=1)
+    return FS.manifest(spark, landing).select("file_name", "colour", "period", "valid_name", "bytes")
+
+
+@register("incremental_ingest", O.with_steps("trips", "dedup", "dur", "valid", "filled")
+          + "SELECT * FROM filled")
+def q_incremental_ingest(spark, sf):
+    """Two arrivals through the file stream; the cleaned table must equal the
+    batch clean (before caps) of all trips."""
+    stage_dir, landing = work_dir(spark, "arrivals"), work_dir(spark, "landing")
+    names = FS.write_trip_files(trips(spark, sf), stage_dir)
+    cleaned_path, ckpt = work_dir(spark, "cleaned"), work_dir(spark, "stream-ckpt")
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(stage_dir).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    half = len(names) // 2
+    for part in (names[:half], names[half:]):          # two arrivals
+        for n in part:
+            fs.rename(hpath(f"{stage_dir}/{n}"), hpath(f"{landing}/{n}"))
+        q = ST.clean_stream(spark, landing, cleaned_path, ckpt)
+        q.awaitTermination()
+    return spark.read.parquet(cleaned_path).drop(ST.MONTH)
+
+
+@register("csv_round_trip", O.with_steps(*O.STAR) + "SELECT * EXCLUDE (trip_id) FROM fact_trip")
+def q_csv_round_trip(spark, sf):
+    c = P.clean_job(trips(spark, sf), cap_mode="disc", trip_id=True)
+    paths = P.run_star(c, work_dir(spark, "star"))
+    return FS.read_star_csv(spark, paths["FACT_TRIP"], "FACT_TRIP").drop("trip_id")
+
+
+@register("warehouse_load", O.with_steps(*O.STAR) + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM {t.lower()}"
+    for t in ["DIM_DATETIME", "DIM_LOCATION", "DIM_VENDOR", "DIM_PAYMENT", "DIM_RATE", "FACT_TRIP"]))
+def q_warehouse_load(spark, sf):
+    from functools import reduce
+
+    from pyspark.sql import DataFrame as _DF
+    c = P.clean_job(trips(spark, sf), cap_mode="disc", trip_id=True)
+    wh = work_dir(spark, "warehouse")
+    run = SK.load_warehouse(S.build_star(c), wh, check=lambda t: star_checks(t))
+    parts = [SK.read_warehouse(spark, wh, t, run).agg(F.count(F.lit(1)).alias("row_count"))
+               .select(F.lit(t).alias("table_name"), "row_count") for t in SK.STAR_ORDER]
+    return reduce(_DF.unionByName, parts)

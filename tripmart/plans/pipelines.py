@@ -47,3 +47,51 @@ def clean_early(raw: DataFrame, cap_mode: str = "approx", rel_error: float = 1e-
     and distance only, no casts; duration column named ``trip_duration``."""
     pre = stage(C.clean_early_prefix(raw), "clean-early")
     return C.cap_columns(pre, EARLY_CAP_COLUMNS, mode=cap_mode, rel_error=rel_error)
+
+
+def run_clean(raw: DataFrame, out_path: str, cap_mode: str = "approx", rel_error: float = 1e-4,
+              passenger_policy: str = "drop") -> dict[str, int]:
+    """PL1 as a job: clean and write; raw and cleaned row counts are observed
+    during the jobs that run anyway (no extra count passes)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    from tripmart.sources.sinks import write_cleaned
+
+    seen_raw, seen_out = Observation("raw"), Observation("cleaned")
+    raw = raw.observe(seen_raw, F.count(F.lit(1)).alias("rows"))
+    out = clean_job(raw, cap_mode, rel_error, passenger_policy, trip_id=True)
+    out = out.observe(seen_out, F.count(F.lit(1)).alias("rows"))
+    write_cleaned(out, out_path)
+    return {"raw_rows": seen_raw.get["rows"], "cleaned_rows": seen_out.get["rows"]}
+
+
+def run_star(clean: DataFrame, star_dir: str, zones: DataFrame | None = None,
+             key_mode: str = "dense", csv: bool = True) -> dict[str, str]:
+    """PL2: build the six tables, write them (Parquet, plus CSV export)."""
+    from tripmart.operators.star import build_star
+    from tripmart.sources.sinks import write_star_csv
+
+    star = build_star(clean, zones, key_mode)
+    paths = {}
+    for name, df in star.items():
+        paths[name] = f"{star_dir.rstrip('/')}/{name}"
+        if csv:
+            write_star_csv(df, paths[name], name)
+        else:
+            df.write.mode("overwrite").parquet(paths[name])
+    return paths
+
+
+def run_all(spark, source: str, warehouse: str, zones: DataFrame | None = None,
+            cap_mode: str = "approx") -> str:
+    """PL6 (batch): validate landing -> clean -> star -> checked warehouse load."""
+    from tripmart.operators.checks import star_checks
+    from tripmart.operators.star import build_star
+    from tripmart.sources.files import read_trips, validate_landing
+    from tripmart.sources.sinks import load_warehouse
+
+    validate_landing(spark, source)
+    clean = clean_job(read_trips(spark, source), cap_mode=cap_mode, trip_id=True)
+    star = build_star(clean, zones)
+    return load_warehouse(star, warehouse, check=lambda t: star_checks(t))
