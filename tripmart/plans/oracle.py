@@ -361,11 +361,19 @@ STEPS.update({
 })
 
 
+_DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT"}
+
+
 def _ad_meta():
     cols, num, txt, flt = _raw_meta()
     return [c for c, _ in cols] + ["trip_duration"], num + ["trip_duration"], txt, flt | {"trip_duration"}
 
 
+def _ad_types() -> dict[str, str]:
+    cols, _, _, _ = _raw_meta()
+    return {**dict(cols), "trip_duration": "double"}
+
+
 def adaptive_fill_sql(name: str, src: str, median_below: float) -> str:
     """CTE ``name``: the adaptive fills of ``src`` with the rules decided in SQL."""
     cols, num, txt, flt = _ad_meta()
@@ -379,6 +387,8 @@ def adaptive_fill_sql(name: str, src: str, median_below: float) -> str:
         elif c in num:
             med = f"(SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM {src})"
             val = f"CASE WHEN {ratio} < {median_below} THEN {med} ELSE CAST(0 AS DOUBLE) END"
+            t = _DUCK_TYPES[_ad_types()[c]]
+            val = f"CAST({val} AS {t})" if c in flt else f"CAST(trunc({val}) AS {t})"
         else:
             continue
         rep.append(f"CASE WHEN {_miss(c, flt)} THEN {val} ELSE {c} END AS {c}")
