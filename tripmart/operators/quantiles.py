@@ -124,28 +124,69 @@ def quantile_values(df: DataFrame, cols: list[str], ps: list[float],
                 for c in cols}
     counts = df.agg(*[F.count_if(_valid(c)).alias(c) for c in cols],
                     *[F.approx_count_distinct(c, 0.05).alias(f"_ndv_{c}") for c in cols]).first()
-    out = {}
+    ranks: dict[str, list[int]] = {}
     for c in cols:
-        n, ndv = int(counts[c]), int(counts[f"_ndv_{c}"] * 0.8)
+        n = int(counts[c])
         if n == 0:
-            out[c] = [None] * len(ps)
             continue
         if mode == "disc":
-            ranks = [max(0, math.ceil(p * n) - 1) for p in ps]
-            vals = kth_values(df, c, ranks, n, ndv=ndv)
-            out[c] = [vals[k] for k in ranks]
+            ranks[c] = [max(0, math.ceil(p * n) - 1) for p in ps]
+        else:
+            ranks[c] = sorted({r for p in ps for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
+    # Columns whose distinct values fit the budget share one histogram job.
+    small, budget = [], 0
+    for c in ranks:
+        ndv = int(counts[f"_ndv_{c}"] * 1.1) + 1
+        if budget + ndv <= HIST_LIMIT:
+            small.append(c)
+            budget += ndv
+    vals: dict[str, dict[int, float]] = _resolve_many(df, small, ranks) if small else {}
+    for c in ranks:
+        if c not in vals:
+            vals[c] = kth_values(df, c, ranks[c], int(counts[c]),
+                                 ndv=int(counts[f"_ndv_{c}"] * 0.8))
+    out = {}
+    for c in cols:
+        if c not in ranks:
+            out[c] = [None] * len(ps)
+        elif mode == "disc":
+            out[c] = [vals[c][max(0, math.ceil(p * int(counts[c])) - 1)] for p in ps]
         else:
-            pos = [p * (n - 1) for p in ps]
-            ranks = sorted({r for x in pos for r in (math.floor(x), math.ceil(x))})
-            vals = kth_values(df, c, ranks, n, ndv=ndv)
-            out[c] = [_interp(vals, x) for x in pos]
+            out[c] = [_interp(vals[c], p * (int(counts[c]) - 1)) for p in ps]
+    return out
+
+
+def _resolve_many(df: DataFrame, cols: list[str], ranks: dict[str, list[int]]) -> dict:
+    """Value histograms of several columns in one job (size-checked); columns
+    are dropped from the answer if the combined histogram overflows."""
+    entries = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
+                                  for i, c in enumerate(cols)])).alias("e")
+    hist = (df.select(entries).select("e.*").where(_valid("v"))
+              .groupBy("c", "v").count().limit(HIST_LIMIT + 1).collect())
+    if len(hist) > HIST_LIMIT:
+        return {}
+    by_col: dict[int, list] = {}
+    for r in hist:
+        by_col.setdefault(r["c"], []).append((r["v"], r["count"]))
+    out = {}
+    for i, c in enumerate(cols):
+        h = sorted(by_col.get(i, []))
+        res, run, j = {}, 0, 0
+        for k in ranks[c]:
+            while run + h[j][1] <= k:
+                run += h[j][1]
+                j += 1
+            res[k] = float(h[j][0])
+        out[c] = res
     return out
 
 
 def _interp(vals: dict[int, float], pos: float) -> float:
     lo_k, hi_k = math.floor(pos), math.ceil(pos)
     lo, hi = vals[lo_k], vals[hi_k]
-    return lo if lo_k == hi_k or lo == hi else lo + (hi - lo) * (pos - lo_k)
+    if lo_k == hi_k or lo == hi:
+        return lo
+    return lo + (hi - lo) * (pos - lo_k)    # linear: i + (j - i) * fraction
 
 
 def cap(df: DataFrame, limits: dict[str, float | None]) -> DataFrame:

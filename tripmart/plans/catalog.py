@@ -200,8 +200,10 @@ def q_fact_trip(spark, sf):
 
 @register("star_checks", O.star_checks_sql())
 def q_star_checks(spark, sf):
+    """Checks run on the written star (each table computed once), as a load does."""
     c = P.clean_job(trips(spark, sf), cap_mode="disc", trip_id=True)
-    return star_checks(S.build_star(c), c)
+    star = {name: P.stage(df, name.lower()) for name, df in S.build_star(c).items()}
+    return star_checks(star, c)
 
 
 # --- Profile: AGG2-AGG13, SRT1-SRT3, PRJ10, FN7 (over the raw trips)

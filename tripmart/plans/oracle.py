@@ -53,6 +53,18 @@ trips AS (
 )"""
 
 
+def qcont(x: str, q: float, src: str, valid: str | None = None) -> str:
+    """Exact interpolated quantile as a scalar subquery: values at ranks
+    floor(p) and ceil(p), p = q * (n - 1), joined by lo + (hi - lo) * d."""
+    cond = valid or f"{x} IS NOT NULL AND NOT isnan(CAST({x} AS DOUBLE))"
+    return (f"(SELECT CASE WHEN lo = hi THEN lo ELSE lo + (hi - lo) * d END FROM ("
+            f"SELECT max(CASE WHEN rk = fl THEN v END) AS lo, max(CASE WHEN rk = ce THEN v END) AS hi, "
+            f"any_value(d) AS d FROM (SELECT v, row_number() OVER (ORDER BY v) - 1 AS rk, floor(p) AS fl, "
+            f"ceil(p) AS ce, p - floor(p) AS d FROM (SELECT v, CAST({q} AS DOUBLE) * "
+            f"CAST(count(*) OVER () - 1 AS DOUBLE) AS p FROM (SELECT CAST({x} AS DOUBLE) AS v FROM {src} "
+            f"WHERE {cond}))) WHERE rk = fl OR rk = ce))")
+
+
 def _pos(c: str) -> str:
     return f"({c} > 0 AND NOT isnan({c}))"
 
@@ -71,6 +83,8 @@ def _cap_replace(cols: list[str], caps_alias: str = "caps") -> str:
 
 
 def _caps(src: str, cols: list[str], fn: str) -> str:
+    if fn == "quantile_cont":
+        return "SELECT " + ", ".join(f"{qcont(c, 0.99, src)} AS q_{c}" for c in cols)
     return "SELECT " + ", ".join(f"{fn}({c}, 0.99) AS q_{c}" for c in cols) + f" FROM {src}"
 
 
@@ -246,7 +260,7 @@ def summary_sql(src: str = "trips") -> str:
             f"SELECT '{c}' AS column_name, CAST(count_if(NOT {_miss(c, flt)}) AS BIGINT) AS count, "
             f"{sround(f'avg({x})', 2)} AS mean, {sround(f'stddev_samp({x})', 2)} AS std, "
             f"{sround(f'min({x})', 2)} AS min, "
-            + ", ".join(f"{sround(f'quantile_cont({x}, {p})', 2)} AS q{int(p * 100)}"
+            + ", ".join(f"{sround(qcont(c, p, src, 'NOT ' + _miss(c, flt)), 2)} AS q{int(p * 100)}"
                         for p in (0.25, 0.5, 0.75))
             + f", {sround(f'max({x})', 2)} AS max FROM {src}")
     return "(" + " UNION ALL ".join(parts) + ")"
@@ -302,8 +316,9 @@ def outlier_sql(src: str = "trips") -> str:
     parts = []
     for c in num[:6]:
         x = f"(CASE WHEN NOT {_miss(c, flt)} THEN CAST({c} AS DOUBLE) END)"
-        q = (f"(SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS med, "
-             f"quantile_cont({x}, 0.75) AS q3 FROM {src})")
+        ok = "NOT " + _miss(c, flt)
+        q = (f"(SELECT {qcont(c, 0.25, src, ok)} AS q1, {qcont(c, 0.5, src, ok)} AS med, "
+             f"{qcont(c, 0.75, src, ok)} AS q3)")
         f = (f"(SELECT q1, med, q3, q3 - q1 AS iqr, q1 - CAST(1.5 AS DOUBLE) * (q3 - q1) AS lo, "
              f"q3 + CAST(1.5 AS DOUBLE) * (q3 - q1) AS hi FROM {q})")
         parts.append(
@@ -385,7 +400,7 @@ def adaptive_fill_sql(name: str, src: str, median_below: float) -> str:
                     f"ORDER BY count(*) DESC, {c} LIMIT 1)")
             val = f"coalesce({mode}, 'Unknown')"
         elif c in num:
-            med = f"(SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM {src})"
+            med = qcont(c, 0.5, src, "NOT " + _miss(c, flt))
             val = f"CASE WHEN {ratio} < {median_below} THEN {med} ELSE CAST(0 AS DOUBLE) END"
             t = _DUCK_TYPES[_ad_types()[c]]
             val = f"CAST({val} AS {t})" if c in flt else f"CAST(trunc({val}) AS {t})"
@@ -417,15 +432,12 @@ def mode_sql(src: str = "ad_valid") -> str:
 def median_sql(src: str = "ad_valid") -> str:
     _, num, _, flt = _ad_meta()
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, quantile_cont(CASE WHEN NOT {_miss(c, flt)} THEN CAST({c} AS DOUBLE) END, 0.5)"
-        f" AS median FROM {src}" for c in num)
+        f"SELECT '{c}' AS column_name, {qcont(c, 0.5, src, 'NOT ' + _miss(c, flt))} AS median" for c in num)
 
 
 def adaptive_clean_sql() -> str:
     fill = adaptive_fill_sql("ad_filled", "ad_valid", 0.2)
-    caps = ("ad_caps AS (SELECT quantile_cont(trip_duration, 0.99) AS q_trip_duration, "
-            "quantile_cont(fare_amount, 0.99) AS q_fare_amount, quantile_cont(trip_distance, 0.99) AS q_trip_distance "
-            "FROM ad_filled)")
+    caps = f"ad_caps AS ({_caps('ad_filled', ['trip_duration', 'fare_amount', 'trip_distance'], 'quantile_cont')})"
     capped = ("ad_capped AS (SELECT * REPLACE ("
               + _cap_replace(["trip_duration", "fare_amount", "trip_distance"], "ad_caps") + ") FROM ad_filled)")
     return with_steps(*AD_STEPS, "ad_valid", extra=",\n".join([fill, caps, capped])) + "SELECT * FROM ad_capped"
