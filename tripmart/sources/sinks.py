@@ -8,6 +8,7 @@ contract checks, so readers never see half a load and reruns are idempotent.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,7 +57,7 @@ def load_warehouse(star: dict[str, DataFrame], warehouse: str, run_id: str | Non
     tables are also inserted over JDBC after the commit, in batches.
     """
     spark = next(iter(star.values())).sparkSession
-    run_id = run_id or uuid.uuid4().hex
+    run_id = run_id or new_run_id()
     base = f"{warehouse.rstrip('/')}/_runs/{run_id}"
     for name in STAR_ORDER:
         df = star[name]
@@ -77,6 +78,11 @@ def load_warehouse(star: dict[str, DataFrame], warehouse: str, run_id: str | Non
     return run_id
 
 
+def new_run_id() -> str:
+    """Run ids sort by time: UTC timestamp, then a random suffix."""
+    return time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + f"{time.time_ns() % 10**9:09d}-{uuid.uuid4().hex[:8]}"
+
+
 def committed_run(spark: SparkSession, warehouse: str) -> str:
     """Latest committed run of a warehouse folder."""
     runs = spark.read.parquet(f"{warehouse.rstrip('/')}/_commits").select("run").distinct()
