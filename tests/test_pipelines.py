@@ -56,3 +56,31 @@ def test_read_trips_tolerates_missing_column(spark, tmp_path):
     df = FS.read_trips(spark, src)
     assert df.count() == jan.count() + feb.count()
     assert df.where("cbd_congestion_fee IS NULL").count() == jan.count() > 0
+
+
+def test_stream_table_to_star(spark, tmp_path):
+    """Arrival -> uncapped cleaned table -> star with caps applied at build."""
+    from tripmart.streaming import ingest as ST
+    landing, cleaned, ck = str(tmp_path / "l"), str(tmp_path / "c"), str(tmp_path / "ck")
+    FS.write_trip_files(trips(spark, SF_SMALL), landing)
+    ST.clean_stream(spark, landing, cleaned, ck).awaitTermination()
+    star = P.star_from_cleaned_table(spark, cleaned, cap_mode="disc")
+    batch = P.clean_job(trips(spark, SF_SMALL), cap_mode="disc")
+    assert star["FACT_TRIP"].count() == batch.count() == 4402
+    caps = star["CAPS"].first()
+    assert caps["rows"] == 4402
+    assert batch.agg({"fare_amount": "max"}).first()[0] == caps["cap_fare_amount"]
+    assert star_checks({k: v for k, v in star.items() if k != "CAPS"}).where("violations > 0").count() == 0
+
+
+def test_reject_rows_and_parse(spark):
+    import datetime as dt
+
+    from conftest import raw_frame, trip
+    from tripmart.functions.scalar import parse_timestamps
+    from tripmart.operators import clean as C
+    from tripmart.operators.star import fact_rejects
+    clean = C.cast_int_columns(C.with_duration(raw_frame(spark, [trip(fare_amount=1e9), trip()])))
+    assert fact_rejects(clean).count() == 1
+    df = spark.createDataFrame([("2025-01-02 03:04:05",)], "t string")
+    assert parse_timestamps(df, ["t"]).first()["t"] == dt.datetime(2025, 1, 2, 3, 4, 5)

@@ -42,3 +42,15 @@ def safe_corr(x: str, y: str) -> Column:
 def avg_speed(distance: str, minutes: str) -> Column:
     """MA13: distance per hour; NULL when the duration is zero or NULL."""
     return F.try_divide(F.col(distance), F.col(minutes) / F.lit(60.0))
+
+
+def parse_timestamps(df, cols: list[str], fmt: str | None = None):
+    """FN8: string columns -> zone-less timestamps (``to_timestamp_ntz``);
+    columns already of a timestamp type are left alone."""
+    from pyspark.sql import types as T
+    out = df
+    for c in cols:
+        if c in df.columns and isinstance(df.schema[c].dataType, T.StringType):
+            parsed = F.to_timestamp_ntz(F.col(c), F.lit(fmt)) if fmt else F.to_timestamp_ntz(F.col(c))
+            out = out.withColumn(c, parsed)
+    return out

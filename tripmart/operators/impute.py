@@ -119,7 +119,8 @@ def adaptive_duration(df: DataFrame, name: str = "trip_duration") -> DataFrame:
 
 def adaptive_valid(df: DataFrame) -> DataFrame:
     """PL4 steps 1-3: dedupe, duration, positive duration / fare / distance."""
-    d = adaptive_duration(dedupe(df))
+    from tripmart.functions.scalar import parse_timestamps
+    d = adaptive_duration(parse_timestamps(dedupe(df), [PICKUP, DROPOFF]))
     ok = lambda c: (F.col(c) > 0) & ~F.isnan(F.col(c))
     return d.where(ok("trip_duration") & ok("fare_amount") & ok("trip_distance"))
 

@@ -117,6 +117,16 @@ def fact_trip(clean: DataFrame, dim_dt: DataFrame | None = None, key_mode: str =
         *[money(c, money_mode).alias(c) for c in FACT_MONEY])
 
 
+def fact_rejects(clean: DataFrame) -> DataFrame:
+    """H12: trips whose amounts do not fit decimal(10,2); route them here and
+    build the fact from the rest (``money_mode="try"``) instead of failing."""
+    bad = None
+    for c in FACT_MONEY:
+        cond = F.col(c).isNotNull() & money(c, "try").isNull()
+        bad = cond if bad is None else bad | cond
+    return clean.where(bad)
+
+
 def build_star(clean: DataFrame, zones: DataFrame | None = None,
                key_mode: str = "dense") -> dict[str, DataFrame]:
     """PL2's six tables. The datetime dimension is computed once (staged by

@@ -95,3 +95,24 @@ def run_all(spark, source: str, warehouse: str, zones: DataFrame | None = None,
     clean = clean_job(read_trips(spark, source), cap_mode=cap_mode, trip_id=True)
     star = build_star(clean, zones)
     return load_warehouse(star, warehouse, check=lambda t: star_checks(t))
+
+
+def star_from_cleaned_table(spark, cleaned_path: str, zones: DataFrame | None = None,
+                            cap_mode: str = "approx", key_mode: str = "dense") -> dict:
+    """Build the star from the uncapped, month-partitioned cleaned table the
+    stream maintains: caps (global to the table) and casts are applied here,
+    and the thresholds used are returned as a one-row ``CAPS`` table."""
+    from pyspark.sql import functions as F
+
+    from tripmart.operators import quantiles
+    from tripmart.operators.star import build_star
+
+    table = spark.read.parquet(cleaned_path).drop("pickup_month")
+    limits = quantiles.thresholds(table, CAP_COLUMNS, 0.99, cap_mode)
+    capped = C.cast_int_columns(quantiles.cap(table, limits))
+    if "trip_id" not in capped.columns:
+        capped = stage(capped.withColumn("trip_id", row_id()), "star-in")
+    star = build_star(capped, zones, key_mode)
+    star["CAPS"] = table.agg(F.count(F.lit(1)).alias("rows")).select(
+        *[F.lit(v).cast("double").alias(f"cap_{c}") for c, v in limits.items()], "rows")
+    return star

@@ -19,13 +19,13 @@ from tripmart.schema import RAW, STAR, TRIPDATA_PATTERN
 FILE_GLOB = "*_tripdata_*.parquet"
 
 
-def read_trips(spark: SparkSession, path: str, schema: T.StructType = RAW) -> DataFrame:
-    """SRC1: scan a folder of trip files with a fixed schema.
-
-    A file lacking a column reads it as NULL, and narrower integer types are
-    widened, so months with schema drift union cleanly.
-    """
-    return (spark.read.schema(schema).option("pathGlobFilter", FILE_GLOB)
+def read_trips(spark: SparkSession, path: str, schema: T.StructType = RAW,
+               colour: str = "yellow") -> DataFrame:
+    """SRC1: scan a folder of ``<colour>_tripdata_*.parquet`` files with a
+    fixed schema. Only the colour whose columns the schema names is read
+    (other colours name their timestamps differently). A file lacking a column
+    reads it as NULL, so months with schema drift union cleanly."""
+    return (spark.read.schema(schema).option("pathGlobFilter", f"{colour}_tripdata_*.parquet")
                  .option("recursiveFileLookup", "true").parquet(path))
 
 
