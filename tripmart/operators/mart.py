@@ -25,6 +25,8 @@ from tripmart.functions.scalar import avg_speed, money  # noqa: E402
 from tripmart.schema import DROPOFF, DURATION  # noqa: E402
 
 HOURS = list(range(24))
+# Money totals: decimal(38,2) holds any sum of decimal(10,2) amounts exactly.
+SUM_MONEY = "decimal(38,2)"
 
 
 def traffic_pattern(trips: DataFrame) -> DataFrame:
@@ -48,7 +50,7 @@ def revenue_rollup(trips: DataFrame) -> DataFrame:
                          F.col("payment_type"), F.col("VendorID").alias("vendor_id"))
                  .agg(F.grouping_id().cast("int").alias("grouping_level"),
                       F.count(F.lit(1)).alias("trips"),
-                      F.sum(money("total_amount")).alias("revenue")))
+                      F.sum(money("total_amount")).cast(SUM_MONEY).alias("revenue")))
 
 
 def fare_trend(trips: DataFrame, digits: int = 6) -> DataFrame:
@@ -78,8 +80,8 @@ def airport_revenue(trips: DataFrame) -> DataFrame:
     return (trips.where(F.col("Airport_fee") > 0)
                  .groupBy("PULocationID")
                  .agg(F.count(F.lit(1)).alias("trips"),
-                      F.sum(money("total_amount")).alias("revenue"),
-                      F.sum(money("Airport_fee")).alias("airport_fees")))
+                      F.sum(money("total_amount")).cast(SUM_MONEY).alias("revenue"),
+                      F.sum(money("Airport_fee")).cast(SUM_MONEY).alias("airport_fees")))
 
 
 def hotspots(trips: DataFrame, k_sd: float = 2.0, digits: int = 6) -> DataFrame:
@@ -154,4 +156,4 @@ def star_slice(star: dict[str, DataFrame]) -> DataFrame:
     return (j.cube("year", "borough", "payment_desc", "rate_desc")
              .agg(F.grouping_id().cast("int").alias("grouping_level"),
                   F.count(F.lit(1)).alias("trips"),
-                  F.sum("total_amount").alias("revenue")))
+                  F.sum("total_amount").cast(SUM_MONEY).alias("revenue")))

@@ -202,7 +202,7 @@ def q_fact_trip(spark, sf):
 def q_star_checks(spark, sf):
     """Checks run on the written star (each table computed once), as a load does."""
     c = P.clean_job(trips(spark, sf), cap_mode="disc", trip_id=True)
-    star = {name: P.stage(df, name.lower()) for name, df in S.build_star(c).items()}
+    star = P.stage_all(S.build_star(c))
     return star_checks(star, c)
 
 
@@ -296,7 +296,7 @@ def q_avg_duration(spark, sf):
 @register("revenue_rollup", _C + f"""SELECT CAST(year({_P}) AS INTEGER) AS pickup_year,
   CAST(month({_P}) AS INTEGER) AS pickup_month, payment_type, VendorID AS vendor_id,
   CAST(GROUPING(pickup_year, pickup_month, payment_type, vendor_id) AS INTEGER) AS grouping_level,
-  CAST(count(*) AS BIGINT) AS trips, sum(CAST(total_amount AS DECIMAL(10,2))) AS revenue
+  CAST(count(*) AS BIGINT) AS trips, CAST(sum(CAST(total_amount AS DECIMAL(10,2))) AS DECIMAL(38,2)) AS revenue
 FROM clean GROUP BY ROLLUP (pickup_year, pickup_month, payment_type, vendor_id)""")
 def q_revenue_rollup(spark, sf):
     return M.revenue_rollup(cleaned(spark, sf))
@@ -317,7 +317,7 @@ def q_tip_behaviour(spark, sf):
 
 
 @register("airport_revenue", _C + """SELECT PULocationID, CAST(count(*) AS BIGINT) AS trips,
-  sum(CAST(total_amount AS DECIMAL(10,2))) AS revenue, sum(CAST(Airport_fee AS DECIMAL(10,2))) AS airport_fees
+  CAST(sum(CAST(total_amount AS DECIMAL(10,2))) AS DECIMAL(38,2)) AS revenue, CAST(sum(CAST(Airport_fee AS DECIMAL(10,2))) AS DECIMAL(38,2)) AS airport_fees
 FROM clean WHERE Airport_fee > 0 GROUP BY 1""")
 def q_airport_revenue(spark, sf):
     return M.airport_revenue(cleaned(spark, sf))
@@ -367,7 +367,7 @@ def q_trip_features(spark, sf):
 @register("star_slice", O.with_steps(*O.STAR, "zones", "dim_location_zones") + """
 SELECT dt.year, z.borough, p.payment_desc, r.rate_desc,
   CAST(GROUPING(dt.year, z.borough, p.payment_desc, r.rate_desc) AS INTEGER) AS grouping_level,
-  CAST(count(*) AS BIGINT) AS trips, sum(f.total_amount) AS revenue
+  CAST(count(*) AS BIGINT) AS trips, CAST(sum(f.total_amount) AS DECIMAL(38,2)) AS revenue
 FROM fact_trip f LEFT JOIN dim_datetime dt USING (datetime_id)
   LEFT JOIN dim_location_zones z USING (location_id)
   LEFT JOIN dim_payment p USING (payment_id) LEFT JOIN dim_rate r USING (rate_id)

@@ -16,6 +16,20 @@ from tripmart.schema import CAP_COLUMNS, EARLY_CAP_COLUMNS
 from tripmart.session import work_dir
 
 
+def write_concurrently(jobs: dict, max_workers: int = 4) -> dict:
+    """Run independent write jobs from a small thread pool; small tables (few
+    tasks each) then share the cluster instead of running one after another."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        futures = {k: pool.submit(fn) for k, fn in jobs.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
+def stage_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage several tables at once (see ``stage``)."""
+    return write_concurrently({n: (lambda df=df, n=n: stage(df, n.lower())) for n, df in tables.items()})
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to a fresh folder in the shared work area and read it back."""
     spark = df.sparkSession
@@ -73,13 +87,13 @@ def run_star(clean: DataFrame, star_dir: str, zones: DataFrame | None = None,
     from tripmart.sources.sinks import write_star_csv
 
     star = build_star(clean, zones, key_mode)
-    paths = {}
-    for name, df in star.items():
-        paths[name] = f"{star_dir.rstrip('/')}/{name}"
+    paths = {name: f"{star_dir.rstrip('/')}/{name}" for name in star}
+
+    def job(name):
         if csv:
-            write_star_csv(df, paths[name], name)
-        else:
-            df.write.mode("overwrite").parquet(paths[name])
+            return lambda: write_star_csv(star[name], paths[name], name)
+        return lambda: star[name].write.mode("overwrite").parquet(paths[name])
+    write_concurrently({name: job(name) for name in star})
     return paths
 
 

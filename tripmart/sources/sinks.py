@@ -59,11 +59,16 @@ def load_warehouse(star: dict[str, DataFrame], warehouse: str, run_id: str | Non
     spark = next(iter(star.values())).sparkSession
     run_id = run_id or new_run_id()
     base = f"{warehouse.rstrip('/')}/_runs/{run_id}"
-    for name in STAR_ORDER:
+    from tripmart.plans.pipelines import write_concurrently
+
+    def job(name):
         df = star[name]
         schema = STAR[name] if "trip_id" in df.columns or name != "FACT_TRIP" else T.StructType(
             [f for f in STAR[name].fields if f.name != "trip_id"])
-        conform(df, schema).write.mode("overwrite").parquet(f"{base}/{name}")
+        return lambda: conform(df, schema).write.mode("overwrite").parquet(f"{base}/{name}")
+    # Parquet tables land concurrently; the commit marker (below) makes them
+    # visible together, so write order does not matter here.
+    write_concurrently({name: job(name) for name in STAR_ORDER})
     written = {n: spark.read.parquet(f"{base}/{n}") for n in STAR_ORDER}
     if check is not None:
         bad = check(written).where(F.col("violations") > 0).limit(20).collect()
