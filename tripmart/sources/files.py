@@ -19,14 +19,24 @@ from tripmart.schema import RAW, STAR, TRIPDATA_PATTERN
 FILE_GLOB = "*_tripdata_*.parquet"
 
 
+def trip_glob(path: str, colour: str = "yellow") -> str:
+    """Trip files of one colour under ``path``: single Parquet files or
+    Spark-written folders of part files, named ``<colour>_tripdata_<YYYY-MM>.parquet``."""
+    return f"{path.rstrip('/')}/{colour}_tripdata_*.parquet"
+
+
+def entry_name(path_col: str = "_metadata.file_path"):
+    """Top-level trip file (or folder) name of a scanned row's file."""
+    return F.regexp_extract(F.col(path_col), r"/([^/]*_tripdata_[^/]*\.parquet)(/[^/]*)?$", 1)
+
+
 def read_trips(spark: SparkSession, path: str, schema: T.StructType = RAW,
                colour: str = "yellow") -> DataFrame:
-    """SRC1: scan a folder of ``<colour>_tripdata_*.parquet`` files with a
+    """SRC1: scan the ``<colour>_tripdata_*.parquet`` files of a folder with a
     fixed schema. Only the colour whose columns the schema names is read
     (other colours name their timestamps differently). A file lacking a column
     reads it as NULL, so months with schema drift union cleanly."""
-    return (spark.read.schema(schema).option("pathGlobFilter", f"{colour}_tripdata_*.parquet")
-                 .option("recursiveFileLookup", "true").parquet(path))
+    return spark.read.schema(schema).parquet(trip_glob(path, colour))
 
 
 def load_file(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -47,19 +57,31 @@ def as_frame(spark: SparkSession, data) -> DataFrame:
 def new_files(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
     """SRC4 (batch): trip files by name pattern, newer than the last run
     (``modified_after`` as 'YYYY-MM-DDTHH:MM:SS')."""
-    r = spark.read.schema(RAW).option("pathGlobFilter", FILE_GLOB).option("recursiveFileLookup", "true")
+    r = spark.read.schema(RAW)
     if modified_after:
         r = r.option("modifiedAfter", modified_after)
-    return r.parquet(path).withColumn("source_file", F.col("_metadata.file_name"))
+    return r.parquet(trip_glob(path)).withColumn("source_file", entry_name())
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
-    """File metadata under ``path`` (name, size, time); contents are pruned."""
+    """Top-level entries under ``path`` (a file, or a folder of part files)
+    with their total size, file count and last change; contents are pruned."""
+    root = _qualified(spark, path).rstrip("/") + "/"
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                   .load(path).select("path", "length", "modificationTime"))
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-                        "path", F.col("length").alias("bytes"),
-                        F.col("modificationTime").alias("modified"))
+    rel = F.expr(f"substring(path, {len(root) + 1})")
+    top = F.split(rel, "/").getItem(0)
+    return (files.where(~rel.startswith("_") & ~rel.startswith("."))
+                 .groupBy(top.alias("file_name"))
+                 .agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"),
+                      F.max("modificationTime").alias("modified"))
+                 .withColumn("path", F.concat(F.lit(root), F.col("file_name"))))
 
 
 def with_name_parts(files: DataFrame) -> DataFrame:
@@ -99,7 +121,7 @@ def land(spark: SparkSession, source: str, raw_zone: str) -> dict[str, int]:
 
     The landed set is the raw zone's own listing; new files are a ``left_anti``
     join on file name, so re-running lands nothing twice. Rows are appended
-    under one ``_file=<name>`` folder per source file.
+    under one ``landed_file=<name>`` folder per source file.
     """
     src = manifest(spark, source).where("valid_name")
     landed = landed_files(spark, raw_zone)
@@ -110,8 +132,8 @@ def land(spark: SparkSession, source: str, raw_zone: str) -> dict[str, int]:
     if names:
         paths = [f"{source.rstrip('/')}/{n}" for n in names]
         try:
-            rows = spark.read.schema(RAW).parquet(*paths).withColumn("_file", F.col("_metadata.file_name"))
-            rows.write.mode("append").partitionBy("_file").parquet(f"{raw_zone.rstrip('/')}/_landed")
+            rows = spark.read.schema(RAW).parquet(*paths).withColumn("landed_file", entry_name())
+            rows.write.mode("append").partitionBy("landed_file").parquet(f"{raw_zone.rstrip('/')}/_landed")
             counts["uploaded"] = len(names)
         except Exception:  # noqa: BLE001 - the whole batch failed; nothing committed
             counts["failed"] = len(names)
@@ -120,35 +142,32 @@ def land(spark: SparkSession, source: str, raw_zone: str) -> dict[str, int]:
 
 
 def write_trip_files(trips: DataFrame, folder: str, colour: str = "yellow") -> list[str]:
-    """Write trips as one ``<colour>_tripdata_<YYYY-MM>.parquet`` file per pickup
-    month (the landing layout). Rows of a month go to one task, then each
-    part file is renamed to its landing name."""
+    """Write trips in the landing layout: one ``<colour>_tripdata_<YYYY-MM>.parquet``
+    per pickup month, each a folder of part files written in parallel (every
+    task writes its own rows of each month; no month goes through one task)."""
     spark = trips.sparkSession
     tmp = f"{folder.rstrip('/')}/_tmp"
     period = F.date_format(F.col("tpep_pickup_datetime"), "yyyy-MM")
-    (trips.withColumn("_period", period).repartition("_period")
-          .write.mode("overwrite").partitionBy("_period").parquet(tmp))
+    trips.withColumn("_period", period).write.mode("overwrite").partitionBy("_period").parquet(tmp)
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path
     fs = hpath(tmp).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = []
-    for st in fs.globStatus(hpath(f"{tmp}/_period=*/part-*.parquet")):
-        src = st.getPath()
-        name = f"{colour}_tripdata_{src.getParent().getName().split('=', 1)[1]}.parquet"
-        fs.rename(src, hpath(f"{folder.rstrip('/')}/{name}"))
+    for st in fs.globStatus(hpath(f"{tmp}/_period=*")):      # one rename per month folder
+        name = f"{colour}_tripdata_{st.getPath().getName().split('=', 1)[1]}.parquet"
+        fs.rename(st.getPath(), hpath(f"{folder.rstrip('/')}/{name}"))
         names.append(name)
     fs.delete(hpath(tmp), True)
     return sorted(names)
 
 
 def landed_files(spark: SparkSession, raw_zone: str) -> DataFrame:
-    """Names of the files already in the raw zone (one ``_file=`` folder each)."""
+    """Names of the files already in the raw zone (one ``landed_file=`` folder each)."""
     try:
         files = listing(spark, f"{raw_zone.rstrip('/')}/_landed")
     except Exception:  # noqa: BLE001 - nothing landed yet
         return spark.createDataFrame([], "file_name string")
-    return (files.select(F.regexp_extract("path", r"_file=([^/]+)/", 1).alias("file_name"))
-                 .distinct())
+    return files.select(F.regexp_extract("file_name", r"^landed_file=(.+)$", 1).alias("file_name"))
 
 
 def read_star_csv(spark: SparkSession, path: str, table: str) -> DataFrame:

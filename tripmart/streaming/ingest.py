@@ -16,17 +16,17 @@ from pyspark.sql import functions as F
 
 from tripmart.operators.clean import clean_prefix
 from tripmart.schema import PICKUP, RAW
-from tripmart.sources.files import FILE_GLOB
+from tripmart.sources.files import entry_name, trip_glob
 
 MONTH = "pickup_month"
 
 
 def trip_file_stream(spark: SparkSession, source: str, max_files: int | None = None) -> DataFrame:
     """SRC4 (stream): new trip files by name pattern, with their file name."""
-    r = spark.readStream.schema(RAW).option("pathGlobFilter", FILE_GLOB)
+    r = spark.readStream.schema(RAW)
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
-    return r.parquet(source).withColumn("source_file", F.col("_metadata.file_name"))
+    return r.parquet(trip_glob(source)).withColumn("source_file", entry_name())
 
 
 def _trigger(writer, trigger: str):
@@ -38,9 +38,9 @@ def _trigger(writer, trigger: str):
 def land_stream(spark: SparkSession, source: str, raw_zone: str, checkpoint: str,
                 trigger: str = "availableNow"):
     """SRC5 (stream): copy new files' rows to the raw zone, one folder per file."""
-    q = (trip_file_stream(spark, source).withColumnRenamed("source_file", "_file")
+    q = (trip_file_stream(spark, source).withColumnRenamed("source_file", "landed_file")
          .writeStream.format("parquet").option("path", f"{raw_zone.rstrip('/')}/_landed")
-         .option("checkpointLocation", checkpoint).partitionBy("_file"))
+         .option("checkpointLocation", checkpoint).partitionBy("landed_file"))
     return _trigger(q, trigger).start()
 
 
