@@ -34,9 +34,21 @@ def _rows(rows, cols):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+
+
+def _plan_ok(spark, df):
+    """No cross join, no nested-loop join, no row-at-a-time Python UDF."""
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(
+        df._jdf.queryExecution(), "simple")
+    bad = [op for op in FORBIDDEN if op in plan]
+    assert not bad, f"{bad} in plan:\n{plan}"
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
+    _plan_ok(spark, df)
     res = duck.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
@@ -45,7 +57,9 @@ def test_query_matches_oracle(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_query_without_oracle_runs(spark, name):
-    assert QUERIES[name](spark, SF_SMALL).count() > 0
+    df = QUERIES[name](spark, SF_SMALL)
+    _plan_ok(spark, df)
+    assert df.count() > 0
 
 
 def test_entry(spark):
