@@ -98,3 +98,26 @@ def test_same_clean_for_any_shuffle_partitions(spark):
         assert outs[0].exceptAll(outs[1]).count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_approx_cap_rank_within_error(spark):
+    """cap_approx has no SQL oracle: its threshold's rank must be within the
+    sketch's rank error of the exact 99th percentile."""
+    from tripmart.schema import CAP_COLUMNS
+    pre = P.stage(C.fill_constants(C.valid_trips(C.with_duration(C.dedupe(trips(spark, SF_SMALL))))))
+    n = pre.count()
+    rel = 1e-3
+    approx = Q.thresholds(pre, CAP_COLUMNS, 0.99, "approx", rel_error=rel)
+    for c, v in approx.items():
+        below = pre.where(F.col(c) < v).count()
+        at_most = pre.where(F.col(c) <= v).count()
+        target = 0.99 * n
+        assert below - rel * n - 1 <= target <= at_most + rel * n + 1, c
+
+
+def test_hash_keys_unique_and_resolve(spark, clean):
+    dim = S.dim_datetime(clean, key_mode="hash")
+    assert dim.select("datetime_id").distinct().count() == dim.count()
+    fact = S.fact_trip(clean, key_mode="hash")
+    orphans = fact.join(dim, "datetime_id", "left_anti").count()
+    assert orphans == 0 and fact.count() == clean.count()

@@ -446,8 +446,9 @@ def q_forward_fill_global(spark, sf):
     return I.forward_fill(ev, ["value_filled"], ["ts", "event_id"])
 
 
-@register("profile_pipeline")
+@register("profile_pipeline", O.adaptive_clean_sql(O.full_report_sql("ad_capped", O.adaptive_schema())))
 def q_profile_pipeline(spark, sf):
+    """PL5: load -> adaptive clean -> full report."""
     return PR.full_report_long(P.stage(I.adaptive_clean(trips(spark, sf)), "profile-in"))
 
 
@@ -459,12 +460,17 @@ from tripmart.sources import sinks as SK  # noqa: E402
 from tripmart.streaming import ingest as ST  # noqa: E402
 
 
-@register("landing_manifest")
+@register("landing_manifest", O.with_steps("trips") + """SELECT
+  'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet' AS file_name,
+  'yellow' AS colour, strftime(tpep_pickup_datetime, '%Y-%m') AS period, true AS valid_name,
+  CAST(count(*) AS BIGINT) AS trips FROM trips GROUP BY 1, 2, 3, 4""")
 def q_landing_manifest(spark, sf):
+    """SRC7/SRC8: land the trips as monthly files, validate the zone, and list
+    every file with its name parts and the trips it holds."""
     landing = work_dir(spark, "landing")
     FS.write_trip_files(trips(spark, sf), landing)
     FS.validate_landing(spark, landing, min_files=1)
-    return FS.manifest(spark, landing).select("file_name", "colour", "period", "valid_name", "bytes")
+    return FS.file_counts(spark, landing)
 
 
 @register("incremental_ingest", O.with_steps("trips", "dedup", "dur", "valid", "filled")

@@ -222,23 +222,33 @@ def sround(x: str, n: int) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
 
 
-def _raw_meta():
+def _raw_meta(schema=None):
+    """Columns, numeric / text / floating columns of ``schema`` (default RAW)."""
     from pyspark.sql import types as T
 
     from tripmart.schema import RAW
-    cols = [(f.name, f.dataType.simpleString()) for f in RAW.fields]
-    num = [f.name for f in RAW.fields if isinstance(f.dataType, T.NumericType)]
-    txt = [f.name for f in RAW.fields if isinstance(f.dataType, T.StringType)]
-    flt = {f.name for f in RAW.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    schema = RAW if schema is None else schema
+    cols = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    num = [f.name for f in schema.fields if isinstance(f.dataType, T.NumericType)]
+    txt = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    flt = {f.name for f in schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     return cols, num, txt, flt
 
 
+def adaptive_schema():
+    """Schema of the adaptive cleaner's output: raw columns + trip_duration."""
+    from pyspark.sql import types as T
+
+    from tripmart.schema import RAW
+    return T.StructType(RAW.fields + [T.StructField("trip_duration", T.DoubleType())])
+
+
 def _miss(c: str, flt: set) -> str:
     return f"({c} IS NULL OR isnan({c}))" if c in flt else f"({c} IS NULL)"
 
 
-def column_profile_sql(src: str = "trips") -> str:
-    cols, _, _, flt = _raw_meta()
+def column_profile_sql(src: str = "trips", schema=None) -> str:
+    cols, _, _, flt = _raw_meta(schema)
     parts = []
     for i, (c, t) in enumerate(cols):
         m = f"count_if({_miss(c, flt)})"
@@ -251,8 +261,8 @@ def column_profile_sql(src: str = "trips") -> str:
     return "(" + " UNION ALL ".join(parts) + ")"
 
 
-def summary_sql(src: str = "trips") -> str:
-    _, num, _, flt = _raw_meta()
+def summary_sql(src: str = "trips", schema=None) -> str:
+    _, num, _, flt = _raw_meta(schema)
     parts = []
     for c in num:
         x = f"CASE WHEN NOT {_miss(c, flt)} THEN CAST({c} AS DOUBLE) END"
@@ -329,8 +339,8 @@ def outlier_sql(src: str = "trips") -> str:
     return " UNION ALL ".join(parts)
 
 
-def quality_sql(src: str = "trips") -> str:
-    cols, _, _, flt = _raw_meta()
+def quality_sql(src: str = "trips", schema=None) -> str:
+    cols, _, _, flt = _raw_meta(schema)
     nulls = " + ".join(f"CAST({_miss(c, flt)} AS INTEGER)" for c, _ in cols)
     n = len(cols)
     return (f"SELECT rows, {n} AS columns, cells, missing_cells, duplicate_rows, "
@@ -342,8 +352,8 @@ def quality_sql(src: str = "trips") -> str:
             f"FROM {src})")
 
 
-def full_report_sql(src: str = "trips") -> str:
-    _, num, txt, _ = _raw_meta()
+def full_report_sql(src: str = "trips", schema=None) -> str:
+    _, num, txt, _ = _raw_meta(schema)
 
     def melt(q: str, section: str, item: str | None, metrics: list[str]) -> str:
         it = item or "'*'"
@@ -352,11 +362,11 @@ def full_report_sql(src: str = "trips") -> str:
             f"FROM ({q})" for m in metrics)
     ds = (f"SELECT *, CAST(quality_label = 'High' AS INTEGER) AS quality_high, {len(num)} AS numeric_columns, "
           f"{len(txt)} AS categorical_columns, CAST(duplicate_rows AS DOUBLE) / CAST(rows AS DOUBLE) "
-          f"* CAST(100 AS DOUBLE) AS duplicate_pct FROM ({quality_sql(src)})")
+          f"* CAST(100 AS DOUBLE) AS duplicate_pct FROM ({quality_sql(src, schema)})")
     return " UNION ALL ".join([
-        melt(f"SELECT * FROM {column_profile_sql(src)}", "columns", "column_name",
+        melt(f"SELECT * FROM {column_profile_sql(src, schema)}", "columns", "column_name",
              ["non_null", "non_null_pct", "null_count", "null_pct"]),
-        melt(f"SELECT * FROM {summary_sql(src)}", "summary", "column_name",
+        melt(f"SELECT * FROM {summary_sql(src, schema)}", "summary", "column_name",
              ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]),
         melt(ds, "dataset", None, ["rows", "columns", "cells", "missing_cells", "duplicate_rows",
                                    "duplicate_pct", "quality_pct", "quality_high",
@@ -435,9 +445,9 @@ def median_sql(src: str = "ad_valid") -> str:
         f"SELECT '{c}' AS column_name, {qcont(c, 0.5, src, 'NOT ' + _miss(c, flt))} AS median" for c in num)
 
 
-def adaptive_clean_sql() -> str:
+def adaptive_clean_sql(select: str = "SELECT * FROM ad_capped") -> str:
     fill = adaptive_fill_sql("ad_filled", "ad_valid", 0.2)
     caps = f"ad_caps AS ({_caps('ad_filled', ['trip_duration', 'fare_amount', 'trip_distance'], 'quantile_cont')})"
     capped = ("ad_capped AS (SELECT * REPLACE ("
               + _cap_replace(["trip_duration", "fare_amount", "trip_distance"], "ad_caps") + ") FROM ad_filled)")
-    return with_steps(*AD_STEPS, "ad_valid", extra=",\n".join([fill, caps, capped])) + "SELECT * FROM ad_capped"
+    return with_steps(*AD_STEPS, "ad_valid", extra=",\n".join([fill, caps, capped])) + select

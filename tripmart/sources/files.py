@@ -116,6 +116,14 @@ def validate_landing(spark: SparkSession, path: str, min_files: int = 1,
     return per_period
 
 
+def file_counts(spark: SparkSession, path: str, colour: str = "yellow") -> DataFrame:
+    """Manifest of the trip files with the trips each holds (one scan of the
+    files, grouped by file): the per-period check of the landing zone."""
+    rows = (read_trips(spark, path, colour=colour).select(entry_name().alias("file_name"))
+            .groupBy("file_name").agg(F.count(F.lit(1)).alias("trips")))
+    return with_name_parts(rows).select("file_name", "colour", "period", "valid_name", "trips")
+
+
 def land(spark: SparkSession, source: str, raw_zone: str) -> dict[str, int]:
     """SRC5: land files not already in the raw zone; counts by status.
 
