@@ -151,12 +151,14 @@ def land(spark: SparkSession, source: str, raw_zone: str) -> dict[str, int]:
 
 def write_trip_files(trips: DataFrame, folder: str, colour: str = "yellow") -> list[str]:
     """Write trips in the landing layout: one ``<colour>_tripdata_<YYYY-MM>.parquet``
-    per pickup month, each a folder of part files written in parallel (every
-    task writes its own rows of each month; no month goes through one task)."""
+    per pickup month, each a folder of part files. Rows are rebalanced by month
+    (AQE splits a large month over several tasks by size), so no month goes
+    through one task and each folder holds few files."""
     spark = trips.sparkSession
     tmp = f"{folder.rstrip('/')}/_tmp"
     period = F.date_format(F.col("tpep_pickup_datetime"), "yyyy-MM")
-    trips.withColumn("_period", period).write.mode("overwrite").partitionBy("_period").parquet(tmp)
+    (trips.withColumn("_period", period).hint("rebalance", "_period")
+          .write.mode("overwrite").partitionBy("_period").parquet(tmp))
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path
     fs = hpath(tmp).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -25,8 +25,10 @@ def write_cleaned(df: DataFrame, path: str, partition_by_month: bool = True) ->
     readers prune by time and an incremental run rewrites only its months."""
     if partition_by_month:
         df = df.withColumn("pickup_month", F.date_format(PICKUP, "yyyy-MM"))
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("pickup_month").parquet(path))
+        # rebalance by month: few files per month, and AQE splits a hot month
+        # over several tasks by size instead of one task per month
+        (df.hint("rebalance", "pickup_month").write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy("pickup_month").parquet(path))
     else:
         df.write.mode("overwrite").parquet(path)
 

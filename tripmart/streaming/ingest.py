@@ -61,8 +61,8 @@ def upsert_cleaned(batch: DataFrame, cleaned_path: str, passenger_policy: str =
     except Exception:  # noqa: BLE001 - first batch: no table yet
         merged = new
     staged = stage(merged, "upsert")
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(MONTH).parquet(cleaned_path))
+    (staged.hint("rebalance", MONTH).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(cleaned_path))
 
 
 def clean_stream(spark: SparkSession, source: str, cleaned_path: str, checkpoint: str,
