@@ -22,11 +22,23 @@ def _row(table: str, check: str, column: str, violations) -> list:
             F.lit(column).alias("column_name"), violations.cast("bigint").alias("violations")]
 
 
+def column_checks(df: DataFrame, table: str, not_null_cols: list[str],
+                  widths: dict[str, int] | None = None) -> DataFrame:
+    """CHK1 + CHK4: NULLs in NOT NULL columns and values wider than the
+    declared VARCHAR / CHAR width; one aggregate per table, unpivoted."""
+    widths = widths or {}
+    checks = ([("not_null", c, F.col(c).isNull()) for c in not_null_cols]
+              + [("string_width", c, F.length(c) > n) for c, n in widths.items()])
+    agg = df.agg(*[F.count_if(cond).alias(f"_v{i}") for i, (_, _, cond) in enumerate(checks)])
+    rows = [x for i, (chk, c, _) in enumerate(checks)
+            for x in (F.lit(table), F.lit(chk), F.lit(c), F.col(f"_v{i}").cast("bigint"))]
+    return agg.select(F.stack(F.lit(len(checks)), *rows)
+                      .alias("table_name", "check_name", "column_name", "violations"))
+
+
 def not_null(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
     """CHK1: NULLs in NOT NULL columns, all columns in one pass."""
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    return reduce(DataFrame.unionByName,
-                  [agg.select(*_row(table, "not_null", c, F.col(c))) for c in cols])
+    return column_checks(df, table, cols)
 
 
 def primary_key(df: DataFrame, table: str, key: str) -> DataFrame:
@@ -49,9 +61,7 @@ def foreign_key(fact: DataFrame, col: str, dim: DataFrame, dim_key: str, table:
 
 def string_width(df: DataFrame, table: str, widths: dict[str, int]) -> DataFrame:
     """CHK4: values longer than the declared VARCHAR / CHAR width."""
-    agg = df.agg(*[F.count_if(F.length(c) > n).alias(c) for c, n in widths.items()])
-    return reduce(DataFrame.unionByName,
-                  [agg.select(*_row(table, "string_width", c, F.col(c))) for c in widths])
+    return column_checks(df, table, [], widths)
 
 
 def row_match(fact: DataFrame, clean: DataFrame) -> DataFrame:
@@ -65,12 +75,11 @@ def star_checks(star: dict[str, DataFrame], clean: DataFrame | None = None) -> D
     parts = []
     for table, df in star.items():
         cols = [c for c in NOT_NULL[table] if c in df.columns]
-        if cols:
-            parts.append(not_null(df, table, cols))
+        widths = STRING_WIDTHS.get(table, {})
+        if cols or widths:
+            parts.append(column_checks(df, table, cols, widths))
         if PRIMARY_KEYS[table] in df.columns:
             parts.append(primary_key(df, table, PRIMARY_KEYS[table]))
-        if table in STRING_WIDTHS:
-            parts.append(string_width(df, table, STRING_WIDTHS[table]))
     fact = star["FACT_TRIP"]
     for col, dim_name in FOREIGN_KEYS:
         dim = star[dim_name]
