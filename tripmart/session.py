@@ -34,17 +34,30 @@ def get_session(app: str = "tripmart", master: str | None = None,
     return spark
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, setting a local one only if none is set."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+    """Return the checkpoint folder, setting a local one only if none is set.
+
+    Order: the context's checkpoint folder, then ``spark.checkpoint.dir`` from
+    the session conf, then (tests, local runs) a fresh temp folder.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a remote session without a local context
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-    else:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tripmart-ckpt-"))
+        if sc is not None:
+            sc.setCheckpointDir(conf_dir)
+            return sc.getCheckpointDir()
+        return conf_dir
+    if sc is None:
+        return _LOCAL_FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="tripmart-ckpt-"))
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tripmart-ckpt-"))
     return sc.getCheckpointDir()
 
 
