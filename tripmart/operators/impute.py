@@ -92,15 +92,19 @@ def forward_fill(df: DataFrame, cols: list[str], order_by: list[str],
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = keys + list(order_by)
-    ranged = stage(df.repartitionByRange(n, *order).withColumn("_seg", F.spark_partition_id()),
-                   "ffill")
+    # Sorted range partitions, numbered once: _seg is the partition, _ord grows
+    # with (keys, order) inside it. The stage write fixes both numbers.
+    ranged = stage(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                     .withColumn("_seg", F.spark_partition_id())
+                     .withColumn("_ord", F.monotonically_increasing_id()), "ffill")
     seg_keys = ["_seg"] + keys
-    w = (Window.partitionBy(*seg_keys).orderBy(*order_by)
+    w = (Window.partitionBy(*seg_keys).orderBy("_ord")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.select("*", *[F.last(c, ignorenulls=True).over(w).alias(f"_loc_{c}") for c in cols])
-    ordkey = F.struct(*order_by)
+    # last non-NULL value of every segment (hash aggregate: long ordering key)
     ends = ranged.groupBy(*seg_keys).agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey)).alias(f"_end_{c}") for c in cols])
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_ord"))).alias(f"_end_{c}")
+          for c in cols])
     kw = (Window.partitionBy(*keys).orderBy("_seg")
                 .rowsBetween(Window.unboundedPreceding, -1)) if keys else \
         Window.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
