@@ -11,7 +11,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from tripmart.session import get_session
-    s = get_session("tripmart-tests", master="local[4]", shuffle_partitions=8)
+    s = get_session("tripmart-tests", master="local[4]", shuffle_partitions=8, driver_memory="4g")
     yield s
     s.stop()
 

@@ -15,8 +15,10 @@ from pyspark.sql import SparkSession
 
 
 def get_session(app: str = "tripmart", master: str | None = None,
-                shuffle_partitions: int | None = None) -> SparkSession:
-    """Session with AQE on and the UI off. ``master`` is only set when given."""
+                shuffle_partitions: int | None = None,
+                driver_memory: str | None = None) -> SparkSession:
+    """Session with AQE on and the UI off. ``master`` and ``driver_memory`` are
+    only set when given (in local mode the driver heap is the executor heap)."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -26,6 +28,8 @@ def get_session(app: str = "tripmart", master: str | None = None,
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    if driver_memory:
+        b = b.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
@@ -69,6 +73,11 @@ def work_dir(spark: SparkSession, name: str = "work") -> str:
     """
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    try:   # create it on whatever file system the folder lives on
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+    except Exception:  # noqa: BLE001 - no local context: writers create it
+        if "://" not in path and not path.startswith("file:"):
+            os.makedirs(path, exist_ok=True)
     return path
