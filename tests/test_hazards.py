@@ -159,3 +159,54 @@ def test_landing_files_validation_and_idempotent_land(spark, tmp_path):
     assert FS.land(spark, src, raw) == {"uploaded": 2, "skipped": 0, "failed": 0}
     assert FS.land(spark, src, raw) == {"uploaded": 0, "skipped": 2, "failed": 0}
     assert spark.read.parquet(f"{raw}/_landed").count() == 2
+
+
+def test_load_file_and_as_frame(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    from tripmart.sources.files import as_frame, load_file
+    with pytest.raises(AnalysisException):
+        load_file(spark, str(tmp_path / "nope.parquet")).count()
+    df = raw_frame(spark, [trip()])
+    assert as_frame(spark, df) is df
+    path = str(tmp_path / "one.parquet")
+    df.write.parquet(path)
+    assert as_frame(spark, path).count() == 1
+    with pytest.raises(TypeError):
+        as_frame(spark, 42)
+
+
+def test_new_files_modified_after(spark, tmp_path):
+    import os
+    import time
+
+    from tripmart.sources import files as FS
+    src = str(tmp_path / "src")
+    FS.write_trip_files(raw_frame(spark, [trip()]), src)
+    old = time.time() - 3600
+    for root, _, names in os.walk(src):
+        for n in names:
+            os.utime(os.path.join(root, n), (old, old))
+    cut = time.strftime("%Y-%m-%dT%H:%M:%S", time.localtime(time.time() - 60))
+    FS.write_trip_files(raw_frame(spark, [trip(tpep_pickup_datetime=dt.datetime(2025, 5, 1, 8, 0),
+                                               tpep_dropoff_datetime=dt.datetime(2025, 5, 1, 8, 30))]), src)
+    assert FS.new_files(spark, src).count() == 2
+    got = [r.source_file for r in FS.new_files(spark, src, modified_after=cut).select("source_file").collect()]
+    assert got == ["yellow_tripdata_2025-05.parquet"]
+
+
+def test_quality_label_high_for_clean_data(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, s string")
+    row = PR.quality(df).first()
+    assert row["quality_label"] == "High" and row["quality_pct"] == 100.0
+    dup = spark.createDataFrame([(1, "a"), (1, "a")], "x int, s string")
+    assert PR.quality(dup).first()["quality_label"] == "Needs Cleaning"
+
+
+def test_adaptive_fill_forward_fills_timestamps(spark):
+    rows = [(1, dt.datetime(2025, 1, 1, 0, 0), 1.0), (2, None, 2.0), (3, None, 3.0),
+            (4, dt.datetime(2025, 1, 2, 0, 0), 4.0)]
+    df = spark.createDataFrame(rows, "id int, t timestamp_ntz, v double")
+    assert I.fill_rules(df, I.null_ratios(df))["t"] == "ffill"
+    out = {r.id: r.t for r in I.adaptive_fill(df, order_by=["id"]).collect()}
+    assert out[2] == out[3] == dt.datetime(2025, 1, 1, 0, 0)
