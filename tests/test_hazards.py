@@ -156,6 +156,9 @@ def test_landing_files_validation_and_idempotent_land(spark, tmp_path):
     assert FS.validate_landing(spark, src).count() == 2
     with pytest.raises(ValueError):
         FS.validate_landing(spark, src, min_files=3)
+    assert FS.validate_landing(spark, src, period="2025-02").count() == 2
+    with pytest.raises(ValueError):
+        FS.validate_landing(spark, src, period="2025-03")          # run month not landed
     assert FS.land(spark, src, raw) == {"uploaded": 2, "skipped": 0, "failed": 0}
     assert FS.land(spark, src, raw) == {"uploaded": 0, "skipped": 2, "failed": 0}
     assert spark.read.parquet(f"{raw}/_landed").count() == 2

@@ -100,10 +100,11 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def validate_landing(spark: SparkSession, path: str, min_files: int = 1,
-                     colour: str | None = "yellow") -> DataFrame:
+                     colour: str | None = "yellow", period: str | None = None) -> DataFrame:
     """SRC7: the landing zone exists, names match, at least ``min_files`` valid
-    files (per period counts kept too). Raises on failure; returns the
-    per-period summary otherwise."""
+    files, and - when ``period`` ('YYYY-MM', e.g. the run date's month) is
+    given - a file for that period. Raises on failure; returns the per-period
+    summary otherwise."""
     m = manifest(spark, path)                       # PATH_NOT_FOUND if missing
     valid = m.where("valid_name")
     if colour:
@@ -113,6 +114,8 @@ def validate_landing(spark: SparkSession, path: str, min_files: int = 1,
     total = valid.count()
     if total < min_files:
         raise ValueError(f"expected >= {min_files} valid trip file(s) in {path}, found {total}")
+    if period is not None and valid.where(F.col("period") == period).limit(1).count() == 0:
+        raise ValueError(f"no {colour or ''} trip file for period {period} in {path}")
     return per_period
 
 
