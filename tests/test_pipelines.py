@@ -84,3 +84,30 @@ def test_reject_rows_and_parse(spark):
     assert fact_rejects(clean).count() == 1
     df = spark.createDataFrame([("2025-01-02 03:04:05",)], "t string")
     assert parse_timestamps(df, ["t"]).first()["t"] == dt.datetime(2025, 1, 2, 3, 4, 5)
+
+
+def test_stream_merges_same_month_across_batches(spark, tmp_path):
+    """Part files of one month arrive in two batches, with rows repeated
+    across them: the cleaned table holds each trip once."""
+    import datetime as dt
+    import glob
+    import os
+    import shutil
+
+    from conftest import raw_frame, trip
+    from tripmart.streaming import ingest as ST
+    jan = [trip(tpep_pickup_datetime=dt.datetime(2025, 1, d, 9, 0),
+                tpep_dropoff_datetime=dt.datetime(2025, 1, d, 9, 25), fare_amount=10.0 + d)
+           for d in range(1, 9)]
+    first, second = jan[:5], jan[3:]                  # days 4 and 5 arrive twice
+    landing, cleaned, ck = str(tmp_path / "l"), str(tmp_path / "c"), str(tmp_path / "ck")
+    month = "yellow_tripdata_2025-01.parquet"
+    for i, rows in enumerate((first, second)):
+        stage = str(tmp_path / f"s{i}")
+        FS.write_trip_files(raw_frame(spark, rows), stage)
+        os.makedirs(f"{landing}/{month}", exist_ok=True)
+        for f in glob.glob(f"{stage}/{month}/part-*.parquet"):
+            shutil.move(f, f"{landing}/{month}/b{i}-{os.path.basename(f)}")
+        ST.clean_stream(spark, landing, cleaned, ck).awaitTermination()
+    out = spark.read.parquet(cleaned)
+    assert out.count() == 8 and out.distinct().count() == 8
