@@ -37,8 +37,11 @@ def test_star_integrity(spark, clean):
 
 
 def test_caps_hold(spark, clean):
-    limits = Q.thresholds(P.stage(C.clean_prefix(trips(spark, SF_SMALL))), ["fare_amount"], 0.99, "disc")
-    assert clean.agg(F.max("fare_amount")).first()[0] <= limits["fare_amount"]
+    from tripmart.schema import CAP_COLUMNS
+    limits = Q.thresholds(P.stage(C.clean_prefix(trips(spark, SF_SMALL))), CAP_COLUMNS, 0.99, "disc")
+    maxima = clean.agg(*[F.max(c).alias(c) for c in CAP_COLUMNS]).first()
+    for c in CAP_COLUMNS:
+        assert maxima[c] == limits[c]          # capped at the threshold, which is a data value
 
 
 def test_dedupe_filter_idempotent(spark):
