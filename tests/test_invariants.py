@@ -124,3 +124,13 @@ def test_hash_keys_unique_and_resolve(spark, clean):
     fact = S.fact_trip(clean, key_mode="hash")
     orphans = fact.join(dim, "datetime_id", "left_anti").count()
     assert orphans == 0 and fact.count() == clean.count()
+
+
+def test_forward_fill_null_key_crosses_segments(spark):
+    rows = [(i, None if i % 2 else 7, i, (float(i) if i in (0, 1) else None)) for i in range(400)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts long, value double")
+    ours = I.forward_fill(df, ["value"], ["ts", "event_id"], ["user_id"], num_partitions=5)
+    w = (Window.partitionBy("user_id").orderBy("ts", "event_id")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ref = df.withColumn("value", F.last("value", ignorenulls=True).over(w))
+    assert ours.exceptAll(ref).count() == 0 and ours.where("value IS NULL").count() == 0

@@ -110,7 +110,10 @@ def forward_fill(df: DataFrame, cols: list[str], order_by: list[str],
         Window.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     carries = ends.select(*seg_keys, *[F.last(f"_end_{c}", ignorenulls=True).over(kw).alias(f"_in_{c}")
                                        for c in cols])
-    joined = local.join(carries, seg_keys, "left")
+    carries = carries.select(*[F.col(k).alias(f"_ck_{k}") for k in seg_keys],
+                             *[f"_in_{c}" for c in cols])
+    on = [F.col(k).eqNullSafe(F.col(f"_ck_{k}")) for k in seg_keys]   # a NULL key is a key too
+    joined = local.join(carries, on, "left")
     return joined.select(*[F.coalesce(F.col(f"_loc_{c}"), F.col(f"_in_{c}")).alias(c) if c in cols
                            else F.col(c) for c in df.columns])
 
