@@ -81,3 +81,13 @@ def work_dir(spark: SparkSession, name: str = "work") -> str:
         if "://" not in path and not path.startswith("file:"):
             os.makedirs(path, exist_ok=True)
     return path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its file system (HDFS, object store or local)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # noqa: BLE001 - no local context
+        return os.path.exists(path.replace("file:", "", 1))
