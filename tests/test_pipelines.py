@@ -61,7 +61,9 @@ def test_read_trips_tolerates_missing_column(spark, tmp_path):
 def test_stream_table_to_star(spark, tmp_path):
     """Arrival -> uncapped cleaned table -> star with caps applied at build."""
     from tripmart.streaming import ingest as ST
+    import os
     landing, cleaned, ck = str(tmp_path / "l"), str(tmp_path / "c"), str(tmp_path / "ck")
+    os.makedirs(cleaned)                      # an existing, empty target folder
     FS.write_trip_files(trips(spark, SF_SMALL), landing)
     ST.clean_stream(spark, landing, cleaned, ck).awaitTermination()
     star = P.star_from_cleaned_table(spark, cleaned, cap_mode="disc")

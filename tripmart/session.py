@@ -91,3 +91,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
     except Exception:  # noqa: BLE001 - no local context
         return os.path.exists(path.replace("file:", "", 1))
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds a table: any entry not starting with '_' or '.'."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return False
+        return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
+    except Exception:  # noqa: BLE001 - no local context
+        local = path.replace("file:", "", 1)
+        return os.path.isdir(local) and any(not n.startswith(("_", ".")) for n in os.listdir(local))

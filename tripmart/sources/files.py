@@ -176,9 +176,9 @@ def write_trip_files(trips: DataFrame, folder: str, colour: str = "yellow") -> l
 
 def landed_files(spark: SparkSession, raw_zone: str) -> DataFrame:
     """Names of the files already in the raw zone (one ``landed_file=`` folder each)."""
-    from tripmart.session import path_exists
+    from tripmart.session import has_data
     landed = f"{raw_zone.rstrip('/')}/_landed"
-    if not path_exists(spark, landed):          # nothing landed yet
+    if not has_data(spark, landed):          # nothing landed yet
         return spark.createDataFrame([], "file_name string")
     files = listing(spark, landed)
     return files.select(F.regexp_extract("file_name", r"^landed_file=(.+)$", 1).alias("file_name"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tripmart.operators.clean import clean_prefix
 from tripmart.schema import PICKUP, RAW
-from tripmart.session import path_exists
+from tripmart.session import has_data
 from tripmart.sources.files import entry_name, trip_glob
 
 MONTH = "pickup_month"
@@ -56,7 +56,7 @@ def upsert_cleaned(batch: DataFrame, cleaned_path: str, passenger_policy: str =
     months = [r[MONTH] for r in new.select(MONTH).distinct().collect()]   # bounded by the calendar
     if not months:
         return
-    if path_exists(spark, cleaned_path):
+    if has_data(spark, cleaned_path):
         old = spark.read.parquet(cleaned_path).where(F.col(MONTH).isin(months))
         merged = old.unionByName(new).distinct()
     else:                                   # first batch: no table yet
