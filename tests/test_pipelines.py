@@ -113,3 +113,20 @@ def test_stream_merges_same_month_across_batches(spark, tmp_path):
         ST.clean_stream(spark, landing, cleaned, ck).awaitTermination()
     out = spark.read.parquet(cleaned)
     assert out.count() == 8 and out.distinct().count() == 8
+
+
+def test_cleaned_table_prunes_months_and_columns(spark, tmp_path):
+    """Readers of the cleaned table scan only the months and columns they use."""
+    from pyspark.sql import functions as F
+
+    from tripmart.operators import mart as M
+    out = str(tmp_path / "cleaned")
+    P.run_clean(trips(spark, SF_SMALL), out, cap_mode="disc")
+    df = spark.read.parquet(out).where(F.col("pickup_month") == "1995-01")
+    q = M.peak_hour(df)
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(
+        q._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(pickup_month" in plan and "1995-01" in plan
+    read_schema = [line for line in plan.splitlines() if line.startswith("ReadSchema")]
+    assert read_schema == ["ReadSchema: struct<tpep_pickup_datetime:timestamp_ntz>"]
+    assert q.agg(F.sum("trips")).first()[0] == df.count()
