@@ -12,7 +12,7 @@ from tripmart.operators import profile as PR
 from tripmart.operators import quantiles as Q
 from tripmart.operators import star as S
 from tripmart.operators.keys import hash_key
-from tripmart.plans import pipelines as P
+from tripmart.plans import jobs as P
 
 
 def test_dedupe_treats_null_as_equal(spark):

@@ -13,7 +13,7 @@ from tripmart.operators import quantiles as Q
 from tripmart.operators import star as S
 from tripmart.operators.checks import star_checks
 from tripmart.operators.keys import dense_key
-from tripmart.plans import pipelines as P
+from tripmart.plans import jobs as P
 from tripmart.sources.tables import trips
 
 

@@ -3,7 +3,7 @@ import pytest
 
 from conftest import SF_SMALL
 from tripmart.operators.checks import star_checks
-from tripmart.plans import pipelines as P
+from tripmart.plans import jobs as P
 from tripmart.sources import files as FS
 from tripmart.sources import sinks as SK
 from tripmart.sources.tables import trips, zones

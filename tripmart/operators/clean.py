@@ -77,7 +77,7 @@ def cap_columns(df: DataFrame, cols: list[str] | None = None, q: float = CAP_QUA
 
     All thresholds come from one input; capping one column never moves another
     column's quantile, so they are computed together. Runs actions: pass a
-    materialised frame (see ``tripmart.plans.pipelines.stage``).
+    materialised frame (see ``tripmart.plans.jobs.stage``).
     """
     cols = CAP_COLUMNS if cols is None else cols
     present = [c for c in cols if c in df.columns]

@@ -86,7 +86,7 @@ def forward_fill(df: DataFrame, cols: list[str], order_by: list[str],
     (partition, key) segment is carried into the following segments of the
     same key through a small table (one row per segment).
     """
-    from tripmart.plans.pipelines import stage
+    from tripmart.plans.jobs import stage
 
     keys = list(partition_by or [])
     spark = df.sparkSession
@@ -146,7 +146,7 @@ def adaptive_fill(df: DataFrame, median_below: float = MEDIAN_NULL_SHARE,
 def adaptive_clean(raw: DataFrame, mode: str = "exact") -> DataFrame:
     """PL4: dedupe -> duration -> 3-predicate filter -> adaptive fills -> caps
     at the 0.99 quantile (interpolated) of duration, fare and distance."""
-    from tripmart.plans.pipelines import stage
+    from tripmart.plans.jobs import stage
 
     valid = stage(adaptive_valid(raw), "adaptive")
     filled = stage(adaptive_fill(valid, mode=mode), "adaptive-filled")

@@ -19,7 +19,7 @@ _ROW_BITS = 33  # monotonically_increasing_id: partition index << 33 | row in pa
 def dense_key(df: DataFrame, cols: list[str], name: str,
               num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based global rank of each row by ``cols`` (rows unique on ``cols``)."""
-    from tripmart.plans.pipelines import stage
+    from tripmart.plans.jobs import stage
 
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

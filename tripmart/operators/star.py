@@ -95,7 +95,7 @@ def fact_trip(clean: DataFrame, dim_dt: DataFrame | None = None, key_mode: str =
               money_mode: str = "cast") -> DataFrame:
     """ST6 + JN1: one row per cleaned trip with its dimension keys.
 
-    ``clean`` must carry ``trip_id`` (see ``pipelines.clean_job(trip_id=True)``)
+    ``clean`` must carry ``trip_id`` (see ``jobs.clean_job(trip_id=True)``)
     or the id is left out.
     """
     if key_mode == "hash":

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tripmart.operators import clean as C
 from tripmart.plans import oracle as O
-from tripmart.plans import pipelines as P
+from tripmart.plans import jobs as P
 from tripmart.schema import CAP_COLUMNS, DURATION, PICKUP
 from tripmart.sources.tables import trips
 
@@ -446,8 +446,8 @@ def q_forward_fill_global(spark, sf):
     return I.forward_fill(ev, ["value_filled"], ["ts", "event_id"])
 
 
-@register("profile_pipeline", O.adaptive_clean_sql(O.full_report_sql("ad_capped", O.adaptive_schema())))
-def q_profile_pipeline(spark, sf):
+@register("clean_and_profile", O.adaptive_clean_sql(O.full_report_sql("ad_capped", O.adaptive_schema())))
+def q_clean_and_profile(spark, sf):
     """PL5: load -> adaptive clean -> full report."""
     return PR.full_report_long(P.stage(I.adaptive_clean(trips(spark, sf)), "profile-in"))
 

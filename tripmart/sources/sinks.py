@@ -61,7 +61,7 @@ def load_warehouse(star: dict[str, DataFrame], warehouse: str, run_id: str | Non
     spark = next(iter(star.values())).sparkSession
     run_id = run_id or new_run_id()
     base = f"{warehouse.rstrip('/')}/_runs/{run_id}"
-    from tripmart.plans.pipelines import write_concurrently
+    from tripmart.plans.jobs import write_concurrently
 
     def job(name):
         df = star[name]

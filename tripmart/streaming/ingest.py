@@ -47,7 +47,7 @@ def land_stream(spark: SparkSession, source: str, raw_zone: str, checkpoint: str
 
 def upsert_cleaned(batch: DataFrame, cleaned_path: str, passenger_policy: str = "drop") -> None:
     """Merge one batch of raw trips into the month-partitioned cleaned table."""
-    from tripmart.plans.pipelines import stage
+    from tripmart.plans.jobs import stage
 
     spark = batch.sparkSession
     new = (clean_prefix(batch.drop("source_file"), passenger_policy)
