@@ -148,10 +148,12 @@ def adaptive_clean(raw: DataFrame, mode: str = "exact") -> DataFrame:
     at the 0.99 quantile (interpolated) of duration, fare and distance."""
     from tripmart.plans.jobs import stage
 
+    from tripmart.plans.jobs import staged_caps
     valid = stage(adaptive_valid(raw), "adaptive")
-    filled = stage(adaptive_fill(valid, mode=mode), "adaptive-filled")
-    return quantiles.cap(filled, quantiles.thresholds(
-        filled, ["trip_duration", "fare_amount", "trip_distance"], 0.99, mode))
+    filled, limits = staged_caps(adaptive_fill(valid, mode=mode),
+                                 ["trip_duration", "fare_amount", "trip_distance"], mode, 1e-4,
+                                 "adaptive-filled")
+    return quantiles.cap(filled, limits)
 
 
 def null_ratio_table(df: DataFrame, median_below: float = MEDIAN_NULL_SHARE) -> DataFrame:

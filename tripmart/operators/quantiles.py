@@ -31,9 +31,26 @@ def _valid(c: str):
     return F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
 
 
+def _accuracy(rel_error: float) -> int:
+    return max(1, int(round(1.0 / rel_error))) if rel_error > 0 else 1_000_000
+
+
+def stat_exprs(cols: list[str], q: float, mode: str = "approx", rel_error: float = 1e-4) -> list:
+    """Aggregates that ``thresholds(..., stats=...)`` needs, for ``df.observe``:
+    computed while another job (the stage write) scans the data anyway."""
+    if mode == "approx":
+        return [F.percentile_approx(F.col(c).cast("double"), q, _accuracy(rel_error)).alias(f"_q_{c}")
+                for c in cols]
+    return ([F.count_if(_valid(c)).alias(c) for c in cols]
+            + [F.approx_count_distinct(c, 0.05).alias(f"_ndv_{c}") for c in cols])
+
+
 def thresholds(df: DataFrame, cols: list[str], q: float, mode: str = "approx",
-               rel_error: float = 1e-4) -> dict[str, float | None]:
-    """Quantile ``q`` of each column; None for a column with no values."""
+               rel_error: float = 1e-4, stats: dict | None = None) -> dict[str, float | None]:
+    """Quantile ``q`` of each column; None for a column with no values.
+    ``stats``: the observed values of ``stat_exprs`` (saves a pass)."""
+    if mode == "approx" and stats is not None:
+        return {c: (None if stats[f"_q_{c}"] is None else float(stats[f"_q_{c}"])) for c in cols}
     if mode == "approx":
         acc = max(1, int(round(1.0 / rel_error))) if rel_error > 0 else 1_000_000
         row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), q, acc).alias(c)
@@ -41,7 +58,7 @@ def thresholds(df: DataFrame, cols: list[str], q: float, mode: str = "approx",
         return {c: (None if row[c] is None else float(row[c])) for c in cols}
     if mode not in ("disc", "exact"):
         raise ValueError(f"unknown quantile mode {mode!r}")
-    vals = quantile_values(df, cols, [q], mode, rel_error)
+    vals = quantile_values(df, cols, [q], mode, rel_error, stats=stats)
     return {c: v[0] for c, v in vals.items()}
 
 
@@ -114,7 +131,8 @@ def _narrow(vals: DataFrame, ks: list[int], n: int, accuracy: int) -> dict[int,
 
 
 def quantile_values(df: DataFrame, cols: list[str], ps: list[float],
-                    mode: str = "exact", rel_error: float = 1e-4) -> dict[str, list[float | None]]:
+                    mode: str = "exact", rel_error: float = 1e-4,
+                    stats: dict | None = None) -> dict[str, list[float | None]]:
     """Several quantiles of several columns: ``{col: [value per p]}``."""
     if mode == "approx":
         acc = max(1, int(round(1.0 / rel_error)))
@@ -122,8 +140,7 @@ def quantile_values(df: DataFrame, cols: list[str], ps: list[float],
                        .alias(c) for c in cols]).first()
         return {c: ([None] * len(ps) if row[c] is None else [float(v) for v in row[c]])
                 for c in cols}
-    counts = df.agg(*[F.count_if(_valid(c)).alias(c) for c in cols],
-                    *[F.approx_count_distinct(c, 0.05).alias(f"_ndv_{c}") for c in cols]).first()
+    counts = stats if stats is not None else df.agg(*stat_exprs(cols, 0.5, mode)).first()
     ranks: dict[str, list[int]] = {}
     for c in cols:
         n = int(counts[c])

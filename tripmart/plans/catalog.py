@@ -96,8 +96,9 @@ def q_cast_types(spark, sf):
 
 
 def _capped(spark, sf, mode):
-    pre = P.stage(C.fill_constants(valid(spark, sf)), "cap-pre")
-    return C.cap_columns(pre, CAP_COLUMNS, mode=mode)
+    from tripmart.operators import quantiles
+    pre, limits = P.staged_caps(C.fill_constants(valid(spark, sf)), CAP_COLUMNS, mode, 1e-4, "cap-pre")
+    return quantiles.cap(pre, limits)
 
 
 @register("cap_disc", O.with_steps("trips", "dedup", "dur", "valid", "filled", "caps_disc", "capped")

@@ -30,12 +30,35 @@ def stage_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return write_concurrently({n: (lambda df=df, n=n: stage(df, n.lower())) for n, df in tables.items()})
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` to a fresh folder in the shared work area and read it back."""
+def stage(df: DataFrame, name: str = "stage", observe: list | None = None):
+    """Write ``df`` to a fresh folder in the shared work area and read it back.
+
+    With ``observe`` (aggregate expressions) the aggregates are computed during
+    the write itself and returned as well: ``(frame, {name: value})``.
+    """
+    import uuid
+
+    from pyspark.sql import Observation
+
     spark = df.sparkSession
     path = work_dir(spark, name)
+    obs = None
+    if observe:
+        obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        df = df.observe(obs, *observe)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    return (out, obs.get) if observe else out
+
+
+def staged_caps(df: DataFrame, cols: list[str], mode: str, rel_error: float, name: str,
+                q: float = 0.99):
+    """Stage ``df`` and get its cap thresholds, their statistics observed
+    during the stage write (approx: no extra pass at all)."""
+    from tripmart.operators import quantiles
+    present = [c for c in cols if c in df.columns]
+    staged, stats = stage(df, name, observe=quantiles.stat_exprs(present, q, mode, rel_error))
+    return staged, quantiles.thresholds(staged, present, q, mode, rel_error, stats=stats)
 
 
 def clean_job(raw: DataFrame, cap_mode: str = "approx", rel_error: float = 1e-4,
@@ -48,19 +71,22 @@ def clean_job(raw: DataFrame, cap_mode: str = "approx", rel_error: float = 1e-4,
     stage table. ``trip_id=True`` adds a unique id right after the dedupe,
     fixed by the stage write (fills, caps and casts may later make rows equal).
     """
+    from tripmart.operators import quantiles
     pre = C.clean_prefix(raw, passenger_policy, fills)
     if trip_id:
         pre = pre.withColumn("trip_id", row_id())
-    pre = stage(pre, "clean-pre")
-    out = C.cap_columns(pre, CAP_COLUMNS, mode=cap_mode, rel_error=rel_error)
+    pre, limits = staged_caps(pre, CAP_COLUMNS, cap_mode, rel_error, "clean-pre")
+    out = quantiles.cap(pre, limits)
     return C.cast_int_columns(out) if cast else out
 
 
 def clean_early(raw: DataFrame, cap_mode: str = "approx", rel_error: float = 1e-4) -> DataFrame:
     """PL3: the early Spark cleaner - fill policy for passengers, caps on fare
     and distance only, no casts; duration column named ``trip_duration``."""
-    pre = stage(C.clean_early_prefix(raw), "clean-early")
-    return C.cap_columns(pre, EARLY_CAP_COLUMNS, mode=cap_mode, rel_error=rel_error)
+    from tripmart.operators import quantiles
+    pre, limits = staged_caps(C.clean_early_prefix(raw), EARLY_CAP_COLUMNS, cap_mode, rel_error,
+                              "clean-early")
+    return quantiles.cap(pre, limits)
 
 
 def run_clean(raw: DataFrame, out_path: str, cap_mode: str = "approx", rel_error: float = 1e-4,
