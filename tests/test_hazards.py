@@ -3,7 +3,6 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import raw_frame, trip
 from tripmart.operators import clean as C
