@@ -135,11 +135,13 @@ def test_csv_round_trip_keeps_nulls_and_newlines(spark, tmp_path):
     from tripmart.sources.files import read_star_csv
     from tripmart.sources.sinks import write_star_csv
     rows = [(1, None, "two\nlines", None), (2, "Queens", "JFK, \"T4\"", None)]
-    df = spark.createDataFrame(rows, "location_id int, borough string, zone string, service_zone string")
+    df = spark.createDataFrame(rows + [(3, "", "x", None)],
+                               "location_id int, borough string, zone string, service_zone string")
     path = str(tmp_path / "loc")
     write_star_csv(df, path, "DIM_LOCATION")
     back = sorted(read_star_csv(spark, path, "DIM_LOCATION").collect())
-    assert [tuple(r) for r in back] == rows
+    # NULL and quoted newlines / quotes survive; an empty string reads back as NULL (H10)
+    assert [tuple(r) for r in back] == rows + [(3, None, "x", None)]
 
 
 def test_landing_files_validation_and_idempotent_land(spark, tmp_path):
@@ -150,8 +152,11 @@ def test_landing_files_validation_and_idempotent_land(spark, tmp_path):
     names = FS.write_trip_files(df, src)
     assert names == ["yellow_tripdata_2025-01.parquet", "yellow_tripdata_2025-02.parquet"]
     df.limit(1).write.parquet(str(tmp_path / "src" / "notes"))      # wrong pattern, ignored
+    FS.write_trip_files(df.limit(1), src, colour="green")           # other colour (H14)
     m = {r.file_name: (r.colour, r.period, r.valid_name) for r in FS.manifest(spark, src).collect()}
     assert m["yellow_tripdata_2025-02.parquet"] == ("yellow", "2025-02", True)
+    assert m["notes"][2] is False and m["green_tripdata_2025-01.parquet"][0] == "green"
+    assert FS.read_trips(spark, src).count() == 2                   # yellow files only
     assert FS.validate_landing(spark, src).count() == 2
     with pytest.raises(ValueError):
         FS.validate_landing(spark, src, min_files=3)

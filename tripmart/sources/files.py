@@ -127,14 +127,15 @@ def file_counts(spark: SparkSession, path: str, colour: str = "yellow") -> DataF
     return with_name_parts(rows).select("file_name", "colour", "period", "valid_name", "trips")
 
 
-def land(spark: SparkSession, source: str, raw_zone: str) -> dict[str, int]:
-    """SRC5: land files not already in the raw zone; counts by status.
+def land(spark: SparkSession, source: str, raw_zone: str, colour: str = "yellow") -> dict[str, int]:
+    """SRC5: land files of one colour not already in the raw zone; counts by status.
 
     The landed set is the raw zone's own listing; new files are a ``left_anti``
     join on file name, so re-running lands nothing twice. Rows are appended
-    under one ``landed_file=<name>`` folder per source file.
+    under one ``landed_file=<name>`` folder per source file, read with the
+    colour's schema (only yellow's is defined; other colours are not landed).
     """
-    src = manifest(spark, source).where("valid_name")
+    src = manifest(spark, source).where(F.col("valid_name") & (F.col("colour") == colour))
     landed = landed_files(spark, raw_zone)
     names = [r.file_name for r in src.join(landed, "file_name", "left_anti")
                                      .select("file_name").collect()]     # file names only
