@@ -134,3 +134,11 @@ def test_forward_fill_null_key_crosses_segments(spark):
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ref = df.withColumn("value", F.last("value", ignorenulls=True).over(w))
     assert ours.exceptAll(ref).count() == 0 and ours.where("value IS NULL").count() == 0
+
+
+def test_hash_trip_id_is_stable_and_unique(spark):
+    a = P.clean_job(trips(spark, SF_SMALL), cap_mode="disc", trip_id="hash")
+    b = P.clean_job(trips(spark, SF_SMALL), cap_mode="disc", trip_id="hash")
+    assert a.select("trip_id").distinct().count() == a.count() == 4402
+    assert a.select("trip_id").exceptAll(b.select("trip_id")).count() == 0   # same across reruns
+    assert star_checks(S.build_star(a)).where("violations > 0").count() == 0

@@ -63,17 +63,24 @@ def staged_caps(df: DataFrame, cols: list[str], mode: str, rel_error: float, nam
 
 def clean_job(raw: DataFrame, cap_mode: str = "approx", rel_error: float = 1e-4,
               passenger_policy: str = "drop", fills: dict | None = None,
-              cast: bool = True, trip_id: bool = False) -> DataFrame:
+              cast: bool = True, trip_id: bool | str = False) -> DataFrame:
     """PL1: dedupe -> duration -> filter -> fill -> cap (3 columns) -> casts.
 
     Two passes over the data instead of the six of a naive job: one writes the
     deduped, valid, filled trips; the quantile passes and the result read that
-    stage table. ``trip_id=True`` adds a unique id right after the dedupe,
-    fixed by the stage write (fills, caps and casts may later make rows equal).
+    stage table. ``trip_id=True`` (or ``"row"``) adds a unique id right after
+    the dedupe, fixed by the stage write (fills, caps and casts may later make
+    rows equal); ``trip_id="hash"`` uses a 64-bit hash of the raw columns
+    instead - the same across reruns, but check it with CHK2 at large sizes.
     """
     from tripmart.operators import quantiles
-    pre = C.clean_prefix(raw, passenger_policy, fills)
-    if trip_id:
+    rows = C.dedupe(raw)
+    if trip_id == "hash":                       # raw values, right after the dedupe
+        from tripmart.operators.keys import hash_key
+        from tripmart.schema import RAW_COLUMNS
+        rows = rows.withColumn("trip_id", hash_key(*[c for c in RAW_COLUMNS if c in raw.columns]))
+    pre = C.fill_constants(C.valid_trips(C.with_duration(rows), passenger_policy), fills)
+    if trip_id and trip_id != "hash":
         pre = pre.withColumn("trip_id", row_id())
     pre, limits = staged_caps(pre, CAP_COLUMNS, cap_mode, rel_error, "clean-pre")
     out = quantiles.cap(pre, limits)
