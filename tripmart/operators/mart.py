@@ -7,10 +7,11 @@ after their size is checked.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.schema import PICKUP
+from tripmart.functions.scalar import avg_speed, money
+from tripmart.schema import DROPOFF, DURATION, PICKUP
 
 
 def peak_hour(trips: DataFrame) -> DataFrame:
@@ -19,10 +20,7 @@ def peak_hour(trips: DataFrame) -> DataFrame:
                  .agg(F.count(F.lit(1)).alias("trips")))
 
 
-from pyspark.sql import Window  # noqa: E402
 
-from tripmart.functions.scalar import avg_speed, money  # noqa: E402
-from tripmart.schema import DROPOFF, DURATION  # noqa: E402
 
 HOURS = list(range(24))
 # Money totals: decimal(38,2) holds any sum of decimal(10,2) amounts exactly.
