@@ -154,3 +154,14 @@ def test_recurring_trigger_picks_up_new_files(spark, tmp_path):
         assert spark.read.parquet(cleaned).count() == 2
     finally:
         q.stop()
+
+
+def test_run_star_parquet_and_failed_write_surfaces(spark, tmp_path):
+    from pyspark.sql import functions as F
+    clean = P.clean_job(trips(spark, SF_SMALL), cap_mode="disc", trip_id=True)
+    paths = P.run_star(clean, str(tmp_path / "star"), csv=False)
+    assert spark.read.parquet(paths["FACT_TRIP"]).count() == 4402
+    assert spark.read.parquet(paths["DIM_PAYMENT"]).count() == 7
+    bad = spark.range(3).select(F.raise_error(F.lit("boom")).alias("x"))
+    with pytest.raises(Exception):
+        P.stage_all({"OK": spark.range(3), "BAD": bad})
