@@ -1,0 +1 @@
+"""Column functions built from Spark built-ins."""

@@ -1,0 +1,2 @@
+"""Operators: DataFrame -> DataFrame steps (clean, quantiles, keys, star, checks,
+profile, impute, mart)."""

@@ -1,0 +1,2 @@
+"""Sources and sinks: driver tables and the trip view, trip files and landing,
+cleaned / star / warehouse writers."""

@@ -1,0 +1 @@
+"""Structured Streaming: trip file arrival, landing and month upserts."""
