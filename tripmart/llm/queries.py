@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from tripmart.llm.debruijn_dedup import op4_debruijn_dedup
+from tripmart.llm.simhash_dedup import op6_simhash_dedup
 from tripmart.llm.suffix_dedup import op1_suffix_dedup
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op4_debruijn_dedup": op4_debruijn_dedup,
+    "op6_simhash_dedup": op6_simhash_dedup,
 }
 
 ORACLE: dict[str, str] = {}
