@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tripmart.llm.debruijn_dedup import op4_debruijn_dedup
+from tripmart.llm.mixing import op7_mixing
 from tripmart.llm.simhash_dedup import op6_simhash_dedup
 from tripmart.llm.suffix_dedup import op1_suffix_dedup
 
@@ -10,6 +11,7 @@ QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op4_debruijn_dedup": op4_debruijn_dedup,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op7_mixing": op7_mixing,
 }
 
 ORACLE: dict[str, str] = {}
