@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,18 @@ def id_type(df: DataFrame, col: str = "id") -> str:
     return df.schema[col].dataType.simpleString()
 
 
+def slices(batch: pa.RecordBatch, text: int, limit: int = 1 << 22):
+    """Parts of a batch with at most ``limit`` bytes of text (one row at least)."""
+    size = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
+    upto = np.cumsum(size, dtype=np.int64)
+    lo = 0
+    while lo < batch.num_rows:
+        hi = int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + limit, side="right"))
+        hi = max(lo + 1, hi)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 # ------------------------------------------------------------------ hashing
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -86,19 +99,19 @@ class BitFilter:
         return out
 
 
-def bit_filter(keys: DataFrame):
-    """Broadcast ``BitFilter`` over the one long column of ``keys``. Each task
-    fills pages, pages are or-ed in the cluster, the driver gets the sum."""
+def bit_filter(keys: DataFrame, key=None):
+    """Broadcast ``BitFilter`` over the first (long) column of ``keys``, or over
+    what ``key`` makes of a batch. Each task fills pages, pages are or-ed in the
+    cluster, the driver gets the sum."""
     spark = keys.sparkSession
-    col = keys.columns[0]
+    key = key or (lambda b: b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
     bits = int(np.clip(np.ceil(np.log2(max(keys.count(), 1) * 16)), 16, BitFilter.MAX_BITS))
     page = BitFilter.PAGE
 
     def fill(batches):
         data = np.zeros(1 << (bits - 3), np.uint8)
         for b in batches:
-            k = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for p in BitFilter.places(k, bits):
+            for p in BitFilter.places(key(b), bits):
                 np.bitwise_or.at(data, (p >> np.uint64(3)).astype(np.int64),
                                  (np.uint8(1) << (p & np.uint64(7)).astype(np.uint8)))
         pages = data.reshape(-1, page)
@@ -115,7 +128,7 @@ def bit_filter(keys: DataFrame):
         return pd.DataFrame({"page": [key[0]], "data": [out.tobytes()]})
 
     schema = "page long, data binary"
-    merged = (keys.select(F.col(col)).mapInArrow(fill, schema)
+    merged = (keys.mapInArrow(fill, schema)
               .groupBy("page").applyInPandas(merge, schema))
     data = np.zeros(1 << (bits - 3), np.uint8)
     for r in merged.toLocalIterator():

@@ -23,8 +23,8 @@ _rng = np.random.default_rng(7)
 BYTE = _rng.integers(0, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2 ** 64)
-POS_BITS = 21                       # positions in a block; the other bits order anchors
-BLOCK = 1 << 20                     # symbols handled at a time
+POS_BITS = 19                       # positions in a block; the other bits order anchors
+BLOCK = 1 << 18                     # symbols handled at a time
 _tables = {}
 
 

@@ -13,14 +13,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm._common import bit_filter, id_type, mix, stage
+from tripmart.llm._common import bit_filter, id_type, mix, slices, stage
 from tripmart.llm._grams import Grams, i64
 
 
 def _repeated_anchors(docs: DataFrame, g: Grams) -> DataFrame:
     def scan(batches):
-        for b in batches:
-            for bl in g.blocks(b.column(0)):
+        for whole in batches:
+            for bl in (bl for b in slices(whole, 0) for bl in g.blocks(b.column(0))):
                 yield pa.RecordBatch.from_pydict({"anchor": i64(bl.anchor)})
 
     return (docs.select("text").mapInArrow(scan, "anchor long")
@@ -34,7 +34,7 @@ def repeated_runs(docs: DataFrame, g: Grams) -> DataFrame:
     seen = bit_filter(stage(_repeated_anchors(docs, g), "anchors"))
 
     def scan(batches):
-        for b in batches:
+        for b in (b for whole in batches for b in slices(whole, 2)):
             for bl in g.blocks(b.column(2)):
                 at = np.flatnonzero(seen.value.has(bl.anchor))
                 row = pa.array(bl.row[at])
@@ -65,28 +65,21 @@ def _run_key(anchor, th, start) -> np.ndarray:
 
 def run_filter(runs: DataFrame):
     """Bit filter over runs given as (anchor, th, start), for ``picked``."""
-    def keys(batches):
-        for b in batches:
-            a, t, s = (b.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(3))
-            yield pa.RecordBatch.from_pydict({"k": i64(_run_key(a, t, s))})
-
-    def docs(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_pydict({"k": b.column(0)})
+    def key(b):
+        return _run_key(*(b.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(3)))
 
     base = runs.select("anchor", "th", "start")
-    return (bit_filter(base.mapInArrow(keys, "k long")),
-            bit_filter(base.select("th").distinct().mapInArrow(docs, "k long")))
+    return bit_filter(base, key), bit_filter(base.select("th").distinct())
 
 
-def picked(batch: pa.RecordBatch, g: Grams, filters):
+def picked(batches, g: Grams, filters):
     """(block, indices of its picked runs) over the rows of (id, th, text) that
-    the document filter lets through."""
+    the document filter lets through; ``block.batch`` holds those rows."""
     run_f, doc_f = filters
-    th = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-    rows = np.flatnonzero(doc_f.value.has(th))
-    if len(rows):
-        part = batch.take(pa.array(rows))
+    for b in (b for whole in batches for b in slices(whole, 2)):
+        th = b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+        rows = np.flatnonzero(doc_f.value.has(th))
+        part = b.take(pa.array(rows))
         for bl in g.blocks(part.column(2)):
             bl.batch = part
             at = np.flatnonzero(run_f.value.has(_run_key(bl.anchor, th[rows][bl.row], bl.start)))

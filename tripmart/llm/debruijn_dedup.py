@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm._common import id_type, keyed, read, same_row, stage
+from tripmart.llm._common import id_type, keyed, read, same_row, slices, stage
 from tripmart.llm._grams import Grams, i64, text_buffer, word_bounds
 from tripmart.llm._repeats import classes, picked, repeated_runs, run_filter
 
@@ -41,13 +41,12 @@ def _branches(docs: DataFrame, cls: DataFrame, g: Grams) -> DataFrame:
     filters = run_filter(mixed)
 
     def edges(batches):
-        for b in batches:
-            for bl, at in picked(b, g, filters):
-                run, off, h = bl.windows(at)
-                row = pa.array(bl.row[run])
-                yield pa.RecordBatch.from_arrays(
-                    [bl.batch.column(0).take(row), i64(bl.anchor[run]), i64(bl.content[run]), i64(h),
-                     pa.array(off.astype(np.int32))], ["id", "anchor", "content", "edge", "off"])
+        for bl, at in picked(batches, g, filters):
+            run, off, h = bl.windows(at)
+            row = pa.array(bl.row[run])
+            yield pa.RecordBatch.from_arrays(
+                [bl.batch.column(0).take(row), i64(bl.anchor[run]), i64(bl.content[run]), i64(h),
+                 pa.array(off.astype(np.int32))], ["id", "anchor", "content", "edge", "off"])
 
     # copies of a document are picked together: the smallest id is the class's source
     e = stage(docs.mapInArrow(edges, f"id {idt}, anchor long, content long, edge long, off int")
@@ -77,7 +76,7 @@ def removed_spans(docs: DataFrame, size: int = 13, gram: int = 4, id_col: str =
 
 
 def _cut(batches, with_text):
-    for b in batches:
+    for b in (b for whole in batches for b in slices(whole, 2)):
         data, offs = text_buffer(b.column(2))
         start, end, woffs = word_bounds(data, offs)
         raw = data.tobytes()

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm._common import id_type, keyed, read, same_row, stage
+from tripmart.llm._common import id_type, keyed, read, same_row, slices, stage
 from tripmart.llm._grams import Grams, i64, text_buffer
 from tripmart.llm._repeats import classes, picked, repeated_runs, run_filter
 
@@ -69,17 +69,15 @@ def _partial(docs: DataFrame, cls: DataFrame, g: Grams) -> DataFrame:
     place = f"id {idt}, th long, start long"
 
     def pieces(batches):
-        for b in batches:
-            for bl, at in picked(b, g, rare_f):
-                col = bl.batch.column(2)
-                data, offs = text_buffer(col)
-                row = pa.array(bl.row[at])
-                lo = offs[bl.row[at]] + bl.start[at]
-                hi = lo + bl.count[at] + g.size - 1
-                yield pa.RecordBatch.from_arrays(
-                    [bl.batch.column(0).take(row), bl.batch.column(1).take(row), pa.array(bl.start[at]),
-                     i64(bl.anchor[at]), pa.array([data[x:y].tobytes() for x, y in zip(lo, hi, strict=True)], pa.binary())],
-                    ["id", "th", "start", "anchor", "piece"])
+        for bl, at in picked(batches, g, rare_f):
+            data, offs = text_buffer(bl.batch.column(2))
+            row = pa.array(bl.row[at])
+            lo = offs[bl.row[at]] + bl.start[at]
+            hi = lo + bl.count[at] + g.size - 1
+            yield pa.RecordBatch.from_arrays(
+                [bl.batch.column(0).take(row), bl.batch.column(1).take(row), pa.array(bl.start[at]),
+                 i64(bl.anchor[at]), pa.array([data[x:y].tobytes() for x, y in zip(lo, hi, strict=True)], pa.binary())],
+                ["id", "th", "start", "anchor", "piece"])
 
     def groups(batches):
         held, now = [], None
@@ -132,14 +130,13 @@ def _partial(docs: DataFrame, cls: DataFrame, g: Grams) -> DataFrame:
            .mapInArrow(groups, f"{place}, count long, later boolean"))
 
     def windows(batches):
-        for b in batches:
-            for bl, at in picked(b, g, hot_f):
-                run, off, h = bl.windows(at)
-                row = pa.array(bl.row[run])
-                yield pa.RecordBatch.from_arrays(
-                    [bl.batch.column(0).take(row), bl.batch.column(1).take(row), pa.array(bl.start[run] + off),
-                     i64(bl.anchor[run]), i64(bl.content[run]), i64(h)],
-                    ["id", "th", "start", "anchor", "content", "h"])
+        for bl, at in picked(batches, g, hot_f):
+            run, off, h = bl.windows(at)
+            row = pa.array(bl.row[run])
+            yield pa.RecordBatch.from_arrays(
+                [bl.batch.column(0).take(row), bl.batch.column(1).take(row), pa.array(bl.start[run] + off),
+                 i64(bl.anchor[run]), i64(bl.content[run]), i64(h)],
+                ["id", "th", "start", "anchor", "content", "h"])
 
     many = stage(docs.mapInArrow(windows, f"{place}, anchor long, content long, h long"), "windows")
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "start")
@@ -170,8 +167,8 @@ def repeats(docs: DataFrame, size: int = 400, id_col: str = "doc_id", text_col:
     return whole.unionByName(part)
 
 
-def _cut(batches, remove_of):
-    for b in batches:
+def _cut(batches, with_text):
+    for b in (b for whole in batches for b in slices(whole, 2)):
         data, offs = text_buffer(b.column(2))
         keep_hash, removed, spans, kept = [], [], [], []
         for i, found in enumerate(b.column(3).to_pylist()):
@@ -191,7 +188,7 @@ def _cut(batches, remove_of):
             kept.append(left)
         arrays = [b.column(0), pa.array(np.diff(offs)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
                   pa.array(keep_hash, pa.string())]
-        if remove_of:
+        if with_text:
             arrays.append(pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()))
         yield pa.RecordBatch.from_arrays(arrays, ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][:len(arrays)])
 
