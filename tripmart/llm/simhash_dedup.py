@@ -27,11 +27,11 @@ in it, the component is null. Texts are read whole.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.llm._common import id_type, read, stage
 from tripmart.llm._graph import components, forest
@@ -206,20 +206,39 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col
                     text_col: str = "text") -> DataFrame:
     """(id, fp, component): component is the smallest id reachable, itself included."""
     fp = stage(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    return grouped(fp, distance)
+    return grouped(fp, distance).drop("group")
 
 
 def grouped(fp: DataFrame, distance: int) -> DataFrame:
-    """Components of rows (id, fp, ...) by links between fingerprints."""
+    """Rows (id, fp, ...) with component (smallest id) and group (a fingerprint), by links."""
     classes = stage(fp.groupBy("fp").agg(F.min("id").alias("low")), "classes")
     comp = components(links(classes.select("fp"), distance))       # node, comp (both fp)
     member = classes.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "low", F.coalesce("comp", "fp").alias("comp"))
     low = member.groupBy("comp").agg(F.min("low").alias("component"))
-    known = member.join(low, "comp").select("fp", "component")
+    known = member.join(low, "comp").select("fp", "component", F.col("comp").alias("group"))
     return fp.join(known, "fp")
 
 
+def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each group of near copies the row with the smallest id (null last), then
+    the smallest hash of the text; of equal rows, one. All columns stay."""
+    named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    id_, at = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
+
+    def scan(batches):
+        for b in batches:
+            fp = np.array([fingerprint(t.as_py(), shingle) for t in b.column(at)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp)], [*b.schema.names, "fp"])
+
+    rows = stage(named.mapInArrow(scan, T.StructType([*named.schema, T.StructField("fp", T.LongType())]))
+                 .withColumn("rid", F.monotonically_increasing_id()), "fingerprinted")
+    key = rows.select(F.col(id_).alias("id"), "fp", "rid", F.xxhash64(at).alias("th"))
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "rid")
+    keep = grouped(key, distance).groupBy("group").agg(F.min(place).alias("place")).select(F.col("place.rid").alias("rid"))
+    return rows.join(keep, "rid", "left_semi").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def hex64(col):
     """A long as 16 lowercase hex digits, unsigned."""
     return F.lower(F.lpad(F.hex(col), 16, "0"))
@@ -231,9 +250,3 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), hex64(F.col("fp")).alias("fingerprint"),
                       F.col("component").alias("component_id"))
 
-
-def frame_links(fp: pd.Series, distance: int) -> set:
-    """All linked pairs of a small series, through the index (for tests)."""
-    v = np.sort(fp.to_numpy().view(np.uint64))
-    v = v[np.argsort(gray_rank(v), kind="stable")]
-    return {(int(v[i]), int(v[j])) for a, b in index_links(v, None, distance) for i, j in zip(a, b, strict=True)}
