@@ -28,6 +28,12 @@ def test_duration_ignores_dst_in_any_session_zone(spark):
         for tz in ("America/New_York", "UTC", "Asia/Kolkata"):
             spark.conf.set("spark.sql.session.timeZone", tz)
             assert C.with_duration(df).first()["trip_duration_min"] == 120.0
+            gap = raw_frame(spark, [trip(tpep_pickup_datetime=dt.datetime(2025, 3, 9, 2, 30),
+                                         tpep_dropoff_datetime=dt.datetime(2025, 3, 9, 3, 30)),
+                                    trip(tpep_pickup_datetime=dt.datetime(2025, 3, 9, 1, 30),
+                                         tpep_dropoff_datetime=dt.datetime(2025, 3, 9, 2, 30))])
+            assert [r[0] for r in C.with_duration(gap).select("trip_duration_min").collect()] == [60.0, 60.0]
+            assert [r[0] for r in I.adaptive_duration(gap).select("trip_duration").collect()] == [60.0, 60.0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 
@@ -165,7 +171,12 @@ def test_landing_files_validation_and_idempotent_land(spark, tmp_path):
         FS.validate_landing(spark, src, period="2025-03")          # run month not landed
     assert FS.land(spark, src, raw) == {"uploaded": 2, "skipped": 0, "failed": 0}
     assert FS.land(spark, src, raw) == {"uploaded": 0, "skipped": 2, "failed": 0}
-    assert spark.read.parquet(f"{raw}/_landed").count() == 2
+    assert FS.validate_landing(spark, raw).count() == 2             # the raw zone can be read on
+    assert FS.read_trips(spark, raw).count() == 2
+    broken = tmp_path / "src" / "yellow_tripdata_2025-04.parquet"
+    broken.write_bytes(b"not a Parquet file")
+    assert FS.land(spark, src, raw) == {"uploaded": 0, "skipped": 2, "failed": 1}
+    assert FS.read_trips(spark, raw).count() == 2                   # nothing of it is seen
 
 
 def test_load_file_and_as_frame(spark, tmp_path):
@@ -217,3 +228,82 @@ def test_adaptive_fill_forward_fills_timestamps(spark):
     assert I.fill_rules(df, I.null_ratios(df))["t"] == "ffill"
     out = {r.id: r.t for r in I.adaptive_fill(df, order_by=["id"]).collect()}
     assert out[2] == out[3] == dt.datetime(2025, 1, 1, 0, 0)
+
+
+def test_constant_not_exact_in_binary_has_no_correlation(spark):
+    df = spark.range(1000).repartition(5).selectExpr("0.3D as c", "cast(id * 7 % 13 as double) as x")
+    got = {(r.column_a, r.column_b): r.corr for r in PR.correlation_matrix(df).collect()}
+    assert got[("c", "c")] is None and got[("c", "x")] is None and got[("x", "c")] is None and got[("x", "x")] == 1.0
+
+
+def test_fill_order_must_be_whole(spark):
+    df = raw_frame(spark, [trip(), trip(tpep_pickup_datetime=None), trip(tpep_pickup_datetime=dt.datetime(2025, 1, 3))])
+    with pytest.raises(ValueError, match="order by"):
+        I.adaptive_fill(df)
+    out = I.adaptive_fill(df, order_by=["tpep_dropoff_datetime"])
+    assert out.where("tpep_pickup_datetime is null").count() == 0
+
+
+def test_quantiles_leave_nan_out_in_every_mode(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(100)] + [(float("nan"),)] * 20 + [(None,)], "v double").repartition(4)
+    for mode, want in (("disc", 94.0), ("exact", 94.05), ("approx", 94.0)):
+        assert Q.thresholds(df, ["v"], 0.95, mode, 0)["v"] == pytest.approx(want)
+
+
+def test_adaptive_clean_without_a_column(spark):
+    rows = [trip(fare_amount=float(i), store_and_fwd_flag=None if i % 2 else "N") for i in range(1, 20)]
+    out = I.adaptive_clean(raw_frame(spark, rows).drop("trip_distance", "cbd_congestion_fee"))
+    assert out.count() == 19 and "trip_distance" not in out.columns
+    assert I.adaptive_clean(raw_frame(spark, rows).drop("fare_amount")).count() == 2
+
+
+def test_fills_do_not_merge_trips_of_the_stream(spark, tmp_path):
+    """Raw trips that only the fills make alike stay two, also after the month is touched again."""
+    from tripmart.sources import files as FS
+    from tripmart.streaming import ingest as ST
+    landing, cleaned, ck = str(tmp_path / "l"), str(tmp_path / "c"), str(tmp_path / "ck")
+    for i, rows in enumerate(([trip(Airport_fee=None), trip(Airport_fee=0.0)], [trip(fare_amount=33.0), trip(Airport_fee=0.0)])):
+        FS.write_trip_files(raw_frame(spark, rows), str(tmp_path / f"s{i}"))
+        import os
+        os.makedirs(f"{landing}/yellow_tripdata_2025-01.parquet", exist_ok=True)
+        for f in os.listdir(tmp_path / f"s{i}" / "yellow_tripdata_2025-01.parquet"):
+            if f.startswith("part-"):
+                os.rename(tmp_path / f"s{i}" / "yellow_tripdata_2025-01.parquet" / f,
+                          f"{landing}/yellow_tripdata_2025-01.parquet/{f}")
+        ST.clean_stream(spark, landing, cleaned, ck).awaitTermination()
+    assert spark.read.parquet(cleaned).count() == 3
+    ST.compact(spark, cleaned, ["2025-01"])
+    assert spark.read.parquet(cleaned).count() == 3
+
+
+def test_rerun_removes_stale_months(spark, tmp_path):
+    from tripmart.sources.sinks import write_cleaned
+    feb = trip(tpep_pickup_datetime=dt.datetime(2025, 2, 3, 1, 0), tpep_dropoff_datetime=dt.datetime(2025, 2, 3, 1, 9))
+    path = str(tmp_path / "c")
+    write_cleaned(raw_frame(spark, [trip(), feb]), path)
+    write_cleaned(raw_frame(spark, [feb]), path)
+    assert [r.pickup_month for r in spark.read.parquet(path).collect()] == ["2025-02"]
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tripmart.session import ensure_checkpoint_dir
+    sc = SimpleNamespace(master="spark://head:7077", getCheckpointDir=lambda: None)
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(fake)
+
+
+def test_months_of_other_types_are_cast(spark, tmp_path):
+    from tripmart.sources import files as FS
+    from tripmart.streaming import ingest as ST
+    src = str(tmp_path / "src")
+    feb = trip(tpep_pickup_datetime=dt.datetime(2025, 2, 3, 1, 0), tpep_dropoff_datetime=dt.datetime(2025, 2, 3, 1, 9))
+    FS.write_trip_files(raw_frame(spark, [trip()]), src)
+    FS.write_trip_files(raw_frame(spark, [feb]).withColumnRenamed("Airport_fee", "airport_fee")
+                        .selectExpr("* except (passenger_count, VendorID)", "2L as passenger_count", "7L as VendorID"), src)
+    assert sorted((r.VendorID, r.passenger_count, r.Airport_fee) for r in FS.read_trips(spark, src).collect()) == [
+        (1, 1.0, 0.0), (7, 2.0, 0.0)]
+    ST.clean_stream(spark, src, str(tmp_path / "c"), str(tmp_path / "ck")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "c")).count() == 2

@@ -6,11 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def code_label(col: str | Column, labels: dict[int, str]) -> Column:
-    """FN4: code -> label through a map literal; unmapped or NULL codes give NULL."""
+def code_label(col: str | Column, labels: dict[int, str], unknown_label: str | None = None) -> Column:
+    """FN4: code -> label through a map literal. An unmapped code gives
+    ``unknown_label`` (NULL by default), a NULL code NULL."""
     pairs = [F.lit(x) for kv in labels.items() for x in kv]
     c = F.col(col) if isinstance(col, str) else col
-    return F.create_map(*pairs)[c]
+    label = F.create_map(*pairs)[c]
+    return label if unknown_label is None else F.when(c.isNotNull(), F.coalesce(label, F.lit(unknown_label)))
 
 
 def calendar(ts: str) -> dict[str, Column]:
@@ -30,15 +32,6 @@ def money(col: str | Column, mode: str = "cast") -> Column:
     return c.try_cast("decimal(10,2)") if mode == "try" else c.cast("decimal(10,2)")
 
 
-def safe_corr(x: str, y: str) -> Column:
-    """Pearson correlation over rows where both are non-null; NULL when either
-    side is constant (Spark's ``corr`` raises DIVIDE_BY_ZERO under ANSI there)."""
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    xs = F.when(both, F.col(x).cast("double"))
-    ys = F.when(both, F.col(y).cast("double"))
-    return F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
-
-
 def avg_speed(distance: str, minutes: str) -> Column:
     """MA13: distance per hour; NULL when the duration is zero or NULL."""
     return F.try_divide(F.col(distance), F.col(minutes) / F.lit(60.0))

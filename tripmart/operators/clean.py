@@ -12,10 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.operators import quantiles
-from tripmart.schema import (CAP_COLUMNS, CAP_QUANTILE, DROPOFF, DURATION,
-                             EARLY_CAP_COLUMNS, EARLY_FILL_VALUES, FILL_VALUES,
-                             INT_COLUMNS, PICKUP)
+from tripmart.schema import DROPOFF, DURATION, EARLY_FILL_VALUES, FILL_VALUES, INT_COLUMNS, PICKUP
 
 
 def dedupe(df: DataFrame) -> DataFrame:
@@ -26,10 +23,16 @@ def dedupe(df: DataFrame) -> DataFrame:
 def duration_minutes(pickup: str = PICKUP, dropoff: str = DROPOFF) -> Column:
     """Whole seconds between zone-less timestamps, in minutes.
 
-    Computed on TIMESTAMP_NTZ, so no session time zone (and no DST hour) is
-    involved.
+    A subtraction of TIMESTAMP_NTZ values, so no session time zone (and no DST
+    hour) is involved.
     """
-    return F.timestamp_diff("SECOND", F.col(pickup), F.col(dropoff)).cast("double") / F.lit(60.0)
+    return elapsed(pickup, dropoff).cast("bigint").cast("double") / F.lit(60.0)
+
+
+def elapsed(pickup: str = PICKUP, dropoff: str = DROPOFF) -> Column:
+    """Time between two zone-less timestamps as an interval of seconds."""
+    between = F.col(dropoff).cast("timestamp_ntz") - F.col(pickup).cast("timestamp_ntz")
+    return between.cast("interval second")
 
 
 def with_duration(df: DataFrame, name: str = DURATION) -> DataFrame:
@@ -71,37 +74,15 @@ def cast_int_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("int") for c in cols if c in df.columns})
 
 
-def cap_columns(df: DataFrame, cols: list[str] | None = None, q: float = CAP_QUANTILE,
-                mode: str = "approx", rel_error: float = 1e-4) -> DataFrame:
-    """AGG5/AGG6 + PRJ8/PRJ9: cap each column at its q-quantile.
-
-    All thresholds come from one input; capping one column never moves another
-    column's quantile, so they are computed together. Runs actions: pass a
-    materialised frame (see ``tripmart.plans.jobs.stage``).
-    """
-    cols = CAP_COLUMNS if cols is None else cols
-    present = [c for c in cols if c in df.columns]
-    return quantiles.cap(df, quantiles.thresholds(df, present, q, mode, rel_error))
-
-
 def clean_prefix(df: DataFrame, passenger_policy: str = "drop",
                  fills: dict | None = None) -> DataFrame:
     """Dedupe -> duration -> validity filter -> fills (the lazy, pre-cap part)."""
     return fill_constants(valid_trips(with_duration(dedupe(df)), passenger_policy), fills)
 
 
-def early_duration(df: DataFrame, name: str = "trip_duration") -> DataFrame:
-    """Duration column of the early Spark cleaner (named ``trip_duration``)."""
-    return df.withColumn(name, duration_minutes())
-
-
 def clean_early_prefix(df: DataFrame) -> DataFrame:
     """PL3 before its caps: dedupe, duration, three-predicate filter, 3 fills."""
-    out = early_duration(dedupe(df))
+    out = with_duration(dedupe(df), "trip_duration")
     out = valid_trips(out, "fill", duration="trip_duration")
     return fill_constants(out, EARLY_FILL_VALUES)
 
-
-__all__ = ["dedupe", "duration_minutes", "with_duration", "valid_trips",
-           "fill_constants", "cast_int_columns", "cap_columns", "clean_prefix",
-           "early_duration", "clean_early_prefix", "EARLY_CAP_COLUMNS"]

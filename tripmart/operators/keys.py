@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmart.schema import RAW_COLUMNS
+
 _ROW_BITS = 33  # monotonically_increasing_id: partition index << 33 | row in partition
 
 
@@ -47,6 +49,12 @@ def hash_key(*cols: str) -> Column:
     return F.xxhash64(*parts)
 
 
-def row_id() -> Column:
-    """Unique 64-bit id; only stable once the frame holding it is written."""
-    return F.monotonically_increasing_id()
+RAW_KEY = ["trip_id", "raw_check"]
+
+
+def with_raw_key(df: DataFrame) -> DataFrame:
+    """Add two independent 64-bit hashes of the raw columns a frame has: together
+    they name a raw row. Equal on every run and for any partitioning."""
+    cols = [c for c in RAW_COLUMNS if c in df.columns]
+    flags = [x for c in cols for x in (F.col(c), F.isnull(F.col(c)))]
+    return df.withColumns({RAW_KEY[0]: hash_key(*cols), RAW_KEY[1]: F.xxhash64(F.lit(1), *flags)})

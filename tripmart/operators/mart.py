@@ -1,8 +1,8 @@
 """Mart analytics over cleaned trips and the star (MA1-MA14).
 
 Group-bys with partial aggregation; windows only over already-aggregated,
-small results or partitioned by a key; dimensions joined by broadcast only
-after their size is checked.
+small results or partitioned by a key; how a dimension is joined is left to the
+optimizer, which knows the real sizes.
 """
 
 from __future__ import annotations
@@ -139,19 +139,18 @@ def trip_features(trips: DataFrame) -> DataFrame:
 def star_slice(star: dict[str, DataFrame]) -> DataFrame:
     """MA14: slice the fact by year, borough, payment and rate with a cube.
 
-    The four small dimensions are broadcast after a size check; the datetime
-    dimension is joined on its key (shuffle join at scale).
+    The fact is summed by year and keys before it meets the dimensions, and by
+    names before the cube, which expands each row 16 times. Sides are broadcast
+    where the optimizer's sizes allow it.
     """
-    from tripmart.operators.star import broadcast_if_small
-
-    f = star["FACT_TRIP"]
-    dt = star["DIM_DATETIME"].select("datetime_id", "year")
-    loc = broadcast_if_small(star["DIM_LOCATION"].select("location_id", "borough"))
-    pay = broadcast_if_small(star["DIM_PAYMENT"].select("payment_id", "payment_desc"))
-    rate = broadcast_if_small(star["DIM_RATE"].select("rate_id", "rate_desc"))
-    j = (f.join(dt, "datetime_id", "left").join(loc, "location_id", "left")
-          .join(pay, "payment_id", "left").join(rate, "rate_id", "left"))
-    return (j.cube("year", "borough", "payment_desc", "rate_desc")
+    sums = [F.sum("trips").alias("trips"), F.sum("revenue").alias("revenue")]
+    f = (star["FACT_TRIP"].join(star["DIM_DATETIME"].select("datetime_id", "year"), "datetime_id", "left")
+         .groupBy("year", "location_id", "payment_id", "rate_id")
+         .agg(F.count(F.lit(1)).alias("trips"), F.sum("total_amount").cast(SUM_MONEY).alias("revenue")))
+    named = (f.join(star["DIM_LOCATION"].select("location_id", "borough"), "location_id", "left")
+              .join(star["DIM_PAYMENT"].select("payment_id", "payment_desc"), "payment_id", "left")
+              .join(star["DIM_RATE"].select("rate_id", "rate_desc"), "rate_id", "left")
+              .groupBy("year", "borough", "payment_desc", "rate_desc").agg(*sums))
+    return (named.cube("year", "borough", "payment_desc", "rate_desc")
              .agg(F.grouping_id().cast("int").alias("grouping_level"),
-                  F.count(F.lit(1)).alias("trips"),
-                  F.sum("total_amount").cast(SUM_MONEY).alias("revenue")))
+                  F.sum("trips").alias("trips"), F.sum("revenue").cast(SUM_MONEY).alias("revenue")))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,16 +87,20 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 def missing_table(df: DataFrame) -> DataFrame:
     """AGG3 + SRT1: columns with gaps, percent rounded to 2, most missing first."""
-    p = column_profile(df).where(F.col("null_count") > 0)
+    return _gaps(column_profile(df))
+
+
+def _gaps(profile: DataFrame) -> DataFrame:
+    p = profile.where(F.col("null_count") > 0)
     return (p.select("column_name", F.col("null_count").alias("missing_count"),
                      F.round("null_pct", 2).alias("missing_pct"))
              .orderBy(F.desc("missing_count"), "column_name"))
 
 
-def summary_stats(df: DataFrame, mode: str = "exact", rel_error: float = 1e-4) -> DataFrame:
+def summary_stats(df: DataFrame, mode: str = "approx", rel_error: float = 1e-4) -> DataFrame:
     """AGG4 + FN7: count, mean, sample std, min, quartiles, max per numeric
-    column, rounded to 2 (pandas ``describe().round(2)``). Quartiles are exact
-    and interpolated by default, ``mode="approx"`` uses the sketch."""
+    column, rounded to 2 (pandas ``describe().round(2)``). Quartiles are within
+    ``rel_error`` of their rank; ``mode="exact"`` interpolates the exact ones."""
     cols = numeric_columns(df)
     qs = quantiles.quantile_values(df, cols, SUMMARY_PS, mode, rel_error)
     agg = df.agg(*[e for i, c in enumerate(cols) for e in (
@@ -113,6 +117,21 @@ def summary_stats(df: DataFrame, mode: str = "exact", rel_error: float = 1e-4) -
                                     "q25", "q50", "q75", "max"]))
 
 
+def date_summary(df: DataFrame) -> DataFrame:
+    """AGG4 for timestamp columns: count, mean (to the second), first and last
+    value; zone-less, whatever the session's zone."""
+    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))]
+    zero = F.lit("1970-01-01").cast("timestamp_ntz")
+    ts = {c: F.col(c).cast("timestamp_ntz") for c in cols}
+    seconds = {c: (ts[c] - zero).cast("interval second").cast("decimal(20,6)") for c in cols}
+    agg = df.agg(*[e for i, c in enumerate(cols) for e in (
+        F.count(c).alias(f"_n{i}"), F.avg(seconds[c]).cast("bigint").alias(f"_a{i}"),
+        F.min(ts[c]).alias(f"_lo{i}"), F.max(ts[c]).alias(f"_hi{i}"))])
+    rows = [[F.lit(c), F.col(f"_n{i}"), F.timestamp_add("SECOND", F.col(f"_a{i}"), zero),
+             F.col(f"_lo{i}"), F.col(f"_hi{i}")] for i, c in enumerate(cols)]
+    return agg.select(_stack(rows, ["column_name", "count", "mean", "first", "last"]))
+
+
 def head_rows(df: DataFrame, n: int = 5) -> DataFrame:
     """SRT2: first ``n`` rows in an explicit total order (all columns)."""
     return df.orderBy(*df.columns).limit(n)
@@ -150,7 +169,7 @@ def distinct_values(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return pairs.distinct()
 
 
-_MOMENTS = ("n", "mx", "my", "m2x", "m2y", "cxy")
+_MOMENTS = ("n", "mx", "my", "m2x", "m2y", "cxy", "lox", "hix", "loy", "hiy")
 
 
 def _pair_moments(k: int):
@@ -168,7 +187,8 @@ def _pair_moments(k: int):
         dx, dy = b[1] - a[1], b[2] - a[2]
         w = a[0] * b[0] / safe
         return (n, a[1] + dx * b[0] / safe, a[2] + dy * b[0] / safe,
-                a[3] + b[3] + dx * dx * w, a[4] + b[4] + dy * dy * w, a[5] + b[5] + dx * dy * w)
+                a[3] + b[3] + dx * dx * w, a[4] + b[4] + dy * dy * w, a[5] + b[5] + dx * dy * w,
+                np.fmin(a[6], b[6]), np.fmax(a[7], b[7]), np.fmin(a[8], b[8]), np.fmax(a[9], b[9]))
 
     def batch_moments(x):
         m = ~np.isnan(x)
@@ -181,8 +201,14 @@ def _pair_moments(k: int):
         sxy = z.T @ z
         safe = np.where(n > 0, n, 1.0)
         mx = sx / safe                      # shifted mean of i over pair rows
+        # smallest and largest x_i over the rows where j is present too
+        lo, hi = np.full((k, k), np.nan), np.full((k, k), np.nan)
+        for j in range(k):
+            both = x[m[:, j]]
+            if len(both):
+                lo[:, j], hi[:, j] = np.fmin.reduce(both, axis=0), np.fmax.reduce(both, axis=0)
         return (n, mx + shift[:, None] * (n > 0), mx.T + shift[None, :] * (n > 0),
-                sxx - sx * mx, (sxx - sx * mx).T, sxy - sx * mx.T)
+                sxx - sx * mx, (sxx - sx * mx).T, sxy - sx * mx.T, lo, hi, lo.T, hi.T)
 
     iu = np.triu_indices(k)
 
@@ -206,14 +232,17 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None, digits: int
     present (pandas ``corr``), NULL for a constant column; long form.
 
     Hundreds of per-pair aggregate columns fall out of whole-stage codegen, so
-    the co-moments are computed per partition with numpy (``mapInPandas``) and
-    merged by pair in Spark: a two-stage aggregate over at most
-    pairs x partitions rows.
+    the co-moments are computed per partition with numpy (``mapInPandas``), once,
+    and written: pairs x partitions rows, merged by pair in Spark. A column is
+    constant over a pair's rows if its smallest and largest value agree, which
+    no rounding blurs.
     """
+    from tripmart.plans.jobs import stage
+
     cols = numeric_columns(df) if cols is None else cols
     k = len(cols)
     schema = "i int, j int, " + ", ".join(f"{m} double" for m in _MOMENTS)
-    parts = df.select(*[F.col(c).cast("double") for c in cols]).mapInPandas(_pair_moments(k), schema)
+    parts = stage(df.select(*[F.col(c).cast("double") for c in cols]).mapInPandas(_pair_moments(k), schema), "moments")
     # global pair means first, then the spread of the partition means around them
     g = parts.groupBy("i", "j").agg(
         F.try_divide(F.sum(F.col("n") * F.col("mx")), F.sum("n")).alias("g_mx"),
@@ -221,21 +250,22 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None, digits: int
     j = parts.join(g, ["i", "j"])
     dx = F.coalesce(F.col("mx") - F.col("g_mx"), F.lit(0.0))
     dy = F.coalesce(F.col("my") - F.col("g_my"), F.lit(0.0))
+    real = lambda c: F.when(~F.isnan(c), F.col(c))                     # noqa: E731
     tot = j.groupBy("i", "j").agg(
         F.sum(F.col("m2x") + F.col("n") * dx * dx).alias("t_m2x"),
         F.sum(F.col("m2y") + F.col("n") * dy * dy).alias("t_m2y"),
-        F.sum(F.col("cxy") + F.col("n") * dx * dy).alias("t_cxy"))
+        F.sum(F.col("cxy") + F.col("n") * dx * dy).alias("t_cxy"),
+        (F.min(real("lox")) < F.max(real("hix"))).alias("vary_x"), (F.min(real("loy")) < F.max(real("hiy"))).alias("vary_y"))
     corr = F.round(F.try_divide(F.col("t_cxy"), F.sqrt(F.col("t_m2x") * F.col("t_m2y"))), digits)
     names = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(i), F.lit(c))])
-    upper = tot.select(names[F.col("i")].alias("column_a"), names[F.col("j")].alias("column_b"),
-                       F.when(F.col("t_m2x") * F.col("t_m2y") > 0, corr).alias("corr"))
-    lower = (upper.where(F.col("column_a") != F.col("column_b"))
-                  .select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"),
-                          "corr"))
-    return upper.unionByName(lower)
+    one = F.struct(names[F.col("i")].alias("column_a"), names[F.col("j")].alias("column_b"))
+    two = F.struct(names[F.col("j")].alias("column_a"), names[F.col("i")].alias("column_b"))
+    pairs = F.when(F.col("i") == F.col("j"), F.array(one)).otherwise(F.array(one, two))
+    return tot.select(F.explode(pairs).alias("p"), F.when(F.col("vary_x") & F.col("vary_y"), corr).alias("corr")).select(
+        "p.column_a", "p.column_b", "corr")
 
 
-def outlier_stats(df: DataFrame, cols: list[str] | None = None, mode: str = "exact") -> DataFrame:
+def outlier_stats(df: DataFrame, cols: list[str] | None = None, mode: str = "approx") -> DataFrame:
     """AGG10: box-plot numbers for the first six numeric columns: quartiles,
     1.5 x IQR fences, whisker ends and outlier counts."""
     cols = numeric_columns(df)[:6] if cols is None else cols
@@ -286,15 +316,25 @@ def quality(df: DataFrame) -> DataFrame:
          .otherwise(F.lit("Needs Cleaning")).alias("quality_label"))
 
 
-def full_report(df: DataFrame, mode: str = "exact") -> dict[str, DataFrame]:
-    """AGG13: every part of the report as a named frame."""
-    return {"shape": row_counts(df), "columns": column_profile(df),
-            "head": head_rows(df), "summary": summary_stats(df, mode),
-            "missing": missing_table(df), "duplicates": duplicate_stats(df),
-            "quality": quality(df)}
+def full_report(data, mode: str = "approx", spark: SparkSession | None = None) -> dict[str, DataFrame]:
+    """AGG13: every part of the report of a DataFrame, or of the Parquet file or
+    folder at a path, as a named frame. Shape, duplicates and quality come from
+    one full-row pass, columns and gaps from one profile."""
+    from tripmart.plans.jobs import stage
+    from tripmart.sources.files import as_frame
+
+    df = as_frame(spark or SparkSession.getActiveSession(), data)
+    q, profile = stage(quality(df), "quality"), stage(column_profile(df), "profile")
+    dup = F.col("duplicate_rows")
+    return {"shape": q.select(F.col("rows").alias("raw_rows"), (F.col("rows") - dup).alias("dedup_rows"), "columns"),
+            "columns": profile, "head": head_rows(df), "summary": summary_stats(df, mode), "dates": date_summary(df),
+            "missing": _gaps(profile),
+            "duplicates": q.select(dup.alias("duplicate_count"),
+                                   (F.lit(100.0) * dup.cast("double") / F.col("rows").cast("double")).alias("duplicate_pct")),
+            "quality": q}
 
 
-def full_report_long(df: DataFrame, mode: str = "exact") -> DataFrame:
+def full_report_long(df: DataFrame, mode: str = "approx") -> DataFrame:
     """AGG13 flattened to ``(section, item, metric, value)`` with numeric values."""
     def melt(frame: DataFrame, section: str, item_col: str | None, metrics: list[str]) -> DataFrame:
         item = F.col(item_col) if item_col else F.lit("*")

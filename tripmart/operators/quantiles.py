@@ -1,29 +1,30 @@
-"""Quantile thresholds for capping, in three modes.
+"""Quantile thresholds for capping, in three modes and by one algorithm.
 
-* ``approx`` - ``percentile_approx`` (a mergeable sketch): one aggregate for all
-  columns, memory bounded by the accuracy, never by the data.
+* ``approx`` - the value whose rank is within ``rel_error * n`` of the wanted one.
 * ``disc``   - exact discrete quantile (``percentile_disc``): the value at 0-based
   rank ``ceil(q * n) - 1``.
 * ``exact``  - exact interpolated quantile (``percentile`` / pandas
   ``quantile``): rank ``q * (n - 1)``, linear between its neighbours.
 
-Exact modes avoid Spark's exact ``percentile`` aggregate, whose final step keeps
-a map of every distinct value of the column in one task. Instead a sketch pass
-brackets the wanted rank, a counting pass measures how many values lie below
-the bracket, and only the distinct values inside the bracket - a small,
-size-checked histogram - reach the driver. If the bracket still holds too many
-distinct values it is narrowed again with a sketch over the bracket only.
+NULL and NaN take no part in any mode. A rank is found by narrowing: a sketch of
+fixed accuracy proposes a value and a bracket around it, a counting pass gives
+their true ranks, and the part that holds the wanted rank is the next bracket.
+The proposed value itself is never in it, so every round makes progress, and
+``approx`` only stops earlier. All columns and ranks share the two passes of a
+round. Sketches are built per group of tasks and never merged in one place: the
+driver gets ``GROUPS`` rows of a few numbers, whatever the data holds.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest candidate histogram (distinct values) brought to the driver.
-HIST_LIMIT = 100_000
+ACCURACY = 10_000      # of a sketch: its memory is bounded by this
+GROUPS = 64
 
 
 def _valid(c: str):
@@ -31,179 +32,117 @@ def _valid(c: str):
     return F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
 
 
-def _accuracy(rel_error: float) -> int:
-    return max(1, int(round(1.0 / rel_error))) if rel_error > 0 else 1_000_000
-
-
-def stat_exprs(cols: list[str], q: float, mode: str = "approx", rel_error: float = 1e-4) -> list:
-    """Aggregates that ``thresholds(..., stats=...)`` needs, for ``df.observe``:
-    computed while another job (the stage write) scans the data anyway."""
-    if mode == "approx":
-        return [F.percentile_approx(F.col(c).cast("double"), q, _accuracy(rel_error)).alias(f"_q_{c}")
-                for c in cols]
-    return ([F.count_if(_valid(c)).alias(c) for c in cols]
-            + [F.approx_count_distinct(c, 0.05).alias(f"_ndv_{c}") for c in cols])
-
-
-def thresholds(df: DataFrame, cols: list[str], q: float, mode: str = "approx",
-               rel_error: float = 1e-4, stats: dict | None = None) -> dict[str, float | None]:
-    """Quantile ``q`` of each column; None for a column with no values.
-    ``stats``: the observed values of ``stat_exprs`` (saves a pass)."""
-    if mode == "approx" and stats is not None:
-        return {c: (None if stats[f"_q_{c}"] is None else float(stats[f"_q_{c}"])) for c in cols}
-    if mode == "approx":
-        acc = max(1, int(round(1.0 / rel_error))) if rel_error > 0 else 1_000_000
-        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), q, acc).alias(c)
-                       for c in cols]).first()
-        return {c: (None if row[c] is None else float(row[c])) for c in cols}
-    if mode not in ("disc", "exact"):
-        raise ValueError(f"unknown quantile mode {mode!r}")
-    vals = quantile_values(df, cols, [q], mode, rel_error, stats=stats)
-    return {c: v[0] for c, v in vals.items()}
-
-
-def kth_values(df: DataFrame, c: str, ks: list[int], n: int,
-               accuracy: int = 10_000, ndv: int | None = None) -> dict[int, float]:
-    """Exact values at 0-based ranks ``ks`` of column ``c`` (``n`` valid values).
-
-    First try the whole distinct-value histogram (size-checked); if the column
-    has too many distinct values, bracket each rank (or each run of adjacent
-    ranks) separately and narrow.
-    """
-    vals = df.select(F.col(c).cast("double").alias("v")).where(_valid("v"))
-    out = None
-    if ndv is None or ndv <= HIST_LIMIT:   # approx distinct count says it may fit
-        out = _resolve(vals, None, None, 0, sorted(set(ks)))
-    if out is not None:
-        return out
-    out = {}
-    groups: list[list[int]] = []
-    for k in sorted(set(ks)):
-        if groups and k - groups[-1][-1] <= 1:
-            groups[-1].append(k)
-        else:
-            groups.append([k])
-    for g in groups:
-        out.update(_narrow(vals, g, n, accuracy))
-    return out
-
-
-def _resolve(vals: DataFrame, lo, hi, below: int, ks: list[int]) -> dict[int, float] | None:
-    """Answer ``ks`` from the histogram of values in [lo, hi], if it is small."""
-    cand = vals if lo is None else vals.where((F.col("v") >= lo) & (F.col("v") <= hi))
-    hist = cand.groupBy("v").count().orderBy("v").limit(HIST_LIMIT + 1).collect()
-    if len(hist) > HIST_LIMIT:
-        return None
-    out, run, i = {}, below, 0
-    for k in ks:
-        while run + hist[i]["count"] <= k:
-            run += hist[i]["count"]
-            i += 1
-        out[k] = float(hist[i]["v"])
+@dataclass
+class _Target:
+    """A wanted rank and the open interval (lo, hi) of values it lies in."""
+
+    col: str
+    rank: int
+    below: int              # valid values <= lo
+    size: int               # valid values in the interval
+    lo: float | None = None
+    hi: float | None = None
+    value: float | None = None
+
+    def inside(self) -> Column:
+        c = F.col(self.col)
+        cond = _valid(self.col)
+        if self.lo is not None:
+            cond = cond & (c > F.lit(self.lo))
+        return cond if self.hi is None else cond & (c < F.lit(self.hi))
+
+    def shares(self) -> list[float]:
+        """Quantiles of the interval to ask for: the rank with a margin around it."""
+        at = (self.rank - self.below + 0.5) / self.size
+        margin = 3.0 / ACCURACY
+        return [max(0.0, at - margin), min(1.0, at), min(1.0, at + margin)]
+
+
+def _propose(df: DataFrame, open_: list[_Target]) -> list[tuple[float, float, float]]:
+    """(low, middle, high) values per target from the sketches of all task groups."""
+    sketches: dict[tuple, list[float]] = {}
+    at: dict[int, tuple] = {}
+    for i, t in enumerate(open_):
+        key = (t.col, t.lo, t.hi)
+        at[i] = (key, len(sketches.setdefault(key, [])))
+        sketches[key] += t.shares()
+    first = {(t.col, t.lo, t.hi): t for t in reversed(open_)}
+    keys = list(sketches)
+    rows = (df.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("_g"))
+              .agg(*[F.percentile_approx(F.when(first[k].inside(), F.col(k[0])),
+                                         F.array(*map(F.lit, sketches[k])), ACCURACY).alias(f"_s{j}")
+                     for j, k in enumerate(keys)]).collect())
+    out = []
+    for i in range(len(open_)):
+        key, o = at[i]
+        got = [r[f"_s{keys.index(key)}"][o:o + 3] for r in rows if r[f"_s{keys.index(key)}"] is not None]
+        mids = sorted(g[1] for g in got)
+        out.append((min(g[0] for g in got), mids[len(mids) // 2], max(g[2] for g in got)))
     return out
 
 
-def _narrow(vals: DataFrame, ks: list[int], n: int, accuracy: int) -> dict[int, float]:
-    lo = hi = None          # inclusive value bracket; None = unbounded
-    below, size = 0, n      # values below the bracket / inside it
-    k_min, k_max = ks[0], ks[-1]
-    for _ in range(12):
-        cand = vals if lo is None else vals.where((F.col("v") >= lo) & (F.col("v") <= hi))
-        margin = 3.0 / accuracy + 2.0 / size
-        p_lo = max(0.0, (k_min - below) / size - margin)
-        p_hi = min(1.0, (k_max + 1 - below) / size + margin)
-        b = cand.agg(F.percentile_approx("v", F.array(F.lit(p_lo), F.lit(p_hi)),
-                                         accuracy).alias("b")).first()["b"]
-        new_lo, new_hi = float(b[0]), float(b[1])
-        r = cand.agg(F.count_if(F.col("v") < new_lo).alias("below"),
-                     F.count_if((F.col("v") >= new_lo) & (F.col("v") <= new_hi)).alias("inside")
-                     ).first()
-        nb, inside = below + int(r["below"]), int(r["inside"])
-        if not (nb <= k_min and k_max < nb + inside):
-            accuracy *= 10          # the sketch missed: retry finer
-            continue
-        lo, hi, below, size = new_lo, new_hi, nb, inside
-        out = _resolve(vals, lo, hi, below, ks)
-        if out is not None:
-            return out
-        accuracy *= 10
-    raise RuntimeError("quantile did not converge")
-
-
-def quantile_values(df: DataFrame, cols: list[str], ps: list[float],
-                    mode: str = "exact", rel_error: float = 1e-4,
-                    stats: dict | None = None) -> dict[str, list[float | None]]:
-    """Several quantiles of several columns: ``{col: [value per p]}``."""
-    if mode == "approx":
-        acc = max(1, int(round(1.0 / rel_error)))
-        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), F.array(*map(F.lit, ps)), acc)
-                       .alias(c) for c in cols]).first()
-        return {c: ([None] * len(ps) if row[c] is None else [float(v) for v in row[c]])
-                for c in cols}
-    counts = stats if stats is not None else df.agg(*stat_exprs(cols, 0.5, mode)).first()
-    ranks: dict[str, list[int]] = {}
-    for c in cols:
-        n = int(counts[c])
-        if n == 0:
-            continue
-        if mode == "disc":
-            ranks[c] = [max(0, math.ceil(p * n) - 1) for p in ps]
-        else:
-            ranks[c] = sorted({r for p in ps for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
-    # Columns whose distinct values fit the budget share one histogram job.
-    small, budget = [], 0
-    for c in ranks:
-        ndv = int(counts[f"_ndv_{c}"] * 1.1) + 1
-        if budget + ndv <= HIST_LIMIT:
-            small.append(c)
-            budget += ndv
-    vals: dict[str, dict[int, float]] = _resolve_many(df, small, ranks) if small else {}
-    for c in ranks:
-        if c not in vals:
-            vals[c] = kth_values(df, c, ranks[c], int(counts[c]),
-                                 ndv=int(counts[f"_ndv_{c}"] * 0.8))
-    out = {}
-    for c in cols:
-        if c not in ranks:
-            out[c] = [None] * len(ps)
-        elif mode == "disc":
-            out[c] = [vals[c][max(0, math.ceil(p * int(counts[c])) - 1)] for p in ps]
-        else:
-            out[c] = [_interp(vals[c], p * (int(counts[c]) - 1)) for p in ps]
-    return out
-
-
-def _resolve_many(df: DataFrame, cols: list[str], ranks: dict[str, list[int]]) -> dict:
-    """Value histograms of several columns in one job (size-checked); columns
-    are dropped from the answer if the combined histogram overflows."""
-    entries = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
-                                  for i, c in enumerate(cols)])).alias("e")
-    hist = (df.select(entries).select("e.*").where(_valid("v"))
-              .groupBy("c", "v").count().limit(HIST_LIMIT + 1).collect())
-    if len(hist) > HIST_LIMIT:
+def _narrow(df: DataFrame, targets: list[_Target], slack: dict[str, float]) -> None:
+    """Set ``value`` of every target; ``slack``: accepted rank error by column."""
+    while open_ := [t for t in targets if t.value is None]:
+        proposed = _propose(df, open_)
+        counts = df.agg(*[c for i, (t, (lo, mid, hi)) in enumerate(zip(open_, proposed))
+                          for v, inside in ((F.col(t.col), t.inside()),)
+                          for c in (F.count_if(inside & (v <= F.lit(lo))).alias(f"_a{i}"),
+                                    F.count_if(inside & (v < F.lit(mid))).alias(f"_b{i}"),
+                                    F.count_if(inside & (v <= F.lit(mid))).alias(f"_c{i}"),
+                                    F.count_if(inside & (v < F.lit(hi))).alias(f"_d{i}"))]).first()
+        for i, (t, (lo, mid, hi)) in enumerate(zip(open_, proposed)):
+            a, b, c, d = (int(counts[f"_{x}{i}"]) for x in "abcd")
+            k = t.rank - t.below                       # rank inside the interval
+            if b - slack[t.col] <= k <= c - 1 + slack[t.col]:
+                t.value = float(mid)
+                continue
+            # the tightest interval of proven counts that holds the rank
+            cuts = [(t.lo, 0)] + [(x, n) for x, n in ((lo, a), (mid, c)) if n <= k]
+            ends = [(x, n) for x, n in ((mid, b), (hi, d)) if k < n] + [(t.hi, t.size)]
+            (new_lo, n_lo), (new_hi, n_hi) = max(cuts, key=lambda x: x[1]), min(ends, key=lambda x: x[1])
+            t.lo, t.hi, t.below, t.size = new_lo, new_hi, t.below + n_lo, n_hi - n_lo
+
+
+def _ranks(p: float, n: int, mode: str) -> list[int]:
+    if mode == "exact":
+        return sorted({math.floor(p * (n - 1)), math.ceil(p * (n - 1))})
+    return [min(n - 1, max(0, math.ceil(p * n) - 1))]
+
+
+def quantile_values(df: DataFrame, cols: list[str], ps: list[float], mode: str = "approx",
+                    rel_error: float = 1e-4) -> dict[str, list[float | None]]:
+    """Several quantiles of several columns: ``{col: [value per p]}``; None for a
+    column with no values. Runs actions: pass a materialised frame."""
+    if mode not in ("approx", "disc", "exact"):
+        raise ValueError(f"unknown quantile mode {mode!r}")
+    if not cols:
         return {}
-    by_col: dict[int, list] = {}
-    for r in hist:
-        by_col.setdefault(r["c"], []).append((r["v"], r["count"]))
-    out = {}
-    for i, c in enumerate(cols):
-        h = sorted(by_col.get(i, []))
-        res, run, j = {}, 0, 0
-        for k in ranks[c]:
-            while run + h[j][1] <= k:
-                run += h[j][1]
-                j += 1
-            res[k] = float(h[j][0])
-        out[c] = res
-    return out
+    vals = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    row = vals.agg(*[F.count_if(_valid(c)).alias(f"_n{i}") for i, c in enumerate(cols)]).first()
+    counts = {c: int(row[f"_n{i}"]) for i, c in enumerate(cols)}
+    targets = {(c, k): _Target(c, k, 0, counts[c])
+               for c in cols if counts[c] for p in ps for k in _ranks(p, counts[c], mode)}
+    slack = {c: (rel_error * counts[c] if mode == "approx" else 0.0) for c in cols}
+    _narrow(vals, list(targets.values()), slack)
+
+    def value(c: str, p: float) -> float | None:
+        n = counts[c]
+        if not n:
+            return None
+        got = [targets[c, k].value for k in _ranks(p, n, mode)]
+        if len(got) == 1 or got[0] == got[1]:
+            return got[0]
+        pos = p * (n - 1)
+        return got[0] + (got[1] - got[0]) * (pos - math.floor(pos))   # linear: i + (j - i) * fraction
+
+    return {c: [value(c, p) for p in ps] for c in cols}
 
 
-def _interp(vals: dict[int, float], pos: float) -> float:
-    lo_k, hi_k = math.floor(pos), math.ceil(pos)
-    lo, hi = vals[lo_k], vals[hi_k]
-    if lo_k == hi_k or lo == hi:
-        return lo
-    return lo + (hi - lo) * (pos - lo_k)    # linear: i + (j - i) * fraction
+def thresholds(df: DataFrame, cols: list[str], q: float, mode: str = "approx",
+               rel_error: float = 1e-4) -> dict[str, float | None]:
+    """Quantile ``q`` of each column; None for a column with no values."""
+    return {c: v[0] for c, v in quantile_values(df, cols, [q], mode, rel_error).items()}
 
 
 def cap(df: DataFrame, limits: dict[str, float | None]) -> DataFrame:

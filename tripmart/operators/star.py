@@ -9,6 +9,8 @@ value itself, in two aggregation stages. The fact joins the datetime dimension
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,16 +19,6 @@ from tripmart.operators.keys import dense_key, hash_key
 from tripmart.schema import (DROPOFF, DURATION, FACT_MONEY, PAYMENT_LABELS,
                              PICKUP, RATE_LABELS)
 
-# A dimension is broadcast only when a count shows it is at most this many rows.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check; larger sides stay a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def representative(df: DataFrame, key: str, values: list[str], order: str = PICKUP) -> DataFrame:
     """SET2 with a deterministic pick: per ``key``, the ``values`` at the
     earliest ``order``, ties broken by the values. Rows with a NULL key drop."""
@@ -62,8 +54,7 @@ def dim_location(clean: DataFrame, zones: DataFrame | None = None) -> DataFrame:
     if zones is None:
         return ids.select("location_id", *[F.lit(None).cast("string").alias(c)
                                            for c in ("borough", "zone", "service_zone")])
-    z = broadcast_if_small(zones.select("location_id", "borough", "zone", "service_zone"))
-    return ids.join(z, "location_id", "left")
+    return ids.join(zones.select("location_id", "borough", "zone", "service_zone"), "location_id", "left")
 
 
 def dim_vendor(clean: DataFrame) -> DataFrame:
@@ -74,30 +65,33 @@ def dim_vendor(clean: DataFrame) -> DataFrame:
                     F.col("store_and_fwd_flag").alias("store_fwd_flag"))
 
 
-def dim_payment(clean: DataFrame) -> DataFrame:
+def dim_payment(clean: DataFrame, unknown_label: str | None = None) -> DataFrame:
     """ST4: payment type, label, and its representative pair of fees."""
     r = representative(clean, "payment_type", ["congestion_surcharge", "cbd_congestion_fee"])
     return r.select(F.col("payment_type").alias("payment_id"), "payment_type",
-                    code_label("payment_type", PAYMENT_LABELS).alias("payment_desc"),
+                    code_label("payment_type", PAYMENT_LABELS, unknown_label).alias("payment_desc"),
                     money("congestion_surcharge").alias("congestion_surcharge"),
                     money("cbd_congestion_fee").alias("cbd_congestion_fee"))
 
 
-def dim_rate(clean: DataFrame) -> DataFrame:
+def dim_rate(clean: DataFrame, unknown_label: str | None = None) -> DataFrame:
     """ST5: rate code, label, and its representative airport fee."""
     r = representative(clean, "RatecodeID", ["Airport_fee"])
     return r.select(F.col("RatecodeID").alias("rate_id"), "RatecodeID",
-                    code_label("RatecodeID", RATE_LABELS).alias("rate_desc"),
+                    code_label("RatecodeID", RATE_LABELS, unknown_label).alias("rate_desc"),
                     money("Airport_fee").alias("airport_fee"))
 
 
 def fact_trip(clean: DataFrame, dim_dt: DataFrame | None = None, key_mode: str = "dense",
-              money_mode: str = "cast") -> DataFrame:
+              money_mode: str = "cast", wide: bool = False) -> DataFrame:
     """ST6 + JN1: one row per cleaned trip with its dimension keys.
 
     ``clean`` must carry ``trip_id`` (see ``jobs.clean_job(trip_id=True)``)
-    or the id is left out.
+    or the id is left out. ``wide`` adds the dropoff zone, both congestion fees
+    and the airport fee.
     """
+    extra = [F.col("DOLocationID").alias("dropoff_location_id")] + [
+        money(c, money_mode).alias(c.lower()) for c in ("congestion_surcharge", "cbd_congestion_fee", "Airport_fee")]
     if key_mode == "hash":
         keyed = clean.withColumn("datetime_id", hash_key(PICKUP, DROPOFF))
     else:
@@ -114,29 +108,41 @@ def fact_trip(clean: DataFrame, dim_dt: DataFrame | None = None, key_mode: str =
         F.col("RatecodeID").alias("rate_id"),
         F.col("passenger_count").cast("int").alias("passenger_count"),
         F.col("trip_distance").cast("float").alias("trip_distance"),
-        *[money(c, money_mode).alias(c) for c in FACT_MONEY])
+        *[money(c, money_mode).alias(c) for c in FACT_MONEY], *(extra if wide else []))
+
+
+def _overflows():
+    """Whether a trip has an amount that does not fit decimal(10,2)."""
+    return reduce(lambda a, b: a | b, [F.col(c).isNotNull() & money(c, "try").isNull() for c in FACT_MONEY])
 
 
 def fact_rejects(clean: DataFrame) -> DataFrame:
-    """H12: trips whose amounts do not fit decimal(10,2); route them here and
-    build the fact from the rest (``money_mode="try"``) instead of failing."""
-    bad = None
-    for c in FACT_MONEY:
-        cond = F.col(c).isNotNull() & money(c, "try").isNull()
-        bad = cond if bad is None else bad | cond
-    return clean.where(bad)
+    """H12: trips whose amounts do not fit decimal(10,2)."""
+    return clean.where(_overflows())
+
+
+def fact_accepts(clean: DataFrame) -> DataFrame:
+    """The other trips: the fact can be built from them without failing."""
+    return clean.where(~_overflows())
 
 
 def build_star(clean: DataFrame, zones: DataFrame | None = None,
-               key_mode: str = "dense") -> dict[str, DataFrame]:
+               key_mode: str = "dense", rejects: bool = False,
+               unknown_label: str | None = None) -> dict[str, DataFrame]:
     """PL2's six tables. The datetime dimension is computed once (staged by
-    ``dense_key``) and shared by its own output and the fact."""
+    ``dense_key``) and shared by its own output and the fact. With ``rejects``
+    trips whose amounts overflow go to a seventh table, ``REJECTED_TRIP``,
+    instead of failing the build."""
+    more = {}
+    if rejects:
+        bad = fact_rejects(clean)
+        more, clean = {"REJECTED_TRIP": bad}, fact_accepts(clean)
     dt = dim_datetime(clean, key_mode)
-    return {
+    return more | {
         "DIM_DATETIME": dt,
         "DIM_LOCATION": dim_location(clean, zones),
         "DIM_VENDOR": dim_vendor(clean),
-        "DIM_PAYMENT": dim_payment(clean),
-        "DIM_RATE": dim_rate(clean),
+        "DIM_PAYMENT": dim_payment(clean, unknown_label),
+        "DIM_RATE": dim_rate(clean, unknown_label),
         "FACT_TRIP": fact_trip(clean, dt, key_mode),
     }

@@ -227,7 +227,7 @@ def q_missing_table(spark, sf):
 
 @register("summary_stats", _T + f"SELECT * FROM {O.summary_sql()}")
 def q_summary_stats(spark, sf):
-    return PR.summary_stats(P.stage(trips(spark, sf), "profile-in"))
+    return PR.summary_stats(P.stage(trips(spark, sf), "profile-in"), mode="exact")
 
 
 @register("head_rows", _T + O.head_rows_sql())
@@ -260,7 +260,7 @@ def q_correlation_matrix(spark, sf):
 
 @register("outlier_stats", _T + O.outlier_sql())
 def q_outlier_stats(spark, sf):
-    return PR.outlier_stats(P.stage(trips(spark, sf), "profile-in"))
+    return PR.outlier_stats(P.stage(trips(spark, sf), "profile-in"), mode="exact")
 
 
 @register("quality_score", _T + O.quality_sql())
@@ -270,7 +270,7 @@ def q_quality_score(spark, sf):
 
 @register("full_report", _T + O.full_report_sql())
 def q_full_report(spark, sf):
-    return PR.full_report_long(P.stage(trips(spark, sf), "profile-in"))
+    return PR.full_report_long(P.stage(trips(spark, sf), "profile-in"), mode="exact")
 
 
 # --- Mart: MA2-MA14 over the cleaned trips and the star
@@ -402,7 +402,7 @@ def q_impute_mode(spark, sf):
 @register("impute_median", O.with_steps(*O.AD_STEPS, "ad_valid") + O.median_sql())
 def q_impute_median(spark, sf):
     v = adaptive_valid(spark, sf)
-    return I.median_table(v, PR.numeric_columns(v))
+    return I.median_table(v, PR.numeric_columns(v), mode="exact")
 
 
 # The zero rule needs a column at or above the null-share threshold; the trip
@@ -411,12 +411,12 @@ def q_impute_median(spark, sf):
                                       extra=O.adaptive_fill_sql("ad_zero", "ad_valid", 0.05))
           + "SELECT * FROM ad_zero")
 def q_impute_zero(spark, sf):
-    return I.adaptive_fill(adaptive_valid(spark, sf), median_below=0.05)
+    return I.adaptive_fill(adaptive_valid(spark, sf), median_below=0.05, mode="exact")
 
 
 @register("adaptive_clean", O.adaptive_clean_sql())
 def q_adaptive_clean(spark, sf):
-    return I.adaptive_clean(trips(spark, sf))
+    return I.adaptive_clean(trips(spark, sf), mode="exact")
 
 
 def _events_with_gaps(spark, sf):
@@ -450,7 +450,7 @@ def q_forward_fill_global(spark, sf):
 @register("clean_and_profile", O.adaptive_clean_sql(O.full_report_sql("ad_capped", O.adaptive_schema())))
 def q_clean_and_profile(spark, sf):
     """PL5: load -> adaptive clean -> full report."""
-    return PR.full_report_long(P.stage(I.adaptive_clean(trips(spark, sf)), "profile-in"))
+    return PR.full_report_long(P.stage(I.adaptive_clean(trips(spark, sf), mode="exact"), "profile-in"), mode="exact")
 
 
 # --- Sources, sinks, streaming: SRC1-SRC9, SNK1-SNK5, FN6, PL6
@@ -474,23 +474,172 @@ def q_landing_manifest(spark, sf):
     return FS.file_counts(spark, landing)
 
 
-@register("incremental_ingest", O.with_steps("trips", "dedup", "dur", "valid", "filled")
-          + "SELECT * FROM filled")
+def _after(dedup_from: str, *steps: str, first: str) -> str:
+    """Oracle steps over another view of the trips: ``first`` defines it."""
+    return O.with_steps("trips", extra=",\n".join(
+        [first, f"dedup AS (SELECT DISTINCT * FROM {dedup_from})", *[O.STEPS[s] for s in steps]]))
+
+
+# Trips whose tolls are a gap in one raw row and 0 in another: alike after the fills only.
+_TWINS = """trips_t AS (SELECT * FROM trips UNION ALL
+  SELECT * REPLACE (CAST(NULL AS DOUBLE) AS tolls_amount) FROM trips WHERE payment_type = 3 AND tolls_amount = 0)"""
+
+
+def _with_twins(spark, sf):
+    t = trips(spark, sf)
+    gap = t.where("payment_type = 3 and tolls_amount = 0").withColumn("tolls_amount", F.lit(None).cast("double"))
+    return t.unionByName(gap)
+
+
+@register("incremental_ingest", _after("trips_t", "dur", "valid", "filled", first=_TWINS) + "SELECT * FROM filled")
 def q_incremental_ingest(spark, sf):
-    """Two arrivals through the file stream; the cleaned table must equal the
-    batch clean (before caps) of all trips."""
-    stage_dir, landing = work_dir(spark, "arrivals"), work_dir(spark, "landing")
-    names = FS.write_trip_files(trips(spark, sf), stage_dir)
-    cleaned_path, ckpt = work_dir(spark, "cleaned"), work_dir(spark, "stream-ckpt")
+    """Two arrivals through the file stream, every month split over both and raw
+    copies too; the cleaned table must equal the batch clean (before caps)."""
+    landing, cleaned_path, ckpt = (work_dir(spark, n) for n in ("landing", "cleaned", "stream-ckpt"))
+    every = P.stage(_with_twins(spark, sf).withColumn("_half", F.monotonically_increasing_id() % 2), "arrivals")
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = hpath(stage_dir).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    half = len(names) // 2
-    for part in (names[:half], names[half:]):          # two arrivals
-        for n in part:
-            fs.rename(hpath(f"{stage_dir}/{n}"), hpath(f"{landing}/{n}"))
-        q = ST.clean_stream(spark, landing, cleaned_path, ckpt)
-        q.awaitTermination()
-    return spark.read.parquet(cleaned_path).drop(ST.MONTH)
+    fs = hpath(landing).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for half in (0, 1):
+        arrival = work_dir(spark, f"arrival{half}")
+        for n in FS.write_trip_files(every.where(F.col("_half") == half).drop("_half"), arrival):
+            fs.mkdirs(hpath(f"{landing}/{n}"))
+            for st in fs.globStatus(hpath(f"{arrival}/{n}/part-*")):
+                fs.rename(st.getPath(), hpath(f"{landing}/{n}/{st.getPath().getName()}"))
+        ST.clean_stream(spark, landing, cleaned_path, ckpt).awaitTermination()
+    return spark.read.parquet(cleaned_path).drop(ST.MONTH, *ST.RAW_KEY)
+
+
+@register("recurring_ingest", O.with_steps("trips", "dedup", "dur", "valid", "filled") + "SELECT * FROM filled")
+def q_recurring_ingest(spark, sf):
+    """SRC6: the same stream on a recurring trigger, stopped when it has caught up."""
+    landing, cleaned_path, ckpt = (work_dir(spark, n) for n in ("landing", "cleaned", "stream-ckpt"))
+    FS.write_trip_files(trips(spark, sf), landing)
+    q = ST.clean_stream(spark, landing, cleaned_path, ckpt, trigger="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.parquet(cleaned_path).drop(ST.MONTH, *ST.RAW_KEY)
+
+
+@register("land_validate_clean", _after("trips_d", "dur", "valid", "filled", first="""trips_d AS (
+  SELECT * REPLACE (CASE WHEN month(tpep_pickup_datetime) % 2 = 0 THEN cbd_congestion_fee END AS cbd_congestion_fee)
+  FROM trips)""") + "SELECT * FROM filled")
+def q_land_validate_clean(spark, sf):
+    """PL6 up to the clean: files are landed under their names, the raw zone is
+    validated and cleaned. Odd months hold counts and codes as INT64 and lack a fee."""
+    source, raw = work_dir(spark, "source"), work_dir(spark, "raw-zone")
+    t = trips(spark, sf)
+    odd = F.month("tpep_pickup_datetime") % 2 == 1
+    FS.write_trip_files(t.where(odd).drop("cbd_congestion_fee").withColumns(
+        {c: F.col(c).cast("long") for c in ("passenger_count", "RatecodeID", "VendorID")}), source)
+    FS.write_trip_files(t.where(~odd), source)
+    FS.land(spark, source, raw)
+    FS.validate_landing(spark, raw)
+    return C.clean_prefix(FS.read_trips(spark, raw))
+
+
+@register("clean_rerun", _after("trips_r", *O.CLEAN[2:], first="""trips_r AS (
+  SELECT * FROM trips WHERE year(tpep_pickup_datetime) < 1996)""") + "SELECT * FROM clean")
+def q_clean_rerun(spark, sf):
+    """SNK1: the clean job over all trips, then over the earlier years only; the
+    table holds the second run and nothing of the first."""
+    out, t = work_dir(spark, "cleaned"), trips(spark, sf)
+    P.run_clean(t, out, cap_mode="disc")
+    P.run_clean(t.where(F.year("tpep_pickup_datetime") < 1996), out, cap_mode="disc")
+    return spark.read.parquet(out).drop("trip_id", "pickup_month")
+
+
+@register("load_file", """SELECT l_returnflag, CAST(count(*) AS BIGINT) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines
+FROM lineitem GROUP BY 1""")
+def q_load_file(spark, sf):
+    """SRC2: one file or folder by path."""
+    return (FS.load_file(spark, f"{sf}/lineitem.parquet").groupBy("l_returnflag")
+              .agg(F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("lines")))
+
+
+@register("report_from_path", """SELECT CAST(count(*) AS BIGINT) AS raw_rows,
+  CAST((SELECT count(*) FROM (SELECT DISTINCT * FROM events)) AS BIGINT) AS dedup_rows,
+  (SELECT CAST(count(*) AS INTEGER) FROM (DESCRIBE events)) AS columns FROM events""")
+def q_report_from_path(spark, sf):
+    """SRC3: the full report of the table at a path; its shape."""
+    return PR.full_report(f"{sf}/events.parquet", spark=spark)["shape"]
+
+
+@register("parse_timestamps", "SELECT o_orderkey, date_trunc('second', o_orderdate)::TIMESTAMP AS o_orderdate FROM orders")
+def q_parse_timestamps(spark, sf):
+    """FN8: text timestamps back to zone-less ones."""
+    from tripmart.functions.scalar import parse_timestamps
+    text = table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"))
+    return parse_timestamps(text, ["o_orderdate"])
+
+
+@register("date_summary", _T + " UNION ALL ".join(f"""SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS count,
+  TIMESTAMP '1970-01-01' + to_seconds(CAST(sum(epoch_us({c})) // count({c}) // 1000000 AS BIGINT)) AS mean,
+  min({c}) AS first, max({c}) AS last FROM trips""" for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")))
+def q_date_summary(spark, sf):
+    return PR.date_summary(trips(spark, sf))
+
+
+@register("cap_approx_check", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, true AS rank_within_error, true AS capped_at_threshold" for c in O.CAP3))
+def q_cap_approx_check(spark, sf, rel_error: float = 1e-4):
+    """AGG5: approximate thresholds lie within the error of the wanted rank, and
+    no capped value lies above them."""
+    from tripmart.operators import quantiles
+    pre, limits = P.staged_caps(C.fill_constants(valid(spark, sf)), CAP_COLUMNS, "approx", rel_error, "cap-pre")
+    n, k = F.count(F.lit(1)), F.ceil(F.count(F.lit(1)) * F.lit(0.99)) - 1
+    capped = quantiles.cap(pre, limits)
+    rows = [x for i, c in enumerate(CAP_COLUMNS) for x in (F.lit(c), F.col(f"_r{i}"), F.col(f"_m{i}"))]
+    ranks = pre.agg(*[((F.count_if(F.col(c) < limits[c]) - F.lit(rel_error) * n <= k)
+                       & (k < F.count_if(F.col(c) <= limits[c]) + F.lit(rel_error) * n)).alias(f"_r{i}")
+                      for i, c in enumerate(CAP_COLUMNS)])
+    tops = capped.agg(*[(F.max(c) <= limits[c]).alias(f"_m{i}") for i, c in enumerate(CAP_COLUMNS)])
+    one = ranks.withColumn("_k", F.lit(1)).join(tops.withColumn("_k", F.lit(1)), "_k")
+    return one.select(F.stack(F.lit(len(CAP_COLUMNS)), *rows).alias("column_name", "rank_within_error", "capped_at_threshold"))
+
+
+@register("trip_id_stability", "SELECT CAST(0 AS BIGINT) AS unstable_ids, CAST(0 AS BIGINT) AS repeated_ids")
+def q_trip_id_stability(spark, sf):
+    """FN5: ids of the deduped trips, from the rows dealt over 1, 4 and 13
+    partitions: ids not in all three, and ids on more than one trip."""
+    from functools import reduce
+
+    from tripmart.operators.keys import with_raw_key
+    ids = reduce(DataFrame.unionByName, [
+        with_raw_key(C.dedupe(trips(spark, sf).repartition(n))).select("trip_id", F.lit(n).alias("run")) for n in (1, 4, 13)])
+    per = ids.groupBy("trip_id").agg(F.count_distinct("run").alias("runs"), F.count(F.lit(1)).alias("n"))
+    return per.agg(F.count_if(F.col("runs") < 3).alias("unstable_ids"), F.count_if(F.col("n") > 3).alias("repeated_ids"))
+
+
+@register("dim_payment_labelled", O.with_steps(*O.CLEAN, "dim_payment")
+          + "SELECT * REPLACE (coalesce(payment_desc, 'Other') AS payment_desc) FROM dim_payment")
+def q_dim_payment_labelled(spark, sf):
+    """H6: unmapped codes under a label of their own."""
+    return S.dim_payment(cleaned(spark, sf), unknown_label="Other")
+
+
+_WIDE = O.STEPS["fact_trip"].replace("fact_trip AS (", "fact_wide AS (").replace("c.trip_id, ", "").replace(
+    "FROM clean_id c", """, c.DOLocationID AS dropoff_location_id,
+    CAST(c.congestion_surcharge AS DECIMAL(10,2)) AS congestion_surcharge,
+    CAST(c.cbd_congestion_fee AS DECIMAL(10,2)) AS cbd_congestion_fee, CAST(c.Airport_fee AS DECIMAL(10,2)) AS airport_fee
+  FROM clean c""")
+
+
+@register("fact_trip_wide", O.with_steps(*O.CLEAN, "dim_datetime", extra=_WIDE) + "SELECT * FROM fact_wide")
+def q_fact_trip_wide(spark, sf):
+    c = cleaned(spark, sf)
+    return S.fact_trip(c, S.dim_datetime(c), wide=True)
+
+
+@register("rejected_trips", O.with_steps(*O.CLEAN) + """SELECT CAST(count_if(payment_type = 6) AS BIGINT) AS rejected,
+  CAST(count_if(payment_type <> 6) AS BIGINT) AS loaded FROM clean""")
+def q_rejected_trips(spark, sf):
+    """H12: amounts beyond decimal(10,2) (planted for one payment type) go to the reject table."""
+    c = cleaned(spark, sf).withColumn("total_amount", F.when(F.col("payment_type") == 6, 1e9).otherwise(F.col("total_amount")))
+    star = S.build_star(c, key_mode="hash", rejects=True)
+    both = star["REJECTED_TRIP"].select(F.lit(1).alias("r")).unionByName(star["FACT_TRIP"].select(F.lit(0).alias("r")))
+    return both.agg(F.sum("r").alias("rejected"), F.sum(1 - F.col("r")).alias("loaded"))
 
 
 @register("csv_round_trip", O.with_steps(*O.STAR) + "SELECT * EXCLUDE (trip_id) FROM fact_trip")

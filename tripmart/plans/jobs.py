@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tripmart.operators import clean as C
-from tripmart.operators.keys import row_id
+from tripmart.operators.keys import with_raw_key
 from tripmart.schema import CAP_COLUMNS, EARLY_CAP_COLUMNS
 from tripmart.session import work_dir
 
@@ -53,35 +53,27 @@ def stage(df: DataFrame, name: str = "stage", observe: list | None = None):
 
 def staged_caps(df: DataFrame, cols: list[str], mode: str, rel_error: float, name: str,
                 q: float = 0.99):
-    """Stage ``df`` and get its cap thresholds, their statistics observed
-    during the stage write (approx: no extra pass at all)."""
+    """Stage ``df`` and get its cap thresholds from the written columns."""
     from tripmart.operators import quantiles
-    present = [c for c in cols if c in df.columns]
-    staged, stats = stage(df, name, observe=quantiles.stat_exprs(present, q, mode, rel_error))
-    return staged, quantiles.thresholds(staged, present, q, mode, rel_error, stats=stats)
+    staged = stage(df, name)
+    return staged, quantiles.thresholds(staged, [c for c in cols if c in df.columns], q, mode, rel_error)
 
 
 def clean_job(raw: DataFrame, cap_mode: str = "approx", rel_error: float = 1e-4,
               passenger_policy: str = "drop", fills: dict | None = None,
-              cast: bool = True, trip_id: bool | str = False) -> DataFrame:
+              cast: bool = True, trip_id: bool = False) -> DataFrame:
     """PL1: dedupe -> duration -> filter -> fill -> cap (3 columns) -> casts.
 
-    Two passes over the data instead of the six of a naive job: one writes the
-    deduped, valid, filled trips; the quantile passes and the result read that
-    stage table. ``trip_id=True`` (or ``"row"``) adds a unique id right after
-    the dedupe, fixed by the stage write (fills, caps and casts may later make
-    rows equal); ``trip_id="hash"`` uses a 64-bit hash of the raw columns
-    instead - the same across reruns, but check it with CHK2 at large sizes.
+    One pass writes the deduped, valid, filled trips; the quantile passes and
+    the result read that stage table. ``trip_id`` adds a 64-bit hash of the raw
+    columns, taken right after the dedupe (fills, caps and casts may later make
+    rows equal): the same on every run; CHK2 checks that it is unique.
     """
     from tripmart.operators import quantiles
     rows = C.dedupe(raw)
-    if trip_id == "hash":                       # raw values, right after the dedupe
-        from tripmart.operators.keys import hash_key
-        from tripmart.schema import RAW_COLUMNS
-        rows = rows.withColumn("trip_id", hash_key(*[c for c in RAW_COLUMNS if c in raw.columns]))
+    if trip_id:
+        rows = with_raw_key(rows).drop("raw_check")
     pre = C.fill_constants(C.valid_trips(C.with_duration(rows), passenger_policy), fills)
-    if trip_id and trip_id != "hash":
-        pre = pre.withColumn("trip_id", row_id())
     pre, limits = staged_caps(pre, CAP_COLUMNS, cap_mode, rel_error, "clean-pre")
     out = quantiles.cap(pre, limits)
     return C.cast_int_columns(out) if cast else out
@@ -114,12 +106,13 @@ def run_clean(raw: DataFrame, out_path: str, cap_mode: str = "approx", rel_error
 
 
 def run_star(clean: DataFrame, star_dir: str, zones: DataFrame | None = None,
-             key_mode: str = "dense", csv: bool = True) -> dict[str, str]:
-    """PL2: build the six tables, write them (Parquet, plus CSV export)."""
+             key_mode: str = "dense", csv: bool = True, rejects: bool = False) -> dict[str, str]:
+    """PL2: build the six tables, write them (as CSV, or as Parquet). With
+    ``rejects`` trips whose amounts overflow are written as a seventh table."""
     from tripmart.operators.star import build_star
     from tripmart.sources.sinks import write_star_csv
 
-    star = build_star(clean, zones, key_mode)
+    star = build_star(clean, zones, key_mode, rejects)
     paths = {name: f"{star_dir.rstrip('/')}/{name}" for name in star}
 
     def job(name):
@@ -131,15 +124,20 @@ def run_star(clean: DataFrame, star_dir: str, zones: DataFrame | None = None,
 
 
 def run_all(spark, source: str, warehouse: str, zones: DataFrame | None = None,
-            cap_mode: str = "approx") -> str:
-    """PL6 (batch): validate landing -> clean -> star -> checked warehouse load."""
+            cap_mode: str = "approx", raw_zone: str | None = None) -> str:
+    """PL6 (batch): land -> validate the raw zone -> clean it -> star -> checked
+    warehouse load. The raw zone is ``<warehouse>/_raw`` unless given."""
     from tripmart.operators.checks import star_checks
     from tripmart.operators.star import build_star
-    from tripmart.sources.files import read_trips, validate_landing
+    from tripmart.sources.files import land, read_trips, validate_landing
     from tripmart.sources.sinks import load_warehouse
 
-    validate_landing(spark, source)
-    clean = clean_job(read_trips(spark, source), cap_mode=cap_mode, trip_id=True)
+    raw = raw_zone or f"{warehouse.rstrip('/')}/_raw"
+    landed = land(spark, source, raw)
+    if landed["failed"]:
+        raise RuntimeError(f"{landed['failed']} trip file(s) could not be landed from {source}")
+    validate_landing(spark, raw)
+    clean = clean_job(read_trips(spark, raw), cap_mode=cap_mode, trip_id=True)
     star = build_star(clean, zones)
     return load_warehouse(star, warehouse, check=lambda t: star_checks(t))
 
@@ -154,11 +152,9 @@ def star_from_cleaned_table(spark, cleaned_path: str, zones: DataFrame | None =
     from tripmart.operators import quantiles
     from tripmart.operators.star import build_star
 
-    table = spark.read.parquet(cleaned_path).drop("pickup_month")
+    table = spark.read.parquet(cleaned_path).drop("pickup_month", "raw_check")
     limits = quantiles.thresholds(table, CAP_COLUMNS, 0.99, cap_mode)
     capped = C.cast_int_columns(quantiles.cap(table, limits))
-    if "trip_id" not in capped.columns:
-        capped = stage(capped.withColumn("trip_id", row_id()), "star-in")
     star = build_star(capped, zones, key_mode)
     star["CAPS"] = table.agg(F.count(F.lit(1)).alias("rows")).select(
         *[F.lit(v).cast("double").alias(f"cap_{c}") for c, v in limits.items()], "rows")

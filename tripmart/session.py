@@ -2,7 +2,7 @@
 
 On a cluster the work folder is the shared checkpoint directory the cluster
 names in ``spark.checkpoint.dir``; we only pick our own (a fresh temp folder)
-when nothing is configured, which is the local / test case.
+when nothing is configured and the master is local (tests).
 """
 
 from __future__ import annotations
@@ -38,14 +38,17 @@ def get_session(app: str = "tripmart", master: str | None = None,
     return spark
 
 
-_LOCAL_FALLBACK: dict[str, str] = {}
+def _is_local(sc) -> bool:
+    return sc.master == "local" or sc.master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, setting a local one only if none is set.
+    """Return the shared checkpoint folder.
 
     Order: the context's checkpoint folder, then ``spark.checkpoint.dir`` from
-    the session conf, then (tests, local runs) a fresh temp folder.
+    the session conf, then - on a local master only - a fresh temp folder. On a
+    cluster without a configured folder this raises: a machine-local one would
+    be written by each executor on its own disk and read back short.
     """
     try:
         sc = spark.sparkContext
@@ -59,8 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(conf_dir)
             return sc.getCheckpointDir()
         return conf_dir
-    if sc is None:
-        return _LOCAL_FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="tripmart-ckpt-"))
+    if sc is None or not _is_local(sc):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="tripmart-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -69,28 +72,18 @@ def work_dir(spark: SparkSession, name: str = "work") -> str:
     """A fresh, uniquely named folder under the shared checkpoint folder.
 
     Stage tables, manifests and sink outputs go here, so every executor (and
-    a re-run after executor loss) sees the same files.
+    a re-run after executor loss) sees the same files. Created on whatever file
+    system it lives on; without a local context the writers create it.
     """
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    try:   # create it on whatever file system the folder lives on
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
-    except Exception:  # noqa: BLE001 - no local context: writers create it
-        if "://" not in path and not path.startswith("file:"):
-            os.makedirs(path, exist_ok=True)
-    return path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on its file system (HDFS, object store or local)."""
     try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-    except Exception:  # noqa: BLE001 - no local context
-        return os.path.exists(path.replace("file:", "", 1))
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session
+        return path
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).mkdirs(p)
+    return path
 
 
 def has_data(spark: SparkSession, path: str) -> bool:

@@ -8,6 +8,8 @@ aggregates, not a driver loop.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,13 +32,53 @@ def entry_name(path_col: str = "_metadata.file_path"):
     return F.regexp_extract(F.col(path_col), r"/([^/]*_tripdata_[^/]*\.parquet)(/[^/]*)?$", 1)
 
 
+def trip_entries(spark: SparkSession, path: str, colour: str = "yellow") -> list[str]:
+    """Paths of the trip files or folders of one colour (one per month)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(trip_glob(path, colour))
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(st.getPath().toString() for st in found or [])
+
+
+def conformed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, cast; absent ones NULL; names in any case."""
+    have = {c.lower(): c for c in df.columns}
+    return df.select(*[(F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None))
+                       .cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def read_files(spark: SparkSession, paths: list[str], schema: T.StructType = RAW, keep: list | None = None) -> DataFrame:
+    """Parquet files that may differ in columns and types: each is read with its
+    own schema and cast. Files with the same schema share one scan, so the plan
+    grows with the number of schemas, not of files. ``keep``: further columns."""
+    from tripmart.plans.jobs import write_concurrently
+
+    own = write_concurrently({p: (lambda p=p: spark.read.parquet(p).schema) for p in paths}, 8)   # footers only
+    alike: dict[str, list[str]] = {}
+    for p in paths:
+        alike.setdefault(own[p].simpleString(), []).append(p)
+    keep = keep or []
+    extra = T.StructType([T.StructField(n, t) for n, t, _ in keep])
+    parts = []
+    for same in alike.values():
+        df = spark.read.schema(own[same[0]]).parquet(*same)
+        if keep:
+            df = df.select("*", *[c.alias(n) for n, _, c in keep])
+        parts.append(conformed(df, T.StructType([*schema.fields, *extra.fields])))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_trips(spark: SparkSession, path: str, schema: T.StructType = RAW,
-               colour: str = "yellow") -> DataFrame:
-    """SRC1: scan the ``<colour>_tripdata_*.parquet`` files of a folder with a
-    fixed schema. Only the colour whose columns the schema names is read
-    (other colours name their timestamps differently). A file lacking a column
-    reads it as NULL, so months with schema drift union cleanly."""
-    return spark.read.schema(schema).parquet(trip_glob(path, colour))
+               colour: str = "yellow", with_file: bool = False) -> DataFrame:
+    """SRC1: scan the ``<colour>_tripdata_*.parquet`` files of a folder. Only the
+    colour whose columns the schema names is read (other colours name their
+    timestamps differently). Months that lack a column or hold it in another
+    type (INT64 counts and codes, say) are cast to ``schema``. ``with_file``
+    adds the file's name as ``source_file``."""
+    paths = trip_entries(spark, path, colour)
+    if not paths:       # raises PATH_NOT_FOUND, as a scan of the pattern does
+        return spark.read.schema(schema).parquet(trip_glob(path, colour))
+    return read_files(spark, paths, schema, [("source_file", T.StringType(), entry_name())] if with_file else None)
 
 
 def load_file(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -57,10 +99,13 @@ def as_frame(spark: SparkSession, data) -> DataFrame:
 def new_files(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
     """SRC4 (batch): trip files by name pattern, newer than the last run
     (``modified_after`` as 'YYYY-MM-DDTHH:MM:SS')."""
-    r = spark.read.schema(RAW)
+    r = spark.read.format("binaryFile")
     if modified_after:
         r = r.option("modifiedAfter", modified_after)
-    return r.parquet(trip_glob(path)).withColumn("source_file", entry_name())
+    paths = [r_.path for r_ in r.load(trip_glob(path)).select("path").collect()]    # names only
+    if not paths:
+        return spark.createDataFrame([], RAW).withColumn("source_file", F.lit(None).cast("string"))
+    return read_files(spark, paths, keep=[("source_file", T.StringType(), entry_name())])
 
 
 def _qualified(spark: SparkSession, path: str) -> str:
@@ -122,35 +167,42 @@ def validate_landing(spark: SparkSession, path: str, min_files: int = 1,
 def file_counts(spark: SparkSession, path: str, colour: str = "yellow") -> DataFrame:
     """Manifest of the trip files with the trips each holds (one scan of the
     files, grouped by file): the per-period check of the landing zone."""
-    rows = (read_trips(spark, path, colour=colour).select(entry_name().alias("file_name"))
-            .groupBy("file_name").agg(F.count(F.lit(1)).alias("trips")))
+    rows = (read_trips(spark, path, colour=colour, with_file=True)
+            .groupBy(F.col("source_file").alias("file_name")).agg(F.count(F.lit(1)).alias("trips")))
     return with_name_parts(rows).select("file_name", "colour", "period", "valid_name", "trips")
 
 
 def land(spark: SparkSession, source: str, raw_zone: str, colour: str = "yellow") -> dict[str, int]:
     """SRC5: land files of one colour not already in the raw zone; counts by status.
 
-    The landed set is the raw zone's own listing; new files are a ``left_anti``
-    join on file name, so re-running lands nothing twice. Rows are appended
-    under one ``landed_file=<name>`` folder per source file, read with the
-    colour's schema (only yellow's is defined; other colours are not landed).
+    Files keep their names, columns and types. The landed set is the raw zone's
+    own listing, so re-running lands nothing twice. A file is written under a
+    hidden run folder first and appears in the zone by one rename: a broken copy
+    counts as ``failed``, is not seen by readers and is landed by the next run.
     """
+    from tripmart.plans.jobs import write_concurrently
+
     src = manifest(spark, source).where(F.col("valid_name") & (F.col("colour") == colour))
     landed = landed_files(spark, raw_zone)
     names = [r.file_name for r in src.join(landed, "file_name", "left_anti")
                                      .select("file_name").collect()]     # file names only
     skipped = src.join(landed, "file_name", "left_semi").count()
-    counts = {"uploaded": 0, "skipped": skipped, "failed": 0}
-    if names:
-        paths = [f"{source.rstrip('/')}/{n}" for n in names]
+    root = raw_zone.rstrip("/")
+    run = f"{root}/_land-{uuid.uuid4().hex[:12]}"
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path
+    fs = hpath(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hpath(root))
+
+    def copy(name):
         try:
-            rows = spark.read.schema(RAW).parquet(*paths).withColumn("landed_file", entry_name())
-            rows.write.mode("append").partitionBy("landed_file").parquet(f"{raw_zone.rstrip('/')}/_landed")
-            counts["uploaded"] = len(names)
-        except Exception:  # noqa: BLE001 - the whole batch failed; nothing committed
-            counts["failed"] = len(names)
-            raise
-    return counts
+            spark.read.parquet(f"{source.rstrip('/')}/{name}").write.parquet(f"{run}/{name}")
+            return bool(fs.rename(hpath(f"{run}/{name}"), hpath(f"{root}/{name}")))
+        except Exception:  # noqa: BLE001 - reported by count; the file stays out of the zone
+            return False
+    done = write_concurrently({n: (lambda n=n: copy(n)) for n in names})
+    fs.delete(hpath(run), True)
+    return {"uploaded": sum(done.values()), "skipped": skipped, "failed": len(names) - sum(done.values())}
 
 
 def write_trip_files(trips: DataFrame, folder: str, colour: str = "yellow") -> list[str]:
@@ -176,17 +228,17 @@ def write_trip_files(trips: DataFrame, folder: str, colour: str = "yellow") -> l
 
 
 def landed_files(spark: SparkSession, raw_zone: str) -> DataFrame:
-    """Names of the files already in the raw zone (one ``landed_file=`` folder each)."""
+    """Names of the trip files already in the raw zone."""
     from tripmart.session import has_data
-    landed = f"{raw_zone.rstrip('/')}/_landed"
-    if not has_data(spark, landed):          # nothing landed yet
+    if not has_data(spark, raw_zone):          # nothing landed yet
         return spark.createDataFrame([], "file_name string")
-    files = listing(spark, landed)
-    return files.select(F.regexp_extract("file_name", r"^landed_file=(.+)$", 1).alias("file_name"))
+    return manifest(spark, raw_zone).where("valid_name").select("file_name")
 
 
 def read_star_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """SRC9: a star table written as headed CSV, read back with its schema;
-    ``multiLine`` keeps quoted newlines inside one record."""
-    return (spark.read.schema(STAR[table]).option("header", True).option("multiLine", True)
+    """SRC9: a star table written as headed CSV, read back with its schema. The
+    small dimensions hold free text, where ``multiLine`` keeps quoted newlines
+    inside one record; the others have none and stay splittable."""
+    from tripmart.sources.sinks import SMALL_TABLES
+    return (spark.read.schema(STAR[table]).option("header", True).option("multiLine", table in SMALL_TABLES)
                  .option("escape", '"').csv(path))

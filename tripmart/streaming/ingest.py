@@ -2,11 +2,14 @@
 
 The file source's checkpoint replaces marker files: every trip file is
 processed exactly once, an empty poll does nothing, and a retry resumes from
-the last committed batch. Each micro-batch is cleaned and upserted into the
-month-partitioned cleaned table: the touched months are re-read, merged with
-a full-row dedupe, staged, and only those partitions are overwritten.
-Caps and star keys are global to the table, so they are applied when the star
-is built from the table, not per batch.
+the last committed batch. The stream carries file names; each micro-batch reads
+its files (columns and types may differ from month to month), cleans them and
+appends to the month-partitioned cleaned table what is not there yet. A trip is
+known by a hash of its raw row, so trips that only the fills make alike stay
+apart, as in the batch job, and a batch that is run again adds nothing. Only the
+hashes of the touched months are read back; ``compact`` merges small files apart
+from the stream. Caps and star keys are global to the table, so they are applied
+when the star is built from the table, not per batch.
 """
 
 from __future__ import annotations
@@ -14,20 +17,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.operators.clean import clean_prefix
-from tripmart.schema import PICKUP, RAW
+from tripmart.operators.clean import dedupe, fill_constants, valid_trips, with_duration
+from tripmart.operators.keys import RAW_KEY, with_raw_key
+from tripmart.schema import PICKUP
 from tripmart.session import has_data
-from tripmart.sources.files import entry_name, trip_glob
+from tripmart.sources.files import read_files, trip_glob
 
 MONTH = "pickup_month"
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def trip_file_stream(spark: SparkSession, source: str, max_files: int | None = None) -> DataFrame:
-    """SRC4 (stream): new trip files by name pattern, with their file name."""
-    r = spark.readStream.schema(RAW)
+    """SRC4 (stream): paths of new trip files by name pattern; the contents are pruned."""
+    r = spark.readStream.format("binaryFile").schema(FILES)
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
-    return r.parquet(trip_glob(source)).withColumn("source_file", entry_name())
+    return r.load(trip_glob(source)).select("path")
 
 
 def _trigger(writer, trigger: str):
@@ -36,40 +41,42 @@ def _trigger(writer, trigger: str):
     return writer.trigger(processingTime=trigger)      # e.g. "15 minutes" (SRC6)
 
 
-def land_stream(spark: SparkSession, source: str, raw_zone: str, checkpoint: str,
-                trigger: str = "availableNow"):
-    """SRC5 (stream): copy new files' rows to the raw zone, one folder per file."""
-    q = (trip_file_stream(spark, source).withColumnRenamed("source_file", "landed_file")
-         .writeStream.format("parquet").option("path", f"{raw_zone.rstrip('/')}/_landed")
-         .option("checkpointLocation", checkpoint).partitionBy("landed_file"))
-    return _trigger(q, trigger).start()
-
-
-def upsert_cleaned(batch: DataFrame, cleaned_path: str, passenger_policy: str = "drop") -> None:
-    """Merge one batch of raw trips into the month-partitioned cleaned table."""
+def upsert_cleaned(raw: DataFrame, cleaned_path: str, passenger_policy: str = "drop") -> None:
+    """Add one batch of raw trips to the month-partitioned cleaned table."""
     from tripmart.plans.jobs import stage
 
-    spark = batch.sparkSession
-    new = (clean_prefix(batch.drop("source_file"), passenger_policy)
-           .withColumn(MONTH, F.date_format(PICKUP, "yyyy-MM")))
-    new = stage(new, "batch")
+    spark = raw.sparkSession
+    rows = with_raw_key(dedupe(raw))
+    new = fill_constants(valid_trips(with_duration(rows), passenger_policy))
+    new = stage(new.withColumn(MONTH, F.date_format(PICKUP, "yyyy-MM")), "batch")
     months = [r[MONTH] for r in new.select(MONTH).distinct().collect()]   # bounded by the calendar
     if not months:
         return
     if has_data(spark, cleaned_path):
-        old = spark.read.parquet(cleaned_path).where(F.col(MONTH).isin(months))
-        merged = old.unionByName(new).distinct()
-    else:                                   # first batch: no table yet
-        merged = new
-    staged = stage(merged, "upsert")
-    (staged.hint("rebalance", MONTH).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(cleaned_path))
+        known = spark.read.parquet(cleaned_path).where(F.col(MONTH).isin(months)).select(MONTH, *RAW_KEY)
+        new = new.join(known, [MONTH, *RAW_KEY], "left_anti")
+    # the anti join reads the table that is appended to: written apart first
+    (stage(new, "new-trips").hint("rebalance", MONTH)
+        .write.mode("append").partitionBy(MONTH).parquet(cleaned_path))
+
+
+def compact(spark: SparkSession, cleaned_path: str, months: list[str]) -> None:
+    """Rewrite months that many small batches have touched; run between batches."""
+    from tripmart.plans.jobs import stage
+
+    rows = stage(spark.read.parquet(cleaned_path).where(F.col(MONTH).isin(months)), "compact")
+    (rows.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(MONTH).parquet(cleaned_path))
 
 
 def clean_stream(spark: SparkSession, source: str, cleaned_path: str, checkpoint: str,
                  trigger: str = "availableNow", max_files: int | None = None):
     """PL6 (stream): trip files -> clean -> upsert, one micro-batch at a time."""
+    def batch(df, _epoch):
+        paths = [r.path for r in df.collect()]         # file names of one trigger
+        if paths:
+            upsert_cleaned(read_files(df.sparkSession, paths), cleaned_path)
+
     q = (trip_file_stream(spark, source, max_files).writeStream
-         .foreachBatch(lambda df, _epoch: upsert_cleaned(df, cleaned_path))
-         .option("checkpointLocation", checkpoint))
+         .foreachBatch(batch).option("checkpointLocation", checkpoint))
     return _trigger(q, trigger).start()
