@@ -589,14 +589,14 @@ def q_cap_approx_check(spark, sf, rel_error: float = 1e-4):
     from tripmart.operators import quantiles
     pre, limits = P.staged_caps(C.fill_constants(valid(spark, sf)), CAP_COLUMNS, "approx", rel_error, "cap-pre")
     n, k = F.count(F.lit(1)), F.ceil(F.count(F.lit(1)) * F.lit(0.99)) - 1
-    capped = quantiles.cap(pre, limits)
+    both = quantiles.cap(pre.select(*CAP_COLUMNS, *[F.col(c).alias(f"_{c}") for c in CAP_COLUMNS]),
+                         {f"_{c}": v for c, v in limits.items()})
+    agg = both.agg(*[x for i, c in enumerate(CAP_COLUMNS) for x in (
+        ((F.count_if(F.col(c) < limits[c]) - F.lit(rel_error) * n <= k)
+         & (k < F.count_if(F.col(c) <= limits[c]) + F.lit(rel_error) * n)).alias(f"_r{i}"),
+        (F.max(f"_{c}") <= limits[c]).alias(f"_m{i}"))])
     rows = [x for i, c in enumerate(CAP_COLUMNS) for x in (F.lit(c), F.col(f"_r{i}"), F.col(f"_m{i}"))]
-    ranks = pre.agg(*[((F.count_if(F.col(c) < limits[c]) - F.lit(rel_error) * n <= k)
-                       & (k < F.count_if(F.col(c) <= limits[c]) + F.lit(rel_error) * n)).alias(f"_r{i}")
-                      for i, c in enumerate(CAP_COLUMNS)])
-    tops = capped.agg(*[(F.max(c) <= limits[c]).alias(f"_m{i}") for i, c in enumerate(CAP_COLUMNS)])
-    one = ranks.withColumn("_k", F.lit(1)).join(tops.withColumn("_k", F.lit(1)), "_k")
-    return one.select(F.stack(F.lit(len(CAP_COLUMNS)), *rows).alias("column_name", "rank_within_error", "capped_at_threshold"))
+    return agg.select(F.stack(F.lit(len(CAP_COLUMNS)), *rows).alias("column_name", "rank_within_error", "capped_at_threshold"))
 
 
 @register("trip_id_stability", "SELECT CAST(0 AS BIGINT) AS unstable_ids, CAST(0 AS BIGINT) AS repeated_ids")
