@@ -29,49 +29,61 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm._common import id_type, keyed, read, same_row, slices, stage
+from tripmart.llm._common import bit_filter, id_type, keyed, mix, read, same_row, slices, stage
 from tripmart.llm._grams import Grams, i64, text_buffer, word_bounds
-from tripmart.llm._repeats import classes, picked, repeated_runs, run_filter
+from tripmart.llm._repeats import repeated_runs
 
 
-def _branches(docs: DataFrame, cls: DataFrame, g: Grams) -> DataFrame:
-    """(anchor, content, off): edges of a class's source that an earlier document has."""
-    idt = id_type(docs)
-    mixed = stage(cls.filter("nc > 1").select("anchor", "content", "first.*"), "mixed")
-    filters = run_filter(mixed)
+def _sources(runs: DataFrame) -> DataFrame:
+    """(anchor, content, n, src) staged: each different path piece, how often it
+    occurs and the smallest id it occurs in."""
+    return stage(runs.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("src")), "pieces")
+
+
+def _key(anchor, content, id_hash) -> np.ndarray:
+    return mix(anchor ^ mix(content + id_hash))
+
+
+def _branches(docs: DataFrame, pieces: DataFrame, g: Grams) -> DataFrame:
+    """(id, th, start) of edges that an earlier document has, in pieces that share
+    an anchor with a different piece. Only a piece's first document opens it."""
+    several = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("anchor")
+    first = stage(pieces.join(several, "anchor", "left_semi")
+                  .select("anchor", "content", F.xxhash64("src").alias("ih")), "branching")
+    u64 = lambda b, i: b.column(i).to_numpy(zero_copy_only=False).view(np.uint64)          # noqa: E731
+    piece_f = bit_filter(first, lambda b: _key(u64(b, 0), u64(b, 1), u64(b, 2)))
+    doc_f = bit_filter(first.select("ih").distinct())
 
     def edges(batches):
-        for bl, at in picked(batches, g, filters):
-            run, off, h = bl.windows(at)
-            row = pa.array(bl.row[run])
-            yield pa.RecordBatch.from_arrays(
-                [bl.batch.column(0).take(row), i64(bl.anchor[run]), i64(bl.content[run]), i64(h),
-                 pa.array(off.astype(np.int32))], ["id", "anchor", "content", "edge", "off"])
-
-    # copies of a document are picked together: the smallest id is the class's source
-    e = stage(docs.mapInArrow(edges, f"id {idt}, anchor long, content long, edge long, off int")
-              .groupBy("anchor", "content", "edge", "off").agg(F.min("id").alias("id")), "edges")
-    src = e.groupBy("anchor", "edge").agg(F.min("id").alias("src"), F.min("content").alias("c0"),
-                                          F.max("content").alias("c1")).filter("c0 <> c1").select("anchor", "edge", "src")
-    found = e.join(src, ["anchor", "edge"]).filter("src is not null and (id is null or src < id)")
-    return (found.groupBy("anchor", "content").agg(F.collect_set("off").alias("offs")))
+        for b in (b for whole in batches for b in slices(whole, 2)):
+            rows = np.flatnonzero(doc_f.value.has(u64(b, 3)))
+            part = b.take(pa.array(rows))
+            for bl in g.blocks(part.column(2)):
+                at = np.flatnonzero(piece_f.value.has(_key(bl.anchor, bl.content, u64(part, 3)[bl.row])))
+                run, off, h = bl.windows(at)
+                row = pa.array(bl.row[run])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(row), part.column(1).take(row), pa.array(bl.start[run] + off),
+                     i64(mix(h ^ bl.anchor[run]))], ["id", "th", "start", "edge"])
+
+    e = stage(docs.withColumn("ih", F.xxhash64("id")).mapInArrow(edges, f"id {id_type(docs)}, th long, start long, edge long"), "edges")
+    src = e.groupBy("edge").agg(F.min("id").alias("src"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    return e.join(src, "edge").filter(LATER).select("id", "th", "start")
+
+
+LATER = "src is not null and (id is null or src < id)"
 
 
 def removed_spans(docs: DataFrame, size: int = 13, gram: int = 4, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """(id, th, start, end): word spans that repeat an earlier document; they may overlap."""
     docs = keyed(docs, id_col, text_col)
-    g = Grams("word", size, gram)
+    g = Grams("word", size, min(gram, size))
     runs = repeated_runs(docs, g)
-    cls = classes(runs)
-    here = runs.join(cls.select("anchor", "content", F.col("first.id").alias("src")), ["anchor", "content"])
-    late = F.col("src").isNotNull() & (F.col("id").isNull() | (F.col("src") < F.col("id")))
-    whole = here.filter(late).select("id", "th", "start", (F.col("start") + F.col("count") + (size - 1)).alias("end"))
-    part = (here.join(_branches(docs, cls, g), ["anchor", "content"])
-            .filter(F.col("id").eqNullSafe(F.col("src")))
-            .select("id", "th", "start", F.explode("offs").alias("off"))
-            .select("id", "th", (F.col("start") + F.col("off")).alias("start"),
-                    (F.col("start") + F.col("off") + size).alias("end")))
+    pieces = _sources(runs)
+    whole = (runs.join(pieces.filter("n > 1").select("anchor", "content", "src"), ["anchor", "content"])
+             .filter(LATER).select("id", "th", "start", (F.col("start") + F.col("count") + (size - 1)).alias("end")))
+    part = _branches(docs, pieces, g).select("id", "th", "start", (F.col("start") + size).alias("end"))
     return whole.unionByName(part)
 
 
@@ -104,14 +116,29 @@ def _cut(batches, with_text):
 def dedup(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text_col: str = "text",
           with_text: bool = True) -> DataFrame:
     """One row per document: id, n_words, n_removed, kept_sha256 of the kept words
-    joined by one space and, with ``with_text``, those words."""
+    joined by one space and, with ``with_text``, those words. Texts are shuffled
+    only if a bit filter says that they may lose a word."""
     found = removed_spans(docs, size, id_col=id_col, text_col=text_col)
-    spans = found.groupBy("id", "th").agg(F.collect_set(F.struct("start", "end")).alias("found"))
+    spans = stage(found.groupBy("id", "th").agg(F.collect_set(F.struct("start", "end")).alias("found")), "spans")
     rows = keyed(docs, id_col, text_col)
-    joined = rows.join(spans, same_row(rows, spans), "left").select(rows["id"], rows["th"], "text", "found")
-    extra = ", kept string" if with_text else ""
-    return joined.mapInArrow(lambda bs: _cut(bs, with_text),
-                             f"id {id_type(rows)}, n_words long, n_removed long, kept_sha256 string{extra}")
+    hit = bit_filter(spans.select("th").distinct())
+    schema = f"id {id_type(rows)}, n_words long, n_removed long, kept_sha256 string{', kept string' if with_text else ''}"
+
+    def some(wanted):
+        def scan(batches):
+            for b in (b for whole in batches for b in slices(whole, 2)):
+                th = b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+                yield b.take(pa.array(np.flatnonzero(hit.value.has(th) == wanted)))
+        return scan
+
+    def whole_texts(batches):
+        for b in some(False)(batches):
+            none = pa.nulls(b.num_rows, pa.null())
+            yield from _cut([pa.RecordBatch.from_arrays([*b.columns, none], [*b.schema.names, "found"])], with_text)
+
+    cut = rows.mapInArrow(some(True), rows.schema)
+    joined = cut.join(spans, same_row(cut, spans), "left").select(cut["id"], cut["th"], "text", "found")
+    return rows.mapInArrow(whole_texts, schema).unionByName(joined.mapInArrow(lambda bs: _cut(bs, with_text), schema))
 
 
 def op4_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
