@@ -150,12 +150,12 @@ def _partial(docs: DataFrame, cls: DataFrame, g: Grams) -> DataFrame:
 
 
 def repeats(docs: DataFrame, size: int = 400, id_col: str = "doc_id", text_col: str = "text",
-            gram: int = 64) -> DataFrame:
+            gram: int | None = None) -> DataFrame:
     """Windows of ``size`` bytes that occur more than once: (id, th, start, end,
     later). ``later`` windows have an earlier copy; the others recur later only.
-    Spans may touch or overlap. The first copy of a text is judged by LPF too."""
+    Spans may touch or overlap. ``gram``: bytes of an anchor."""
     docs = keyed(docs, id_col, text_col)
-    g = Grams("byte", size, gram)
+    g = Grams("byte", size, gram or min(64, -(-size // 4)))
     runs = repeated_runs(docs, g)
     cls = classes(runs)
     span = lambda n: [F.col("start"), (F.col("start") + n + (size - 1)).alias("end")]
