@@ -82,6 +82,7 @@ class BitFilter:
 
     MAX_BITS = 29
     PAGE = 4096
+    FILLERS = 64
 
     def __init__(self, bits: int, data: np.ndarray):
         self.bits, self.data = bits, data
@@ -101,8 +102,8 @@ class BitFilter:
 
 def bit_filter(keys: DataFrame, key=None):
     """Broadcast ``BitFilter`` over the first (long) column of ``keys``, or over
-    what ``key`` makes of a batch. Each task fills pages, pages are or-ed in the
-    cluster, the driver gets the sum."""
+    what ``key`` makes of a batch. At most ``FILLERS`` tasks fill pages, so the pages
+    moved are bounded; they are or-ed in the cluster, the driver gets the sum."""
     spark = keys.sparkSession
     key = key or (lambda b: b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
     bits = int(np.clip(np.ceil(np.log2(max(keys.count(), 1) * 16)), 16, BitFilter.MAX_BITS))
@@ -128,7 +129,7 @@ def bit_filter(keys: DataFrame, key=None):
         return pd.DataFrame({"page": [key[0]], "data": [out.tobytes()]})
 
     schema = "page long, data binary"
-    merged = (keys.mapInArrow(fill, schema)
+    merged = (keys.coalesce(BitFilter.FILLERS).mapInArrow(fill, schema)
               .groupBy("page").applyInPandas(merge, schema))
     data = np.zeros(1 << (bits - 3), np.uint8)
     for r in merged.toLocalIterator():
