@@ -165,7 +165,8 @@ def mixture(docs: DataFrame, block: int = BLOCK, repeat: int = 3, id_col: str =
     sources = stage(source_targets(sized, repeat), "targets")
     draws = slots(sources, block).groupBy("source", "block").agg(F.count(F.lit(1)).alias("draws"))
     have = blocks(placed(sized, sources), block)
-    d = draws.select(F.col("source").alias("s2"), F.col("block").alias("b2"), "draws")
+    # slots come out of a few rows of counts, so the optimizer takes them for few: never broadcast
+    d = draws.select(F.col("source").alias("s2"), F.col("block").alias("b2"), "draws").hint("merge")
     taken = (have.join(d, F.col("source").eqNullSafe(F.col("s2")) & (F.col("block") == F.col("b2")))
              .groupBy("rid").agg(F.sum(F.col("words") * F.col("draws")).alias("taken")))
     src = sources.select(F.col("source").alias("s2"), "source_size", "target")
