@@ -349,6 +349,24 @@ def test_secret_scan(spark, docs, none):
     assert m.scan(none).count() == 0 and m.scan(docs).count() == docs.count()
 
 
+def test_secret_scan_parts_that_reach_into_a_scope_from_the_left(spark):
+    from tripmart.llm import secret_scan as m
+    key = "ASIA" + "Z9" * 8
+    rows, want = [], {}
+    for i, (n, gap, at) in enumerate((n, gap, at) for n in (40, 160, 800, 3000) for gap in (1, 100, 249, 250, 251, 255, 256, 400)
+                                     for at in range(0, 256, 37)):
+        value, url = "token=" + "x_" * (n // 2), "https://" + "u-" * (n // 2)
+        for j, (part, tail) in enumerate(((value, ""), (url, " token=x_x_x_x"))):
+            text = "~" * at + " " + part + " " + "~" * (gap - 1) + key + tail
+            lo, s = at + 1, at + 1 + len(part) + gap
+            meets = lo + len(part) > s - m.SCOPE
+            rows.append((2 * i + j, text))
+            own = [(s, 3, s + len(key))] if meets or j else []
+            want[2 * i + j] = ([(lo, 5, lo + len(part))] if j and meets else []) + own
+    got = {r.id: [tuple(x) for x in r.added] for r in m.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want and 0 < sum(map(len, want.values()))
+
+
 def test_itq_dedup(spark, monkeypatch):
     from tripmart.llm import itq_dedup as m
     monkeypatch.setattr(m, "CELL", 16)

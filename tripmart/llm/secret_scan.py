@@ -10,7 +10,8 @@ little, are collected beside them:
 An identifier (weak, or a base ``access``) opens a scope of ``SCOPE`` code points
 on either side. Parts are joined with scopes by document and bin of ``SCOPE``
 code points (an interval join whose buckets are bounded by the text's length in
-them). Reported are: a secret in the scope of an identifier; a weak identifier
+them); both stand in every bin they cover and meet in the first they share.
+Reported are: a secret in the scope of an identifier; a weak identifier
 whose scope holds a secret (weak, or a base ``assign``); an endpoint in a scope
 that holds a secret too. Base spans stay as they are.
 
@@ -96,14 +97,15 @@ def linked(found: DataFrame) -> DataFrame:
     some = found.filter("size(weak) > 0")
     one = (some.select("id", "th", F.explode(F.concat("base", "weak")).alias("p")).select("id", "th", "p.*")
            .distinct())
-    ids = (one.filter("kind in (1, 3)")
-           .select("id", "th", F.col("start").alias("s"), F.col("end").alias("e"), F.col("kind").alias("k"),
-                   F.explode(F.sequence(F.floor(F.greatest(F.col("start") - SCOPE, F.lit(0)) / SCOPE),
-                                        F.floor((F.col("end") + SCOPE) / SCOPE))).alias("bin")))
-    other = one.filter("kind in (0, 4, 5)").withColumn("bin", F.floor(F.col("start") / SCOPE))
+    binned = lambda df, hi: df.withColumn("bin", F.explode(F.sequence("lo", F.floor(hi / SCOPE))))      # noqa: E731
+    ids = binned(one.filter("kind in (1, 3)")
+                 .select("id", "th", F.col("start").alias("s"), F.col("end").alias("e"), F.col("kind").alias("k"),
+                         F.floor(F.greatest(F.col("start") - SCOPE, F.lit(0)) / SCOPE).alias("lo")), F.col("e") + SCOPE - 1)
+    other = binned(one.filter("kind in (0, 4, 5)").withColumn("lo", F.floor(F.col("start") / SCOPE)), F.col("end") - 1)
     i, o = ids.alias("i"), other.alias("o")
     pairs = (i.join(o, F.col("i.id").eqNullSafe(F.col("o.id")) & (F.col("i.th") == F.col("o.th"))
-                    & (F.col("i.bin") == F.col("o.bin")) & (F.col("o.start") < F.col("i.e") + SCOPE)
+                    & (F.col("i.bin") == F.col("o.bin")) & (F.col("i.bin") == F.greatest("i.lo", "o.lo"))
+                    & (F.col("o.start") < F.col("i.e") + SCOPE)
                     & (F.col("o.end") > F.col("i.s") - SCOPE))
              .select("i.id", "i.th", "s", "e", "k", "o.start", "o.kind", "o.end"))
     scope = (pairs.groupBy("id", "th", "s", "e", "k")
