@@ -81,6 +81,26 @@ def test_suffix_dedup(docs, none, rows, monkeypatch):
     assert m.dedup(none, size, keep="none").count() == 0
 
 
+def test_suffix_dedup_takes_one_row_of_each_class(spark):
+    from tripmart.llm import suffix_dedup as m
+    from tripmart.llm._common import keyed
+    from tripmart.llm._grams import Grams
+    from tripmart.llm._repeats import classes, picked, repeated_runs, run_filter
+    rnd = random.Random(6)
+    text = "".join(rnd.choice("abcdefgh ") for _ in range(1500))
+    near = text[:700] + "#" + text[700:]
+    df = spark.createDataFrame([(i, text) for i in range(300)] + [(300, near)], "doc_id long, text string").repartition(3)
+    rows = keyed(df, "doc_id", "text")
+    cls = classes(repeated_runs(rows, Grams("byte", 60, 15))).filter("nc > 1").select("anchor", "content", "nc", "first.*")
+    filters, batches = run_filter(cls), rows.withColumn("ih", F.xxhash64("id")).toArrow().to_batches()
+    taken = sum(len(at) for _, at in picked(batches, Grams("byte", 60, 15), filters))
+    assert 0 < cls.count() <= taken <= cls.count() + 5               # not one of every copy
+    seen = collections.Counter(t[p:p + 60] for t in [text] * 300 + [near] for p in range(len(t) - 59))
+    hit = [any(seen[near[p:p + 60]] > 1 for p in range(max(0, k - 59), min(k, len(near) - 60) + 1)) for k in range(len(near))]
+    got = {r.id: r.n_removed for r in m.dedup(df, 60, keep="none", with_text=False).collect()}
+    assert got == {i: 1500 for i in range(300)} | {300: sum(hit)}
+
+
 def test_lpf_matches_a_plain_one():
     from tripmart.llm.suffix_dedup import lpf
     rnd = random.Random(1)

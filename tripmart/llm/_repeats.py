@@ -59,29 +59,30 @@ def classes(runs: DataFrame) -> DataFrame:
     return stage(cls.join(mixed.drop("na"), "anchor"), "classes")
 
 
-def _run_key(anchor, th, start) -> np.ndarray:
-    return mix(anchor ^ mix(th + start.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+def _run_key(anchor, th, start, id_hash) -> np.ndarray:
+    return mix(anchor ^ mix(th + mix(id_hash) + start.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 
 def run_filter(runs: DataFrame):
-    """Bit filter over runs given as (anchor, th, start), for ``picked``."""
+    """Bit filter over runs given as (anchor, id, th, start), for ``picked``. The id is
+    part of the key: other documents with the same text do not pass for this one."""
     def key(b):
-        return _run_key(*(b.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(3)))
+        return _run_key(*(b.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(4)))
 
-    base = runs.select("anchor", "th", "start")
+    base = runs.select("anchor", "th", "start", F.xxhash64("id").alias("ih"))
     return bit_filter(base, key), bit_filter(base.select("th").distinct())
 
 
 def picked(batches, g: Grams, filters):
-    """(block, indices of its picked runs) over the rows of (id, th, text) that
-    the document filter lets through; ``block.batch`` holds those rows."""
+    """(block, indices of its picked runs) over the rows of (id, th, text, ih: hash of
+    the id) that the document filter lets through; ``block.batch`` holds those rows."""
     run_f, doc_f = filters
+    u64 = lambda b, i: b.column(i).to_numpy(zero_copy_only=False).view(np.uint64)          # noqa: E731
     for b in (b for whole in batches for b in slices(whole, 2)):
-        th = b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-        rows = np.flatnonzero(doc_f.value.has(th))
-        part = b.take(pa.array(rows))
+        part = b.take(pa.array(np.flatnonzero(doc_f.value.has(u64(b, 1)))))
+        th, ih = u64(part, 1), u64(part, 3)
         for bl in g.blocks(part.column(2)):
             bl.batch = part
-            at = np.flatnonzero(run_f.value.has(_run_key(bl.anchor, th[rows][bl.row], bl.start)))
+            at = np.flatnonzero(run_f.value.has(_run_key(bl.anchor, th[bl.row], bl.start, ih[bl.row])))
             if len(at):
                 yield bl, at

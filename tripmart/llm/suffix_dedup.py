@@ -63,6 +63,7 @@ def lpf(pieces: list[bytes], size: int):
 def _partial(docs: DataFrame, cls: DataFrame, g: Grams) -> DataFrame:
     """Matches in part between different classes: (id, th, start, later)."""
     idt = id_type(docs)
+    docs = docs.withColumn("ih", F.xxhash64("id"))
     mixed = cls.filter("nc > 1").select("anchor", "content", "nc", "first.*")
     rare, hot = (mixed.filter(c) for c in (f"nc <= {GROUP}", f"nc > {GROUP}"))
     rare_f, hot_f = run_filter(rare), run_filter(hot)
@@ -80,15 +81,12 @@ def _partial(docs: DataFrame, cls: DataFrame, g: Grams) -> DataFrame:
                 ["id", "th", "start", "anchor", "piece"])
 
     def groups(batches):
-        held, now = [], None
+        # copies of one piece (repeated rows, null ids) are one class; the first place speaks for it
+        held, now = {}, None
 
         def close():
-            # copies of one piece are one class; the first place speaks for it
-            one = {}
-            for r in held:
-                one.setdefault(r[3], r)
-            if len(one) > 1:
-                rs = list(one.values())
+            if len(held) > 1:
+                rs = list(held.values())
                 p, off, later = lpf([r[3] for r in rs], g.size)
                 # runs of neighbouring offsets with one verdict become one row
                 o = np.lexsort((off, p))
@@ -115,8 +113,8 @@ def _partial(docs: DataFrame, cls: DataFrame, g: Grams) -> DataFrame:
             for i, th, s, a, p in zip(*cols, strict=True):
                 if a != now:
                     done += close()
-                    held, now = [], a
-                held.append((i, th, s, p))
+                    held, now = {}, a
+                held.setdefault(p, (i, th, s, p))
             if len(done) > 20_000:
                 yield flush(done)
                 done = []
