@@ -16,8 +16,9 @@ graph is compacted first:
 
 An edge is removed if its words also start in a document with a smaller id. A
 null id is never smaller, and is larger than every id; two rows with one id are
-one document. Null text has no words. Identity of edges is that of two 64-bit
-hashes (anchor and edge).
+one document. Null text has no words. Identity of whole pieces is that of two
+64-bit hashes (anchor and content), that of edges in branching pieces is that of
+one, mixed from anchor and edge.
 """
 
 from __future__ import annotations
