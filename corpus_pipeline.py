@@ -5,7 +5,7 @@ its predecessor kept; ``run`` writes every stage's result to the shared work
 folder and reads it again. All but the last return the columns of ``documents``.
 
 1. language ID: documents without a letter, or whose profile is like no learned
-   language's (cosine under ``MIN_SCORE``), go;
+   language's (cosine no better than that of junk letters, ``chance_score``), go;
 2. line dedup: fuzzy copies of lines are cut out of the texts;
 3. SimHash near-dedup: of each group the document with the smallest id stays;
 4. decontamination: documents that hold a benchmark window go;
@@ -23,7 +23,6 @@ from tripmart.llm import decontaminate, language_id, line_dedup, mixing, simhash
 from tripmart.llm._common import read, stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-MIN_SCORE = 0.02
 SHINGLE, BITS = 4, 4
 WINDOW = 10
 
@@ -32,7 +31,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
     protos = language_id.prototypes(docs.filter(~language_id.held_out("doc_id")))
     found = language_id.predict(docs, protos)
-    return found.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*COLUMNS)
+    return found.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") > language_id.chance_score(protos))).select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

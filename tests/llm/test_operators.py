@@ -449,6 +449,19 @@ def test_warc_audit(spark):
     assert m.audit(m.manifest(a.limit(0), "page_id")).count() == 0
 
 
+def test_pipeline_language_stage_rejects_junk_and_keeps_short_texts(spark):
+    import corpus_pipeline as c
+    rnd = random.Random(3)
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*c.COLUMNS)
+    short = [r.text[:60] for r in df.filter("length(text) > 60").orderBy("doc_id").limit(300).collect()]
+    junk = ["".join(rnd.choice(a + "    ") for _ in range(n)) for n in (40, 300) for a in ("abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυ",
+            "абвгдежзийклмнопрсту", "あいうえおかきくけこさしすせそ") for _ in range(75)]
+    planted = [(10 ** 9 + i, t, None, "short", 0) for i, t in enumerate(short)] + [(2 * 10 ** 9 + i, t, None, "junk", 0) for i, t in enumerate(junk)]
+    out = c.language(spark, df.unionByName(spark.createDataFrame(planted, df.schema)), "")
+    kept = {r.source: r["count"] for r in out.groupBy("source").count().collect()}
+    assert kept.get("short", 0) >= 0.98 * len(short) and kept.get("junk", 0) <= 0.03 * len(junk), kept
+
+
 def test_pipeline_stages(spark, docs):
     import corpus_pipeline as c
     from tripmart.llm._common import stage

@@ -35,6 +35,8 @@ SLOTS = 256               # 0: border, 1-26: a-z, the others share the rest by c
 PIECE = 1 << 16
 MAX_LANGUAGES = 2048
 UNKNOWN = "und"
+SCRIPTS = [(0x61, 0x7A), (0x3B1, 0x3C9), (0x430, 0x44F), (0x5D0, 0x5EA), (0x4E00, 0x9FA5)]     # of junk texts
+JUNK_TEXTS, JUNK_SHARE = 200, 0.99
 
 
 @functools.cache
@@ -130,6 +132,23 @@ def predict(docs: DataFrame, protos: dict[str, np.ndarray], text_col: str = "tex
                                                T.StructField("score", T.DoubleType())]))
 
 
+def chance_score(protos: dict[str, np.ndarray]) -> float:
+    """Score that a share of ``JUNK_SHARE`` of texts in no learned language stays
+    under: letters of one script drawn evenly, with spaces, of several lengths.
+    The highest of these quantiles against the given prototypes; 0 without any."""
+    if not protos:
+        return 0.0
+    m, rng = np.array(list(protos.values())), np.random.default_rng(12)
+    found = []
+    for lo, hi in SCRIPTS:
+        for n in (32, 128, 512):
+            code = rng.integers(lo, hi + 1, (JUNK_TEXTS, n))
+            code[rng.random(code.shape) < 1 / 7] = 32
+            best = [float((m @ v).max() / np.linalg.norm(v)) for v in (vector("".join(map(chr, c))) for c in code) if v is not None]
+            found.append(float(np.quantile(best, JUNK_SHARE)))
+    return max(0.0, *found)
+
+
 def held_out(id_col: str) -> Column:
     """Whether crc32(id as text) mod 4 is 2; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string")) % 4 == 2, F.lit(False))
