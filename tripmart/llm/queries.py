@@ -8,6 +8,7 @@ from tripmart.llm.debruijn_dedup import op4_debruijn_dedup
 from tripmart.llm.language_id import op8_language_id
 from tripmart.llm.line_dedup import op9_line_dedup
 from tripmart.llm.mixing import op7_mixing
+from tripmart.llm.periodic_runs import op11_periodic_runs
 from tripmart.llm.simhash_dedup import op6_simhash_dedup
 from tripmart.llm.suffix_dedup import op1_suffix_dedup
 
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_periodic_runs": op11_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
