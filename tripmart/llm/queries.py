@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tripmart.llm import decontaminate, itq_dedup, secret_scan, warc_audit
+from tripmart.llm import conversation_trie, decontaminate, itq_dedup, secret_scan, warc_audit
 from tripmart.llm.debruijn_dedup import op4_debruijn_dedup
 from tripmart.llm.language_id import op8_language_id
 from tripmart.llm.line_dedup import op9_line_dedup
@@ -24,6 +24,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_conversation_trie": conversation_trie.op12_conversation_trie,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -32,4 +33,5 @@ ORACLE = {
     "op3_secret_scan": secret_scan.ORACLE,
     "op5_itq_dedup": itq_dedup.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op12_conversation_trie": conversation_trie.ORACLE,
 }
