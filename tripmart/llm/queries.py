@@ -9,6 +9,7 @@ from tripmart.llm.language_id import op8_language_id
 from tripmart.llm.line_dedup import op9_line_dedup
 from tripmart.llm.mixing import op7_mixing
 from tripmart.llm.periodic_runs import op11_periodic_runs
+from tripmart.llm.quality_crf import op13_quality_crf
 from tripmart.llm.simhash_dedup import op6_simhash_dedup
 from tripmart.llm.suffix_dedup import op1_suffix_dedup
 
@@ -25,6 +26,7 @@ QUERIES = {
     "op10_decontaminate": decontaminate.op10_decontaminate,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_conversation_trie": conversation_trie.op12_conversation_trie,
+    "op13_quality_crf": op13_quality_crf,
     "pipeline": corpus_pipeline.run,
 }
 
