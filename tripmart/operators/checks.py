@@ -40,17 +40,22 @@ def column_checks(df: DataFrame, table: str, not_null_cols: list[str],
     return _counted(df, table, _column_conditions(not_null_cols, widths or {}))
 
 
-def primary_key(df: DataFrame, table: str, key: str) -> DataFrame:
-    """CHK2: keys that occur more than once (NULL keys are CHK1's concern)."""
-    dup = df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > 1)
+def primary_key(df: DataFrame, table: str, key: str, within: str | None = None) -> DataFrame:
+    """CHK2: keys that occur more than once (NULL keys are CHK1's concern). ``within``: a
+    column that equal keys agree in, by which the table is stored."""
+    dup = df.where(F.col(key).isNotNull()).groupBy(*([within] if within else []), key).count().where(F.col("count") > 1)
     return dup.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(table).alias(LONG[0]), F.lit("primary_key").alias(LONG[1]), F.lit(key).alias(LONG[2]), F.col("n").alias(LONG[3]))
 
 
-def foreign_key(fact: DataFrame, col: str, dim: DataFrame, dim_key: str, table: str) -> DataFrame:
-    """CHK3: non-NULL fact keys with no dimension row (one anti join)."""
-    keys = dim.select(F.col(dim_key).alias("_k"))
-    orphans = fact.select(col).where(F.col(col).isNotNull()).join(keys, F.col(col) == F.col("_k"), "left_anti")
+def foreign_key(fact: DataFrame, col: str, dim: DataFrame, dim_key: str, table: str, within: str | None = None) -> DataFrame:
+    """CHK3: non-NULL fact keys with no dimension row (one anti join). ``within``: a column
+    by which both are stored and in which a fact row agrees with its dimension row."""
+    more = [within] if within else []
+    keys = dim.select(F.col(dim_key).alias("_k"), *[F.col(c).alias("_w") for c in more])
+    same = F.col(col) == F.col("_k")
+    orphans = (fact.select(col, *more).where(F.col(col).isNotNull())
+               .join(keys, same & (F.col(within) == F.col("_w")) if within else same, "left_anti"))
     return _counted(orphans, table, [("foreign_key", col, F.lit(True))])
 
 
@@ -69,9 +74,10 @@ def fact_checks(star: dict[str, DataFrame], count_rows: bool) -> DataFrame:
     return _counted(fact, "FACT_TRIP", checks)
 
 
-def star_checks(star: dict[str, DataFrame], clean: DataFrame | None = None) -> DataFrame:
+def star_checks(star: dict[str, DataFrame], clean: DataFrame | None = None, within: str | None = None) -> DataFrame:
     """All contract checks of the star in one frame. With ``clean`` also JN2: the
-    fact has exactly one row per cleaned trip (no join fan-out)."""
+    fact has exactly one row per cleaned trip (no join fan-out). ``within``: the column by
+    which a co-located star stores fact and datetime dimension."""
     parts = [fact_checks(star, clean is not None)]
     for table in PRIMARY_KEYS:
         df = star[table]
@@ -80,8 +86,8 @@ def star_checks(star: dict[str, DataFrame], clean: DataFrame | None = None) -> D
         if table != "FACT_TRIP" and (cols or widths):
             parts.append(column_checks(df, table, cols, widths))
         if PRIMARY_KEYS[table] in df.columns:
-            parts.append(primary_key(df, table, PRIMARY_KEYS[table]))
-    parts.append(foreign_key(star["FACT_TRIP"], "datetime_id", star["DIM_DATETIME"], "datetime_id", "FACT_TRIP"))
+            parts.append(primary_key(df, table, PRIMARY_KEYS[table], within if table == "FACT_TRIP" else None))
+    parts.append(foreign_key(star["FACT_TRIP"], "datetime_id", star["DIM_DATETIME"], "datetime_id", "FACT_TRIP", within))
     if clean is not None:      # rows of the fact less rows of the input
         rows = _counted(clean, "FACT_TRIP", [("row_count", "*", F.lit(True))])
         parts.append(rows.withColumn("violations", -F.col("violations")))

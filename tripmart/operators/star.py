@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.scalar import calendar, code_label, money
+from tripmart.operators.keymap import KeyMap
 from tripmart.operators.keys import dense_key, hash_key
 from tripmart.schema import (DROPOFF, DURATION, FACT_MONEY, PAYMENT_LABELS,
                              PICKUP, RATE_LABELS)
@@ -28,20 +29,29 @@ def representative(df: DataFrame, key: str, values: list[str], order: str = PICK
     return best.select(key, *[F.col(f"_r.{v}").alias(v) for v in values])
 
 
-def dim_datetime(clean: DataFrame, key_mode: str = "dense") -> DataFrame:
-    """ST1: one row per (pickup, dropoff) with calendar fields and whole minutes."""
+def dim_datetime(clean: DataFrame, key_mode: str = "dense", key_map: str | None = None) -> DataFrame:
+    """ST1: one row per (pickup, dropoff) with calendar fields and whole minutes. With
+    ``key_map``, the path of a stored ``KeyMap``, pairs keep the keys of earlier loads and
+    new ones are added to it."""
     pairs = (clean.groupBy(F.col(PICKUP).alias("pickup_datetime"),
                            F.col(DROPOFF).alias("dropoff_datetime"))
                   .agg(F.min(DURATION).alias("_dur")))
-    if key_mode == "dense":
+    if key_map is not None:
+        keyed = KeyMap(clean.sparkSession, key_map).keyed(pairs)
+    elif key_mode == "dense":
         keyed = dense_key(pairs, ["pickup_datetime", "dropoff_datetime"], "datetime_id")
     elif key_mode == "hash":
         keyed = pairs.withColumn("datetime_id", hash_key("pickup_datetime", "dropoff_datetime"))
     else:
         raise ValueError(f"unknown key_mode {key_mode!r}")
+    return with_calendar(keyed)
+
+
+def with_calendar(keyed: DataFrame, *keep: str) -> DataFrame:
+    """The dimension's columns from keyed pairs and their duration; ``keep``: more columns, in front."""
     cal = calendar("pickup_datetime")
     return keyed.select(
-        "datetime_id", "pickup_datetime", "dropoff_datetime",
+        *keep, "datetime_id", "pickup_datetime", "dropoff_datetime",
         *[cal[k].alias(k) for k in ("hour", "day", "month", "year", "weekday")],
         F.col("_dur").cast("int").alias("trip_duration_min"))
 
@@ -90,8 +100,6 @@ def fact_trip(clean: DataFrame, dim_dt: DataFrame | None = None, key_mode: str =
     or the id is left out. ``wide`` adds the dropoff zone, both congestion fees
     and the airport fee.
     """
-    extra = [F.col("DOLocationID").alias("dropoff_location_id")] + [
-        money(c, money_mode).alias(c.lower()) for c in ("congestion_surcharge", "cbd_congestion_fee", "Airport_fee")]
     if key_mode == "hash":
         keyed = clean.withColumn("datetime_id", hash_key(PICKUP, DROPOFF))
     else:
@@ -99,16 +107,23 @@ def fact_trip(clean: DataFrame, dim_dt: DataFrame | None = None, key_mode: str =
                           F.col("dropoff_datetime").alias("_d"))
         keyed = clean.join(d, (F.col(PICKUP) == F.col("_p")) & (F.col(DROPOFF) == F.col("_d")),
                            "left")
+    return keyed.select(*fact_columns(clean, money_mode, wide))
+
+
+def fact_columns(clean: DataFrame, money_mode: str = "cast", wide: bool = False) -> list:
+    """The fact's columns, from trips that carry their ``datetime_id``."""
+    extra = [F.col("DOLocationID").alias("dropoff_location_id")] + [
+        money(c, money_mode).alias(c.lower()) for c in ("congestion_surcharge", "cbd_congestion_fee", "Airport_fee")]
     ident = [F.col("trip_id")] if "trip_id" in clean.columns else []
-    return keyed.select(
-        *ident, "datetime_id",
+    return [
+        *ident, F.col("datetime_id"),
         F.col("PULocationID").alias("location_id"),
         F.col("VendorID").alias("vendor_id"),
         F.col("payment_type").alias("payment_id"),
         F.col("RatecodeID").alias("rate_id"),
         F.col("passenger_count").cast("int").alias("passenger_count"),
         F.col("trip_distance").cast("float").alias("trip_distance"),
-        *[money(c, money_mode).alias(c) for c in FACT_MONEY], *(extra if wide else []))
+        *[money(c, money_mode).alias(c) for c in FACT_MONEY], *(extra if wide else [])]
 
 
 def _overflows():
@@ -128,16 +143,17 @@ def fact_accepts(clean: DataFrame) -> DataFrame:
 
 def build_star(clean: DataFrame, zones: DataFrame | None = None,
                key_mode: str = "dense", rejects: bool = False,
-               unknown_label: str | None = None) -> dict[str, DataFrame]:
+               unknown_label: str | None = None, key_map: str | None = None) -> dict[str, DataFrame]:
     """PL2's six tables. The datetime dimension is computed once (staged by
     ``dense_key``) and shared by its own output and the fact. With ``rejects``
     trips whose amounts overflow go to a seventh table, ``REJECTED_TRIP``,
-    instead of failing the build."""
+    instead of failing the build. ``key_map``: where datetime keys are kept between
+    loads."""
     more = {}
     if rejects:
         bad = fact_rejects(clean)
         more, clean = {"REJECTED_TRIP": bad}, fact_accepts(clean)
-    dt = dim_datetime(clean, key_mode)
+    dt = dim_datetime(clean, key_mode, key_map)
     return more | {
         "DIM_DATETIME": dt,
         "DIM_LOCATION": dim_location(clean, zones),

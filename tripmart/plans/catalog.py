@@ -662,3 +662,5 @@ def q_warehouse_load(spark, sf):
     parts = [SK.read_warehouse(spark, wh, t, run).agg(F.count(F.lit(1)).alias("row_count"))
                .select(F.lit(t).alias("table_name"), "row_count") for t in SK.STAR_ORDER]
     return reduce(_DF.unionByName, parts)
+
+from tripmart.plans import upkeep  # noqa: E402,F401 - registers its queries

@@ -106,13 +106,14 @@ def run_clean(raw: DataFrame, out_path: str, cap_mode: str = "approx", rel_error
 
 
 def run_star(clean: DataFrame, star_dir: str, zones: DataFrame | None = None,
-             key_mode: str = "dense", csv: bool = True, rejects: bool = False) -> dict[str, str]:
+             key_mode: str = "dense", csv: bool = True, rejects: bool = False, key_map: str | None = None) -> dict[str, str]:
     """PL2: build the six tables, write them (as CSV, or as Parquet). With
-    ``rejects`` trips whose amounts overflow are written as a seventh table."""
+    ``rejects`` trips whose amounts overflow are written as a seventh table; with
+    ``key_map`` datetime keys outlast the run."""
     from tripmart.operators.star import build_star
     from tripmart.sources.sinks import write_star_csv
 
-    star = build_star(clean, zones, key_mode, rejects)
+    star = build_star(clean, zones, key_mode, rejects, key_map=key_map)
     paths = {name: f"{star_dir.rstrip('/')}/{name}" for name in star}
 
     def job(name):
@@ -124,9 +125,10 @@ def run_star(clean: DataFrame, star_dir: str, zones: DataFrame | None = None,
 
 
 def run_all(spark, source: str, warehouse: str, zones: DataFrame | None = None,
-            cap_mode: str = "approx", raw_zone: str | None = None) -> str:
+            cap_mode: str = "approx", raw_zone: str | None = None, key_map: str | None = None) -> str:
     """PL6 (batch): land -> validate the raw zone -> clean it -> star -> checked
-    warehouse load. The raw zone is ``<warehouse>/_raw`` unless given."""
+    warehouse load. The raw zone is ``<warehouse>/_raw`` unless given. With ``key_map``
+    datetime keys are those of earlier loads."""
     from tripmart.operators.checks import star_checks
     from tripmart.operators.star import build_star
     from tripmart.sources.files import land, read_trips, validate_landing
@@ -138,7 +140,7 @@ def run_all(spark, source: str, warehouse: str, zones: DataFrame | None = None,
         raise RuntimeError(f"{landed['failed']} trip file(s) could not be landed from {source}")
     validate_landing(spark, raw)
     clean = clean_job(read_trips(spark, raw), cap_mode=cap_mode, trip_id=True)
-    star = build_star(clean, zones)
+    star = build_star(clean, zones, key_map=key_map)
     return load_warehouse(star, warehouse, check=lambda t: star_checks(t))
 
 
