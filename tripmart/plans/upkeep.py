@@ -53,3 +53,35 @@ def q_lasting_datetime_keys(spark, sf):
     known = P.stage(first.select("datetime_id", F.lit(1).alias("first_load")), "first-load")
     return (second.join(known, "datetime_id", "left")
             .select("datetime_id", "pickup_datetime", "dropoff_datetime", F.coalesce("first_load", F.lit(2)).alias("first_load")))
+
+
+# --- PL6, SRC6: arrivals with keyed state
+
+from tripmart.sources import files as FS  # noqa: E402
+from tripmart.streaming import keyed as KS  # noqa: E402
+from tripmart.streaming.ingest import MONTH  # noqa: E402
+from tripmart.operators.keys import RAW_KEY  # noqa: E402
+
+
+def _arrive(spark, rows: DataFrame, landing: str, suffix: str) -> None:
+    """Put trips into the landing zone as the monthly files of one delivery."""
+    drop = work_dir(spark, "delivery")
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(landing).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name in FS.write_trip_files(rows, drop):
+        fs.mkdirs(hpath(f"{landing}/{name}"))
+        for st in fs.globStatus(hpath(f"{drop}/{name}/part-*")):
+            fs.rename(st.getPath(), hpath(f"{landing}/{name}/{suffix}-{st.getPath().getName()}"))
+
+
+@register("keyed_ingest", O.with_steps("trips", "dedup", "dur", "valid", "filled") + "SELECT * FROM filled")
+def q_keyed_ingest(spark, sf):
+    """Three deliveries through the keyed stream, started anew for each: later years first, then the
+    earlier ones (late months), then all files of the first again. The table equals the batch clean."""
+    landing, work, out = (work_dir(spark, n) for n in ("landing", "keyed", "cleaned"))
+    t = P.stage(trips(spark, sf), "raw")
+    late = F.year(_P) < 1996
+    for i, part in enumerate((t.where(~late), t.where(late), t.where(~late))):
+        _arrive(spark, part, landing, f"d{i}")
+        KS.ingest(spark, landing, work, out)
+    return KS.read_cleaned(spark, out).drop(MONTH, *RAW_KEY)
