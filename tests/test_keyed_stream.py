@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tripmart.operators.clean import clean_prefix
+from tripmart.operators import sketches as SK
 from tripmart.operators.keys import RAW_KEY
 from tripmart.plans import jobs as P
 from tripmart.sources import files as FS
@@ -62,7 +63,9 @@ def test_a_batch_run_again_writes_the_same(spark, months, tmp_path):
     import os
     landing, work, out = (str(tmp_path / x) for x in ("landing", "work", "cleaned"))
     _deliver(months[1], landing, tmp_path, 0)
-    K.ingest(spark, landing, work, out)
+    sums = str(tmp_path / "summaries")
+    K.ingest(spark, landing, work, out, summaries=sums)
+    assert SK.merged_quantile(SK.stored(spark, sums)).first().rows == K.read_cleaned(spark, out).count()
     before = sorted(map(str, K.read_cleaned(spark, out).collect()))
     for chk in ("chk-conform", "chk-keyed"):
         done = f"{work}/{chk}/commits"
@@ -71,8 +74,9 @@ def test_a_batch_run_again_writes_the_same(spark, months, tmp_path):
         crc = f"{done}/.{last}.crc"
         if os.path.exists(crc):
             os.rename(crc, str(tmp_path / f"{chk}-{last}.crc"))
-    K.ingest(spark, landing, work, out)
+    K.ingest(spark, landing, work, out, summaries=sums)
     assert sorted(map(str, K.read_cleaned(spark, out).collect())) == before
+    assert SK.merged_quantile(SK.stored(spark, sums)).first().rows == len(before)
 
 
 def test_keys_are_forgotten_after_their_time(spark, tmp_path):

@@ -145,19 +145,23 @@ def run_all(spark, source: str, warehouse: str, zones: DataFrame | None = None,
 
 
 def star_from_cleaned_table(spark, cleaned_path: str, zones: DataFrame | None = None,
-                            cap_mode: str = "approx", key_mode: str = "dense") -> dict:
+                            cap_mode: str = "approx", key_mode: str = "dense", summaries: str | None = None,
+                            key_map: str | None = None) -> dict:
     """Build the star from the uncapped, month-partitioned cleaned table the
     stream maintains: caps (global to the table) and casts are applied here,
-    and the thresholds used are returned as a one-row ``CAPS`` table."""
+    and the thresholds used are returned as a one-row ``CAPS`` table. With
+    ``summaries``, the path of stored quantile summaries, caps come from these and
+    no pass over the table is made for them; ``key_map`` as in ``build_star``."""
     from pyspark.sql import functions as F
 
-    from tripmart.operators import quantiles
+    from tripmart.operators import quantiles, sketches
     from tripmart.operators.star import build_star
 
-    table = spark.read.parquet(cleaned_path).drop("pickup_month", "raw_check")
-    limits = quantiles.thresholds(table, CAP_COLUMNS, 0.99, cap_mode)
+    table = spark.read.parquet(cleaned_path).drop("pickup_month", "raw_check", "load")
+    limits = (sketches.thresholds(sketches.stored(spark, summaries)) if summaries
+              else quantiles.thresholds(table, CAP_COLUMNS, 0.99, cap_mode))
     capped = C.cast_int_columns(quantiles.cap(table, limits))
-    star = build_star(capped, zones, key_mode)
+    star = build_star(capped, zones, key_mode, key_map=key_map)
     star["CAPS"] = table.agg(F.count(F.lit(1)).alias("rows")).select(
         *[F.lit(v).cast("double").alias(f"cap_{c}") for c, v in limits.items()], "rows")
     return star

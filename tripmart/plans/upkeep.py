@@ -85,3 +85,76 @@ def q_keyed_ingest(spark, sf):
         _arrive(spark, part, landing, f"d{i}")
         KS.ingest(spark, landing, work, out)
     return KS.read_cleaned(spark, out).drop(MONTH, *RAW_KEY)
+
+
+# --- AGG5, AGG7, PL6: summaries by month, merged
+
+from tripmart.operators import clean as C  # noqa: E402
+from tripmart.operators import sketches as SK  # noqa: E402
+from tripmart.schema import CAP_COLUMNS  # noqa: E402
+
+# loads of the queries below: earlier years, later ones, and one payment type that comes late
+_LOAD = f"CASE WHEN payment_type = 6 THEN 3 WHEN year({_P}) < 1995 THEN 1 ELSE 2 END"
+SUMMARY_SIZE = 200          # few cuts, so that the small tables of the tests show a rank error
+
+
+def _loads(df: DataFrame) -> list[tuple[str, DataFrame]]:
+    return [(str(i), df.where(F.expr(_LOAD) == i)) for i in (1, 2, 3)]
+
+
+@register("incremental_caps", O.with_steps("trips", "dedup", "dur", "valid", "filled", extra=f"""
+vals AS (SELECT {_LOAD} AS load, strftime({_P}, '%Y-%m') AS month, column_name, value FROM (
+  UNPIVOT filled ON {', '.join(CAP_COLUMNS)} INTO NAME column_name VALUE value)),
+hist AS (SELECT load, month, column_name, value, count(*) AS n FROM vals GROUP BY ALL),
+run AS (SELECT *, sum(n) OVER (PARTITION BY load, month, column_name ORDER BY value) AS upto,
+          sum(n) OVER (PARTITION BY load, month, column_name) AS rows FROM hist),
+cuts AS (SELECT *, CAST(ceil(rows / {SUMMARY_SIZE}) AS BIGINT) AS step FROM run
+  WHERE upto // CAST(ceil(rows / {SUMMARY_SIZE}) AS BIGINT) > (upto - n) // CAST(ceil(rows / {SUMMARY_SIZE}) AS BIGINT) OR upto = rows),
+inc AS (SELECT *, upto - coalesce(lag(upto) OVER (PARTITION BY load, month, column_name ORDER BY value), 0) AS inc FROM cuts),
+whole AS (SELECT column_name, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(step - 1) AS BIGINT) AS rank_slack,
+    CAST(ceil(CAST(0.99 AS DOUBLE) * CAST(sum(rows) AS DOUBLE)) AS BIGINT) AS rank_wanted
+  FROM (SELECT DISTINCT load, month, column_name, rows, step FROM cuts) GROUP BY 1),
+total AS (SELECT column_name, value, sum(inc) OVER (PARTITION BY column_name ORDER BY value) AS upto
+  FROM (SELECT column_name, value, sum(inc) AS inc FROM inc GROUP BY 1, 2)),
+hit AS (SELECT t.column_name, min(value) AS threshold FROM total t JOIN whole w USING (column_name) WHERE upto >= rank_wanted GROUP BY 1)""") + """
+SELECT w.column_name, w.rows, h.threshold, w.rank_wanted, w.rank_slack,
+  CAST((SELECT count(*) FROM vals v WHERE v.column_name = w.column_name AND v.value < h.threshold) AS BIGINT) AS table_below,
+  CAST((SELECT count(*) FROM vals v WHERE v.column_name = w.column_name AND v.value <= h.threshold) AS BIGINT) AS table_upto,
+  true AS within_bound
+FROM whole w JOIN hit h USING (column_name)""")
+def q_incremental_caps(spark, sf):
+    """Three loads add their summaries; the caps come from these alone. Then, as a check, the
+    ranks of the thresholds are counted in the whole table."""
+    path = work_dir(spark, "summaries") + "/quantiles"
+    t = P.stage(C.fill_constants(valid(spark, sf)), "filled")
+    for load, rows in _loads(t):
+        SK.add(SK.quantile_summary(rows, CAP_COLUMNS, load, SUMMARY_SIZE), path)
+    caps = P.stage(SK.merged_quantile(SK.stored(spark, path)), "caps")
+    limit = {r.column_name: r.threshold for r in caps.collect()}                # one row a column
+    told = t.agg(*[x for i, c in enumerate(CAP_COLUMNS) for x in (
+        F.count_if(F.col(c) < limit[c]).alias(f"b{i}"), F.count_if(F.col(c) <= limit[c]).alias(f"u{i}"))])
+    told = told.select(F.stack(F.lit(len(CAP_COLUMNS)), *[x for i, c in enumerate(CAP_COLUMNS) for x in (F.lit(c), F.col(f"b{i}"), F.col(f"u{i}"))])
+                       .alias("column_name", "table_below", "table_upto"))
+    ok = (F.col("table_upto") >= F.col("rank_wanted")) & (F.col("table_below") <= F.col("rank_wanted") - 1 + F.col("rank_slack"))
+    return caps.join(told, "column_name").select("*", ok.alias("within_bound"))
+
+
+DISTINCT_COLUMNS = ["PULocationID", "DOLocationID", _P, "fare_amount", "total_amount", "store_and_fwd_flag"]
+
+
+@register("merged_distinct_counts", O.with_steps("trips") + " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, CAST(count(DISTINCT ({_LOAD}, strftime({_P}, '%Y-%m'))) AS BIGINT) AS sketches,
+  CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_count, true AS within_error FROM trips""" for c in DISTINCT_COLUMNS))
+def q_merged_distinct_counts(spark, sf):
+    """Three loads add their sketches by month; their union against the exact distinct counts."""
+    path = work_dir(spark, "summaries") + "/distinct"
+    t = P.stage(trips(spark, sf), "raw")
+    for load, rows in _loads(t):
+        SK.add(SK.distinct_summary(rows, DISTINCT_COLUMNS, load), path)
+    exact = t.agg(*[F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(DISTINCT_COLUMNS)])
+    exact = exact.select(F.stack(F.lit(len(DISTINCT_COLUMNS)), *[x for i, c in enumerate(DISTINCT_COLUMNS) for x in (F.lit(c), F.col(f"d{i}"))])
+                         .alias("column_name", "distinct_count"))
+    both = SK.distinct_estimate(SK.stored(spark, path)).join(exact, "column_name")
+    off = F.abs(F.col("estimate") - F.col("distinct_count"))
+    return both.select("column_name", "sketches", "distinct_count",
+                       (off <= F.greatest(F.lit(1.0), SK.HLL_ERROR * F.col("distinct_count"))).alias("within_error"))

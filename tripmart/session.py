@@ -98,3 +98,10 @@ def has_data(spark: SparkSession, path: str) -> bool:
     except Exception:  # noqa: BLE001 - no local context
         local = path.replace("file:", "", 1)
         return os.path.isdir(local) and any(not n.startswith(("_", ".")) for n in os.listdir(local))
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, on whatever file system it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(st.getPath().toString() for st in found or [])

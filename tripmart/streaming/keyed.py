@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmart.operators import sketches
 from tripmart.operators.clean import dedupe, fill_constants, valid_trips, with_duration
 from tripmart.operators.keys import RAW_KEY, with_raw_key
-from tripmart.schema import PICKUP, RAW
+from tripmart.schema import CAP_COLUMNS, PICKUP, RAW
+from tripmart.session import glob_paths
 from tripmart.sources.files import read_files
 from tripmart.streaming.ingest import MONTH, _trigger, trip_file_stream
 
@@ -59,8 +61,9 @@ def first_arrivals(spark: SparkSession, conformed: str, memory: str = MEMORY, ma
 
 
 def keyed_stream(spark: SparkSession, conformed: str, cleaned_path: str, checkpoint: str, trigger: str = "availableNow",
-                 passenger_policy: str = "drop", memory: str = MEMORY, max_files: int | None = None):
-    """Raw trips -> first of each key -> clean -> ``<cleaned_path>/pickup_month=.../load=<batch>``."""
+                 passenger_policy: str = "drop", memory: str = MEMORY, max_files: int | None = None, summaries: str | None = None):
+    """Raw trips -> first of each key -> clean -> ``<cleaned_path>/pickup_month=.../load=<batch>``. With
+    ``summaries`` each batch adds its quantile summaries there (``operators.sketches``)."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     new = fill_constants(valid_trips(with_duration(first_arrivals(spark, conformed, memory, max_files)), passenger_policy))
     new = new.drop(ARRIVED).withColumn(MONTH, F.date_format(PICKUP, "yyyy-MM"))
@@ -69,6 +72,10 @@ def keyed_stream(spark: SparkSession, conformed: str, cleaned_path: str, checkpo
         # a batch that is run again writes the same months of the same load
         (df.withColumn(LOAD, F.lit(f"{epoch:09d}")).hint("rebalance", MONTH).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH, LOAD).parquet(cleaned_path))
+        written = glob_paths(spark, f"{cleaned_path.rstrip('/')}/{MONTH}=*/{LOAD}={epoch:09d}")
+        if summaries and written:
+            rows = spark.read.parquet(*written)
+            sketches.add(sketches.quantile_summary(rows, CAP_COLUMNS, f"{epoch:09d}"), summaries)
 
     q = new.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return _trigger(q, trigger).start()
