@@ -131,13 +131,14 @@ def run_all(spark, source: str, warehouse: str, zones: DataFrame | None = None,
     datetime keys are those of earlier loads."""
     from tripmart.operators.checks import star_checks
     from tripmart.operators.star import build_star
-    from tripmart.sources.files import land, read_trips, validate_landing
+    from tripmart.sources.files import read_trips, validate_landing
+    from tripmart.sources.landing import land_checked
     from tripmart.sources.sinks import load_warehouse
 
     raw = raw_zone or f"{warehouse.rstrip('/')}/_raw"
-    landed = land(spark, source, raw)
-    if landed["failed"]:
-        raise RuntimeError(f"{landed['failed']} trip file(s) could not be landed from {source}")
+    failed = land_checked(spark, source, raw).where("status = 'failed'").collect()
+    if failed:
+        raise RuntimeError(f"{len(failed)} trip file(s) could not be landed from {source}: {[(r.file_name, r.reason) for r in failed]}")
     validate_landing(spark, raw)
     clean = clean_job(read_trips(spark, raw), cap_mode=cap_mode, trip_id=True)
     star = build_star(clean, zones, key_map=key_map)

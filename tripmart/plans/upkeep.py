@@ -158,3 +158,143 @@ def q_merged_distinct_counts(spark, sf):
     off = F.abs(F.col("estimate") - F.col("distinct_count"))
     return both.select("column_name", "sketches", "distinct_count",
                        (off <= F.greatest(F.lit(1.0), SK.HLL_ERROR * F.col("distinct_count"))).alias("within_error"))
+
+
+# --- SRC4, SRC5: landing by content
+
+from tripmart.sources import landing as LD  # noqa: E402
+
+_MONTH = f"strftime({_P}, '%Y-%m')"
+_SWAPPED, _TOUCHED = "1993-05", "1992-08"
+
+
+def _put(spark, rows: DataFrame, folder: str) -> None:
+    """Write trips as monthly files and swap them into ``folder``."""
+    drop, old = work_dir(spark, "delivery"), work_dir(spark, "outdated")
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name in FS.write_trip_files(rows, drop):
+        if fs.exists(hpath(f"{folder}/{name}")):
+            fs.rename(hpath(f"{folder}/{name}"), hpath(f"{old}/{name}"))
+        fs.rename(hpath(f"{drop}/{name}"), hpath(f"{folder}/{name}"))
+
+
+@register("landing_arrivals", O.with_steps("trips", extra=f"""
+files AS (SELECT {_MONTH} AS month, count(*) AS trips, count_if(payment_type <> 6) AS swapped,
+            year({_P}) < 1994 AS old FROM trips WHERE year({_P}) < 1996 GROUP BY 1, 4),
+told AS (
+  SELECT 1 AS arrival, 'uploaded' AS status, trips FROM files WHERE old
+  UNION ALL SELECT 2, CASE WHEN month = '{_SWAPPED}' THEN 'quarantined' WHEN old THEN 'skipped' ELSE 'uploaded' END,
+    CASE WHEN month = '{_SWAPPED}' THEN swapped ELSE trips END FROM files
+  UNION ALL SELECT 3, CASE WHEN month = '{_SWAPPED}' THEN 'replaced' ELSE 'skipped' END,
+    CASE WHEN month = '{_SWAPPED}' THEN swapped ELSE trips END FROM files
+  UNION ALL SELECT a, 'failed', 0 FROM (VALUES (2), (3)) v(a)
+  UNION ALL SELECT 4, 'in the zone', CASE WHEN month = '{_SWAPPED}' THEN swapped ELSE trips END FROM files)""") + """
+SELECT arrival, status, CAST(count(*) AS BIGINT) AS files, CAST(sum(trips) AS BIGINT) AS trips FROM told GROUP BY 1, 2""")
+def q_landing_arrivals(spark, sf):
+    """Three arrivals: old months; then newer ones as well, an old file swapped under its name, one
+    written anew with the same trips and one that is no Parquet file; then the same again under
+    the rule that swapped files replace the landed ones. Last row: what the zone holds."""
+    source, raw = work_dir(spark, "source"), work_dir(spark, "raw-zone")
+    t = P.stage(trips(spark, sf).where(F.year(_P) < 1996), "raw")
+    month = F.date_format(_P, "yyyy-MM")
+    _put(spark, t.where(F.year(_P) < 1994), source)
+    runs = [LD.land_checked(spark, source, raw)]
+    _put(spark, t.where(F.year(_P) >= 1994), source)
+    _put(spark, t.where((month == _SWAPPED) & (F.col("payment_type") != 6)), source)
+    _put(spark, t.where(month == _TOUCHED).repartition(3), source)
+    spark.createDataFrame([("no trips in here",)], "value string").coalesce(1).write.text(f"{source}/yellow_tripdata_1999-01.parquet")
+    runs += [LD.land_checked(spark, source, raw), LD.land_checked(spark, source, raw, on_change="replace")]
+    told = reduce(DataFrame.unionByName, [
+        r.groupBy("status").agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("trips"))
+         .select(F.lit(i).alias("arrival"), "status", "files", "trips") for i, r in enumerate(runs, 1)])
+    zone = FS.file_counts(spark, raw).agg(F.count(F.lit(1)).alias("files"), F.sum("trips").alias("trips"))
+    return told.unionByName(zone.select(F.lit(4).alias("arrival"), F.lit("in the zone").alias("status"), "files", "trips"))
+
+
+# --- MA14, SRC1: clustered layout
+
+from tripmart.sources import layout as LY  # noqa: E402
+
+_ZONE, _FROM, _TO = 132, "1995-03-06 00:00:00", "1995-03-12 23:59:59"
+SLICE_FILES = 64
+# (slice, zones, times, largest share of the files it may read)
+_SLICES = [("zone and week", True, True, 1 / 8), ("week", False, True, 1 / 4), ("zone", True, False, 1 / 2)]
+
+
+def _slice_sql(name: str, zone: bool, week: bool) -> str:
+    cond = " AND ".join([f"PULocationID = {_ZONE}"] * zone + [f"{_P} BETWEEN TIMESTAMP '{_FROM}' AND TIMESTAMP '{_TO}'"] * week)
+    return (f"SELECT '{name}' AS slice, CAST(count(*) AS BIGINT) AS trips, CAST(sum(CAST(total_amount AS DECIMAL(10,2))) AS DECIMAL(38,2)) AS revenue, "
+            f"true AS few_files FROM valid WHERE {cond}")
+
+
+@register("clustered_slices", O.with_steps("trips", "dedup", "dur", "valid") + " UNION ALL ".join(_slice_sql(*s[:3]) for s in _SLICES))
+def q_clustered_slices(spark, sf):
+    """Trips and revenue of a zone, a week and both, from trips stored along a curve through time and
+    zone; ``few_files``: no more than the stated share of the files was opened."""
+    path = work_dir(spark, "clustered") + "/trips"
+    LY.write_clustered(P.stage(valid(spark, sf), "valid"), path, [_P, "PULocationID"], SLICE_FILES)
+    out = []
+    for name, zone, week, share in _SLICES:
+        ranges = ({"PULocationID": (_ZONE, _ZONE)} if zone else {}) | (
+            {_P: tuple(F.lit(x).cast("timestamp_ntz") for x in (_FROM, _TO))} if week else {})
+        files, of = LY.files_of_slice(spark, path, ranges)
+        rows = LY.read_slice(spark, path, ranges)
+        out.append(rows.agg(F.count(F.lit(1)).alias("trips"), F.sum(F.col("total_amount").cast("decimal(10,2)")).cast("decimal(38,2)").alias("revenue"))
+                   .select(F.lit(name).alias("slice"), "trips", "revenue", F.lit(len(files) <= share * of).alias("few_files")))
+    return reduce(DataFrame.unionByName, out)
+
+
+# --- MA4, MA14: cubes kept up to date
+
+from tripmart.operators import cubes as CB  # noqa: E402
+from tripmart.plans.catalog import ORACLE  # noqa: E402
+from tripmart.sources.tables import zones  # noqa: E402
+
+
+@register("maintained_cube", ORACLE["star_slice"])
+def q_maintained_cube(spark, sf):
+    """The cube after three loads, each adding its own; it equals the cube from scratch."""
+    path, keys = work_dir(spark, "cube") + "/cube", work_dir(spark, "key-map")
+    c = P.stage(P.clean_job(trips(spark, sf), cap_mode="disc", trip_id=True), "clean")
+    for load, rows in _loads(c):
+        CB.add_load(S.build_star(rows, zones(spark, sf), key_map=keys), path, load)
+    return CB.merged(spark, path)
+
+
+# --- MA1, MA8: hourly demand as trips arrive
+
+from tripmart.schema import RAW_COLUMNS  # noqa: E402
+from tripmart.streaming import demand as DM  # noqa: E402
+
+_ARRIVAL = f"CASE WHEN year({_P}) <= 1993 THEN 1 WHEN year({_P}) <= 1995 THEN 2 ELSE 3 END"
+_LATE = f"CASE WHEN payment_type = 6 THEN least(3, 1 + {_ARRIVAL}) ELSE {_ARRIVAL} END"
+
+
+@register("hourly_demand", O.with_steps("trips", "dedup", "dur", "valid", extra=f"""
+arrived AS (SELECT {_P} AS p, date_trunc('hour', {_P}) AS h, PULocationID, fare_amount, {_LATE} AS arrival FROM valid),
+marks AS (SELECT a.arrival, max(b.p) - INTERVAL 2 HOUR AS mark FROM (SELECT DISTINCT arrival FROM arrived) a
+  JOIN arrived b ON b.arrival < a.arrival GROUP BY 1),
+told AS (SELECT t.*, mark IS NOT NULL AND h + INTERVAL 1 HOUR <= mark AS late FROM arrived t LEFT JOIN marks USING (arrival))""") + """
+SELECT 'window' AS kind, CAST(h AS TIMESTAMP) AS hour_start, PULocationID, CAST(count(*) AS BIGINT) AS trips,
+  CAST(sum(CAST(fare_amount AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS fares FROM told WHERE NOT late GROUP BY ALL
+UNION ALL SELECT 'dropped', NULL, NULL, CAST(count_if(late) AS BIGINT), CAST(coalesce(sum(CASE WHEN late THEN CAST(fare_amount AS DECIMAL(12,2)) END), 0) AS DECIMAL(22,2)) FROM told""")
+def q_hourly_demand(spark, sf):
+    """Valid trips in three arrivals, one payment type an arrival late. Final windows, and the late trips that
+    were dropped: what arrived less what was counted. A row of the year 2100 closes the last windows."""
+    source, out, chk = (work_dir(spark, n) for n in ("arrivals", "demand", "demand-chk"))
+    t = P.stage(valid(spark, sf), "valid")
+    for i in (1, 2, 3):
+        t.where(F.expr(_LATE) == i).select(*RAW_COLUMNS).write.parquet(f"{source}/load={i}")
+        DM.demand_stream(spark, source, out, chk).awaitTermination()
+    end = F.lit("2100-01-01 00:00:00").cast("timestamp_ntz")
+    t.limit(1).select(*RAW_COLUMNS).withColumns({_P: end, _D: end}).write.parquet(f"{source}/load=4")
+    DM.demand_stream(spark, source, out, chk).awaitTermination()
+    done = DM.final_windows(spark, out)
+    money = F.coalesce(F.sum("fares"), F.lit(0)).cast("decimal(22,2)").alias("fares")
+    windows = done.select(F.lit("window").alias("kind"), "hour_start", "PULocationID", "trips", F.col("fares").cast("decimal(22,2)").alias("fares"))
+    both = (t.select(F.lit(1).cast("long").alias("trips"), F.col("fare_amount").cast("decimal(12,2)").alias("fares"))
+            .unionByName(done.select((-F.col("trips")).alias("trips"), (-F.col("fares")).alias("fares"))))
+    dropped = both.agg(F.sum("trips").alias("trips"), money).select(
+        F.lit("dropped").alias("kind"), F.lit(None).cast("timestamp_ntz").alias("hour_start"), F.lit(None).cast("int").alias("PULocationID"), "trips", "fares")
+    return windows.unionByName(dropped)
