@@ -1,5 +1,6 @@
 """Invariants at small scale: star integrity, partition-count independence,
-exact quantiles on the narrowing path, skew-safe forward fill."""
+exact quantiles digit by digit, skew-safe forward fill."""
+import math
 import random
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tripmart.operators import clean as C
 from tripmart.operators import impute as I
+from tripmart.operators import profile as PR
 from tripmart.operators import quantiles as Q
 from tripmart.operators import star as S
 from tripmart.operators.checks import star_checks
@@ -59,19 +61,48 @@ def test_dense_key_equals_row_number(spark, parts):
     assert ours.exceptAll(ref).count() == 0 and ours.count() == ref.count()
 
 
-def test_exact_quantiles_on_narrowing_path(spark, monkeypatch):
-    """A sketch far too coarse for the distinct values takes several rounds;
-    compare with Spark's exact percentile functions."""
-    monkeypatch.setattr(Q, "ACCURACY", 20)
+@pytest.mark.parametrize("few", [0, 1 << 17])
+def test_exact_quantiles_digit_by_digit(spark, monkeypatch, few):
+    """All four digits are walked, or the values of small bins are told at once; compare with
+    Spark's exact percentile functions."""
+    monkeypatch.setattr(Q, "FEW", few)
     rnd = random.Random(7)
-    vals = [(rnd.random() * 1000,) for _ in range(20000)] + [(500.0,)] * 7000  # a hot value
-    df = spark.createDataFrame(vals, "v double").repartition(6)
-    ref = df.agg(F.expr("percentile_disc(0.99) WITHIN GROUP (ORDER BY v)").alias("d"),
-                 F.expr("percentile(v, 0.99)").alias("c"),
-                 F.expr("percentile(v, 0.5)").alias("m")).first()
-    assert Q.thresholds(df, ["v"], 0.99, "disc")["v"] == ref["d"]
-    assert Q.thresholds(df, ["v"], 0.99, "exact")["v"] == pytest.approx(ref["c"], rel=1e-12)
-    assert Q.quantile_values(df, ["v"], [0.5], "exact")["v"][0] == pytest.approx(ref["m"], rel=1e-12)
+    vals = [rnd.random() * 1000 for _ in range(12000)] + [500.0] * 7000                     # a hot value
+    vals += [-rnd.random() * 10 ** rnd.randint(-300, 300) for _ in range(3000)] + [0.0, -0.0, 1.0, 1.0 + 2 ** -52, float("inf")]
+    df = spark.createDataFrame([(v, None if v < 0 else -v, float("nan")) for v in vals] + [(None, None, None), (float("nan"),) * 3],
+                               "v double, w double, none double").repartition(6)
+    ps = [0.0, 0.01, 0.5, 0.99, 1.0]
+    for c in ("v", "w"):
+        ok = df.where(f"{c} is not null and not isnan({c})")
+        ref = ok.agg(*[F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {c})").alias(f"d{i}") for i, p in enumerate(ps)],
+                     F.expr(f"percentile({c}, 0.37)").alias("c")).first()
+        assert Q.quantile_values(df, [c, "none"], ps, "disc") == {c: [ref[f"d{i}"] for i in range(len(ps))], "none": [None] * len(ps)}
+        assert Q.quantile_values(df, [c], [0.37], "exact")[c][0] == pytest.approx(ref["c"], rel=1e-12)
+        n = ok.count()
+        for p, v in zip(ps, Q.quantile_values(df, [c], ps, "approx", 0.01)[c], strict=True):
+            k = max(0, math.ceil(p * n) - 1)
+            assert ok.where(F.col(c) < v).count() - 0.01 * n <= k < ok.where(F.col(c) <= v).count() + 0.01 * n
+
+
+def test_bits_order_like_the_values():
+    import numpy as np
+    x = np.array([float("-inf"), -1e300, -1.0, -1e-320, 0.0, 1e-320, 1.0, 1.0 + 2 ** -52, float("inf")])
+    u = Q.ordered_bits(x)
+    assert (np.diff(u.astype(object)) > 0).all() and (Q.from_bits(u) == x).all() and Q.ordered_bits(np.array([-0.0]))[0] == Q.ordered_bits(np.array([0.0]))[0]
+
+
+def test_moments_merge_over_partitions(spark):
+    rnd = random.Random(2)
+    rows = [(1e9 + rnd.random(), None if i % 3 else i, 4.0, None) for i in range(5000)] + [(float("nan"), None, 4.0, None)]
+    df = spark.createDataFrame(rows, "a double, b int, c double, d double").repartition(9)
+    got = {r.column_name: r for r in PR.summary_stats(df, "exact").collect()}
+    for c in "abc":
+        ref = df.where(f"{c} is not null and not isnan({c})").agg(F.count(c), F.round(F.avg(c), 2), F.round(F.stddev_samp(c), 2),
+                                                                  F.round(F.min(c).cast("double"), 2), F.round(F.max(c).cast("double"), 2)).first()
+        assert (got[c]["count"], got[c]["mean"], got[c]["std"], got[c]["min"], got[c]["max"]) == tuple(ref)
+    assert tuple(got["d"])[1:] == (0,) + (None,) * 7
+    one = PR.summary_stats(df.limit(1).select("c"), "exact").first()
+    assert one["std"] is None and one["mean"] == 4.0
 
 
 def test_forward_fill_hot_key(spark):

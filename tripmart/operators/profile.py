@@ -103,18 +103,55 @@ def summary_stats(df: DataFrame, mode: str = "approx", rel_error: float = 1e-4)
     ``rel_error`` of their rank; ``mode="exact"`` interpolates the exact ones."""
     cols = numeric_columns(df)
     qs = quantiles.quantile_values(df, cols, SUMMARY_PS, mode, rel_error)
-    agg = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.count_if(~missing(df, c)).alias(f"_n{i}"),
-        F.avg(F.when(~missing(df, c), F.col(c))).alias(f"_a{i}"),
-        F.stddev_samp(F.when(~missing(df, c), F.col(c))).alias(f"_s{i}"),
-        F.min(F.when(~missing(df, c), F.col(c))).cast("double").alias(f"_lo{i}"),
-        F.max(F.when(~missing(df, c), F.col(c))).cast("double").alias(f"_hi{i}"))])
     r2 = lambda x: F.round(x, 2)
-    rows = [[F.lit(c), F.col(f"_n{i}"), r2(F.col(f"_a{i}")), r2(F.col(f"_s{i}")),
-             r2(F.col(f"_lo{i}")), *[r2(F.lit(v).cast("double")) for v in qs[c]],
-             r2(F.col(f"_hi{i}"))] for i, c in enumerate(cols)]
-    return agg.select(_stack(rows, ["column_name", "count", "mean", "std", "min",
-                                    "q25", "q50", "q75", "max"]))
+    told = F.create_map(*[x for i, c in enumerate(cols) for x in (
+        F.lit(i), F.array(*[F.lit(v).cast("double") for v in qs[c]]))])[F.col("i")]
+    names = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(i), F.lit(c))])[F.col("i")]
+    std = F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1)))
+    return moments(df, cols).select(
+        names.alias("column_name"), F.col("n").alias("count"), r2("mean").alias("mean"), r2(std).alias("std"), r2("lo").alias("min"),
+        *[r2(told[j]).alias(f"q{int(p * 100)}") for j, p in enumerate(SUMMARY_PS)], r2("hi").alias("max"))
+
+
+def moments(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(i, n, mean, m2, lo, hi) for each numeric column by its number: values, mean, sum of squared
+    differences from it, smallest and largest; NULL and NaN take no part. Each partition tells one row a
+    column (five aggregates a column would be beyond whole-stage codegen); they are merged by
+    the parallel formulas."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tripmart.plans.jobs import stage
+
+    def tell(batches):
+        acc = None
+        for b in batches:
+            rows = []
+            for i in range(len(cols)):
+                x = b.column(i).drop_null().to_numpy(zero_copy_only=False)
+                x = x[~np.isnan(x)]
+                m = x.mean() if len(x) else 0.0
+                rows.append((len(x), m, ((x - m) ** 2).sum(), x.min(initial=np.inf), x.max(initial=-np.inf)))
+            n, m, m2, lo, hi = (np.array(v, np.float64) for v in zip(*rows, strict=True))
+            if acc is not None:
+                an, am, am2, alo, ahi = acc
+                t = np.maximum(an + n, 1.0)
+                d = m - am
+                m, m2, lo, hi = am + d * n / t, am2 + m2 + d * d * an * n / t, np.minimum(lo, alo), np.maximum(hi, ahi)
+                n = n + an
+            acc = (n, m, m2, lo, hi)
+        if acc is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cols), dtype=np.int32)), pa.array(acc[0].astype(np.int64)),
+                                              *map(pa.array, acc[1:])], ["i", "n", "mean", "m2", "lo", "hi"])
+
+    parts = stage(df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+                  .mapInArrow(tell, "i int, n long, mean double, m2 double, lo double, hi double"), "moments")
+    whole = parts.groupBy("i").agg(F.sum("n").alias("n"), F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("g"),
+                                   F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    spread = (parts.select("i", F.col("n").alias("k"), "mean", "m2").join(whole.select("i", "g"), "i")
+              .groupBy("i").agg(F.sum(F.col("m2") + F.col("k") * F.pow(F.col("mean") - F.col("g"), 2)).alias("m2")))
+    some = F.col("n") > 0
+    return whole.join(spread, "i").select("i", "n", F.col("g").alias("mean"), "m2", *[F.when(some, F.col(c)).alias(c) for c in ("lo", "hi")])
 
 
 def date_summary(df: DataFrame) -> DataFrame:
@@ -334,27 +371,24 @@ def full_report(data, mode: str = "approx", spark: SparkSession | None = None) -
             "quality": q}
 
 
-def full_report_long(df: DataFrame, mode: str = "approx") -> DataFrame:
-    """AGG13 flattened to ``(section, item, metric, value)`` with numeric values."""
+def full_report_long(data, mode: str = "approx", spark: SparkSession | None = None) -> DataFrame:
+    """AGG13 flattened to ``(section, item, metric, value)`` with numeric values: the columns, summary
+    and quality frames of ``full_report``."""
+    from tripmart.sources.files import as_frame
+
     def melt(frame: DataFrame, section: str, item_col: str | None, metrics: list[str]) -> DataFrame:
         item = F.col(item_col) if item_col else F.lit("*")
         rows = [[F.lit(m), F.col(m).cast("double")] for m in metrics]
         return frame.select(F.lit(section).alias("section"), item.alias("item"),
                             _stack(rows, ["metric", "value"]))
-    q = quality(df)
-    num, txt = numeric_columns(df), string_columns(df)
-    parts = [
-        melt(column_profile(df), "columns", "column_name",
-             ["non_null", "non_null_pct", "null_count", "null_pct"]),
-        melt(summary_stats(df, mode), "summary", "column_name",
-             ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]),
-        melt(q.withColumn("quality_high", (F.col("quality_label") == "High").cast("int"))
-              .withColumn("numeric_columns", F.lit(len(num)))
-              .withColumn("categorical_columns", F.lit(len(txt)))
-              .withColumn("duplicate_pct", F.col("duplicate_rows").cast("double")
-                          / F.col("rows").cast("double") * F.lit(100.0)),
-             "dataset", None, ["rows", "columns", "cells", "missing_cells", "duplicate_rows",
-                               "duplicate_pct", "quality_pct", "quality_high",
-                               "numeric_columns", "categorical_columns"]),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+
+    df = as_frame(spark or SparkSession.getActiveSession(), data)
+    report = full_report(df, mode)
+    q = (report["quality"].withColumn("quality_high", (F.col("quality_label") == "High").cast("int"))
+         .withColumn("numeric_columns", F.lit(len(numeric_columns(df)))).withColumn("categorical_columns", F.lit(len(string_columns(df))))
+         .withColumn("duplicate_pct", F.col("duplicate_rows").cast("double") / F.col("rows").cast("double") * F.lit(100.0)))
+    return reduce(DataFrame.unionByName, [
+        melt(report["columns"], "columns", "column_name", ["non_null", "non_null_pct", "null_count", "null_pct"]),
+        melt(report["summary"], "summary", "column_name", ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]),
+        melt(q, "dataset", None, ["rows", "columns", "cells", "missing_cells", "duplicate_rows", "duplicate_pct", "quality_pct",
+                                  "quality_high", "numeric_columns", "categorical_columns"])])

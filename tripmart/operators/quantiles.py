@@ -1,18 +1,21 @@
 """Quantile thresholds for capping, in three modes and by one algorithm.
 
-* ``approx`` - the value whose rank is within ``rel_error * n`` of the wanted one.
+* ``approx`` - a value whose rank is within ``rel_error * n`` of the wanted one.
 * ``disc``   - exact discrete quantile (``percentile_disc``): the value at 0-based
   rank ``ceil(q * n) - 1``.
 * ``exact``  - exact interpolated quantile (``percentile`` / pandas
   ``quantile``): rank ``q * (n - 1)``, linear between its neighbours.
 
-NULL and NaN take no part in any mode. A rank is found by narrowing: a sketch of
-fixed accuracy proposes a value and a bracket around it, a counting pass gives
-their true ranks, and the part that holds the wanted rank is the next bracket.
-The proposed value itself is never in it, so every round makes progress, and
-``approx`` only stops earlier. All columns and ranks share the two passes of a
-round. Sketches are built per group of tasks and never merged in one place: the
-driver gets ``GROUPS`` rows of a few numbers, whatever the data holds.
+NULL and NaN take no part in any mode. A rank is found digit by digit: a double's bits,
+turned so that they order like the values, are four digits of 16 bits. A pass over the
+columns counts the values by their next digit, within the digits found so far, and keeps
+the smallest and largest value of each bin; a window over the bins tells which one holds the
+rank. A bin of at most ``FEW`` values is resolved in the next pass (its values themselves are the
+bins). The search ends when the bin holds one value only, for ``approx`` when it holds no more
+values than the accepted error, and after four passes at the latest. All columns and ranks
+share the passes. A task sends at most ``FEW`` or
+65,536 rows for each bracket; the driver gets one row for
+each wanted rank, whatever the data holds.
 """
 
 from __future__ import annotations
@@ -20,88 +23,101 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000      # of a sketch: its memory is bounded by this
-GROUPS = 64
-
-
-def _valid(c: str):
-    """Non-null, non-NaN values take part in a quantile."""
-    return F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+DIGIT = 16             # bits
+FEW = 1 << 17          # values of a bin that are told one by one
+_SIGN = np.uint64(1 << 63)
+
+
+def ordered_bits(x: np.ndarray) -> np.ndarray:
+    """Doubles as unsigned numbers of the same order (-0.0 counts as 0.0)."""
+    u = (x + 0.0).view(np.uint64)
+    return np.where(u & _SIGN, ~u, u | _SIGN)
+
+
+def from_bits(u: np.ndarray) -> np.ndarray:
+    return np.where(u & _SIGN, u & ~_SIGN, ~u).view(np.float64)
+
+
+def _histogram(vals: DataFrame, brackets: list[tuple[int, int, int, int]]) -> DataFrame:
+    """(t, digit, n, lo, hi), staged: for bracket t = (column, bits found, how many, how many more)
+    the values by their next bits."""
+    from tripmart.plans.jobs import stage
+
+    by_col: dict[int, list[tuple[int, int, int, int]]] = {}
+    for t, (col, prefix, known, width) in enumerate(brackets):
+        by_col.setdefault(col, []).append((t, prefix, known, width))
+
+    def merged(parts):
+        t, d, n, lo, hi = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        o = np.lexsort((d, t))
+        t, d = t[o], d[o]
+        at = np.flatnonzero(np.append(True, (t[1:] != t[:-1]) | (d[1:] != d[:-1])))
+        return t[at], d[at], np.add.reduceat(n[o], at), np.minimum.reduceat(lo[o], at), np.maximum.reduceat(hi[o], at)
+
+    def count(batches):
+        parts, held = [], 0
+        for b in batches:
+            for col, wanted in by_col.items():
+                x = b.column(col).drop_null().to_numpy(zero_copy_only=False)
+                u = ordered_bits(x[~np.isnan(x)])
+                u.sort()
+                for t, prefix, known, width in wanted:
+                    part = u
+                    if known:
+                        low = prefix << (64 - known)
+                        high = low + (1 << (64 - known)) - 1
+                        part = u[np.searchsorted(u, np.uint64(low)):np.searchsorted(u, np.uint64(high), side="right")]
+                    if not len(part):
+                        continue
+                    d = ((part >> np.uint64(64 - known - width)) & np.uint64((1 << width) - 1)).astype(np.int64)
+                    at = np.flatnonzero(np.append(True, d[1:] != d[:-1]))
+                    end = np.append(at[1:], len(d))
+                    parts.append((np.full(len(at), t), d[at], end - at, part[at], part[end - 1]))
+                    held += len(at)
+            if held > 1 << 21:
+                parts = [merged(parts)]
+                held = 0
+        if parts:
+            t, d, n, lo, hi = merged(parts)
+            yield pa.RecordBatch.from_pydict({"t": pa.array(t), "digit": pa.array(d), "n": pa.array(n),
+                                              "lo": pa.array(from_bits(lo)), "hi": pa.array(from_bits(hi))})
+
+    found = vals.mapInArrow(count, "t long, digit long, n long, lo double, hi double")
+    return stage(found.groupBy("t", "digit").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")), "digits")
 
 
 @dataclass
 class _Target:
-    """A wanted rank and the open interval (lo, hi) of values it lies in."""
-
-    col: str
-    rank: int
-    below: int              # valid values <= lo
-    size: int               # valid values in the interval
-    lo: float | None = None
-    hi: float | None = None
+    """A wanted rank, and the bracket it is known to lie in."""
+
+    col: int
+    rank: int               # inside the bracket
+    prefix: int = 0
+    known: int = 0          # bits of the prefix
+    width: int = DIGIT      # bits to find next
     value: float | None = None
 
-    def inside(self) -> Column:
-        c = F.col(self.col)
-        cond = _valid(self.col)
-        if self.lo is not None:
-            cond = cond & (c > F.lit(self.lo))
-        return cond if self.hi is None else cond & (c < F.lit(self.hi))
-
-    def shares(self) -> list[float]:
-        """Quantiles of the interval to ask for: the rank with a margin around it."""
-        at = (self.rank - self.below + 0.5) / self.size
-        margin = 3.0 / ACCURACY
-        return [max(0.0, at - margin), min(1.0, at), min(1.0, at + margin)]
-
-
-def _propose(df: DataFrame, open_: list[_Target]) -> list[tuple[float, float, float]]:
-    """(low, middle, high) values per target from the sketches of all task groups."""
-    sketches: dict[tuple, list[float]] = {}
-    at: dict[int, tuple] = {}
-    for i, t in enumerate(open_):
-        key = (t.col, t.lo, t.hi)
-        at[i] = (key, len(sketches.setdefault(key, [])))
-        sketches[key] += t.shares()
-    first = {(t.col, t.lo, t.hi): t for t in reversed(open_)}
-    keys = list(sketches)
-    rows = (df.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("_g"))
-              .agg(*[F.percentile_approx(F.when(first[k].inside(), F.col(k[0])),
-                                         F.array(*map(F.lit, sketches[k])), ACCURACY).alias(f"_s{j}")
-                     for j, k in enumerate(keys)]).collect())
-    out = []
-    for i in range(len(open_)):
-        key, o = at[i]
-        got = [r[f"_s{keys.index(key)}"][o:o + 3] for r in rows if r[f"_s{keys.index(key)}"] is not None]
-        mids = sorted(g[1] for g in got)
-        out.append((min(g[0] for g in got), mids[len(mids) // 2], max(g[2] for g in got)))
-    return out
+    @property
+    def bracket(self) -> tuple[int, int, int, int]:
+        return self.col, self.prefix, self.known, self.width
 
 
-def _narrow(df: DataFrame, targets: list[_Target], slack: dict[str, float]) -> None:
-    """Set ``value`` of every target; ``slack``: accepted rank error by column."""
-    while open_ := [t for t in targets if t.value is None]:
-        proposed = _propose(df, open_)
-        counts = df.agg(*[c for i, (t, (lo, mid, hi)) in enumerate(zip(open_, proposed))
-                          for v, inside in ((F.col(t.col), t.inside()),)
-                          for c in (F.count_if(inside & (v <= F.lit(lo))).alias(f"_a{i}"),
-                                    F.count_if(inside & (v < F.lit(mid))).alias(f"_b{i}"),
-                                    F.count_if(inside & (v <= F.lit(mid))).alias(f"_c{i}"),
-                                    F.count_if(inside & (v < F.lit(hi))).alias(f"_d{i}"))]).first()
-        for i, (t, (lo, mid, hi)) in enumerate(zip(open_, proposed)):
-            a, b, c, d = (int(counts[f"_{x}{i}"]) for x in "abcd")
-            k = t.rank - t.below                       # rank inside the interval
-            if b - slack[t.col] <= k <= c - 1 + slack[t.col]:
-                t.value = float(mid)
-                continue
-            # the tightest interval of proven counts that holds the rank
-            cuts = [(t.lo, 0)] + [(x, n) for x, n in ((lo, a), (mid, c)) if n <= k]
-            ends = [(x, n) for x, n in ((mid, b), (hi, d)) if k < n] + [(t.hi, t.size)]
-            (new_lo, n_lo), (new_hi, n_hi) = max(cuts, key=lambda x: x[1]), min(ends, key=lambda x: x[1])
-            t.lo, t.hi, t.below, t.size = new_lo, new_hi, t.below + n_lo, n_hi - n_lo
+def _locate(hist: DataFrame, wanted: list[tuple[int, int]]) -> dict[tuple[int, int], tuple]:
+    """For (bracket, rank in it): (digit, values before, values, lo, hi) of the bin that holds it."""
+    ranks: dict[int, list[int]] = {}
+    for t, k in wanted:
+        ranks.setdefault(t, []).append(k)
+    of = F.create_map(*[x for t, ks in ranks.items() for x in (F.lit(t).cast("long"), F.array(*[F.lit(k).cast("long") for k in sorted(set(ks))]))])
+    before = F.sum("n").over(Window.partitionBy("t").orderBy("digit")) - F.col("n")      # at most FEW bins a bracket
+    rows = (hist.withColumn("before", before)
+            .select("*", F.explode(F.filter(of[F.col("t")], lambda k: (k >= F.col("before")) & (k < F.col("before") + F.col("n")))).alias("k"))
+            .collect())
+    return {(r.t, r.k): (r.digit, r.before, r.n, r.lo, r.hi) for r in rows}
 
 
 def _ranks(p: float, n: int, mode: str) -> list[int]:
@@ -118,25 +134,35 @@ def quantile_values(df: DataFrame, cols: list[str], ps: list[float], mode: str =
         raise ValueError(f"unknown quantile mode {mode!r}")
     if not cols:
         return {}
-    vals = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    row = vals.agg(*[F.count_if(_valid(c)).alias(f"_n{i}") for i, c in enumerate(cols)]).first()
-    counts = {c: int(row[f"_n{i}"]) for i, c in enumerate(cols)}
-    targets = {(c, k): _Target(c, k, 0, counts[c])
-               for c in cols if counts[c] for p in ps for k in _ranks(p, counts[c], mode)}
-    slack = {c: (rel_error * counts[c] if mode == "approx" else 0.0) for c in cols}
-    _narrow(vals, list(targets.values()), slack)
-
-    def value(c: str, p: float) -> float | None:
-        n = counts[c]
+    vals = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    brackets = [_Target(i, 0).bracket for i in range(len(cols))]
+    hist = _histogram(vals, brackets)
+    counts = dict.fromkeys(range(len(cols)), 0) | {r.t: r.n for r in hist.groupBy("t").agg(F.sum("n").alias("n")).collect()}
+    targets = {(i, k): _Target(i, k) for i in counts if counts[i] for p in ps for k in _ranks(p, counts[i], mode)}
+    while open_ := [t for t in targets.values() if t.value is None]:
+        at = {b: i for i, b in enumerate(brackets)}
+        found = _locate(hist, [(at[t.bracket], t.rank) for t in open_])
+        for t in open_:
+            digit, before, n, lo, hi = found[at[t.bracket], t.rank]
+            if lo == hi or (mode == "approx" and n - 1 <= rel_error * counts[t.col]):
+                t.value = float(hi)
+            else:
+                t.prefix, t.known, t.rank = (t.prefix << t.width) + digit, t.known + t.width, t.rank - before
+                t.width = 64 - t.known if n <= FEW else DIGIT
+        if brackets := sorted({t.bracket for t in open_ if t.value is None}):
+            hist = _histogram(vals, brackets)
+
+    def value(i: int, p: float) -> float | None:
+        n = counts[i]
         if not n:
             return None
-        got = [targets[c, k].value for k in _ranks(p, n, mode)]
+        got = [targets[i, k].value for k in _ranks(p, n, mode)]
         if len(got) == 1 or got[0] == got[1]:
             return got[0]
         pos = p * (n - 1)
         return got[0] + (got[1] - got[0]) * (pos - math.floor(pos))   # linear: i + (j - i) * fraction
 
-    return {c: [value(c, p) for p in ps] for c in cols}
+    return {c: [value(i, p) for p in ps] for i, c in enumerate(cols)}
 
 
 def thresholds(df: DataFrame, cols: list[str], q: float, mode: str = "approx",

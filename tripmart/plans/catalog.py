@@ -566,6 +566,14 @@ def q_report_from_path(spark, sf):
     return PR.full_report(f"{sf}/events.parquet", spark=spark)["shape"]
 
 
+@register("full_report_from_path", _T + O.full_report_sql())
+def q_full_report_from_path(spark, sf):
+    """SRC3 + AGG13: the whole report, of the Parquet folder at a path."""
+    path = work_dir(spark, "report-in") + "/trips"
+    trips(spark, sf).write.parquet(path)
+    return PR.full_report_long(path, mode="exact", spark=spark)
+
+
 @register("parse_timestamps", "SELECT o_orderkey, date_trunc('second', o_orderdate)::TIMESTAMP AS o_orderdate FROM orders")
 def q_parse_timestamps(spark, sf):
     """FN8: text timestamps back to zone-less ones."""
