@@ -33,6 +33,7 @@ from tripmart.llm._common import WORDS, mix, read, stage
 SEED = 20_240_607
 BLOCK = 32
 SHARD = 1 << 16          # blocks of an output shard, on average
+TASK = 1 << 18           # slots filled by a task
 
 
 def ranked(df: DataFrame, *order) -> DataFrame:
@@ -82,11 +83,11 @@ def placed(sized: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def blocks(rows: DataFrame, block: int) -> DataFrame:
-    """(source, block, rid, words): the part of each block that is a row's."""
+    """(source, block, rid, word, words): the part of each block that is a row's, by its first word and length."""
     last = F.floor((F.col("first") + F.col("size") - 1) / block)
     b = F.col("block")
     return (rows.select("*", F.explode(F.sequence(F.floor(F.col("first") / block), last)).alias("block"))
-            .select("source", "block", "rid",
+            .select("source", "block", "rid", F.greatest(F.lit(0), b * block - F.col("first")).alias("word"),
                     (F.least(F.col("first") + F.col("size"), (b + 1) * block) - F.greatest("first", b * block)).alias("words")))
 
 
@@ -107,7 +108,8 @@ def permute(j: np.ndarray, n: int, key: int) -> np.ndarray:
 
 
 def slots(sources: DataFrame, block: int, shard: int = SHARD) -> DataFrame:
-    """(source, shard, block): every draw of the mixture, one row each."""
+    """(source, shard, slot, block): every draw of the mixture, one row each; slots are
+    numbered by source, shard after shard."""
     per = (sources.filter("source_size > 0 and target > 0")
            .withColumn("blocks", F.ceil(F.col("source_size") / block))
            .withColumn("passes", F.floor(F.col("target") / F.col("source_size")))
@@ -133,7 +135,7 @@ def slots(sources: DataFrame, block: int, shard: int = SHARD) -> DataFrame:
     parts = (drawn.filter("hi > lo")
              .withColumn("lo2", F.explode(F.sequence("lo", F.col("hi") - 1, F.lit(8192))))
              .withColumn("hi", F.least("hi", F.col("lo2") + 8192)).withColumn("lo", F.col("lo2")).drop("lo2")
-             .repartition(F.xxhash64("source", "lo")))
+             .repartition(max(1, -(-total // TASK)), F.xxhash64("source", "lo")))       # a few rows that become many
 
     def fill(batches):
         for b in batches:
@@ -145,9 +147,9 @@ def slots(sources: DataFrame, block: int, shard: int = SHARD) -> DataFrame:
                     out[turn == t] = permute(at[turn == t], r["blocks"], r["key"] + int(t) * 0x10001)
                 yield pa.RecordBatch.from_pydict({
                     "source": pa.array([r["source"]] * len(j), pa.string()),
-                    "shard": pa.array(np.full(len(j), r["shard"])), "block": pa.array(out)})
+                    "shard": pa.array(np.full(len(j), r["shard"])), "slot": pa.array(j), "block": pa.array(out)})
 
-    return parts.mapInArrow(fill, "source string, shard long, block long")
+    return parts.mapInArrow(fill, "source string, shard long, slot long, block long")
 
 
 def sized_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -158,6 +160,18 @@ def sized_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                              F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long").alias("size")), "sized")
 
 
+def packed(docs: DataFrame, block: int = BLOCK, repeat: int = 3, shard: int = SHARD, id_col: str = "doc_id",
+           text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The mixture itself: (shard, slot, source, block, id, th, word, words), one row for each part of a document in
+    a slot's block - ``words`` words from word number ``word`` on. Write it by shard and read the texts beside it."""
+    sized = sized_rows(docs, id_col, text_col, source_col)
+    sources = stage(source_targets(sized, repeat), "targets")
+    have = blocks(placed(sized, sources), block)
+    drawn = slots(sources, block, shard).select(F.col("source").alias("s2"), "shard", "slot", F.col("block").alias("b2")).hint("merge")
+    return (have.join(drawn, F.col("source").eqNullSafe(F.col("s2")) & (F.col("block") == F.col("b2")))
+            .join(sized.select("rid", "id", "th"), "rid").select("shard", "slot", "source", "block", "id", "th", "word", "words"))
+
+
 def mixture(docs: DataFrame, block: int = BLOCK, repeat: int = 3, id_col: str = "doc_id", text_col: str = "text",
             source_col: str = "source") -> DataFrame:
     """(id, th, source, size, source_size, target, taken) per row."""
