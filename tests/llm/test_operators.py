@@ -295,7 +295,7 @@ def _line_blocks(norm):
         step *= 2
     for i in range(0, need + step, step):
         j = max(0, -(-(need - i) // step) * step)
-        out |= {(i, k, norm[:i], norm[n - k:]) for k in range(j, j + (8 if n < 96 else 4 if n < 192 else 2) * step, step) if i + k <= n}
+        out |= {(i, k, norm[:i], norm[n - k:]) for k in range(j, j + (8 if n < 48 else 4 if n < 192 else 2) * step, step) if i + k <= n}
     return out
 
 
