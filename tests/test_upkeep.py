@@ -147,3 +147,33 @@ def test_star_over_a_key_map(spark, clean, tmp_path):
     assert star_checks(one, half).where("violations > 0").count() == 0 == star_checks(two, clean).where("violations > 0").count()
     kept = one["DIM_DATETIME"].select("datetime_id", *PAIR)
     assert kept.join(two["DIM_DATETIME"].select("datetime_id", *PAIR), ["datetime_id", *PAIR]).count() == kept.count()
+
+
+# --- warehouse
+
+def test_of_two_racing_loads_one_commits(spark, clean, tmp_path, monkeypatch):
+    from tripmart.sources import sinks as W
+    wh, star = str(tmp_path / "wh"), P.stage_all(S.build_star(clean))
+    first = W.load_warehouse(star, wh)
+    monkeypatch.setattr(W, "latest_run", lambda *_: first)              # both loads start from the first run
+    a = W.load_warehouse(star, wh)
+    with pytest.raises(RuntimeError, match="another load has committed"):
+        W.load_warehouse(star, wh)
+    monkeypatch.undo()
+    assert W.committed_run(spark, wh) == a
+    b = W.load_warehouse(star, wh)                                      # run again: it starts from the winner
+    assert W.committed_run(spark, wh) == b > a
+
+
+def test_a_load_that_dies_while_it_commits_is_made_up_for(spark, clean, tmp_path):
+    import os
+    import shutil
+
+    from tripmart.sources import sinks as W
+    wh, star = str(tmp_path / "wh"), P.stage_all(S.build_star(clean))
+    dead = W.load_warehouse(star, wh)
+    shutil.move(f"{wh}/_commits/run={dead}", f"{wh}/_pending/run={dead}")     # claimed, and not placed yet
+    with pytest.raises(RuntimeError):
+        W.load_warehouse(star, wh)
+    assert W.committed_run(spark, wh) == dead and os.path.exists(f"{wh}/_commits/run={dead}")
+    assert W.load_warehouse(star, wh) > dead

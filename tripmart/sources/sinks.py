@@ -11,11 +11,13 @@ from __future__ import annotations
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.schema import PICKUP, STAR, STAR_ORDER
+from tripmart.session import has_data
 
 SMALL_TABLES = {"DIM_LOCATION", "DIM_VENDOR", "DIM_PAYMENT", "DIM_RATE"}
 
@@ -57,10 +59,13 @@ def load_warehouse(star: dict[str, DataFrame], warehouse: str, run_id: str | Non
     ``<warehouse>/_runs/<run_id>/<TABLE>``; ``check`` (a function of the
     written tables returning a violations frame) must find no violation before
     ``<warehouse>/_commits/run=<run_id>`` is written. With ``jdbc_url`` the
-    tables also replace those of a database, before the commit marker.
+    tables also replace those of a database, before the commit marker. Of two loads that
+    start from the same committed run the first to commit wins; the other one raises and
+    leaves no marker.
     """
     spark = next(iter(star.values())).sparkSession
     run_id = run_id or new_run_id()
+    started_from = latest_run(spark, warehouse)
     base = f"{warehouse.rstrip('/')}/_runs/{run_id}"
     from tripmart.plans.jobs import write_concurrently
 
@@ -79,11 +84,39 @@ def load_warehouse(star: dict[str, DataFrame], warehouse: str, run_id: str | Non
             raise ValueError(f"run {run_id} not committed, contract violations: {bad}")
     if jdbc_url:
         load_jdbc(written, jdbc_url, jdbc_props or {}, batchsize)
-    (spark.createDataFrame([(run_id,)], "run_id string")
-          .write.mode("overwrite").parquet(f"{warehouse.rstrip('/')}/_commits/run={run_id}"))
+    _commit(spark, warehouse, run_id, started_from)
     return run_id
 
 
+def _commit(spark: SparkSession, warehouse: str, run_id: str, after: str | None) -> None:
+    """Write the marker of a run if ``after`` is still the latest one. The successor of a run is claimed by
+    creating one file exclusively; the marker is ready by then and appears by a rename, which the next
+    load makes up for if this one dies in between."""
+    root = warehouse.rstrip("/")
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    spark.createDataFrame([(run_id,)], "run_id string").coalesce(1).write.mode("overwrite").parquet(f"{root}/_pending/run={run_id}")
+    claim = hpath(f"{root}/_claims/after={after or 'nothing'}")
+    fs.mkdirs(claim.getParent())
+    fs.mkdirs(hpath(f"{root}/_commits"))
+    try:
+        out = fs.create(claim, False)
+    except Py4JJavaError as e:
+        winner = spark.read.text(f"{root}/_claims/after={after or 'nothing'}").first()
+        if winner and fs.exists(hpath(f"{root}/_pending/run={winner[0]}")):
+            fs.rename(hpath(f"{root}/_pending/run={winner[0]}"), hpath(f"{root}/_commits/run={winner[0]}"))
+        raise RuntimeError(f"run {run_id} not committed: another load has committed after {after or 'the start'}") from e
+    out.writeBytes(run_id)
+    out.close()
+    if not fs.rename(hpath(f"{root}/_pending/run={run_id}"), hpath(f"{root}/_commits/run={run_id}")):
+        raise RuntimeError(f"run {run_id}: the marker could not be placed")
+
+
+def latest_run(spark: SparkSession, warehouse: str) -> str | None:
+    """Latest committed run; None if there is none yet."""
+    return committed_run(spark, warehouse) if has_data(spark, f"{warehouse.rstrip('/')}/_commits") else None
+
+
 def load_jdbc(tables: dict[str, DataFrame], url: str, props: dict, batchsize: int) -> None:
     """Replace the star tables of a database, so a rerun does not double them.
 
