@@ -1,8 +1,9 @@
-"""Substring dedup by De Bruijn compaction over word k-mers.
+"""Substring dedup over word k-mers as edges of a De Bruijn graph.
 
 Every ``size``-word window is an edge of the De Bruijn graph of the corpus,
-named by its words. Listing all edges would shuffle one row per word, so the
-graph is compacted first:
+named by its words. Listing all edges would shuffle one row per word, so runs of edges
+with one minimiser stand in for unitigs: no edge's end is joined to the next one's start and
+no degrees are counted.
 
 1. A run of windows with one anchor (``_grams``) is a path piece. Equal edges
    lie in pieces with equal anchors; pieces whose anchor stands once cannot

@@ -1,21 +1,20 @@
-"""Suffix-array dedup: exact repeats of ``size`` bytes by longest previous factors.
+"""Exact repeats of ``size`` bytes by sorted windows, in place of a suffix array.
 
-LPF[p] is the length of the longest string at position p that also starts
-earlier; in suffix order it is found at the nearest neighbours with a smaller
-position (PSV and NSV). A window of ``size`` bytes is a later copy if
-LPF[p] >= size, and a first copy that recurs if some later copy points at it.
+A window of ``size`` bytes is a later copy if the same bytes start at an earlier place, and a
+first copy that recurs if they start at a later one: in suffix order it is told by the neighbours,
+as LPF >= size would tell it. No factor lengths (LPF, PSV, NSV) are computed beyond that.
 
 A suffix array of the whole corpus needs 8 bytes or more per byte of text. Here
-the order is built piece by piece, where a match is possible at all:
+windows are sorted piece by piece, where a match is possible at all:
 
 1. Runs of windows with one anchor (``_grams``); equal windows lie in runs with
    equal anchors, so anchors that stand once are out (``_repeats``).
-2. Runs equal as a whole are one class: all its members but the first are later
-   copies in full. One member speaks for the class from here on.
+2. Runs equal as a whole (hashes of anchor and content) are one class: all its members but the
+   first are later copies in full. One member speaks for the class from here on.
 3. Classes that share an anchor but differ match in part. Their texts (a few
-   hundred bytes each) meet by anchor, and a suffix array over them gives LPF.
+   hundred bytes each) meet by anchor, and their windows are sorted and compared as bytes.
    An anchor with over ``GROUP`` classes is not gathered: its windows are dealt
-   by their own hash instead, and the suffix order within equal windows is the
+   by their own hash instead, and the order within equal windows is the
    order of positions, an aggregation with partial sums. Equality is then that
    of two 64-bit hashes (anchor and window) instead of bytes.
 
