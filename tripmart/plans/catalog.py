@@ -609,14 +609,16 @@ def q_cap_approx_check(spark, sf, rel_error: float = 1e-4):
 
 @register("trip_id_stability", "SELECT CAST(0 AS BIGINT) AS unstable_ids, CAST(0 AS BIGINT) AS repeated_ids")
 def q_trip_id_stability(spark, sf):
-    """FN5: ids of the deduped trips, from the rows dealt over 1, 4 and 13
-    partitions: ids not in all three, and ids on more than one trip."""
+    """FN5: ids of the deduped trips, from the rows dealt over three numbers of
+    partitions: ids not in all three, and ids on more than one trip. The numbers
+    grow with the session's, so that no task holds more than its share."""
     from functools import reduce
 
     from tripmart.operators.keys import with_raw_key
+    whole = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = reduce(DataFrame.unionByName, [
-        with_raw_key(C.dedupe(trips(spark, sf).repartition(n))).select("trip_id", F.lit(n).alias("run")) for n in (1, 4, 13)])
-    per = ids.groupBy("trip_id").agg(F.count_distinct("run").alias("runs"), F.count(F.lit(1)).alias("n"))
+        with_raw_key(C.dedupe(trips(spark, sf).repartition(whole + n))).select("trip_id", F.lit(1 << i).alias("run")) for i, n in enumerate((0, 3, 12))])
+    per = ids.groupBy("trip_id").agg(F.bit_count(F.bit_or("run")).alias("runs"), F.count(F.lit(1)).alias("n"))
     return per.agg(F.count_if(F.col("runs") < 3).alias("unstable_ids"), F.count_if(F.col("n") > 3).alias("repeated_ids"))
 
 
