@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tripmart.operators.clean import dedupe, fill_constants, valid_trips, with_duration
 from tripmart.operators.keys import RAW_KEY, with_raw_key
-from tripmart.schema import PICKUP
+from tripmart.schema import DURATION, PICKUP
 from tripmart.session import has_data
 from tripmart.sources.files import read_files, trip_glob
 
@@ -43,21 +43,21 @@ def _trigger(writer, trigger: str):
 
 def upsert_cleaned(raw: DataFrame, cleaned_path: str, passenger_policy: str = "drop") -> None:
     """Add one batch of raw trips to the month-partitioned cleaned table."""
-    from tripmart.plans.jobs import stage
-
     spark = raw.sparkSession
-    rows = with_raw_key(dedupe(raw))
-    new = fill_constants(valid_trips(with_duration(rows), passenger_policy))
-    new = stage(new.withColumn(MONTH, F.date_format(PICKUP, "yyyy-MM")), "batch")
-    months = [r[MONTH] for r in new.select(MONTH).distinct().collect()]   # bounded by the calendar
+    month = F.date_format(PICKUP, "yyyy-MM")
+    valid = valid_trips(with_duration(raw), passenger_policy)
+    months = [r[0] for r in valid.select(month).distinct().collect()]     # bounded by the calendar
     if not months:
         return
+    new = valid_trips(with_duration(dedupe(raw)), passenger_policy).drop(DURATION)
     if has_data(spark, cleaned_path):
-        known = spark.read.parquet(cleaned_path).where(F.col(MONTH).isin(months)).select(MONTH, *RAW_KEY)
-        new = new.join(known, [MONTH, *RAW_KEY], "left_anti")
-    # the anti join reads the table that is appended to: written apart first
-    (stage(new, "new-trips").hint("rebalance", MONTH)
-        .write.mode("append").partitionBy(MONTH).parquet(cleaned_path))
+        # the files are listed here: those that this batch appends are not among them
+        known = spark.read.parquet(cleaned_path).where(F.col(MONTH).isin(months)).select(*RAW_KEY)
+        new = with_raw_key(new).join(known, RAW_KEY, "left_anti").drop(*RAW_KEY)
+    # keys and duration follow from the raw row: they are added behind the shuffle by month
+    dealt = new.withColumn(MONTH, month).hint("rebalance", MONTH)
+    out = fill_constants(with_duration(with_raw_key(dealt)))
+    out.write.mode("append").partitionBy(MONTH).parquet(cleaned_path)
 
 
 def compact(spark: SparkSession, cleaned_path: str, months: list[str]) -> None:
