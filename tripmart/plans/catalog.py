@@ -496,15 +496,20 @@ def q_incremental_ingest(spark, sf):
     """Two arrivals through the file stream, every month split over both and raw
     copies too; the cleaned table must equal the batch clean (before caps)."""
     landing, cleaned_path, ckpt = (work_dir(spark, n) for n in ("landing", "cleaned", "stream-ckpt"))
-    every = P.stage(_with_twins(spark, sf).withColumn("_half", F.monotonically_increasing_id() % 2), "arrivals")
+    every = _with_twins(spark, sf).withColumn("_half", F.monotonically_increasing_id() % 2)
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = hpath(landing).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    arrivals = work_dir(spark, "arrivals")
+    names = FS.write_trip_files(every, arrivals, split="_half")
     for half in (0, 1):
-        arrival = work_dir(spark, f"arrival{half}")
-        for n in FS.write_trip_files(every.where(F.col("_half") == half).drop("_half"), arrival):
-            fs.mkdirs(hpath(f"{landing}/{n}"))
-            for st in fs.globStatus(hpath(f"{arrival}/{n}/part-*")):
-                fs.rename(st.getPath(), hpath(f"{landing}/{n}/{st.getPath().getName()}"))
+        for n in names:
+            parts = fs.globStatus(hpath(f"{arrivals}/{n}/_half={half}/part-*"))
+            if parts:
+                fs.mkdirs(hpath(f"{landing}/{n}"))
+            for st in parts or []:
+                # a task that has rows of both halves gives both files one name
+                if not fs.rename(st.getPath(), hpath(f"{landing}/{n}/h{half}-{st.getPath().getName()}")):
+                    raise OSError(f"could not move {st.getPath()}")
         ST.clean_stream(spark, landing, cleaned_path, ckpt).awaitTermination()
     return spark.read.parquet(cleaned_path).drop(ST.MONTH, *ST.RAW_KEY)
 
