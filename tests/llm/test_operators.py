@@ -311,6 +311,85 @@ def _surely_similar(a, b):
     return max(len(a), len(b)) - i - j <= 0.2 * max(len(a), len(b)) + 1e-9
 
 
+def _line_simhash(norm):
+    """Bits set in over half of the hashes of the words, each with the next one."""
+    w = norm.split(" ")
+    h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in w]
+    h = [xxhash.xxh64_intdigest(y.encode(), x) for x, y in zip(h, w[1:], strict=False)] + h[-1:]
+    return sum(1 << b for b in range(64) if sum(x >> b & 1 for x in h) * 2 > len(h))
+
+
+def _line_cells(norm):
+    """The fingerprint of a line and its cells: two of five blocks of bits."""
+    fp = _line_simhash(norm)
+    cut = [0, 13, 26, 38, 51, 64]
+    part = [fp >> a & (1 << (b - a)) - 1 for a, b in zip(cut, cut[1:], strict=False)]
+    return fp, {(i, j, part[i], part[j]) for i in range(5) for j in range(i)}
+
+
+def _line_candidates(names):
+    """Pairs of lines that meet in a cell with at most 12 different bits."""
+    cells, fp = collections.defaultdict(list), {}
+    for n in names:
+        fp[n], keys = _line_cells(n)
+        for k in keys:
+            cells[k].append(n)
+    return {(min(a, b), max(a, b)) for c in cells.values() for i, a in enumerate(c) for b in c[:i] if bin(fp[a] ^ fp[b]).count("1") <= 12}
+
+
+def test_line_fingerprints(spark):
+    from tripmart.llm import line_dedup as m
+    rnd = random.Random(4)
+    norms = [" ".join("".join(rnd.choice("abcdéf") for _ in range(rnd.randint(1, 6))) for _ in range(n)) for n in (1, 2, 3, 40, 127, 128, 255, 256, 700, 3000)]
+    norms += ["a " * 254 + "a", "a " * 255 + "a", "ab " * 5000 + "c"]
+    df = spark.createDataFrame(list(enumerate(norms)), "i int, norm string")
+    got = {r.i: r.fp for r in df.select("i", m.fingerprint(F.col("norm")).alias("fp")).collect()}
+    assert [got[i] % (1 << 64) for i in range(len(norms))] == [_line_simhash(n) for n in norms]
+
+
+def test_lines_with_edits_at_both_ends_are_linked(spark):
+    """No single stretch holds these edits, so only fingerprints and edit distance can find them. A line that goes on
+    with its first half has nearly the same fingerprint; the edit distance tells it apart."""
+    from tripmart.llm import line_dedup as m
+    rnd = random.Random(11)
+    data, want = [], []
+    for i in range(12):
+        w = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(160)]
+        a, b, c = " ".join(w), " ".join(["x" + w[0], *w[1:-1], w[-1] + "x"]), " ".join(w[80:] + w[:80])
+        data += [(3 * i, a), (3 * i + 1, b), (3 * i + 2, c)]
+        assert not _surely_similar(a, b) and _similar(a, b) and not _similar(a, c) and not _similar(b, c)
+        want += [(3 * i, 0), (3 * i + 1, int((min(a, b), max(a, b)) in _line_candidates([a, b]))), (3 * i + 2, 0)]
+    assert sum(n for _, n in want) >= 8 and len(_line_candidates([x for _, x in data])) > sum(n for _, n in want)
+    out = m.report(spark.createDataFrame(data, "doc_id long, text string"))
+    assert sorted((r.id, r.n_removed) for r in out.collect()) == want
+
+
+def test_lines_similar_to_another_than_the_first_of_their_cell_are_linked(spark):
+    """Families with the same halves in another order: each is linked within, whichever line is first in a cell."""
+    from tripmart.llm import line_dedup as m
+    rnd = random.Random(12)
+    w = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(200)]
+    names = {}
+    for side, words in enumerate((w, w[100:] + w[:100], w[50:] + w[:50])):
+        for k in range(10):
+            v = list(words)
+            v[0], v[-1] = v[0] + "q" * k, "q" * k + v[-1]
+            names[" ".join(v)] = side
+    top = {n: n for n in names}
+
+    def root(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+    met = _line_candidates(list(names))
+    for a, b in met:
+        if names[a] == names[b]:
+            top[root(a)] = root(b)
+    assert any(names[a] != names[b] for a, b in met)
+    out = m.report(spark.createDataFrame(list(enumerate(names)), "doc_id long, text string"))
+    assert sum(r.n_removed for r in out.collect()) == len(names) - len({root(n) for n in names}) >= 20
+
+
 @pytest.mark.parametrize("kind", ["word", "letter", "more", "less"])
 def test_line_links_found_by_length(kind):
     """Share of the similar lines that one edit makes and that a block links, by length."""
@@ -605,6 +684,9 @@ def test_pipeline_stages_against_plain_ones(spark):
             for n in {x for ns in norms for x in ns if x}:
                 for k in _line_blocks(n):
                     top[root(group.setdefault(k, n))] = root(n)
+            for a, b in _line_candidates({x for ns in norms for x in ns if x}):
+                if root(a) != root(b) and _similar(a, b):
+                    top[root(a)] = root(b)
             for r, ns in zip(rows, norms, strict=True):
                 kept = [ln for u, (ln, n) in enumerate(zip(r[1].split("\n"), ns, strict=True))
                         if not n or seen.setdefault(root(n), (r[0], u)) == (r[0], u)]

@@ -1,25 +1,29 @@
 """Fuzzy line dedup (DataFrame functions only).
 
 Lines are lower-cased and every run of ASCII characters other than letters and
-digits becomes one space; leading and trailing spaces go. Two normalised lines are linked
-if they agree but for one stretch of at most ``1 - SIMILARITY`` of either one's length in UTF-8 bytes,
-whole lines whatever their length. So at most a fifth of the bytes is edited: the edit similarity
-(1 - Levenshtein / longer length) of linked lines is ``SIMILARITY`` or more. Of each
-connected group, the first occurrence stays (by document id, null last, then text hash
-and place); all others go.
-
-1. Pigeonhole blocks of the line itself: the block (i, j) holds its first i and last j bytes,
+digits becomes one space; leading and trailing spaces go. Lines are whole, whatever their length. Two
+normalised lines are linked if their edit similarity (1 - Levenshtein / longer length) is ``SIMILARITY`` or
+more and one of two ways finds them. Of each connected group, the first occurrence stays (by document id, null
+last, then text hash and place); all others go.
+
+1. SimHash over the pairs of neighbouring words of every line, 64 bits. The fingerprint is cut into ``DISTANCE`` + 2 blocks; fingerprints
+   within ``DISTANCE`` bits agree in two of them, so they meet in one of the cells for two blocks, and many
+   that differ in more bits do too. In a cell pairs of up to ``NEAR`` different bits are candidates: each
+   fingerprint near the cell's first one with that, the others with all near them (``_candidates``).
+2. Candidates are verified by their edit distance. Lengths and letter counts rule out most
+   others before they are aligned. First each line with one candidate, then the pairs, and lines near the
+   same first fingerprint, that are not connected by then.
+3. Words are few in a short line, and one edit moves many bits of its fingerprint. So lines that agree but for one
+   stretch of at most ``1 - SIMILARITY`` of either one's length in UTF-8 bytes are found as well, by
+   blocks of the line itself: the block (i, j) holds its first i and last j bytes,
    i + j >= ``SIMILARITY`` of its length; i and j are multiples of a step, a power of two of at most a
    ``STEPS``-th of the length (half as many steps for lines of ``SHORT`` bytes or more). Lines that agree in a block are similar, all with all, so a
    block is linked as a star around its smallest member: nothing in it is compared pair by
-   pair, and a block with a third of all lines costs no more than its rows.
-2. Most lines have no partner. A link leaves 0.4 of both lines alike at the beginning or at the
-   end, so a line is looked at further only if another one shares such a beginning or end (``_ends``). A
+   pair, and a block with a third of all lines costs no more than its rows. Such a link leaves 0.4 of both lines alike
+   at the beginning or at the end, so only lines that share such a beginning or end have blocks (``_ends``). A
    bit map of fixed size keeps the others back; when it fills up it costs work but changes nothing.
-3. Connected components of the links; equal lines (64-bit hash) are one node.
-
-One edit of up to a fifth of the length less two steps is always found, a longer one if it lies well
-between the steps; edits far apart in a line are not.
+   One edit of up to a fifth of the length less two steps is always found, a longer one if it lies well between the steps.
+4. Connected components of the links; equal lines (64-bit hash) are one node.
 
 Defined cases: lines without a word are never removed nor counted as
 copies; null text has no lines; rows alike in id and text keep the same lines.
@@ -29,6 +33,8 @@ Lines, blocks and ends with the same 64-bit hash count as equal.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +43,8 @@ from tripmart.llm._common import keyed, read, stage
 from tripmart.llm._graph import components
 
 SIMILARITY = 0.8
+DISTANCE = 3              # bits: fingerprints that differ in no more always meet
+NEAR = 12                 # bits: of fingerprints that meet, those that differ in no more are candidates
 STEPS = 24                # of a line under SHORT bytes; half as many of a longer one
 SHORT = 192
 RATIO = 1.26              # of neighbouring lengths of ends; over 1 / SIMILARITY
@@ -58,6 +66,123 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.select("id", "th", "u", normalised(F.col("x")).alias("norm")).filter("norm <> ''").withColumn("a", F.xxhash64("norm"))
 
 
+def fingerprint(norm: Column) -> Column:
+    """64-bit SimHash of a normalised line: a bit is 1 if it is 1 in over half of the hashes of its words, each with the
+    next one (single words are so often alike that unlike lines would meet). Counters are fields of ``width`` bits,
+    added side by side; the last bit is counted by itself."""
+    zero = F.lit(0).cast("long")
+
+    def counted(hashes: Column, width: int) -> Column:
+        ones = sum(1 << (width * i) for i in range(63 // width))
+        # the top bit of a field comes out set where its count is over half
+        more = (F.lit((1 << (width - 1)) - 1).cast("long") - F.shiftright(F.size(hashes).cast("long"), 1)) * F.lit(ones)
+
+        def every(j: int) -> Column:
+            """Bits j, j + width, j + 2 * width ..."""
+            count = F.aggregate(hashes, zero, lambda acc, h: acc + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(ones)))
+            return F.shiftleft(F.shiftrightunsigned((count + more).bitwiseAND(F.lit(ones << (width - 1))), width - 1), j)
+
+        return reduce(Column.bitwiseOR, map(every, range(width)))
+
+    def bits(hashes: Column) -> Column:
+        n = F.size(hashes)
+        last = F.aggregate(hashes, zero, lambda acc, h: acc + F.shiftrightunsigned(h, 63))
+        most = F.when(n < 1 << 8, counted(hashes, 9)).when(n < 1 << 20, counted(hashes, 21)).otherwise(counted(hashes, 63))
+        return most.bitwiseOR(F.when(last * 2 > n, F.lit(-(1 << 63))).otherwise(zero))
+
+    # arrays of one element name what is used more than once
+    hashes = F.transform(F.array(F.split(norm, " ")), lambda w: F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1))))
+    return F.transform(hashes, bits)[0]
+
+
+def _cells(fp: Column) -> Column:
+    """Keys of the cells of a fingerprint: the bits of two blocks and the table's number."""
+    n = DISTANCE + 2
+    cut = [round(64 * i / n) for i in range(n + 1)]
+    block = lambda i: F.shiftrightunsigned(fp, cut[i]).bitwiseAND(F.lit((1 << (cut[i + 1] - cut[i])) - 1))
+    keys = []
+    for t, (i, j) in enumerate(combinations(range(n), 2)):
+        width = cut[j + 1] - cut[j]
+        keys.append(F.shiftleft(block(i), width).bitwiseOR(block(j)).bitwiseOR(F.lit(t << 2 * -(-64 // n))))
+    return F.array(*keys)
+
+
+def _near(x: Column, y: Column) -> Column:
+    return F.bit_count(x.bitwiseXOR(y)) <= NEAR
+
+
+def _candidates(one: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (u, v) of lines to verify, and (k, a, fp) of the lines near the first fingerprint of their cell k, of
+    which any two may be similar. ``one``: (a, fp) of the different lines."""
+    alike = one.groupBy("fp").agg(F.min("a").alias("top"), F.count(F.lit(1)).alias("lines"))
+    alike = stage(alike, "fingerprints")
+    dealt = alike.select(F.explode(_cells(F.col("fp"))).alias("k"), "fp").repartition("k")
+    firsts = dealt.groupBy("k").agg(F.min("fp").alias("p"), F.count(F.lit(1)).alias("n")).filter("n > 1").withColumnRenamed("k", "kp")
+    met = (F.col("k") == F.col("kp")) & (F.col("fp") != F.col("p")) & (_near(F.col("fp"), F.col("p")) | (F.col("n") > 2))
+    member = stage(dealt.join(firsts, met).select("k", "p", "fp", "n", _near(F.col("fp"), F.col("p")).alias("near")), "cells")
+    star = member.filter("near")
+    x = member.filter("n > 2").select("k", F.col("fp").alias("x"), "near")
+    y = member.filter("not near").select(F.col("k").alias("ky"), F.col("fp").alias("y"))
+    # of two that are both not near the first one, one order is enough
+    beside = x.join(y, (F.col("k") == F.col("ky")) & (F.col("near") | (F.col("x") < F.col("y"))) & (F.col("x") != F.col("y"))
+                    & _near(F.col("x"), F.col("y"))).select("x", "y").distinct()
+    lines = lambda fp, a: one.select(F.col("fp").alias(fp), F.col("a").alias(a))
+    tops = alike.select(F.col("fp").alias("p"), F.col("top").alias("u"))
+    pairs = [star.select("p", "fp").distinct().join(tops, "p").join(lines("fp", "v"), "fp").select("u", "v"),
+             beside.join(lines("x", "u"), "x").join(lines("y", "v"), "y").select("u", "v"),
+             one.join(alike.filter("lines > 1"), "fp").filter("a <> top").select(F.col("top").alias("u"), F.col("a").alias("v"))]
+    pairs = reduce(DataFrame.unionByName, pairs).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    at = star.select("k", "fp").unionByName(star.select("k", F.col("p").alias("fp")).distinct())
+    at = at.unionByName(alike.filter("lines > 1").select(F.xxhash64("fp").alias("k"), "fp"))
+    return stage(pairs, "pairs"), stage(at.join(one, "fp").select("k", "a", "fp"), "near")
+
+
+ALLOWED = f"cast(floor({1 - SIMILARITY} * greatest(lu, lv) + 1e-9) as int)"
+
+
+def _measured(texts: DataFrame) -> DataFrame:
+    """(a, norm) with the length and the counts of letters."""
+    bag = F.array(*[F.length("norm") - F.length(F.replace("norm", F.lit(c), F.lit(""))) for c in "abcdefghijklmnopqrstuvwxyz"])
+    return texts.select("a", "norm", F.length("norm").alias("len"), bag.alias("bag"))
+
+
+def _possible() -> Column:
+    """What a pair with enough edit similarity must meet, cheap to test: each edit
+    changes the length by one at most, and one letter's count up and one's down."""
+    def more(x, y):
+        return F.aggregate(F.zip_with(x, y, lambda p, q: F.greatest(p - q, F.lit(0))), F.lit(0), lambda a, d: a + d)
+    allowed = F.expr(ALLOWED)
+    return (F.abs(F.col("lu") - F.col("lv")) <= allowed) & (more("bu", "bv") <= allowed) & (more("bv", "bu") <= allowed)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Of different pairs (u, v), those with enough edit similarity. ``texts``: as from ``_measured``."""
+    x, y = (texts.select(F.col("a").alias(k), F.col("norm").alias(f"t{k}"), F.col("len").alias(f"l{k}"), F.col("bag").alias(f"b{k}"))
+            for k in "uv")
+    return (pairs.join(x, "u").join(y, "v").filter(_possible())
+            # the cost grows with the bound: most pairs that pass differ by a word or a few
+            .filter(F.expr(" or ".join(f"levenshtein(tu, tv, least({n}, {ALLOWED})) >= 0" for n in (8, 40, (1 << 31) - 1))))
+            .select("u", "v"))
+
+
+def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """Pairs (u, v) that are not connected yet."""
+    cu, cv = (comp.select(F.col("node").alias(k), F.col("comp").alias(f"c{k}")) for k in "uv")
+    return (pairs.join(cu, "u", "left").join(cv, "v", "left")
+            .filter(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v"))
+
+
+def _late(near: DataFrame, comp: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (u, v) of lines near the same first fingerprint that are not connected yet, if they may be similar."""
+    at = near.join(comp.withColumnRenamed("node", "a"), "a", "left").select("k", "a", "fp", F.coalesce("comp", "a").alias("g"))
+    at = stage(at, "near-first")
+    split = at.groupBy("k").agg(F.min("g").alias("g0"), F.max("g").alias("g1")).filter("g0 < g1").select("k")
+    at = stage(at.join(split, "k").join(texts.drop("norm"), "a"), "split")
+    x, y = (at.select(F.col("k").alias(f"k{n}"), F.col("a").alias(n), *[F.col(c).alias(c[0] + n) for c in ("fp", "g", "len", "bag")]) for n in "uv")
+    return x.join(y, (F.col("ku") == F.col("kv")) & (F.col("u") < F.col("v")) & (F.col("gu") != F.col("gv"))
+                  & _near(F.col("fu"), F.col("fv")) & _possible()).select("u", "v").distinct()
+
+
 def _power(x: Column) -> Column:
     """The largest power of two up to x, 1 at least."""
     return F.pow(F.lit(2), F.floor(F.log2(F.greatest(x, F.lit(1.0))))).cast("int")
@@ -119,26 +244,42 @@ def _in_map(rows: DataFrame, keys: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(a, comp) of the lines (a: hash of the normalised line) that have a link to another. ``lines``: their
-    places, hashes and ends, so that only texts with a line worth a look are read again."""
+    places, hashes, fingerprints and ends, so that only texts with a line worth a look are read again."""
+    pairs, near = _candidates(stage(lines.select("a", "fp").distinct(), "distinct"))
+    named = pairs.select(F.col("u").alias("k")).unionByName(pairs.select(F.col("v").alias("k"))).distinct()
+    named = stage(named, "named")
     ends = lines.select("th", "a", F.explode("ends").alias("k"))
     shared = stage(_shared(ends.select("k", "a")).select("k"), "ends")
     worth = stage(_in_map(ends, shared).select("th", "a").distinct(), "worth")
-    some = _in_map(docs.withColumn("k", F.col("th")), worth.select(F.col("th").alias("k"))).drop("k")
-    read_again = _in_map(_lines(some).select("a", "norm").withColumn("k", F.col("a")), worth.select(F.col("a").alias("k")))
-    grid = stage(_grid(read_again.groupBy("a").agg(F.min("norm").alias("norm"))), "grid")
+    compared = stage(_in_map(lines.select("th", "a", F.col("a").alias("k")), named).select("th", "a").distinct(), "compared")
+    wanted = worth.unionByName(compared)
+    some = _in_map(docs.withColumn("k", F.col("th")), wanted.select(F.col("th").alias("k"))).drop("k")
+    read_again = _in_map(_lines(some).select("a", "norm").withColumn("k", F.col("a")), wanted.select(F.col("a").alias("k")))
+    texts = stage(read_again.groupBy("a").agg(F.min("norm").alias("norm")), "read-again")
+    measured = stage(_measured(texts.join(named, texts["a"] == named["k"]).drop("k")), "measured")
+    first = stage(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "first-pairs")
+    links = stage(_verified(first, measured), "verified")
+    grid = stage(_grid(_in_map(texts.withColumn("k", F.col("a")), worth.select(F.col("a").alias("k"))).drop("k")), "grid")
     blocks = grid.select("a", F.explode(_blocks()).alias("k"))
     stars = stage(_shared(blocks), "blocks")
-    links = _in_map(blocks, stars.select("k")).join(stars, "k").filter("a <> p").select(F.col("p").alias("u"), F.col("a").alias("v")).distinct()
-    return components(stage(links, "links")).withColumnRenamed("node", "a")
+    same = _in_map(blocks, stars.select("k")).join(stars, "k").filter("a <> p").select(F.col("p").alias("u"), F.col("a").alias("v")).distinct()
+    links = stage(links.unionByName(same).distinct(), "links")
+    comp = stage(components(links), "components")
+    rest = _apart(pairs, comp).unionByName(_late(near, comp, measured)).distinct().join(first, ["u", "v"], "left_anti")
+    rest = stage(_verified(stage(rest, "rest"), measured), "verified")
+    if rest.take(1):
+        comp = components(links.unionByName(rest))
+    return comp.withColumnRenamed("node", "a")
 
 
 def removed(docs: DataFrame) -> DataFrame:
     """(id, th, units): the places of the lines that go, of documents that lose any."""
-    lines = stage(_lines(docs).select("id", "th", "u", "a", _ends(F.col("norm")).alias("ends")), "lines")
+    lines = stage(_lines(docs).select("id", "th", "u", "a", _ends(F.col("norm")).alias("ends"),
+                                      fingerprint(F.col("norm")).alias("fp")), "lines")
     comp = groups(docs, lines)
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "u")
     # lines on their own are named by their hash, groups by a number
-    at = stage(lines.drop("ends").join(comp, "a", "left").select("id", "th", "u", F.coalesce("comp", "a").alias("g"), F.col("comp").isNull().alias("own")), "grouped")
+    at = stage(lines.drop("ends", "fp").join(comp, "a", "left").select("id", "th", "u", F.coalesce("comp", "a").alias("g"), F.col("comp").isNull().alias("own")), "grouped")
     many = at.groupBy("g", "own").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     at = stage(at.join(many, ["g", "own"]), "copies")
     first = at.groupBy("g", "own").agg(F.min(place).alias("first"))
