@@ -63,12 +63,11 @@ from tripmart.streaming.ingest import MONTH  # noqa: E402
 from tripmart.operators.keys import RAW_KEY  # noqa: E402
 
 
-def _arrive(spark, rows: DataFrame, landing: str, suffix: str) -> None:
-    """Put trips into the landing zone as the monthly files of one delivery."""
-    drop = work_dir(spark, "delivery")
+def _arrive(spark, names: list[str], drop: str, landing: str, suffix: str) -> None:
+    """Move monthly files of ``drop`` into the landing zone as one delivery."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = hpath(landing).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for name in FS.write_trip_files(rows, drop):
+    for name in names:
         fs.mkdirs(hpath(f"{landing}/{name}"))
         for st in fs.globStatus(hpath(f"{drop}/{name}/part-*")):
             fs.rename(st.getPath(), hpath(f"{landing}/{name}/{suffix}-{st.getPath().getName()}"))
@@ -79,10 +78,16 @@ def q_keyed_ingest(spark, sf):
     """Three deliveries through the keyed stream, started anew for each: later years first, then the
     earlier ones (late months), then all files of the first again. The table equals the batch clean."""
     landing, work, out = (work_dir(spark, n) for n in ("landing", "keyed", "cleaned"))
-    t = P.stage(trips(spark, sf), "raw")
-    late = F.year(_P) < 1996
-    for i, part in enumerate((t.where(~late), t.where(late), t.where(~late))):
-        _arrive(spark, part, landing, f"d{i}")
+    drop = work_dir(spark, "delivery")
+    months = FS.write_trip_files(trips(spark, sf).where(F.col(_P).isNotNull()), drop)
+    late = [m for m in months if int(m.split("_tripdata_")[1].rsplit("-", 1)[0]) < 1996]
+    first = [m for m in months if m not in late]
+    for i, part in enumerate((first, late, first)):
+        if i == 2 and first:
+            # the files that the first delivery has brought, under other names: the rows lie by month already
+            drop = work_dir(spark, "delivery")
+            FS.write_trip_files(spark.read.parquet(*[f"{landing}/{m}" for m in first]), drop, by_month=True)
+        _arrive(spark, part, drop, landing, f"d{i}")
         KS.ingest(spark, landing, work, out)
     return KS.read_cleaned(spark, out).drop(MONTH, *RAW_KEY)
 

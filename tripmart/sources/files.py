@@ -205,16 +205,18 @@ def land(spark: SparkSession, source: str, raw_zone: str, colour: str = "yellow"
     return {"uploaded": sum(done.values()), "skipped": skipped, "failed": len(names) - sum(done.values())}
 
 
-def write_trip_files(trips: DataFrame, folder: str, colour: str = "yellow", split: str | None = None) -> list[str]:
+def write_trip_files(trips: DataFrame, folder: str, colour: str = "yellow", split: str | None = None, by_month: bool = False) -> list[str]:
     """Write trips in the landing layout: one ``<colour>_tripdata_<YYYY-MM>.parquet``
     per pickup month, each a folder of part files. Rows are rebalanced by month
     (AQE splits a large month over several tasks by size), so no month goes
     through one task and each folder holds few files. ``split``: a column that parts
-    each month's folder further (``<file>/<split>=<value>``)."""
+    each month's folder further (``<file>/<split>=<value>``). ``by_month``: the rows lie by month already
+    (they come from such files), so they are written from where they lie."""
     spark = trips.sparkSession
     tmp = f"{folder.rstrip('/')}/_tmp"
     period = F.date_format(F.col("tpep_pickup_datetime"), "yyyy-MM")
-    (trips.withColumn("_period", period).hint("rebalance", "_period")
+    rows = trips.withColumn("_period", period)
+    ((rows if by_month else rows.hint("rebalance", "_period"))
           .write.mode("overwrite").partitionBy("_period", *([split] if split else [])).parquet(tmp))
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path
