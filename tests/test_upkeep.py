@@ -177,3 +177,20 @@ def test_a_load_that_dies_while_it_commits_is_made_up_for(spark, clean, tmp_path
         W.load_warehouse(star, wh)
     assert W.committed_run(spark, wh) == dead and os.path.exists(f"{wh}/_commits/run={dead}")
     assert W.load_warehouse(star, wh) > dead
+
+
+def test_colocated_trips_are_written_once_into_their_buckets(clean, monkeypatch):
+    """The cleaned trips are dealt as they are read, without a stage of their own in between."""
+    staged, real = [], P.stage
+    monkeypatch.setattr(P, "stage", lambda df, name="stage", observe=None: (staged.append(name), real(df, name, observe))[1])
+    star = CO.build_star(clean, buckets=4)
+    assert "parted" not in staged and star["FACT_TRIP"].count() == clean.count() > 0
+
+
+def test_a_delivery_again_is_not_shuffled_by_month(spark, monkeypatch):
+    """Trips become monthly files once; the third delivery writes the first one's files as they lie."""
+    from tripmart.plans.catalog import QUERIES
+    from tripmart.sources import files as FS
+    calls, real = [], FS.write_trip_files
+    monkeypatch.setattr(FS, "write_trip_files", lambda *a, **k: (calls.append(k.get("by_month", False)), real(*a, **k))[1])
+    assert QUERIES["keyed_ingest"](spark, SF_SMALL).count() > 0 and calls == [False, True]

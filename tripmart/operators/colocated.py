@@ -94,15 +94,16 @@ def fact_trip(clean: DataFrame, dim: DataFrame) -> DataFrame:
 def build_star(clean: DataFrame, root: str | None = None, buckets: int | None = None,
                zones: DataFrame | None = None) -> dict[str, DataFrame]:
     """PL2 with ``CLEAN``, ``DIM_DATETIME`` and ``FACT_TRIP`` stored in buckets under ``root`` (a
-    fresh work folder unless given); the small dimensions are as in the plain star."""
+    fresh work folder unless given); the small dimensions are as in the plain star. Trips are read twice, for
+    the rows of each bucket (pickup and dropoff only) and to be dealt: pass a materialised frame."""
     from tripmart.plans.jobs import stage
 
     spark = clean.sparkSession
     root = (root or work_dir(spark, "colocated")).rstrip("/")
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parted = stage(with_part(clean), "parted")
+    parted = with_part(clean)
     if is_hot(parted, buckets):
-        plain = parted.drop(PART)
+        plain = stage(parted, "parted").drop(PART)
         return {"CLEAN": plain, **S.build_star(plain, zones)}
     # the keys of pair equality and dt_part are joined together, tables are bucketed by the latter
     with join_within_buckets(spark):
