@@ -50,6 +50,29 @@ def test_nan_distance_is_invalid(spark):
     assert C.valid_trips(df).count() == 1
 
 
+def test_filters_name_a_computed_column_once(spark):
+    """Pushed below the dedupe, a filter works its column out as often as it names it."""
+    raw = raw_frame(spark, [trip(), trip(trip_distance=float("nan")), trip(tpep_dropoff_datetime=None), trip(fare_amount=None)])
+    for df in (C.valid_trips(C.with_duration(C.dedupe(raw))), I.adaptive_valid(raw)):
+        filters = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x]
+        assert "\n".join(filters).count(" - tpep_pickup_datetime") == 1
+        assert df.count() == 1
+
+
+def test_later_quantile_passes_read_open_columns_only(spark, monkeypatch):
+    plans, whole = [], P.stage
+
+    def seen(df, name="stage", observe=None):
+        if name == "digits":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return whole(df, name, observe)
+    df = whole(spark.createDataFrame([(2.0, 1 + i / 7, None) for i in range(500)], "a double, b double, c double"))
+    monkeypatch.setattr(P, "stage", seen)
+    got = Q.quantile_values(df, ["a", "b", "c"], [0.5], "exact")
+    assert got == {"a": [2.0], "b": [pytest.approx(1 + 249.5 / 7)], "c": [None]}
+    assert "AS c0" in plans[0] and len(plans) > 1 and all("AS c1" in p and "AS c0" not in p and "AS c2" not in p for p in plans[1:])
+
+
 def test_all_invalid_input_caps_nothing(spark):
     df = raw_frame(spark, [trip(fare_amount=-1.0), trip(trip_distance=0.0)])
     out = P.clean_job(df, cap_mode="disc")

@@ -40,9 +40,10 @@ def with_duration(df: DataFrame, name: str = DURATION) -> DataFrame:
     return df.withColumn(name, duration_minutes())
 
 
-def _positive(c: str) -> Column:
-    # NaN compares greater than any number in Spark; it is not a valid value.
-    return (F.col(c) > 0) & ~F.isnan(F.col(c).cast("double"))
+def positive(c: str) -> Column:
+    """Above zero; NaN compares greater than any number in Spark and is not a valid value. The column is
+    named once: below the dedupe a computed column is worked out as often as its filter names it."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(0.0)) > 0
 
 
 def valid_trips(df: DataFrame, passenger_policy: str = "drop",
@@ -53,9 +54,9 @@ def valid_trips(df: DataFrame, passenger_policy: str = "drop",
     passenger counts are dropped, as the clean job does); ``"fill"`` leaves
     passenger_count out of the filter, for a later fill.
     """
-    cond = _positive(duration) & _positive("fare_amount") & _positive("trip_distance")
+    cond = positive(duration) & positive("fare_amount") & positive("trip_distance")
     if passenger_policy == "drop":
-        cond = cond & _positive("passenger_count")
+        cond = cond & positive("passenger_count")
     elif passenger_policy != "fill":
         raise ValueError(f"unknown passenger_policy {passenger_policy!r}")
     return df.where(cond)

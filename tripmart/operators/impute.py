@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.operators import quantiles
-from tripmart.operators.clean import dedupe, elapsed
+from tripmart.operators.clean import dedupe, elapsed, positive
 from tripmart.operators.profile import missing
 from tripmart.schema import DROPOFF, MEDIAN_NULL_SHARE, PICKUP
 
@@ -172,7 +172,7 @@ def adaptive_valid(df: DataFrame) -> DataFrame:
         d = adaptive_duration(d)
     for c in ("trip_duration", "fare_amount", "trip_distance"):
         if c in d.columns:
-            d = d.where((F.col(c) > 0) & ~F.isnan(F.col(c)))
+            d = d.where(positive(c))
     return d
 
 

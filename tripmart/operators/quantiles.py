@@ -45,12 +45,14 @@ def from_bits(u: np.ndarray) -> np.ndarray:
 
 def _histogram(vals: DataFrame, brackets: list[tuple[int, int, int, int]]) -> DataFrame:
     """(t, digit, n, lo, hi), staged: for bracket t = (column, bits found, how many, how many more)
-    the values by their next bits."""
+    the values by their next bits. Only columns with a bracket are read, and of their values only those
+    inside a bracket are sorted."""
     from tripmart.plans.jobs import stage
 
     by_col: dict[int, list[tuple[int, int, int, int]]] = {}
     for t, (col, prefix, known, width) in enumerate(brackets):
         by_col.setdefault(col, []).append((t, prefix, known, width))
+    read = vals.select(*[vals.columns[c] for c in by_col])
 
     def merged(parts):
         t, d, n, lo, hi = (np.concatenate([p[i] for p in parts]) for i in range(5))
@@ -62,18 +64,17 @@ def _histogram(vals: DataFrame, brackets: list[tuple[int, int, int, int]]) -> Da
     def count(batches):
         parts, held = [], 0
         for b in batches:
-            for col, wanted in by_col.items():
+            for col, wanted in enumerate(by_col.values()):
                 x = b.column(col).drop_null().to_numpy(zero_copy_only=False)
                 u = ordered_bits(x[~np.isnan(x)])
-                u.sort()
                 for t, prefix, known, width in wanted:
                     part = u
                     if known:
                         low = prefix << (64 - known)
-                        high = low + (1 << (64 - known)) - 1
-                        part = u[np.searchsorted(u, np.uint64(low)):np.searchsorted(u, np.uint64(high), side="right")]
+                        part = u[(u >= np.uint64(low)) & (u <= np.uint64(low + (1 << (64 - known)) - 1))]
                     if not len(part):
                         continue
+                    part = np.sort(part)
                     d = ((part >> np.uint64(64 - known - width)) & np.uint64((1 << width) - 1)).astype(np.int64)
                     at = np.flatnonzero(np.append(True, d[1:] != d[:-1]))
                     end = np.append(at[1:], len(d))
@@ -87,7 +88,7 @@ def _histogram(vals: DataFrame, brackets: list[tuple[int, int, int, int]]) -> Da
             yield pa.RecordBatch.from_pydict({"t": pa.array(t), "digit": pa.array(d), "n": pa.array(n),
                                               "lo": pa.array(from_bits(lo)), "hi": pa.array(from_bits(hi))})
 
-    found = vals.mapInArrow(count, "t long, digit long, n long, lo double, hi double")
+    found = read.mapInArrow(count, "t long, digit long, n long, lo double, hi double")
     return stage(found.groupBy("t", "digit").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")), "digits")
 
 
