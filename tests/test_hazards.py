@@ -59,6 +59,26 @@ def test_filters_name_a_computed_column_once(spark):
         assert df.count() == 1
 
 
+def test_adaptive_clean_writes_the_trips_once(spark, monkeypatch):
+    """Fills by constants need no copy of their own; a forward fill, which joins, is still written."""
+    names, whole = [], P.stage
+
+    def seen(df, name="stage", observe=None):
+        names.append(name)
+        return whole(df, name, observe)
+    monkeypatch.setattr(P, "stage", seen)
+    rows = [trip(fare_amount=float(i), passenger_count=None if i == 3 else 1.0 + i) for i in range(1, 20)]
+    out = I.adaptive_clean(raw_frame(spark, rows), mode="exact")
+    assert sorted(r.passenger_count for r in out.collect())[9:12] == [11.5, 12.0, 13.0]
+    assert out.agg({"fare_amount": "max"}).first()[0] == pytest.approx(18.82)
+    assert [n for n in names if n.startswith("adaptive")] == ["adaptive"]
+    names.clear()
+    day = [dict(r, tpep_dropoff_datetime=None) if i == 4 else r for i, r in enumerate(rows)]
+    frame = raw_frame(spark, day).withColumnRenamed("tpep_pickup_datetime", "begin")
+    assert I.adaptive_clean(frame, order_by=["fare_amount"]).where("tpep_dropoff_datetime is null").count() == 0
+    assert [n for n in names if n.startswith("adaptive")] == ["adaptive", "adaptive-filled"]
+
+
 def test_later_quantile_passes_read_open_columns_only(spark, monkeypatch):
     plans, whole = [], P.stage
 

@@ -191,17 +191,20 @@ def adaptive_fill(df: DataFrame, median_below: float = MEDIAN_NULL_SHARE, order_
 def adaptive_clean(raw: DataFrame, mode: str = "approx", order_by: list[str] | None = None) -> DataFrame:
     """PL4: dedupe -> duration -> 3-predicate filter -> adaptive fills -> caps
     at the 0.99 quantile (interpolated) of duration, fare and distance. Null
-    shares are observed while the valid rows are written."""
-    from tripmart.plans.jobs import stage, staged_caps
+    shares are observed while the valid rows are written; fills by constants are a projection
+    of these rows, so no second copy is written for the caps unless a forward fill joins."""
+    from tripmart.plans.jobs import stage
 
     rows = adaptive_valid(raw)
     valid, seen = stage(rows, "adaptive", observe=[F.count(F.lit(1)).alias("_n")] + [
         F.count_if(missing(rows, c)).alias(f"_m{i}") for i, c in enumerate(rows.columns)])
     n = seen["_n"]
     ratios = {c: (seen[f"_m{i}"] / n if n else 0.0) for i, c in enumerate(rows.columns)}
-    filled, limits = staged_caps(adaptive_fill(valid, order_by=order_by, mode=mode, ratios=ratios),
-                                 ["trip_duration", "fare_amount", "trip_distance"], mode, 1e-4, "adaptive-filled")
-    return quantiles.cap(filled, limits)
+    filled = adaptive_fill(valid, order_by=order_by, mode=mode, ratios=ratios)
+    if "ffill" in fill_rules(valid, ratios).values():
+        filled = stage(filled, "adaptive-filled")
+    capped = [c for c in ("trip_duration", "fare_amount", "trip_distance") if c in filled.columns]
+    return quantiles.cap(filled, quantiles.thresholds(filled, capped, 0.99, mode))
 
 
 def null_ratio_table(df: DataFrame, median_below: float = MEDIAN_NULL_SHARE) -> DataFrame:
