@@ -347,6 +347,40 @@ def test_line_fingerprints(spark):
     assert [got[i] % (1 << 64) for i in range(len(norms))] == [_line_simhash(n) for n in norms]
 
 
+def test_lines_are_normalised_once(spark):
+    """The filter on lines with a word must not normalise them, and must leave the same lines."""
+    from tripmart.llm import line_dedup as m
+    texts = ["Ab\n\n--\n1\n \u00e9\t\n_[`{~\x7f\nZ", "", "\u212a\n\x00", "x" * 10 + "!\n@@", "\u0130\n^"]
+    docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "id long, th long, text string")
+    lines = m._lines(m._worded(docs))
+    want = {(i, u) for i, t in enumerate(texts) for u, x in enumerate(t.split("\n"))
+            if re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", x.lower()).strip(" ")}
+    assert {(r.id, r.u) for r in lines.collect()} == want and lines.filter("norm = ''").count() == 0
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+
+
+def test_edit_distance_of_what_is_unlike(spark):
+    """Without the common beginning and end: the same distance, of shorter strings."""
+    from tripmart.llm import line_dedup as m
+    rnd = random.Random(13)
+    rows = [("", ""), ("abc", "abc"), ("a", ""), ("aaaa", "aa"), ("h\u00e9 \U0001f600 b", "h\u00e9 \U0001f601 b")]
+    for _ in range(60):
+        x = [rnd.choice("ab\u00e9c ") for _ in range(rnd.randint(1, 90))]
+        y = list(x)
+        for _ in range(rnd.randint(1, 5)):
+            i = rnd.randint(0, len(y))
+            y[i:i + rnd.randint(0, 2)] = rnd.choice(["", "z", "ab"])
+        rows.append(("".join(x), "".join(y)))
+    df = spark.createDataFrame(rows, "x string, y string")
+    out = df.select("x", "y", m.unlike(F.col("x"), F.col("y")).alias("t")).selectExpr(
+        "x", "y", "t.x as tx", "t.y as ty", "levenshtein(x, y) as d", "levenshtein(t.x, t.y) as e").collect()
+    for r in out:
+        p, q = r.tx[::-1], r.ty[::-1]
+        assert r.d == r.e and p in r.x and q in r.y
+        assert not p or not q or (p[0] != q[0] and p[-1] != q[-1])
+
+
 def test_lines_with_edits_at_both_ends_are_linked(spark):
     """No single stretch holds these edits, so only fingerprints and edit distance can find them. A line that goes on
     with its first half has nearly the same fingerprint; the edit distance tells it apart."""

@@ -60,10 +60,16 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(id, th, u, norm, a) of the lines with a word: u is the line's number, a the hash of the normalised line."""
+def _worded(docs: DataFrame) -> DataFrame:
+    """(id, th, u, x) of the lines x with a word, as they are; u is the line's number. A filter on the normalised
+    line would normalise every line twice."""
     rows = docs.select("id", "th", F.posexplode(lines_of(F.col("text"))).alias("u", "x"))
-    return rows.select("id", "th", "u", normalised(F.col("x")).alias("norm")).filter("norm <> ''").withColumn("a", F.xxhash64("norm"))
+    return rows.filter(F.col("x").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
+
+
+def _lines(rows: DataFrame) -> DataFrame:
+    """(id, th, u, norm, a) of lines as from ``_worded``: a is the hash of the normalised line."""
+    return rows.select("id", "th", "u", normalised(F.col("x")).alias("norm")).withColumn("a", F.xxhash64("norm"))
 
 
 def fingerprint(norm: Column) -> Column:
@@ -87,7 +93,7 @@ def fingerprint(norm: Column) -> Column:
     def bits(hashes: Column) -> Column:
         n = F.size(hashes)
         last = F.aggregate(hashes, zero, lambda acc, h: acc + F.shiftrightunsigned(h, 63))
-        most = F.when(n < 1 << 8, counted(hashes, 9)).when(n < 1 << 20, counted(hashes, 21)).otherwise(counted(hashes, 63))
+        most = F.when(n < 1 << 6, counted(hashes, 7)).when(n < 1 << 8, counted(hashes, 9)).when(n < 1 << 20, counted(hashes, 21)).otherwise(counted(hashes, 63))
         return most.bitwiseOR(F.when(last * 2 > n, F.lit(-(1 << 63))).otherwise(zero))
 
     # arrays of one element name what is used more than once
@@ -116,9 +122,14 @@ def _candidates(one: DataFrame) -> tuple[DataFrame, DataFrame]:
     which any two may be similar. ``one``: (a, fp) of the different lines."""
     alike = one.groupBy("fp").agg(F.min("a").alias("top"), F.count(F.lit(1)).alias("lines"))
     alike = stage(alike, "fingerprints")
-    dealt = alike.select(F.explode(_cells(F.col("fp"))).alias("k"), "fp").repartition("k")
-    firsts = dealt.groupBy("k").agg(F.min("fp").alias("p"), F.count(F.lit(1)).alias("n")).filter("n > 1").withColumnRenamed("k", "kp")
+    dealt = alike.select(F.explode(_cells(F.col("fp"))).alias("k"), "fp")
+    firsts = dealt.repartition("k").groupBy("k").agg(F.min("fp").alias("p"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    firsts = stage(firsts.withColumnRenamed("k", "kp"), "firsts")
     met = (F.col("k") == F.col("kp")) & (F.col("fp") != F.col("p")) & (_near(F.col("fp"), F.col("p")) | (F.col("n") > 2))
+    # the map's places are the high bits of a key, which a cell's key does not use
+    hashed = F.xxhash64("k").alias("k")
+    dealt = _in_map(dealt.withColumn("own", F.col("k")).withColumn("k", hashed), firsts.select(F.col("kp").alias("k")).select(hashed))
+    dealt = dealt.select(F.col("own").alias("k"), "fp")
     member = stage(dealt.join(firsts, met).select("k", "p", "fp", "n", _near(F.col("fp"), F.col("p")).alias("near")), "cells")
     star = member.filter("near")
     x = member.filter("n > 2").select("k", F.col("fp").alias("x"), "near")
@@ -155,14 +166,31 @@ def _possible() -> Column:
     return (F.abs(F.col("lu") - F.col("lv")) <= allowed) & (more("bu", "bv") <= allowed) & (more("bv", "bu") <= allowed)
 
 
+def unlike(x: Column, y: Column) -> Column:
+    """Two strings as fields ``x`` and ``y``, backwards and without what is alike at their beginnings and ends, which
+    their edit distance does not depend on: its cost grows with the product of the lengths."""
+    halves = F.array(*[F.lit(1 << i) for i in range(15, -1, -1)])
+
+    def shorter(both, n):
+        alike = F.substring(both["x"], F.lit(1), n) == F.substring(both["y"], F.lit(1), n)
+        rest = F.struct(*[F.substring(both[c], n + 1, F.lit((1 << 31) - 1)).alias(c) for c in "xy"])
+        return F.when(alike, rest).otherwise(both)
+
+    def backwards(both):
+        return F.struct(*[F.reverse(both[c]).alias(c) for c in "xy"])
+
+    return F.aggregate(halves, F.aggregate(halves, F.struct(x.alias("x"), y.alias("y")), shorter, backwards), shorter)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of different pairs (u, v), those with enough edit similarity. ``texts``: as from ``_measured``."""
     x, y = (texts.select(F.col("a").alias(k), F.col("norm").alias(f"t{k}"), F.col("len").alias(f"l{k}"), F.col("bag").alias(f"b{k}"))
             for k in "uv")
-    return (pairs.join(x, "u").join(y, "v").filter(_possible())
-            # the cost grows with the bound: most pairs that pass differ by a word or a few
-            .filter(F.expr(" or ".join(f"levenshtein(tu, tv, least({n}, {ALLOWED})) >= 0" for n in (8, 40, (1 << 31) - 1))))
-            .select("u", "v"))
+    rest = pairs.join(x, "u").join(y, "v").filter(_possible()).select("u", "v", unlike(F.col("tu"), F.col("tv")).alias("t"), F.expr(ALLOWED).alias("most"))
+    # written first: a filter on these columns would work them out at each use.
+    # The cost grows with the bound: most pairs that pass differ by a word or a few
+    return stage(rest, "unlike").filter("greatest(length(t.x), length(t.y)) <= most or " + " or ".join(
+        f"levenshtein(t.x, t.y, least({n}, most)) >= 0" for n in (8, 40, (1 << 31) - 1))).select("u", "v")
 
 
 def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
@@ -248,14 +276,17 @@ def groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     pairs, near = _candidates(stage(lines.select("a", "fp").distinct(), "distinct"))
     named = pairs.select(F.col("u").alias("k")).unionByName(pairs.select(F.col("v").alias("k"))).distinct()
     named = stage(named, "named")
-    ends = lines.select("th", "a", F.explode("ends").alias("k"))
+    ends = lines.select("th", "u", "a", F.explode("ends").alias("k"))
     shared = stage(_shared(ends.select("k", "a")).select("k"), "ends")
-    worth = stage(_in_map(ends, shared).select("th", "a").distinct(), "worth")
-    compared = stage(_in_map(lines.select("th", "a", F.col("a").alias("k")), named).select("th", "a").distinct(), "compared")
+    # a line is read again at one place
+    place = F.min(F.struct("th", "u")).alias("at")
+    worth = stage(_in_map(ends, shared).groupBy("a").agg(place).select("a", "at.*"), "worth")
+    compared = stage(_in_map(lines.select("th", "u", "a", F.col("a").alias("k")), named).groupBy("a").agg(place).select("a", "at.*"), "compared")
     wanted = worth.unionByName(compared)
     some = _in_map(docs.withColumn("k", F.col("th")), wanted.select(F.col("th").alias("k"))).drop("k")
-    read_again = _in_map(_lines(some).select("a", "norm").withColumn("k", F.col("a")), wanted.select(F.col("a").alias("k")))
-    texts = stage(read_again.groupBy("a").agg(F.min("norm").alias("norm")), "read-again")
+    at = F.xxhash64("th", "u").alias("k")
+    some = _in_map(_worded(some).select("*", at), wanted.select(at)).drop("k")
+    texts = stage(_lines(some).groupBy("a").agg(F.min("norm").alias("norm")), "read-again")
     measured = stage(_measured(texts.join(named, texts["a"] == named["k"]).drop("k")), "measured")
     first = stage(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "first-pairs")
     links = stage(_verified(first, measured), "verified")
@@ -274,14 +305,16 @@ def groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 def removed(docs: DataFrame) -> DataFrame:
     """(id, th, units): the places of the lines that go, of documents that lose any."""
-    lines = stage(_lines(docs).select("id", "th", "u", "a", _ends(F.col("norm")).alias("ends"),
-                                      fingerprint(F.col("norm")).alias("fp")), "lines")
+    lines = stage(_lines(_worded(docs)).select("id", "th", "u", "a", _ends(F.col("norm")).alias("ends"),
+                                               fingerprint(F.col("norm")).alias("fp")), "lines")
     comp = groups(docs, lines)
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "u")
     # lines on their own are named by their hash, groups by a number
     at = stage(lines.drop("ends", "fp").join(comp, "a", "left").select("id", "th", "u", F.coalesce("comp", "a").alias("g"), F.col("comp").isNull().alias("own")), "grouped")
     many = at.groupBy("g", "own").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    at = stage(at.join(many, ["g", "own"]), "copies")
+    many = stage(many, "many")
+    key = F.xxhash64("g", "own").alias("k")
+    at = stage(_in_map(at.select("*", key), many.select(key)).drop("k").join(many, ["g", "own"]), "copies")
     first = at.groupBy("g", "own").agg(F.min(place).alias("first"))
     gone = at.join(first, ["g", "own"]).filter(place != F.col("first"))
     return gone.groupBy("id", "th").agg(F.sort_array(F.collect_set("u")).alias("units"))
