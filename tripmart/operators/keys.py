@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tripmart.schema import RAW_COLUMNS
 
+MAP_BITS = 26   # bits of a map of keys: at most 2**20 rows of 64 are broadcast
 _ROW_BITS = 33  # monotonically_increasing_id: partition index << 33 | row in partition
 
 
@@ -58,3 +59,13 @@ def with_raw_key(df: DataFrame) -> DataFrame:
     cols = [c for c in RAW_COLUMNS if c in df.columns]
     flags = [x for c in cols for x in (F.col(c), F.isnull(F.col(c)))]
     return df.withColumns({RAW_KEY[0]: hash_key(*cols), RAW_KEY[1]: F.xxhash64(F.lit(1), *flags)})
+
+
+def perhaps_in(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose 64-bit hash ``key`` is in ``keys`` (one column of that name), and perhaps others: they are told by a
+    bit map of fixed size, so that no other row is moved. A map that fills up lets more rows through, it loses none."""
+    place = F.shiftrightunsigned(key, 64 - MAP_BITS)
+    at = [F.shiftright(place, 6).alias("_cell"), place.bitwiseAND(F.lit(63)).cast("int").alias("_at")]
+    bits = keys.select(*at).groupBy("_cell").agg(F.expr("bit_or(shiftleft(1L, _at))").alias("_bits"))
+    return (df.select("*", *at).join(F.broadcast(bits), "_cell").filter(F.expr("getbit(_bits, _at) = 1"))
+              .drop("_cell", "_at", "_bits"))
