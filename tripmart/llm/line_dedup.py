@@ -6,7 +6,7 @@ normalised lines are linked if their edit similarity (1 - Levenshtein / longer l
 more and one of two ways finds them. Of each connected group, the first occurrence stays (by document id, null
 last, then text hash and place); all others go.
 
-1. SimHash over the pairs of neighbouring words of every line, 64 bits. The fingerprint is cut into ``DISTANCE`` + 2 blocks; fingerprints
+1. SimHash over the pairs of neighbouring words of every line, 64 bits (``fingerprint``). The fingerprint is cut into ``DISTANCE`` + 2 blocks; fingerprints
    within ``DISTANCE`` bits agree in two of them, so they meet in one of the cells for two blocks, and many
    that differ in more bits do too. In a cell pairs of up to ``NEAR`` different bits are candidates: each
    fingerprint near the cell's first one with that, the others with all near them (``_candidates``).
@@ -48,6 +48,8 @@ NEAR = 12                 # bits: of fingerprints that meet, those that differ i
 STEPS = 24                # of a line under SHORT bytes; half as many of a longer one
 SHORT = 192
 RATIO = 1.26              # of neighbouring lengths of ends; over 1 / SIMILARITY
+FIELD = 16                # bits of a counter beside others; lines of 2**15 words or more count in wider ones
+CHUNK = 4                 # words counted at a time
 MAP_BITS = 26             # bits of the map of wanted keys: at most 2**20 rows of 64 are broadcast
 
 
@@ -56,8 +58,16 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+# named one by one, as a class of ranges is searched slower
+OTHER = [f"\\x{c:02X}" for c in range(128) if chr(c) not in "0123456789abcdefghijklmnopqrstuvwxyz"]
+
+
+def _spaced(text: Column, other: list[str]) -> Column:
+    return F.regexp_replace(F.lower(text), f"[{''.join(other)}]+", " ")
+
+
 def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
+    return F.trim(_spaced(line, OTHER))
 
 
 def _worded(docs: DataFrame) -> DataFrame:
@@ -101,6 +111,43 @@ def fingerprint(norm: Column) -> Column:
     return F.transform(hashes, bits)[0]
 
 
+def _normalised_lines(docs: DataFrame) -> DataFrame:
+    """(id, th, u, norm) as ``_lines`` makes of ``_worded``, of all lines: normalised a text at a time, but for line ends."""
+    text = _spaced(F.col("text"), [c for c in OTHER if c != "\\x0A"])
+    rows = docs.select("id", "th", F.posexplode(lines_of(text)).alias("u", "x"))
+    return rows.select("id", "th", "u", F.trim("x").alias("norm")).filter("norm <> ''")
+
+
+def _fingerprinted(rows: DataFrame) -> DataFrame:
+    """(id, th, u, a, ends, fp) of lines (id, th, u, norm): the hash of each, its ends and its ``fingerprint``. Words are
+    rows here, ``CHUNK`` at a time, and their bits are counted by an aggregation, as functions over an array cost more for each."""
+    rows = rows.withColumn("w", F.split("norm", " "))
+    rows = rows.select("id", "th", "u", F.monotonically_increasing_id().alias("row"), F.xxhash64("norm").alias("a"), _ends(F.col("norm")).alias("ends"),
+                       F.when(F.size("w") >= 1 << (FIELD - 1), fingerprint(F.col("norm"))).alias("long"), "w")
+    keys = ["id", "th", "u", "row", "a", "ends", "long"]
+    n = F.when(F.col("long").isNull(), F.size("w")).otherwise(1)
+    rows = rows.select(*keys, "w", n.alias("of")).select(*keys, "w", "of", F.explode(F.sequence(F.lit(0), F.col("of") - 1, F.lit(CHUNK))).alias("p"))
+    hashes = [F.when(F.col("p") + k < F.col("of"), F.xxhash64(F.get("w", F.col("p") + k), F.get("w", F.col("p") + k + 1)))
+              .otherwise(F.lit(0).cast("long")).alias(f"h{k}") for k in range(CHUNK)]
+    rows = rows.select(*keys, F.least(F.col("of") - F.col("p"), F.lit(CHUNK)).alias("n"), *hashes)
+    ones = F.lit(sum(1 << i for i in range(0, 64, FIELD)))
+    # coalesced, as code for columns without nulls is short enough to be compiled
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0).cast("long"))
+    counts = [total(reduce(Column.__add__, [F.shiftrightunsigned(f"h{k}", j).bitwiseAND(ones) for k in range(CHUNK)])).alias(f"c{j}") for j in range(FIELD)]
+    rows = rows.groupBy(*keys).agg(total("n").alias("n"), *counts)
+    # every other field, so that there is room for a bit above: it comes out set where the count is over half
+    ones = sum(1 << i for i in range(0, 64, 2 * FIELD))
+    more = (F.lit((1 << FIELD) - 1) - F.shiftright("n", 1)) * F.lit(ones)
+
+    def bits(j: int, half: int) -> Column:
+        count = F.shiftrightunsigned(f"c{j}", half) if half else F.col(f"c{j}")
+        over = (count.bitwiseAND(F.lit(((1 << FIELD) - 1) * ones)) + more).bitwiseAND(F.lit(ones << FIELD))
+        return F.shiftleft(over, j) if half else F.shiftrightunsigned(over, FIELD - j)
+
+    fp = reduce(Column.bitwiseOR, [bits(j, half) for j in range(FIELD) for half in (0, FIELD)])
+    return rows.select("id", "th", "u", "a", "ends", F.coalesce("long", fp).alias("fp"))
+
+
 def _cells(fp: Column) -> Column:
     """Keys of the cells of a fingerprint: the bits of two blocks and the table's number."""
     n = DISTANCE + 2
@@ -117,11 +164,15 @@ def _near(x: Column, y: Column) -> Column:
     return F.bit_count(x.bitwiseXOR(y)) <= NEAR
 
 
+def _alike(one: DataFrame) -> DataFrame:
+    """(fp, top, lines) of the fingerprints in ``one`` (a, fp): the smallest line and how many there are."""
+    return one.groupBy("fp").agg(F.min("a").alias("top"), F.count(F.lit(1)).alias("lines"))
+
+
 def _candidates(one: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs (u, v) of lines to verify, and (k, a, fp) of the lines near the first fingerprint of their cell k, of
     which any two may be similar. ``one``: (a, fp) of the different lines."""
-    alike = one.groupBy("fp").agg(F.min("a").alias("top"), F.count(F.lit(1)).alias("lines"))
-    alike = stage(alike, "fingerprints")
+    alike = stage(_alike(one), "fingerprints")
     dealt = alike.select(F.explode(_cells(F.col("fp"))).alias("k"), "fp")
     firsts = dealt.repartition("k").groupBy("k").agg(F.min("fp").alias("p"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     firsts = stage(firsts.withColumnRenamed("k", "kp"), "firsts")
@@ -131,6 +182,10 @@ def _candidates(one: DataFrame) -> tuple[DataFrame, DataFrame]:
     dealt = _in_map(dealt.withColumn("own", F.col("k")).withColumn("k", hashed), firsts.select(F.col("kp").alias("k")).select(hashed))
     dealt = dealt.select(F.col("own").alias("k"), "fp")
     member = stage(dealt.join(firsts, met).select("k", "p", "fp", "n", _near(F.col("fp"), F.col("p")).alias("near")), "cells")
+    # of the lines, those with a fingerprint that is in a pair
+    wanted = member.select("fp").unionByName(member.select(F.col("p").alias("fp"))).unionByName(alike.filter("lines > 1").select("fp"))
+    one = stage(_in_map(one.withColumn("k", F.xxhash64("fp")), wanted.select(F.xxhash64("fp").alias("k"))).drop("k"), "met")
+    alike = stage(_alike(one), "met-fingerprints")
     star = member.filter("near")
     x = member.filter("n > 2").select("k", F.col("fp").alias("x"), "near")
     y = member.filter("not near").select(F.col("k").alias("ky"), F.col("fp").alias("y"))
@@ -189,8 +244,16 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     rest = pairs.join(x, "u").join(y, "v").filter(_possible()).select("u", "v", unlike(F.col("tu"), F.col("tv")).alias("t"), F.expr(ALLOWED).alias("most"))
     # written first: a filter on these columns would work them out at each use.
     # The cost grows with the bound: most pairs that pass differ by a word or a few
-    return stage(rest, "unlike").filter("greatest(length(t.x), length(t.y)) <= most or " + " or ".join(
-        f"levenshtein(t.x, t.y, least({n}, most)) >= 0" for n in (8, 40, (1 << 31) - 1))).select("u", "v")
+    return stage(rest, "unlike").filter((F.greatest(F.length("t.x"), F.length("t.y")) <= F.col("most")) | _few_words(F.col("t.x"), F.col("t.y"), F.col("most")) | F.expr(
+        " or ".join(f"levenshtein(t.x, t.y, least({n}, most)) >= 0" for n in (40, (1 << 31) - 1)))).select("u", "v")
+
+
+def _few_words(x: Column, y: Column, most: Column) -> Column:
+    """Whether two strings have the same number of words, and writing those that differ anew takes at most ``most`` edits.
+    Their edit distance is no greater than that, and needn't be worked out then."""
+    p, q = F.split(x, " "), F.split(y, " ")
+    cost = F.zip_with(p, q, lambda v, w: F.when(v == w, 0).otherwise(F.greatest(F.length(v), F.length(w))))
+    return (F.size(p) == F.size(q)) & (F.aggregate(cost, F.lit(0), lambda acc, n: acc + n) <= most)
 
 
 def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
@@ -241,19 +304,17 @@ def _grid(texts: DataFrame) -> DataFrame:
                        F.transform(at, lambda j: F.xxhash64(F.substring("b", F.col("n") - j + 1, j))).alias("tail"))
 
 
-def _blocks() -> Column:
-    """Hashes of the blocks (i, j) of a row of ``_grid``. For each i the shortest ends that make up for it, eight or
-    four of a short line and two of a long one: lines of somewhat different length have one in common."""
-    n, need, step = F.col("n"), F.col("need"), F.col("step")
+def _blocks(grid: DataFrame) -> DataFrame:
+    """(a, k): the hashes of the blocks (i, j) of the rows of ``_grid``. For each i the shortest ends that make up for it,
+    eight or four of a short line and two of a long one: lines of somewhat different length have one in common."""
+    n, need, step, x = F.col("n"), F.col("need"), F.col("step"), F.col("x")
     ends = F.when(n < SHORT / 2, 8).when(n < SHORT, 4).otherwise(2)
-
-    def of(x):
-        y = F.greatest(F.lit(0), F.ceil((need - x * step) / step)).cast("int")
-        more = F.sequence(y, F.least(y + ends - 1, F.floor((n - x * step) / step).cast("int")))
-        return F.when(x * step + y * step <= n, F.transform(more, lambda v: F.xxhash64(
-            x * step, v * step, F.get("head", x), F.get("tail", v)))).otherwise(F.array().cast("array<bigint>"))
-
-    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.ceil(need / step).cast("int")), of)))
+    # steps at the beginning and at the end, a row each: functions over arrays of arrays cost ten times as much
+    rows = grid.select("*", F.explode(F.sequence(F.lit(0), F.ceil(need / step).cast("int"))).alias("x"))
+    rows = rows.withColumn("y", F.greatest(F.lit(0), F.ceil((need - x * step) / step)).cast("int")).filter("x * step + y * step <= n")
+    more = F.sequence(F.col("y"), F.least(F.col("y") + ends - 1, F.floor((n - x * step) / step).cast("int")))
+    rows = rows.select("a", "step", "x", "head", "tail", F.explode(more).alias("v"))
+    return rows.select("a", F.xxhash64(x * step, F.col("v") * step, F.get("head", x), F.get("tail", F.col("v"))).alias("k"))
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -291,7 +352,7 @@ def groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     first = stage(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "first-pairs")
     links = stage(_verified(first, measured), "verified")
     grid = stage(_grid(_in_map(texts.withColumn("k", F.col("a")), worth.select(F.col("a").alias("k"))).drop("k")), "grid")
-    blocks = grid.select("a", F.explode(_blocks()).alias("k"))
+    blocks = _blocks(grid)
     stars = stage(_shared(blocks), "blocks")
     same = _in_map(blocks, stars.select("k")).join(stars, "k").filter("a <> p").select(F.col("p").alias("u"), F.col("a").alias("v")).distinct()
     links = stage(links.unionByName(same).distinct(), "links")
@@ -305,8 +366,7 @@ def groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 def removed(docs: DataFrame) -> DataFrame:
     """(id, th, units): the places of the lines that go, of documents that lose any."""
-    lines = stage(_lines(_worded(docs)).select("id", "th", "u", "a", _ends(F.col("norm")).alias("ends"),
-                                               fingerprint(F.col("norm")).alias("fp")), "lines")
+    lines = stage(_fingerprinted(_normalised_lines(docs)), "lines")
     comp = groups(docs, lines)
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "u")
     # lines on their own are named by their hash, groups by a number
@@ -324,7 +384,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """One row per document: id, th, n_lines, n_removed and removed (the lines' numbers, from 0)."""
     rows = keyed(docs, id_col, text_col)
     gone = stage(removed(rows), "removed").select(F.col("id").alias("i"), F.col("th").alias("t"), "units")
-    n = rows.select("id", "th", F.when(F.length("text") > 0, F.size(lines_of(F.col("text")))).otherwise(0).cast("long").alias("n_lines"))
+    n = rows.select("id", "th", F.when(F.length("text") > 0, F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).otherwise(0).cast("long").alias("n_lines"))
     return (n.join(gone, F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")), "left")
             .select("id", "th", "n_lines", F.coalesce(F.size("units"), F.lit(0)).cast("long").alias("n_removed"),
                     F.coalesce("units", F.array().cast("array<int>")).alias("removed")))
